@@ -1 +1,124 @@
-"""Registered queries."""
+"""Registered split / sampling queries (F1-F8, K1, K4) with DuckDB oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.numeric import round6
+from ..operators import split as S
+from ..sources.tables import SQL_VIEWS, table, view
+from .registry import register
+from .sqlgen import sql_hash_int, sql_round6
+
+H_ORDER = sql_hash_int(42, "o_orderkey")
+H_CUST = sql_hash_int(42, "o_custkey")
+
+# exact stratified split of orders_y in SQL: allocation by largest remainder, then
+# the first t_c rows per class in (h, key) order are test
+STRAT_CTE = f"""
+WITH y AS ({SQL_VIEWS['orders_y']}),
+c AS (SELECT target, count(*) AS cnt FROM y WHERE target IS NOT NULL GROUP BY target),
+t AS (SELECT sum(cnt) AS n, CAST(ceil(0.2::DOUBLE * sum(cnt)) AS BIGINT) AS n_test FROM c),
+a AS (SELECT c.target, c.cnt, (c.cnt * (t.n - t.n_test)) / t.n::DOUBLE AS cont,
+             floor((c.cnt * (t.n - t.n_test)) / t.n::DOUBLE) AS fl, t.n - t.n_test AS n_train FROM c, t),
+b AS (SELECT *, row_number() OVER (ORDER BY cont - fl DESC, cnt, CAST(target AS VARCHAR)) AS rk,
+             n_train - sum(fl) OVER () AS extra FROM a),
+alloc AS (SELECT target, cnt - (fl + CASE WHEN rk <= extra THEN 1 ELSE 0 END) AS n_test_c FROM b),
+r AS (SELECT y.*, row_number() OVER (PARTITION BY target ORDER BY {H_ORDER}, o_orderkey) AS rn FROM y),
+s AS (SELECT r.*, CASE WHEN r.target IS NULL THEN NULL WHEN rn <= n_test_c THEN 'test' ELSE 'train' END AS split
+      FROM r LEFT JOIN alloc USING (target))
+"""
+
+
+def _strat(spark, sf_dir):
+    df, roles = view(spark, sf_dir, "orders_y")
+    return S.stratified_split(df, "target", "o_orderkey", 0.2, 42), roles
+
+
+@register("stratified_exact", STRAT_CTE + "SELECT o_orderkey, target, split FROM s")
+def stratified_exact(spark, sf_dir):
+    return _strat(spark, sf_dir)[0].select("o_orderkey", "target", "split")
+
+
+@register("split_stats", STRAT_CTE + f"""
+, p AS (SELECT split, count(*) AS n, avg(CAST(target AS DOUBLE)) AS target_rate FROM s GROUP BY split)
+SELECT split, n, {sql_round6('n / (SELECT sum(n) FROM p)::DOUBLE')} AS share, {sql_round6('target_rate')} AS target_rate,
+       abs((SELECT target_rate FROM p WHERE split = 'train') - (SELECT target_rate FROM p WHERE split = 'test')) * 100 < 0.5
+         AS balanced
+FROM p""")
+def split_stats(spark, sf_dir):
+    st = S.split_stats(_strat(spark, sf_dir)[0], "target")
+    return st.select("split", "n", round6("share").alias("share"), round6("target_rate").alias("target_rate"),
+                     "balanced")
+
+
+@register("group_overlap", STRAT_CTE + """
+, g AS (SELECT o_custkey, max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS tr,
+               max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS te FROM s WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
+SELECT CAST(sum(tr * te) AS BIGINT) AS n_both, CAST(sum(tr) AS BIGINT) AS n_train_groups,
+       CAST(sum(te) AS BIGINT) AS n_test_groups, count(*) AS n_groups FROM g""")
+def group_overlap(spark, sf_dir):
+    return S.group_overlap(_strat(spark, sf_dir)[0], "o_custkey")
+
+
+@register("hash_split_overlap", f"""
+WITH s AS (SELECT o_custkey, CASE WHEN {H_ORDER} < 0.2 * 4294967296.0 THEN 'test' ELSE 'train' END AS split FROM orders),
+g AS (SELECT o_custkey, max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS tr,
+             max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS te FROM s GROUP BY o_custkey)
+SELECT CAST(sum(tr * te) AS BIGINT) AS n_both, CAST(sum(tr) AS BIGINT) AS n_train_groups,
+       CAST(sum(te) AS BIGINT) AS n_test_groups, count(*) AS n_groups FROM g""")
+def hash_split_overlap(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    return S.group_overlap(S.hash_split(df, "o_orderkey", 0.2, 42), "o_custkey")
+
+
+@register("group_folds", f"SELECT o_orderkey, o_custkey, CAST({H_CUST} % 5 AS INTEGER) AS fold FROM orders")
+def group_folds(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    return S.group_kfold(df, "o_custkey", 5, 42).select("o_orderkey", "o_custkey", "fold")
+
+
+@register("fold_overlap", f"""
+WITH y AS ({SQL_VIEWS['orders_y']}),
+f AS (SELECT *, CAST({H_CUST} % 5 AS INTEGER) AS fold FROM y),
+pg AS (SELECT o_custkey FROM f GROUP BY o_custkey HAVING min(fold) <> max(fold)),
+sh AS (SELECT fold, count(DISTINCT o_custkey) AS n_shared FROM f WHERE o_custkey IN (SELECT o_custkey FROM pg) GROUP BY fold)
+SELECT fold, count(*) AS n, CAST(sum(target) AS BIGINT) AS n_pos, count(DISTINCT f.o_custkey) AS n_groups,
+       CAST(coalesce(max(sh.n_shared), 0) AS BIGINT) AS overlap
+FROM f LEFT JOIN sh USING (fold) GROUP BY fold""")
+def fold_overlap(spark, sf_dir):
+    df, _ = view(spark, sf_dir, "orders_y")
+    return S.fold_overlap(S.group_kfold(df, "o_custkey", 5, 42), "o_custkey", "target")
+
+
+_BAL_G = f"(('0x' || substr(md5('42:' || CAST(o_custkey AS VARCHAR)), 1, 8))::BIGINT)"
+
+
+@register("balanced_folds", f"""
+WITH g AS (SELECT o_custkey, count(*) AS size, {_BAL_G} AS h FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey),
+d AS (SELECT o_custkey, size, h, h % 64 AS bkt,
+             row_number() OVER (PARTITION BY size, h % 64 ORDER BY h, o_custkey) AS rn FROM g),
+f AS (SELECT o_custkey, CAST((rn - 1 + {sql_hash_int(42, 'size', 'bkt')} % 5) % 5 AS INTEGER) AS fold FROM d)
+SELECT fold, count(*) AS n, count(DISTINCT o_custkey) AS n_groups FROM orders JOIN f USING (o_custkey) GROUP BY fold""")
+def balanced_folds(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    f = S.group_kfold(df, "o_custkey", 5, 42, balanced=True, n_buckets=64)
+    return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("n_groups"))
+
+
+@register("temporal_split", """
+WITH n AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS n_train FROM orders),
+r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, CASE WHEN rn <= (SELECT n_train FROM n) THEN 'train' ELSE 'test' END AS split FROM r""")
+def temporal_split(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    return S.temporal_split(df, ["o_orderdate", "o_orderkey"], 0.8).select("o_orderkey", "split")
+
+
+@register("sample_rows", f"""
+WITH n AS (SELECT CAST(floor(count(*) * 0.3::DOUBLE) AS BIGINT) AS k FROM orders),
+r AS (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY {H_ORDER}, o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, o_custkey FROM r WHERE rn <= (SELECT k FROM n)""")
+def sample_rows(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    return S.sample_rows(df, "o_orderkey", frac=0.3, seed=42).select("o_orderkey", "o_custkey")
