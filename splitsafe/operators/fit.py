@@ -24,12 +24,13 @@ def fit_stats(df: DataFrame, features, where=None, **kw) -> DataFrame:
     src = src.select(*[as_double(src, c).alias(c) for c in features])
     med = medians(src, features, **kw).withColumnRenamed("column", "feature")
     rows = {r["feature"]: r["median"] for r in med.collect()}          # one row per feature
-    imputed = src.select(*[F.coalesce(F.col(c), F.lit(rows.get(c))).alias(c) for c in features])
     names = {f"f{i}": c for i, c in enumerate(features)}
-    long = imputed.select(*[F.col(c).alias(s) for s, c in names.items()]).unpivot([], list(names), "__slot", "x")
+    long = src.select(*[F.col(c).alias(s) for s, c in names.items()]).unpivot([], list(names), "__slot", "x")
     mapping = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
+    med_of = F.create_map(*[F.lit(v) for s, c in names.items() for v in (s, rows.get(c))])
+    imp = F.coalesce(F.col("x"), med_of[F.col("__slot")])
     mom = long.groupBy("__slot").agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("nn"),
-                                     F.avg("x").alias("mean"), F.stddev_pop("x").alias("std_pop"))
+                                     F.avg(imp).alias("mean"), F.stddev_pop(imp).alias("std_pop"))
     spark = df.sparkSession
     meds = spark.createDataFrame([(c, rows.get(c)) for c in features], "feature string, median double")
     return (mom.select(mapping[F.col("__slot")].alias("feature"), "n", (F.col("n") - F.col("nn")).alias("n_null"),

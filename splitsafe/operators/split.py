@@ -19,6 +19,14 @@ from ..functions.hashing import hash_int
 from .rank import at_or_before, composite_threshold
 
 
+def _tiebreak(df: DataFrame, key: str, seed) -> tuple[DataFrame, str]:
+    """Order within equal hashes: the key itself when numeric, else a second hash of it."""
+    from pyspark.sql import types as T
+    if isinstance(df.schema[key].dataType, (T.StringType, T.BinaryType)):
+        return df.withColumn("__h2", hash_int(f"{seed}~", key)), "__h2"
+    return df, key
+
+
 def allocate_stratified(class_counts: dict, test_size: float) -> dict:
     """Per-class test counts of an exact stratified split.
 
@@ -62,13 +70,13 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
     tdt = df.schema[target].dataType
     targets = spark.createDataFrame([(c, int(t) - 1) for c, t in alloc.items() if t > 0],
                                     f"`{target}` {tdt.simpleString()}, k bigint")
-    hashed = df.withColumn("__h", h)
-    thr = composite_threshold(hashed, ["__h", key], targets, [target], **kw)
+    hashed, tie = _tiebreak(df.withColumn("__h", h), key, seed)
+    thr = composite_threshold(hashed, ["__h", tie], targets, [target], **kw)
     out = hashed.join(F.broadcast(thr.drop("k")), target, "left")
-    is_test = F.col("t0").isNotNull() & at_or_before(out, ["__h", key])
+    is_test = F.col("t0").isNotNull() & at_or_before(out, ["__h", tie])
     out = out.withColumn(col, F.when(F.col(target).isNotNull(),
                                      F.when(is_test, "test").otherwise("train")))
-    return out.drop("__h", "t0", "t1")
+    return out.drop("__h", "__h2", "t0", "t1")
 
 
 random_split = stratified_split
@@ -123,14 +131,14 @@ def sample_rows(df: DataFrame, key: str, frac: float | None = None, n: int | Non
     the smallest ``(h(seed:key), key)``."""
     if n is None:
         n = int(df.count() * frac)
-    hashed = df.withColumn("__h", hash_int(seed, key))
     if n <= 0:
-        return hashed.where(F.lit(False)).drop("__h")
+        return df.where(F.lit(False))
+    hashed, tie = _tiebreak(df.withColumn("__h", hash_int(seed, key)), key, seed)
     spark = df.sparkSession
-    thr = composite_threshold(hashed, ["__h", key], spark.createDataFrame([(n - 1,)], "k bigint"), (), **kw)
+    thr = composite_threshold(hashed, ["__h", tie], spark.createDataFrame([(n - 1,)], "k bigint"), (), **kw)
     j = (hashed.withColumn("__k", F.lit(1))
          .join(F.broadcast(thr.drop("k").withColumn("__k", F.lit(1))), "__k").drop("__k"))
-    return j.where(at_or_before(j, ["__h", key])).drop("__h", "t0", "t1")
+    return j.where(at_or_before(j, ["__h", tie])).drop("__h", "__h2", "t0", "t1")
 
 
 def split_stats(df: DataFrame, target: str, col: str = "split") -> DataFrame:

@@ -1 +1,416 @@
-"""Registered queries."""
+"""Registered encoding / fit / AUC / injection / experiment queries."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.numeric import round6
+from ..operators import chartdata, clean, encode, experiments as X, fit, inject, metrics, split
+from ..roles import Roles
+from ..sources.tables import SQL_VIEWS, table, view
+from .registry import register
+from .sqlgen import (auc_cte, auc_interpretation, gauge_severity, inflation_severity, memorise_cte,
+                     sql_gaussian, sql_hash_int, sql_round6 as r6, strat_ctes)
+
+
+def W(*names):
+    return "WITH " + ", ".join(f"{n} AS ({SQL_VIEWS[n]})" for n in names) + ", "
+
+
+def _r6(df, *cols):
+    return df.select(*[round6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+# ------------------------------------------------------------------ target encoding
+
+@register("target_encode_leaky", W("orders_y") + """
+e AS (SELECT o_custkey, avg(CAST(target AS DOUBLE)) AS encoded FROM orders_y WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
+SELECT o_orderkey, """ + r6("e.encoded") + """ AS encoded FROM orders_y LEFT JOIN e USING (o_custkey)""")
+def target_encode_leaky(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    out = encode.target_encode(df, "o_custkey", r.target, None, fallback=None)
+    return _r6(out.select("o_orderkey", "encoded"), "encoded")
+
+
+@register("target_encode_honest", W("orders_y") + strat_ctes("orders_y", "o_orderkey", "st") + """,
+e AS (SELECT o_custkey, avg(CAST(target AS DOUBLE)) AS encoded FROM st_s WHERE split = 'train' AND o_custkey IS NOT NULL
+      GROUP BY o_custkey),
+m AS (SELECT avg(CAST(target AS DOUBLE)) AS m FROM st_s WHERE split = 'train')
+SELECT o_orderkey, split, """ + r6("coalesce(e.encoded, (SELECT m FROM m))") + """ AS encoded
+FROM st_s LEFT JOIN e USING (o_custkey)""")
+def target_encode_honest(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    s = split.stratified_split(df, r.target, r.row_key, 0.2, 42)
+    out = encode.target_encode(s, "o_custkey", r.target, F.col("split") == "train", fallback="mean")
+    return _r6(out.select("o_orderkey", "split", "encoded"), "encoded")
+
+
+# ------------------------------------------------------------------ fit tables
+
+FIT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _fit_sql(src, feats, where="TRUE"):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(*) AS n, count(*) - count({c}) AS n_null, {r6(f'median({c})')} AS median, "
+        f"{r6(f'avg(coalesce({c}, (SELECT median({c}) FROM {src} WHERE {where})))')} AS mean, "
+        f"{r6(f'stddev_pop(coalesce({c}, (SELECT median({c}) FROM {src} WHERE {where})))')} AS std_pop "
+        f"FROM {src} WHERE {where}" for c in feats)
+
+
+@register("fit_stats", W("line_nulls") + "x AS (SELECT 1) " + _fit_sql("line_nulls", FIT_FEATURES))
+def fit_stats(spark, sf_dir):
+    df, _ = view(spark, sf_dir, "line_nulls")
+    return _r6(fit.fit_stats(df, FIT_FEATURES), "median", "mean", "std_pop")
+
+
+TEMP_CTE = """
+tn AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS n_train FROM orders),
+ts AS (SELECT o.*, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey) <= (SELECT n_train FROM tn)
+                   THEN 'train' ELSE 'test' END AS split FROM orders o)"""
+SCALE_FEATURES = ["o_totalprice", "o_custkey"]
+
+
+@register("scaled", "WITH " + TEMP_CTE + ", " + ", ".join(
+    f"f_{c} AS (SELECT median({c}) AS md, avg(CAST({c} AS DOUBLE)) AS mu, stddev_pop(CAST({c} AS DOUBLE)) AS sd "
+    f"FROM ts WHERE split = 'train')" for c in SCALE_FEATURES) + " SELECT o_orderkey, split, " + ", ".join(
+    r6(f"(coalesce(CAST({c} AS DOUBLE), (SELECT md FROM f_{c})) - (SELECT mu FROM f_{c})) / "
+       f"(SELECT CASE WHEN sd > 0 THEN sd ELSE 1.0 END FROM f_{c})") + f" AS {c}" for c in SCALE_FEATURES)
+    + " FROM ts")
+def scaled(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    s = split.temporal_split(df, ["o_orderdate", "o_orderkey"], 0.8)
+    f = fit.fit_stats(s, SCALE_FEATURES, F.col("split") == "train")
+    return _r6(fit.apply_fit(s, f, SCALE_FEATURES, keep=["o_orderkey", "split"]), *SCALE_FEATURES)
+
+
+@register("fit_drift", "WITH " + TEMP_CTE + " " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature,
+        {r6(f"median({c}) FILTER (WHERE split = 'train')")} AS median_train,
+        {r6(f"avg(CAST({c} AS DOUBLE)) FILTER (WHERE split = 'train')")} AS mean_train,
+        {r6(f"stddev_pop(CAST({c} AS DOUBLE)) FILTER (WHERE split = 'train')")} AS std_pop_train,
+        {r6(f"median({c})")} AS median_all, {r6(f"avg(CAST({c} AS DOUBLE))")} AS mean_all,
+        {r6(f"stddev_pop(CAST({c} AS DOUBLE))")} AS std_pop_all,
+        {r6(f"(avg(CAST({c} AS DOUBLE)) - avg(CAST({c} AS DOUBLE)) FILTER (WHERE split = 'train')) / stddev_pop(CAST({c} AS DOUBLE)) FILTER (WHERE split = 'train')")} AS mean_shift_sd,
+        {r6(f"stddev_pop(CAST({c} AS DOUBLE)) / stddev_pop(CAST({c} AS DOUBLE)) FILTER (WHERE split = 'train')")} AS std_ratio
+    FROM ts""" for c in SCALE_FEATURES))
+def fit_drift(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    d = X.scaling_fit_drift(df, SCALE_FEATURES, ["o_orderdate", "o_orderkey"], 0.8)
+    cols = ["median_train", "mean_train", "std_pop_train", "median_all", "mean_all", "std_pop_all",
+            "mean_shift_sd", "std_ratio"]
+    return _r6(d.select("feature", *cols), *cols)
+
+
+# ------------------------------------------------------------------ AUC
+
+@register("roc_auc", W("orders_y") + auc_cte("a", "orders_y", "o_totalprice") + """,
+n AS (SELECT CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos,
+             CAST(sum(CASE WHEN target = 1 THEN 0 ELSE 1 END) AS BIGINT) AS n_neg FROM orders_y)
+SELECT """ + r6("(SELECT auc FROM a)") + " AS auc, n_pos, n_neg FROM n")
+def roc_auc(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    return _r6(metrics.roc_auc(df, "o_totalprice", r.target), "auc")
+
+
+@register("feature_auc", W("orders_post") + auc_cte("a1", "orders_post", "o_totalprice") + ", "
+          + auc_cte("a2", "orders_post", "o_custkey") + """
+SELECT 'o_totalprice' AS feature, """ + r6("(SELECT auc FROM a1)") + """ AS auc
+UNION ALL SELECT 'o_custkey', """ + r6("(SELECT auc FROM a2)"))
+def feature_auc(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_post")
+    long = df.select(r.target, *[F.col(c).cast("double").alias(c) for c in ("o_totalprice", "o_custkey")]) \
+             .unpivot([r.target], ["o_totalprice", "o_custkey"], "feature", "x")
+    return _r6(metrics.roc_auc(long, "x", r.target, by=["feature"]).select("feature", "auc"), "auc")
+
+
+@register("roc_points", W("orders_post") + """
+s AS (SELECT CAST(o_totalprice AS DOUBLE) AS sc, CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+             CAST(sum(CASE WHEN target = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM orders_post
+      WHERE o_totalprice IS NOT NULL GROUP BY 1),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM s),
+c AS (SELECT sum(pos) OVER (ORDER BY sc DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+             sum(neg) OVER (ORDER BY sc DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM s),
+b AS (SELECT CAST((fp * 20 + (SELECT N FROM tot) - 1) // (SELECT N FROM tot) AS INTEGER) AS g,
+             max(tp / (SELECT P FROM tot)::DOUBLE) AS tpr FROM c GROUP BY 1),
+grid AS (SELECT CAST(range AS INTEGER) AS g FROM range(21))
+SELECT """ + r6("grid.g / 20.0") + " AS fpr, " + r6(
+    "coalesce(max(b.tpr) OVER (ORDER BY grid.g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0)") + """ AS tpr
+FROM grid LEFT JOIN b USING (g)""")
+def roc_points(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_post")
+    return _r6(metrics.roc_points(df, "o_totalprice", r.target, 20), "fpr", "tpr")
+
+
+# ------------------------------------------------------------------ injectors
+
+SAMPLE8 = f"""
+n8 AS (SELECT CAST(floor(count(*) * 0.08::DOUBLE) AS BIGINT) AS k FROM orders_y),
+pick AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {sql_hash_int(42, 'o_orderkey')}, o_orderkey) AS __rn
+         FROM orders_y) WHERE __rn <= (SELECT k FROM n8)),
+inj AS (SELECT *, 0 AS copy_no FROM orders_y UNION ALL SELECT * EXCLUDE (__rn), 1 FROM pick)"""
+
+
+@register("inject_dups", W("orders_y") + SAMPLE8 + """
+SELECT o_orderkey, copy_no, target FROM inj""")
+def inject_dups(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    return inject.inject_duplicates(df, r.row_key, 0.08, 42).select("o_orderkey", "copy_no", "target")
+
+
+@register("copy_counts", W("orders_y") + SAMPLE8 + " SELECT copy_no, count(*) AS n FROM inj GROUP BY copy_no")
+def copy_counts(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    return chartdata.copy_counts(inject.inject_duplicates(df, r.row_key, 0.08, 42))
+
+
+@register("inject_groups", W("orders_y") + f"""
+g AS (SELECT DISTINCT o_custkey FROM orders_y WHERE o_custkey IS NOT NULL),
+ng AS (SELECT CAST(floor(count(*) * 0.3::DOUBLE) AS BIGINT) AS k FROM g),
+cg AS (SELECT o_custkey FROM (SELECT o_custkey, row_number() OVER (ORDER BY {sql_hash_int(42, 'o_custkey')}, o_custkey) AS rn
+       FROM g) WHERE rn <= (SELECT k FROM ng))
+SELECT o_orderkey, o_custkey, 0 AS copy_no, {r6('o_totalprice')} AS o_totalprice, target FROM orders_y
+UNION ALL
+SELECT o_orderkey, o_custkey, 1, {r6('o_totalprice + ' + sql_gaussian(42, 0.0, 0.05, 'o_orderkey', "'o_totalprice'"))},
+       target FROM orders_y WHERE o_custkey IN (SELECT o_custkey FROM cg)""")
+def inject_groups(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    out = inject.inject_group_overlap(df, r.group, r.row_key, ["o_totalprice"], 0.30, 0.05, 42)
+    return _r6(out.select("o_orderkey", "o_custkey", "copy_no", "o_totalprice", "target"), "o_totalprice")
+
+
+INJ_FEATURE = ("greatest(0.0, least(1.0, CASE WHEN target = 1 THEN " + sql_gaussian(42, 0.8, 0.15, "o_orderkey")
+               + " ELSE " + sql_gaussian(42, 0.2, 0.15, "o_orderkey") + " END))")
+
+
+@register("inject_feature", W("orders_y") + f"x AS (SELECT 1) SELECT o_orderkey, target, {r6(INJ_FEATURE)} AS "
+          "SYNTHETIC_RISK_SCORE FROM orders_y")
+def inject_feature(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    out = inject.inject_target_feature(df, r.target, r.row_key)
+    return _r6(out.select("o_orderkey", "target", "SYNTHETIC_RISK_SCORE"), "SYNTHETIC_RISK_SCORE")
+
+
+# ------------------------------------------------------------------ model-free experiments
+
+def _leak1_sql():
+    return (strat_ctes("orders_y", "o_orderkey", "l1") + ",\n"
+            "l1_ea AS (SELECT o_custkey, avg(CAST(target AS DOUBLE)) AS e FROM l1_s WHERE o_custkey IS NOT NULL "
+            "GROUP BY o_custkey),\n"
+            "l1_lk AS (SELECT x.target, e.e AS score FROM l1_s x LEFT JOIN l1_ea e USING (o_custkey) "
+            "WHERE x.split = 'test'),"
+            + memorise_cte("l1_hn", "l1_s", ["o_custkey"]) + ","
+            + auc_cte("l1_auc_h", "l1_hn") + "," + auc_cte("l1_auc_l", "l1_lk") + ",\n"
+            "leak1 AS (SELECT 1 AS sin, 'Target Encoding' AS name, (SELECT auc FROM l1_auc_h) AS honest_auc, "
+            "(SELECT auc FROM l1_auc_l) AS leaky_auc)")
+
+
+def _leak2_sql():
+    return (strat_ctes("orders_y", "o_orderkey", "l2") + ",\n"
+            f"l2_x AS (SELECT *, {INJ_FEATURE} AS inj FROM l2_s),"
+            + auc_cte("l2_auc_h", "(SELECT * FROM l2_x WHERE split = 'test')", "o_totalprice") + ","
+            + auc_cte("l2_auc_l", "(SELECT * FROM l2_x WHERE split = 'test')", "inj") + ",\n"
+            "leak2 AS (SELECT 2 AS sin, 'Feature From Target' AS name, (SELECT auc FROM l2_auc_h) AS honest_auc, "
+            "(SELECT auc FROM l2_auc_l) AS leaky_auc)")
+
+
+def _leak4_sql():
+    return (strat_ctes("orders_y", "o_orderkey", "l4") + ",\n"
+            f"l4_g AS (SELECT *, CASE WHEN {sql_hash_int(42, 'o_custkey')} % 5 = 0 THEN 'test' ELSE 'train' END "
+            "AS split FROM orders_y),"
+            + memorise_cte("l4_hn", "l4_g", ["o_custkey"]) + ","
+            + memorise_cte("l4_lk", "l4_s", ["o_custkey"]) + ","
+            + auc_cte("l4_auc_h", "l4_hn") + "," + auc_cte("l4_auc_l", "l4_lk") + ",\n"
+            "leak4 AS (SELECT 4 AS sin, 'Group Overlap' AS name, (SELECT auc FROM l4_auc_h) AS honest_auc, "
+            "(SELECT auc FROM l4_auc_l) AS leaky_auc)")
+
+
+LEAK5_FEATURES = ["o_custkey", "o_totalprice", "o_orderpriority"]
+
+
+def _leak5_sql():
+    feats = ", ".join(LEAK5_FEATURES)
+    return (SAMPLE8 + ",\n"
+            "l5_inj AS (SELECT *, CAST(o_orderkey AS BIGINT) * 2 + copy_no AS rk FROM inj),"
+            + strat_ctes("l5_inj", "rk", "l5k") + ",\n"
+            f"l5_dd AS (SELECT {feats}, target, min(rk) AS rk FROM l5_inj GROUP BY {feats}, target),"
+            + strat_ctes("l5_dd", "rk", "l5h") + ","
+            + memorise_cte("l5_hn", "l5h_s", LEAK5_FEATURES) + ","
+            + memorise_cte("l5_lk", "l5k_s", LEAK5_FEATURES) + ","
+            + auc_cte("l5_auc_h", "l5_hn") + "," + auc_cte("l5_auc_l", "l5_lk") + ",\n"
+            "leak5 AS (SELECT 5 AS sin, 'Duplicate ID' AS name, (SELECT auc FROM l5_auc_h) AS honest_auc, "
+            "(SELECT auc FROM l5_auc_l) AS leaky_auc)")
+
+
+def _leak_select(name):
+    return (f" SELECT sin, name, {r6('honest_auc')} AS honest_auc, {r6('leaky_auc')} AS leaky_auc, "
+            f"{r6('leaky_auc - honest_auc')} AS inflation, {inflation_severity('leaky_auc - honest_auc')} AS severity "
+            f"FROM {name}")
+
+
+def _leak_df(res):
+    r = res.select("sin", "name", "honest_auc", "leaky_auc", "inflation",
+                   X_severity(F.col("inflation")).alias("severity"))
+    return _r6(r, "honest_auc", "leaky_auc", "inflation")
+
+
+def X_severity(c):
+    from ..functions.tiers import inflation_severity as sev
+    return sev(c)
+
+
+def _leak1(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    return X.leak1_target_encoding(df, r, "o_custkey")
+
+
+def _leak2(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    return X.leak2_injected_feature(df, r, "o_totalprice")
+
+
+def _leak4(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    return X.leak4_group_overlap(df, r)
+
+
+def _leak5(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    return X.leak5_duplicates(df, r, LEAK5_FEATURES)
+
+
+@register("leak1_auc", W("orders_y") + _leak1_sql() + _leak_select("leak1"))
+def leak1_auc(spark, sf_dir):
+    return _leak_df(_leak1(spark, sf_dir))
+
+
+@register("leak2_auc", W("orders_y") + _leak2_sql() + _leak_select("leak2"))
+def leak2_auc(spark, sf_dir):
+    return _leak_df(_leak2(spark, sf_dir))
+
+
+@register("leak4_auc", W("orders_y") + _leak4_sql() + _leak_select("leak4"))
+def leak4_auc(spark, sf_dir):
+    return _leak_df(_leak4(spark, sf_dir))
+
+
+@register("leak5_auc", W("orders_y") + _leak5_sql() + _leak_select("leak5"))
+def leak5_auc(spark, sf_dir):
+    return _leak_df(_leak5(spark, sf_dir))
+
+
+ALL_LEAKS_SQL = (W("orders_y") + _leak1_sql() + "," + _leak2_sql() + "," + _leak4_sql() + "," + _leak5_sql()
+                 + ",\nres AS (SELECT * FROM leak1 UNION ALL SELECT * FROM leak2 UNION ALL SELECT * FROM leak4 "
+                 "UNION ALL SELECT * FROM leak5)")
+
+
+def _all_leaks(spark, sf_dir) -> DataFrame:
+    parts = [f(spark, sf_dir) for f in (_leak1, _leak2, _leak4, _leak5)]
+    rows = [r for p in parts for r in p.collect()]          # four one-row results
+    return spark.createDataFrame(rows, parts[0].schema)
+
+
+@register("experiment_table", ALL_LEAKS_SQL + f"""
+SELECT sin, name, {r6('honest_auc')} AS honest_auc, {r6('leaky_auc')} AS leaky_auc,
+       {r6('leaky_auc - honest_auc')} AS inflation, {inflation_severity('leaky_auc - honest_auc')} AS severity,
+       {gauge_severity('leaky_auc - honest_auc')} AS gauge_severity,
+       {auc_interpretation('leaky_auc')} AS leaky_reading, {auc_interpretation('honest_auc')} AS honest_reading
+FROM res""")
+def experiment_table(spark, sf_dir):
+    t = chartdata.experiment_table(_all_leaks(spark, sf_dir))
+    return _r6(t, "honest_auc", "leaky_auc", "inflation")
+
+
+@register("worst_leak", ALL_LEAKS_SQL + f"""
+SELECT sin, name, {r6('leaky_auc - honest_auc')} AS inflation FROM res
+ORDER BY leaky_auc - honest_auc DESC, sin ASC LIMIT 1""")
+def worst_leak(spark, sf_dir):
+    return _r6(chartdata.worst_experiment(_all_leaks(spark, sf_dir)), "inflation")
+
+
+@register("leak_feature_histogram", W("orders_y") + f"""
+x AS (SELECT target, {INJ_FEATURE} AS SYNTHETIC_RISK_SCORE FROM orders_y),""" + """
+rng AS (SELECT target, CASE WHEN min(SYNTHETIC_RISK_SCORE) = max(SYNTHETIC_RISK_SCORE) THEN min(SYNTHETIC_RISK_SCORE) - 0.5
+               ELSE min(SYNTHETIC_RISK_SCORE) END AS lo,
+               CASE WHEN min(SYNTHETIC_RISK_SCORE) = max(SYNTHETIC_RISK_SCORE) THEN max(SYNTHETIC_RISK_SCORE) + 0.5
+               ELSE max(SYNTHETIC_RISK_SCORE) END AS hi, count(*) AS n FROM x GROUP BY target),
+cnt AS (SELECT x.target, CAST(least(floor((x.SYNTHETIC_RISK_SCORE - r.lo) * 40 / (r.hi - r.lo)), 39) AS INTEGER) AS bin,
+               count(*) AS c FROM x JOIN rng r USING (target) GROUP BY 1, 2),
+grid AS (SELECT CAST(range AS INTEGER) AS bin FROM range(40))
+SELECT 'SYNTHETIC_RISK_SCORE' AS feature, r.target, g.bin, CAST(coalesce(c.c, 0) AS BIGINT) AS count
+FROM rng r CROSS JOIN grid g LEFT JOIN cnt c ON c.target = r.target AND c.bin = g.bin""")
+def leak_feature_histogram(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    x = inject.inject_target_feature(df, r.target, r.row_key)
+    h = chartdata.histogram(x, ["SYNTHETIC_RISK_SCORE"], r.target, 40, density=False)
+    return h.select("feature", "target", "bin", "count")
+
+
+# ------------------------------------------------------------------ cleaning
+
+@register("clean_table", "SELECT DISTINCT doc_id, n_chars FROM documents")
+def clean_table(spark, sf_dir):
+    df, _ = view(spark, sf_dir, "doc_labels")
+    out, _log = clean.clean(df, protect=("doc_id",))
+    return out
+
+
+@register("clean_log", W("doc_labels") + """x AS (SELECT 1)
+SELECT 'drop_missing' AS step, 'quality' AS "column", """ + r6("(count(*) - count(quality)) / count(*)::DOUBLE") + """ AS value
+FROM doc_labels
+UNION ALL SELECT 'drop_missing', 'toxic', """ + r6("(count(*) - count(toxic)) / count(*)::DOUBLE") + """ FROM doc_labels
+UNION ALL SELECT 'drop_non_numeric', 'text', NULL UNION ALL SELECT 'drop_non_numeric', 'lang', NULL
+UNION ALL SELECT 'drop_non_numeric', 'source', NULL""")
+def clean_log(spark, sf_dir):
+    df, _ = view(spark, sf_dir, "doc_labels")
+    _out, log = clean.clean(df, protect=("doc_id",))
+    return _r6(log, "value")
+
+
+# ------------------------------------------------------------------ model experiments (J14-J18), rows-only
+
+FEAT_COLS = ["o_totalprice", "c_acctbal", "li_qty", "li_price", "li_disc", "li_lines"]
+
+
+def _feat(spark, sf_dir):
+    return view(spark, sf_dir, "orders_feat")
+
+
+def _round_result(res):
+    return _r6(res, "honest_auc", "leaky_auc", "inflation")
+
+
+@register("model_experiment_1")
+def model_experiment_1(spark, sf_dir):
+    df, r = _feat(spark, sf_dir)
+    return _round_result(X.experiment_1(df, r, "c_mktsegment", FEAT_COLS))
+
+
+@register("model_experiment_2")
+def model_experiment_2(spark, sf_dir):
+    df, r = _feat(spark, sf_dir)
+    return _round_result(X.experiment_2(df, r, FEAT_COLS))
+
+
+@register("model_experiment_3")
+def model_experiment_3(spark, sf_dir):
+    df, r = _feat(spark, sf_dir)
+    return _round_result(X.experiment_3(df, r, FEAT_COLS, ["o_orderdate", "o_orderkey"]))
+
+
+@register("model_experiment_4")
+def model_experiment_4(spark, sf_dir):
+    df, r = _feat(spark, sf_dir)
+    return _round_result(X.experiment_4(df, r, FEAT_COLS))
+
+
+@register("model_experiment_5")
+def model_experiment_5(spark, sf_dir):
+    df, r = _feat(spark, sf_dir)
+    return _round_result(X.experiment_5(df, r, FEAT_COLS))
+
+
+__all__ = ["reduce", "Roles", "inject", "metrics"]

@@ -133,3 +133,42 @@ def scan_score_select(view_label: str) -> str:
     s = "CAST(least(sum(" + risk_weight("risk") + "), 100) AS INTEGER)"
     return (f"SELECT {lit(view_label)} AS view, score, {score_level('score')} AS level, "
             f"{level_advice(score_level('score'))} AS advice FROM (SELECT {s} AS score FROM rep)")
+
+
+def strat_ctes(src: str, key: str, p: str, target: str = "target", test_size: float = 0.2, seed: int = 42) -> str:
+    """CTEs ``{p}_*`` ending in ``{p}_s``: ``src`` plus an exact stratified ``split`` column."""
+    h = sql_hash_int(seed, key)
+    return f"""
+{p}_c AS (SELECT {target} AS tg, count(*) AS cnt FROM {src} WHERE {target} IS NOT NULL GROUP BY {target}),
+{p}_t AS (SELECT sum(cnt) AS n, CAST(ceil({test_size!r}::DOUBLE * sum(cnt)) AS BIGINT) AS n_test FROM {p}_c),
+{p}_a AS (SELECT c.tg, c.cnt, (c.cnt * (t.n - t.n_test)) / t.n::DOUBLE AS cont,
+                 floor((c.cnt * (t.n - t.n_test)) / t.n::DOUBLE) AS fl, t.n - t.n_test AS n_train FROM {p}_c c, {p}_t t),
+{p}_b AS (SELECT *, row_number() OVER (ORDER BY cont - fl DESC, cnt, CAST(tg AS VARCHAR)) AS rk,
+                 n_train - sum(fl) OVER () AS extra FROM {p}_a),
+{p}_al AS (SELECT tg, cnt - (fl + CASE WHEN rk <= extra THEN 1 ELSE 0 END) AS n_test_c FROM {p}_b),
+{p}_r AS (SELECT x.*, row_number() OVER (PARTITION BY {target} ORDER BY {h}, {key}) AS __rn FROM {src} x),
+{p}_s AS (SELECT r.* EXCLUDE (__rn), CASE WHEN r.{target} IS NULL THEN NULL WHEN __rn <= al.n_test_c THEN 'test'
+                 ELSE 'train' END AS split FROM {p}_r r LEFT JOIN {p}_al al ON r.{target} = al.tg)"""
+
+
+def auc_cte(name: str, rel: str, score: str = "score", target: str = "target") -> str:
+    """CTE ``name`` with one column ``auc`` over ``rel(target, score)`` (ties count half)."""
+    return f"""
+{name} AS (SELECT sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM (
+  SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY sc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+  FROM (SELECT CAST({score} AS DOUBLE) AS sc,
+               CAST(sum(CASE WHEN {target} = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+               CAST(sum(CASE WHEN {target} = 1 THEN 0 ELSE 1 END) AS DOUBLE) AS neg
+        FROM {rel} WHERE {score} IS NOT NULL AND {target} IS NOT NULL GROUP BY 1)))"""
+
+
+def memorise_cte(name: str, s: str, keys, target: str = "target") -> str:
+    """CTE ``name(target, score)`` over test rows of ``s``: mean train label of rows sharing ``keys``."""
+    k = ", ".join(keys)
+    on = " AND ".join(f"x.{c} = e.{c}" for c in keys)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    return f"""
+{name}_e AS (SELECT {k}, avg(CAST({target} AS DOUBLE)) AS e FROM {s} WHERE split = 'train' AND {nn} GROUP BY {k}),
+{name}_m AS (SELECT avg(CAST({target} AS DOUBLE)) AS m FROM {s} WHERE split = 'train'),
+{name} AS (SELECT x.{target}, coalesce(e.e, (SELECT m FROM {name}_m)) AS score
+           FROM {s} x LEFT JOIN {name}_e e ON {on} WHERE x.split = 'test')"""
