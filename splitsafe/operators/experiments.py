@@ -42,9 +42,19 @@ def _auc_on_test(df: DataFrame, score: str, target: str, split_col: str = "split
 
 # ----------------------------------------------------------------- model-free
 
-def leak1_target_encoding(df: DataFrame, roles: Roles, cat: str, seed: int = 42) -> DataFrame:
-    """Score = mean target of the row's category; leaky fit on all rows, honest on train."""
-    s = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed)
+def _row_split(df: DataFrame, roles: Roles, seed: int, mode: str) -> DataFrame:
+    if mode == "hash":
+        return split.hash_split(df, roles.row_key, 0.2, seed)
+    return split.stratified_split(df, roles.target, roles.row_key, 0.2, seed)
+
+
+def leak1_target_encoding(df: DataFrame, roles: Roles, cat: str, seed: int = 42,
+                          mode: str = "stratified") -> DataFrame:
+    """Score = mean target of the row's category; leaky fit on all rows, honest on train.
+
+    ``mode='hash'`` uses the one-pass ``h mod 10 < 2`` split instead of the exact
+    stratified one."""
+    s = _row_split(df, roles, seed, mode)
     leaky = encode.target_encode(s, cat, roles.target, None, fallback=None, name="score")
     honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean", name="score")
     return _result(1, _auc_on_test(honest, "score", roles.target), _auc_on_test(leaky, "score", roles.target))

@@ -42,7 +42,7 @@ def fit_predict(train: DataFrame, test: DataFrame, features, target: str, fit_on
         n_train = tr.count()
         lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
                                 regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0,
-                                standardization=False, fitIntercept=True, tol=1e-10)
+                                standardization=False, fitIntercept=True, tol=1e-6)
         model = lr.fit(tr)
     finally:
         tr.unpersist()

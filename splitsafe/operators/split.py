@@ -83,9 +83,10 @@ random_split = stratified_split
 
 
 def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
-               col: str = "split") -> DataFrame:
-    """Unstratified one-pass split: ``h % 10 < 10 * test_size`` style, as ``h / 2**32 < test_size``."""
-    return df.withColumn(col, F.when(hash_int(seed, key) < F.lit(test_size * 4294967296.0), "test")
+               col: str = "split", buckets: int = 10) -> DataFrame:
+    """Unstratified one-pass split: ``h mod buckets < round(test_size * buckets)`` is test."""
+    cut = int(round(test_size * buckets))
+    return df.withColumn(col, F.when(F.pmod(hash_int(seed, key), F.lit(buckets)) < cut, "test")
                          .otherwise("train"))
 
 

@@ -287,6 +287,26 @@ def leak1_auc(spark, sf_dir):
     return _leak_df(_leak1(spark, sf_dir))
 
 
+def _leak1_hash_sql():
+    return (f"l1h_s AS (SELECT *, CASE WHEN {sql_hash_int(42, 'o_orderkey')} % 10 < 2 THEN 'test' ELSE 'train' END "
+            "AS split FROM orders_y),\n"
+            "l1h_ea AS (SELECT o_custkey, avg(CAST(target AS DOUBLE)) AS e FROM l1h_s WHERE o_custkey IS NOT NULL "
+            "GROUP BY o_custkey),\n"
+            "l1h_lk AS (SELECT x.target, e.e AS score FROM l1h_s x LEFT JOIN l1h_ea e USING (o_custkey) "
+            "WHERE x.split = 'test'),"
+            + memorise_cte("l1h_hn", "l1h_s", ["o_custkey"]) + ","
+            + auc_cte("l1h_auc_h", "l1h_hn") + "," + auc_cte("l1h_auc_l", "l1h_lk") + ",\n"
+            "leak1h AS (SELECT 1 AS sin, 'Target Encoding' AS name, (SELECT auc FROM l1h_auc_h) AS honest_auc, "
+            "(SELECT auc FROM l1h_auc_l) AS leaky_auc)")
+
+
+@register("leak1_auc_hash_split", W("orders_y") + _leak1_hash_sql() + _leak_select("leak1h"))
+def leak1_auc_hash_split(spark, sf_dir):
+    """Leak 1 on the one-pass hash split (reproduces the published fixture pin)."""
+    df, r = view(spark, sf_dir, "orders_y")
+    return _leak_df(X.leak1_target_encoding(df, r, "o_custkey", mode="hash"))
+
+
 @register("leak2_auc", W("orders_y") + _leak2_sql() + _leak_select("leak2"))
 def leak2_auc(spark, sf_dir):
     return _leak_df(_leak2(spark, sf_dir))

@@ -62,7 +62,7 @@ def group_overlap(spark, sf_dir):
 
 
 @register("hash_split_overlap", f"""
-WITH s AS (SELECT o_custkey, CASE WHEN {H_ORDER} < 0.2 * 4294967296.0 THEN 'test' ELSE 'train' END AS split FROM orders),
+WITH s AS (SELECT o_custkey, CASE WHEN {H_ORDER} % 10 < 2 THEN 'test' ELSE 'train' END AS split FROM orders),
 g AS (SELECT o_custkey, max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS tr,
              max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS te FROM s GROUP BY o_custkey)
 SELECT CAST(sum(tr * te) AS BIGINT) AS n_both, CAST(sum(tr) AS BIGINT) AS n_train_groups,
