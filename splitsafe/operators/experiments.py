@@ -12,6 +12,9 @@ between them is the leak.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,22 @@ def copy_key(key: str, copy_col: str = "copy_no"):
     return F.col(key).cast("bigint") * 2 + F.col(copy_col)
 
 
+@contextmanager
+def _working_set(*frames):
+    """Persist frames that several passes read (fits, splits, AUCs) and release them after."""
+    held = [f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
+    try:
+        yield held if len(held) > 1 else held[0]
+    finally:
+        for f in held:
+            f.unpersist()
+
+
+def _materialize(res: DataFrame) -> DataFrame:
+    """One-row result computed now, so that it survives the release of its inputs."""
+    return res.sparkSession.createDataFrame(res.collect(), res.schema)
+
+
 def _result(sin: int, honest: DataFrame, leaky: DataFrame) -> DataFrame:
     h = honest.select(F.col("auc").alias("honest_auc")).withColumn("__k", F.lit(1))
     lk = leaky.select(F.col("auc").alias("leaky_auc")).withColumn("__k", F.lit(1))
@@ -107,69 +126,77 @@ def _impute_global(df: DataFrame, features) -> DataFrame:
 def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42) -> DataFrame:
     """Target encoding fitted on all rows (leaky) vs on train rows (honest)."""
     features = list(features)
-    data = df.where(F.col(cat).isNotNull())
-    s = split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)
-    leaky = encode.target_encode(s, cat, roles.target, None, fallback=None, name="CAT_ENCODED")
-    honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean",
-                                  name="CAT_ENCODED")
-    feats = features + ["CAT_ENCODED"]
-    return _result(1, model.train_and_evaluate(honest, feats, roles.target, label="SIN 1 HONEST"),
-                   model.train_and_evaluate(leaky, feats, roles.target, label="SIN 1 LEAKY"))
+    cols = list(dict.fromkeys([roles.row_key, roles.target, cat] + features))
+    with _working_set(df.where(F.col(cat).isNotNull()).select(*cols)) as data:
+        with _working_set(split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)) as s:
+            leaky = encode.target_encode(s, cat, roles.target, None, fallback=None, name="CAT_ENCODED")
+            honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean",
+                                          name="CAT_ENCODED")
+            feats = features + ["CAT_ENCODED"]
+            return _materialize(_result(1, model.train_and_evaluate(honest, feats, roles.target, label="SIN 1 HONEST"),
+                                        model.train_and_evaluate(leaky, feats, roles.target, label="SIN 1 LEAKY")))
 
 
 def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat: bool = False) -> DataFrame:
     """A post-outcome feature added (leaky) vs not (honest)."""
     features = list(features)
-    data = _impute_global(df, features) if compat else df
-    s = split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)
-    s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
-    return _result(2, model.train_and_evaluate(s, features, roles.target, label="SIN 2 HONEST"),
-                   model.train_and_evaluate(s, features + ["SYNTHETIC_RISK_SCORE"], roles.target,
-                                            label="SIN 2 LEAKY"))
+    cols = list(dict.fromkeys([roles.row_key, roles.target] + features))
+    with _working_set(df.select(*cols)) as base:
+        data = _impute_global(base, features) if compat else base
+        s = split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)
+        s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
+        with _working_set(s) as s:
+            return _materialize(_result(
+                2, model.train_and_evaluate(s, features, roles.target, label="SIN 2 HONEST"),
+                model.train_and_evaluate(s, features + ["SYNTHETIC_RISK_SCORE"], roles.target,
+                                         label="SIN 2 LEAKY")))
 
 
 def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float = 0.8,
                  compat: bool = False) -> DataFrame:
     """past/future split; imputer+scaler fitted on all rows (leaky) vs past only (honest)."""
     features = list(features)
-    data = _impute_global(df, features) if compat else df
-    s = split.temporal_split(data, order_by, frac)
-    return _result(3, model.train_and_evaluate(s, features, roles.target, label="SIN 3 HONEST"),
-                   model.train_and_evaluate(s, features, roles.target, label="SIN 3 LEAKY", fit_on_all=True))
+    cols = list(dict.fromkeys(list(order_by) + [roles.target] + features))
+    with _working_set(df.select(*cols)) as base:
+        data = _impute_global(base, features) if compat else base
+        with _working_set(split.temporal_split(data, order_by, frac)) as s:
+            return _materialize(_result(
+                3, model.train_and_evaluate(s, features, roles.target, label="SIN 3 HONEST"),
+                model.train_and_evaluate(s, features, roles.target, label="SIN 3 LEAKY", fit_on_all=True)))
 
 
 def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed: int = 42, k: int = 5,
                  compat: bool = False) -> DataFrame:
     """30 % of groups duplicated with noise; row split (leaky) vs group k-fold mean (honest)."""
     features = list(features)
-    data = _impute_global(df, features) if compat else df
-    sim = inject.inject_group_overlap(data, roles.group, roles.row_key, features, frac, 0.05, seed)
-    sim = sim.withColumn("__rk", copy_key(roles.row_key))
-    sim = sim.persist()            # read by 1 + k fits
-    try:
-        leaky = model.train_and_evaluate(split.stratified_split(sim, roles.target, "__rk", 0.2, seed),
-                                         features, roles.target, label="SIN 4 LEAKY")
-        folds = model.kfold_evaluate(split.group_kfold(sim, roles.group, k, seed), features, roles.target,
-                                     roles.group, k=k)
-        res = _result(4, folds.agg(F.avg("auc").alias("auc")), leaky)
-        rows = res.collect()       # one row, materialised before the cache is released
-    finally:
-        sim.unpersist()
-    return df.sparkSession.createDataFrame(rows, res.schema)
+    cols = list(dict.fromkeys([roles.row_key, roles.group, roles.target] + features))
+    with _working_set(df.select(*cols)) as base:
+        data = _impute_global(base, features) if compat else base
+        sim = inject.inject_group_overlap(data, roles.group, roles.row_key, features, frac, 0.05, seed)
+        with _working_set(sim.withColumn("__rk", copy_key(roles.row_key))) as sim:   # read by 1 + k fits
+            leaky = model.train_and_evaluate(split.stratified_split(sim, roles.target, "__rk", 0.2, seed),
+                                             features, roles.target, label="SIN 4 LEAKY")
+            folds = model.kfold_evaluate(split.group_kfold(sim, roles.group, k, seed), features, roles.target,
+                                         roles.group, k=k)
+            return _materialize(_result(4, folds.agg(F.avg("auc").alias("auc")), leaky))
 
 
 def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed: int = 42,
                  compat: bool = False) -> DataFrame:
     """8 % exact duplicates injected; split as is (leaky) vs de-duplicate first (honest)."""
     features = list(features)
-    data = _impute_global(df, features) if compat else df
-    inj = inject.inject_duplicates(data, roles.row_key, frac, seed)
-    inj = inj.withColumn("__rk", copy_key(roles.row_key))
-    leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
-    dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target], row_key="__rk")
-    honest = split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)
-    return _result(5, model.train_and_evaluate(honest, features, roles.target, label="SIN 5 HONEST"),
-                   model.train_and_evaluate(leaky, features, roles.target, label="SIN 5 LEAKY"))
+    cols = list(dict.fromkeys([roles.row_key, roles.target] + features))
+    with _working_set(df.select(*cols)) as base:
+        data = _impute_global(base, features) if compat else base
+        inj = inject.inject_duplicates(data, roles.row_key, frac, seed).withColumn("__rk", copy_key(roles.row_key))
+        with _working_set(inj) as inj:
+            leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
+            dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target],
+                                    row_key="__rk")
+            with _working_set(leaky, split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)) as (lk, hn):
+                return _materialize(_result(
+                    5, model.train_and_evaluate(hn, features, roles.target, label="SIN 5 HONEST"),
+                    model.train_and_evaluate(lk, features, roles.target, label="SIN 5 LEAKY")))
 
 
 def scaling_fit_drift(df: DataFrame, features, order_by, frac: float = 0.8) -> DataFrame:

@@ -18,6 +18,7 @@ row per group and rank), never data rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,141 +47,217 @@ def _gkey(group_cols):
     return list(group_cols) if group_cols else ["__g"]
 
 
-def select_kth(data: DataFrame, value: str, targets: DataFrame, group_cols=(),
+def select_kth(data: DataFrame, value: str, targets, group_cols=(),
                n_buckets: int = N_BUCKETS, max_exact: int = MAX_EXACT,
-               max_iter: int = MAX_ITER) -> DataFrame:
+               max_iter: int = MAX_ITER, persist: bool = True) -> DataFrame:
     """Value of 0-based rank ``k`` in ascending order of ``value`` (NULLs ignored).
 
-    ``targets`` has ``group_cols + ['k']`` (several ``k`` per group allowed).
-    Returns ``group_cols + ['k', 'value', 'n_less']`` where ``n_less`` is the
-    number of values strictly below the selected one; ``value`` is NULL when the
-    group has fewer than ``k + 1`` values.
+    ``targets`` (a DataFrame, a list of row dicts, or a function from the
+    per-group counts ``{group key tuple: n}`` to such a list) has
+    ``group_cols + ['k']``; several ``k`` per group are allowed.  Returns a small, already materialised
+    DataFrame ``group_cols + ['k', 'value', 'n_less']`` where ``n_less`` counts the
+    values strictly below the selected one; ``value`` is NULL when the group has
+    fewer than ``k + 1`` values.  The narrow ``(group, value)`` projection is
+    persisted for the passes and released before returning.
     """
     spark = data.sparkSession
     gcols = _gkey(group_cols)
     x = data.select(*[F.col(g) for g in group_cols], F.col(value).cast("double").alias("__x"))
     if not group_cols:
         x = x.withColumn("__g", F.lit(1))
-        targets = targets.withColumn("__g", F.lit(1))
     x = x.where(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    gschema = [x.schema[g] for g in gcols]
+    out_schema = T.StructType(gschema + [T.StructField("k", T.LongType()), T.StructField("value", T.DoubleType()),
+                                         T.StructField("n_less", T.LongType()), T.StructField("n_eq", T.LongType())])
 
-    init = x.groupBy(*gcols).agg(F.min("__x").alias("lo"), F.max("__x").alias("hi"),
-                                 F.count(F.lit(1)).alias("cnt"))
-    st = (targets.select(*gcols, F.col("k").cast("bigint").alias("k"))
-          .join(init, gcols, "inner")
-          .where(F.col("k") < F.col("cnt"))
-          .withColumn("below", F.lit(0).cast("bigint")))
-    schema = st.schema
-    fields = [f.name for f in schema.fields]
-    state = [r.asDict() for r in st.collect()]   # one row per (group, k): schema-sized
-
-    def as_df(rows):
-        return spark.createDataFrame([tuple(r[f] for f in fields) for r in rows], schema)
-
-    def open_(r):
-        return r["lo"] != r["hi"] and r["cnt"] > max_exact
-
-    for _ in range(max_iter):
-        active = [r for r in state if open_(r)]
-        if not active:
-            break
-        sdf = F.broadcast(as_df(active))
-        j = x.join(sdf, gcols, "inner").where((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
-        b = F.least(F.floor((F.col("__x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_buckets),
-                    F.lit(n_buckets - 1))
-        hist = j.groupBy(*gcols, "k", "below", b.alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("__x").alias("blo"), F.max("__x").alias("bhi"))
-        w = Window.partitionBy(*gcols, "k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
-        pick = hist.where((F.col("below") + F.col("before") <= F.col("k"))
-                          & (F.col("k") < F.col("below") + F.col("before") + F.col("c")))
-        new = pick.select(*gcols, "k", F.col("blo").alias("lo"), F.col("bhi").alias("hi"),
-                          F.col("c").alias("cnt"), (F.col("below") + F.col("before")).alias("below"))
-        upd = {tuple(r[g] for g in gcols) + (r["k"],): r.asDict() for r in new.collect()}
-        state = [upd.get(tuple(r[g] for g in gcols) + (r["k"],), r) if open_(r) else r
-                 for r in state]
-
-    out_schema = T.StructType([schema[g] for g in gcols] + [
-        T.StructField("k", T.LongType()), T.StructField("value", T.DoubleType()),
-        T.StructField("n_less", T.LongType())])
-    done = [tuple(r[g] for g in gcols) + (r["k"], float(r["lo"]), r["below"])
-            for r in state if r["lo"] == r["hi"]]
-    todo = [r for r in state if r["lo"] != r["hi"]]
-    parts = [spark.createDataFrame(done, out_schema)]
-    if todo:
-        sdf = F.broadcast(as_df(todo))
-        j = x.join(sdf, gcols, "inner").where((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
-        w = Window.partitionBy(*gcols, "k").orderBy("__x")
-        ranked = (j.withColumn("__rn", F.row_number().over(w))
-                  .withColumn("__rk", F.rank().over(w)))
-        hit = ranked.where(F.col("below") + F.col("__rn") - 1 == F.col("k"))
-        parts.append(hit.select(*gcols, "k", F.col("__x").alias("value"),
-                                (F.col("below") + F.col("__rk") - 1).alias("n_less")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # ranks beyond the group size → NULL value
-    full = targets.select(*gcols, F.col("k").cast("bigint").alias("k")).join(out, gcols + ["k"], "left")
-    if not group_cols:
-        full = full.drop("__g")
-    return full
+    def gk(r):
+        return tuple(r[g] for g in gcols)
+
+    if persist:
+        x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        init = {gk(r): r for r in x.groupBy(*gcols).agg(
+            F.min("__x").alias("lo"), F.max("__x").alias("hi"), F.count(F.lit(1)).alias("cnt")).collect()}
+        if callable(targets):
+            trows = targets({(k if group_cols else ()): v["cnt"] for k, v in init.items()})
+        elif isinstance(targets, list):
+            trows = targets
+        else:
+            trows = [r.asDict() for r in targets.collect()]
+        if not group_cols:
+            trows = [dict(r, __g=1) for r in trows]
+        state = []
+        for t in trows:
+            g = init.get(gk(t))
+            if g is not None and 0 <= t["k"] < g["cnt"]:
+                state.append({**{c: t[c] for c in gcols}, "k": int(t["k"]), "lo": g["lo"], "hi": g["hi"],
+                              "cnt": g["cnt"], "below": 0})
+        st_schema = T.StructType(gschema + [T.StructField("k", T.LongType()), T.StructField("lo", T.DoubleType()),
+                                            T.StructField("hi", T.DoubleType()), T.StructField("cnt", T.LongType()),
+                                            T.StructField("below", T.LongType())])
+        fields = [f.name for f in st_schema.fields]
+
+        def as_df(rows):
+            return spark.createDataFrame([tuple(r[f] for f in fields) for r in rows], st_schema)
+
+        def open_(r):
+            return r["lo"] != r["hi"] and r["cnt"] > max_exact
+
+        for _ in range(max_iter):
+            active = [r for r in state if open_(r)]
+            if not active:
+                break
+            j = x.join(F.broadcast(as_df(active)), gcols, "inner").where(
+                (F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
+            b = F.least(F.floor((F.col("__x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_buckets),
+                        F.lit(n_buckets - 1))
+            hist = j.groupBy(*gcols, "k", "below", b.alias("b")).agg(
+                F.count(F.lit(1)).alias("c"), F.min("__x").alias("blo"), F.max("__x").alias("bhi"))
+            # the histogram has at most n_buckets rows per (group, k): a bounded window
+            w = Window.partitionBy(*gcols, "k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+            hist = hist.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
+            pick = hist.where((F.col("below") + F.col("before") <= F.col("k"))
+                              & (F.col("k") < F.col("below") + F.col("before") + F.col("c")))
+            upd = {gk(r) + (r["k"],): {**{c: r[c] for c in gcols}, "k": r["k"], "lo": r["blo"], "hi": r["bhi"],
+                                       "cnt": r["c"], "below": r["below"] + r["before"]}
+                   for r in pick.collect()}
+            state = [upd.get(gk(r) + (r["k"],), r) if open_(r) else r for r in state]
+
+        result = [gk(r) + (r["k"], float(r["lo"]), r["below"], r["cnt"]) for r in state if r["lo"] == r["hi"]]
+        todo = [r for r in state if r["lo"] != r["hi"]]
+        if todo:
+            # one merged candidate range per group; below counts values under its low end
+            merged = {}
+            for r in todo:
+                m = merged.get(gk(r))
+                if m is None or r["lo"] < m["lo"]:
+                    merged[gk(r)] = {**{c: r[c] for c in gcols}, "lo": r["lo"], "below": r["below"],
+                                     "hi": max(r["hi"], m["hi"]) if m else r["hi"]}
+                else:
+                    m["hi"] = max(m["hi"], r["hi"])
+            rng_schema = T.StructType(gschema + [T.StructField("lo", T.DoubleType()),
+                                                 T.StructField("hi", T.DoubleType()),
+                                                 T.StructField("below", T.LongType())])
+            rng = spark.createDataFrame([tuple(m[f.name] for f in rng_schema.fields) for m in merged.values()],
+                                        rng_schema)
+            want = spark.createDataFrame([gk(r) + (r["k"],) for r in todo],
+                                         T.StructType(gschema + [T.StructField("k", T.LongType())]))
+            j = x.join(F.broadcast(rng), gcols, "inner").where(
+                (F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
+            w = Window.partitionBy(*gcols).orderBy("__x")     # bounded: <= max_exact rows per group
+            ties = Window.partitionBy(*gcols, "__x")
+            ranked = j.select(*gcols, "__x",
+                              (F.col("below") + F.row_number().over(w) - 1).alias("k"),
+                              (F.col("below") + F.rank().over(w) - 1).alias("n_less"),
+                              F.count(F.lit(1)).over(ties).alias("n_eq"))
+            hit = ranked.join(F.broadcast(want), gcols + ["k"], "inner")
+            result += [gk(r) + (r["k"], r["__x"], r["n_less"], r["n_eq"]) for r in hit.collect()]
+    finally:
+        if persist:
+            x.unpersist()
+    found = {row[:len(gcols) + 1]: row for row in result}
+    rows = [found.get(gk(t) + (int(t["k"]),), gk(t) + (int(t["k"]), None, None, None)) for t in trows]
+    out = spark.createDataFrame(rows, out_schema)
+    return out if group_cols else out.drop("__g")
 
 
 def medians(data: DataFrame, value_cols, group_cols=(), **kw) -> DataFrame:
     """Exact median per (group, column), pandas midpoint for even counts, NULLs skipped.
 
     The columns are unpivoted into ``(column, x)`` so that all medians share the
-    same selection passes.  Returns ``group_cols + ['column', 'median']``.
+    same selection passes.  Returns a small materialised DataFrame
+    ``group_cols + ['column', 'median']``.
     """
     value_cols = list(value_cols)
+    spark = data.sparkSession
     names = {f"m{i}": c for i, c in enumerate(value_cols)}
     wide = data.select(*group_cols, *[F.col(c).cast("double").alias(s) for s, c in names.items()])
-    long = wide.unpivot(list(group_cols) or None, list(names), "__slot", "__v") if group_cols else \
-        wide.unpivot([], list(names), "__slot", "__v")
+    long = wide.unpivot(list(group_cols), list(names), "__slot", "__v")
     mapping = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
     long = long.withColumn("column", mapping[F.col("__slot")]).drop("__slot")
     long = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     g = list(group_cols) + ["column"]
-    n = long.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-    ks = (n.select(*g, F.floor((F.col("n") - 1) / 2).cast("bigint").alias("k"), F.lit("lo").alias("side"))
-          .unionByName(n.select(*g, F.floor(F.col("n") / 2).cast("bigint").alias("k"),
-                                F.lit("hi").alias("side"))))
-    sel = select_kth(long, "__v", ks.select(*g, "k").distinct(), g, **kw)
-    both = ks.join(sel, g + ["k"], "left")
-    med = both.groupBy(*g).agg(
-        ((F.max(F.when(F.col("side") == "lo", F.col("value")))
-          + F.max(F.when(F.col("side") == "hi", F.col("value")))) / 2).alias("median"))
-    return med
-
-
-def composite_threshold(data: DataFrame, order_cols, targets: DataFrame, group_cols=(),
-                        **kw) -> DataFrame:
+    def middle(counts):                      # ranks of the one or two middle values
+        ks = []
+        for key, n in counts.items():
+            base = dict(zip(g, key))
+            ks.append({**base, "k": (n - 1) // 2})
+            if n // 2 != (n - 1) // 2:
+                ks.append({**base, "k": n // 2})
+        return ks
+
+    sel = select_kth(long, "__v", middle, g, **kw).collect()
+    vals = {}
+    for r in sel:
+        vals.setdefault(tuple(r[c] for c in g), []).append(r["value"])
+    rows = [key + (sum(v) / len(v),) for key, v in vals.items()]
+    schema = T.StructType([long.schema[c] for c in g] + [T.StructField("median", T.DoubleType())])
+    return spark.createDataFrame(rows, schema)
+
+
+def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **kw) -> DataFrame:
     """Exact k-th tuple in lexicographic order of ``order_cols``, one ``k`` per group.
 
     Selects on the first column, then among the rows tied on it selects on the
-    next, and so on.  Returns ``group_cols + ['k', 't0', 't1', ...]`` (numeric
-    forms, see :func:`orderable`): a row is at or before the threshold iff its
-    tuple is lexicographically ``<=`` it.
+    next, and so on.  Returns a small materialised DataFrame
+    ``group_cols + ['k', 't0', 't1', ...]`` (numeric forms, see :func:`orderable`):
+    a row is at or before the threshold iff its tuple is lexicographically
+    ``<=`` it.  The narrow projection of group and order columns is persisted
+    once for all passes.
     """
+    spark = data.sparkSession
     gcols = list(group_cols) or ["__g"]
     base = data if group_cols else data.withColumn("__g", F.lit(1))
-    tg = targets if group_cols else targets.withColumn("__g", F.lit(1))
     cur = base.select(*gcols, *[orderable(data, c).cast("double").alias(f"__o{i}")
                                 for i, c in enumerate(order_cols)])
-    tg = tg.select(*gcols, F.col("k").cast("bigint").alias("k"), F.col("k").cast("bigint").alias("k0"))
-    for i in range(len(order_cols)):
-        sel = select_kth(cur, f"__o{i}", tg.select(*gcols, "k"), gcols, **kw)
-        sel = sel.select(*gcols, "k", F.col("value").alias(f"t{i}"), "n_less")
-        tg = (tg.join(sel, gcols + ["k"], "left")
-              .withColumn("k", F.col("k") - F.col("n_less")).drop("n_less"))
-        if i + 1 < len(order_cols):
-            # keep only rows tied with the selected prefix (one threshold row per group)
-            keys = tg.select(*gcols, *[F.col(f"t{j}").alias(f"__t{j}") for j in range(i + 1)])
-            cur = cur.join(F.broadcast(keys), gcols, "inner")
-            for j in range(i + 1):
-                cur = cur.where(F.col(f"__o{j}") == F.col(f"__t{j}"))
-            cur = cur.drop(*[f"__t{j}" for j in range(i + 1)])
-    out = tg.withColumn("k", F.col("k0")).drop("k0")
+    cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+    gschema = [cur.schema[g] for g in gcols]
+    n = len(order_cols)
+    extra = {} if group_cols else {"__g": 1}
+    if callable(targets):
+        def first(counts):
+            return [{**t, **extra} for t in targets({k[:len(group_cols)]: v for k, v in counts.items()})]
+    else:
+        trows = targets if isinstance(targets, list) else [r.asDict() for r in targets.collect()]
+        first = [{**{c: t[c] for c in list(group_cols) + ["k"]}, **extra} for t in trows]
+    thr = {}          # group key -> {"k0", "k" (rank left among ties), "t" (thresholds), "state"}
+    try:
+        sub = cur
+        for i in range(n):
+            live = first if i == 0 else [{**dict(zip(gcols, key)), "k": v["k"]}
+                                         for key, v in thr.items() if v["state"] == "open"]
+            if not live:
+                break
+            for r in select_kth(sub, f"__o{i}", live, gcols, persist=(i > 0), **kw).collect():
+                key = tuple(r[g] for g in gcols)
+                v = thr.setdefault(key, {"k0": int(r["k"]), "k": int(r["k"]), "t": [], "state": "open"})
+                if r["value"] is None:
+                    v["state"] = "empty"                 # fewer than k + 1 rows: no threshold
+                else:
+                    v["t"].append(r["value"])
+                    v["k"] -= r["n_less"]
+                    if r["n_eq"] == 1:
+                        v["state"] = "unique"            # a unique value decides the order alone
+            if i + 1 < n:
+                # keep only rows tied with the selected prefix (one threshold row per group)
+                pref = [key + tuple(v["t"]) for key, v in thr.items() if v["state"] == "open"]
+                if not pref:
+                    break
+                ks = spark.createDataFrame(pref, T.StructType(gschema + [
+                    T.StructField(f"__t{j}", T.DoubleType()) for j in range(i + 1)]))
+                sub = cur.join(F.broadcast(ks), gcols, "inner")
+                for j in range(i + 1):
+                    sub = sub.where(F.col(f"__o{j}") == F.col(f"__t{j}"))
+                sub = sub.drop(*[f"__t{j}" for j in range(i + 1)])
+    finally:
+        cur.unpersist()
+    rows = []
+    for key, v in thr.items():
+        pad = None if v["state"] == "empty" else float("inf")
+        t = [None] * n if v["state"] == "empty" else (v["t"] + [pad] * n)[:n]
+        rows.append(key + (v["k0"],) + tuple(t))
+    out = spark.createDataFrame(rows, T.StructType(gschema + [T.StructField("k", T.LongType())] + [
+        T.StructField(f"t{i}", T.DoubleType()) for i in range(n)]))
     return out if group_cols else out.drop("__g")
 
 

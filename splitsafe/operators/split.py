@@ -63,15 +63,13 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
         return df.withColumn(col, F.when(F.col(target).isNotNull(),
                                          F.when(h < F.lit(test_size * 4294967296.0), "test")
                                          .otherwise("train")))
-    counts = {r[0]: r[1] for r in df.where(F.col(target).isNotNull())
-              .groupBy(target).count().collect()}          # one row per class
-    alloc = allocate_stratified(counts, test_size)
-    spark = df.sparkSession
-    tdt = df.schema[target].dataType
-    targets = spark.createDataFrame([(c, int(t) - 1) for c, t in alloc.items() if t > 0],
-                                    f"`{target}` {tdt.simpleString()}, k bigint")
-    hashed, tie = _tiebreak(df.withColumn("__h", h), key, seed)
-    thr = composite_threshold(hashed, ["__h", tie], targets, [target], **kw)
+    def ranks(counts):               # class counts come from the selection's own first pass
+        alloc = allocate_stratified({k[0]: n for k, n in counts.items()}, test_size)
+        return [{target: c, "k": int(t) - 1} for c, t in alloc.items() if t > 0]
+
+    hashed, tie = _tiebreak(df.where(F.col(target).isNotNull()).withColumn("__h", h), key, seed)
+    thr = composite_threshold(hashed, ["__h", tie], ranks, [target], **kw)
+    hashed, _ = _tiebreak(df.withColumn("__h", h), key, seed)
     out = hashed.join(F.broadcast(thr.drop("k")), target, "left")
     is_test = F.col("t0").isNotNull() & at_or_before(out, ["__h", tie])
     out = out.withColumn(col, F.when(F.col(target).isNotNull(),
