@@ -40,16 +40,16 @@ def duplicate_count(df: DataFrame, cols=None, wide_columns: int = WIDE_COLUMNS)
     """
     cols = list(cols) if cols is not None else list(df.columns)
     if len(cols) <= wide_columns:
-        g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("c"))
-        return g.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("n_rows"),
-                     F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint").alias("exact_dupes"))
+        g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+        return g.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_rows"),
+                     F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("exact_dupes"))
     hashed = df.select(_row_hash(df, cols).alias("__h"), *cols)
-    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("c"))
-    n_rows = per_hash.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("n_rows"))
-    repeated = per_hash.where(F.col("c") > 1).select("__h")
+    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
+    n_rows = per_hash.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_rows"))
+    repeated = per_hash.where(F.col("__n") > 1).select("__h")
     cand = hashed.join(repeated, "__h", "left_semi")
-    dup = (cand.groupBy("__h", *cols).agg(F.count(F.lit(1)).alias("c"))
-           .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint").alias("exact_dupes")))
+    dup = (cand.groupBy("__h", *cols).agg(F.count(F.lit(1)).alias("__n"))
+           .agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("exact_dupes")))
     return _one_row_zip(n_rows, dup)
 
 

@@ -152,7 +152,7 @@ def group_sizes(df: DataFrame, key: str) -> DataFrame:
     per = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("size"))
     return per.agg(
         F.count(F.lit(1)).alias("n_groups"),
-        F.sum(F.when(F.col("size") > 1, 1).otherwise(0)).cast("bigint").alias("n_multi_groups"),
+        F.coalesce(F.sum(F.when(F.col("size") > 1, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("n_multi_groups"),
         F.coalesce(F.max("size"), F.lit(0)).cast("bigint").alias("max_size"),
         F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("n_rows"),
     ).withColumn("multi_share", F.try_divide(F.col("n_multi_groups") * 1.0, F.col("n_groups")))

@@ -39,6 +39,7 @@ def loan_apps(spark, n: int = 4000, seed: int = 7):
         F.date_add(F.lit("2020-01-01").cast("date"), F.floor(u("dt") * 700).cast("int")).alias("app_date"),
     )
     logit = F.lit(-1.2) - 3.0 * F.col("EXT_SOURCE_2") - 2.0 * F.coalesce(F.col("EXT_SOURCE_3"), F.lit(0.5))
-    base = base.withColumn("TARGET", (u("y") < 1 / (1 + F.exp(-logit))).cast("int"))
+    base = base.withColumn("TARGET", (hash_uniform(seed, F.col("row"), F.lit("y")) < 1 / (1 + F.exp(-logit)))
+                           .cast("int"))
     dup = base.where(F.pmod(F.col("row"), F.lit(100)) == 0).withColumn("row", F.col("row") + n)
     return base.unionByName(dup)
