@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import gaussian
-from .split import sample_rows
+from .split import in_sample, sample_rows, sample_threshold
 
 
 def inject_duplicates(df: DataFrame, key: str, frac: float = 0.08, seed: int = 42,
@@ -29,8 +29,8 @@ def inject_group_overlap(df: DataFrame, group: str, key: str, features, frac: fl
     N(0, noise_std) noise on each feature; label and group are kept, so the same
     entity now sits on both sides of a row-level split."""
     groups = df.where(F.col(group).isNotNull()).select(group).distinct()
-    chosen = sample_rows(groups, group, frac=frac, seed=seed, **kw)
-    rows = df.join(chosen, group, "left_semi")
+    thr = sample_threshold(groups, group, frac=frac, seed=seed, **kw)
+    rows = df.where(F.col(group).isNotNull() & in_sample(df, group, thr, seed))   # no join: a hash test
     noisy = rows.select(*[
         (F.col(c) + gaussian(seed, 0.0, noise_std, F.col(key), F.lit(c))).alias(c) if c in features
         else F.col(c) for c in df.columns])

@@ -89,7 +89,7 @@ def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
 
 
 def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced: bool = False,
-                n_buckets: int = 64, col: str = "fold") -> DataFrame:
+                n_buckets: int | None = None, col: str = "fold", groups_per_bucket: int = 1_000_000) -> DataFrame:
     """every row of a group lands in one fold.
 
     Default: ``fold = h(seed:group) mod k`` — one narrow pass.  ``balanced=True``
@@ -103,6 +103,8 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced:
         return df.withColumn(col, F.when(F.col(group).isNotNull(), F.pmod(h, F.lit(k)).cast("int")))
     groups = (df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
               .withColumn("__h", h))
+    if n_buckets is None:          # keep every (size, bucket) window partition bounded
+        n_buckets = max(64, -(-groups.count() // groups_per_bucket))
     w = Window.partitionBy("__size", F.pmod(F.col("__h"), F.lit(n_buckets))).orderBy("__h", group)
     start = F.pmod(hash_int(seed, F.col("__size"), F.pmod(F.col("__h"), F.lit(n_buckets))), F.lit(k))
     folds = groups.select(group, F.pmod(F.row_number().over(w) - 1 + start, F.lit(k)).cast("int").alias(col))
@@ -110,34 +112,62 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced:
 
 
 def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split", **kw) -> DataFrame:
-    """the first ``int(n * frac)`` rows in ``order_by`` order are train ("past")."""
+    """the first ``int(n * frac)`` rows in ``order_by`` order are train ("past").
+
+    The cut is one threshold tuple found by exact selection (its first pass also
+    counts ``n``), applied as a filter against a broadcast one-row table.
+    """
     order_by = list(order_by)
-    n = df.count()
-    n_train = int(n * frac)
-    if n_train <= 0:
-        return df.withColumn(col, F.lit("test"))
-    spark = df.sparkSession
-    thr = composite_threshold(df, order_by, spark.createDataFrame([(n_train - 1,)], "k bigint"), (), **kw)
+
+    def ranks(counts):
+        m = int(sum(counts.values()) * frac)
+        return [{"k": m - 1}] if m > 0 else []
+
+    thr = composite_threshold(df, order_by, ranks, (), **kw)
     j = (df.withColumn("__k", F.lit(1))
-         .join(F.broadcast(thr.drop("k").withColumn("__k", F.lit(1))), "__k").drop("__k"))
-    out = j.withColumn(col, F.when(at_or_before(j, order_by), "train").otherwise("test"))
+         .join(F.broadcast(thr.drop("k").withColumn("__k", F.lit(1))), "__k", "left").drop("__k"))
+    past = F.col("t0").isNotNull() & at_or_before(j, order_by)
+    out = j.withColumn(col, F.when(past, "train").otherwise("test"))
     return out.drop(*[f"t{i}" for i in range(len(order_by))])
 
 
+def sample_threshold(df: DataFrame, key: str, frac: float | None = None, n: int | None = None,
+                     seed: int = 42, **kw):
+    """Threshold ``(t0, t1)`` of an exact sample: a row is sampled iff
+    ``(h(seed:key), tiebreak) <= (t0, t1)``.  Returns ``None`` for an empty sample.
+
+    The threshold is one row, so applying it is a filter against a broadcast
+    constant — no join with the (data-sized) set of sampled keys.
+    """
+    hashed, tie = _tiebreak(df.withColumn("__h", hash_int(seed, key)), key, seed)
+
+    def ranks(counts):
+        total = sum(counts.values())
+        m = n if n is not None else int(total * frac)
+        return [{"k": m - 1}] if m > 0 else []
+
+    thr = composite_threshold(hashed, ["__h", tie], ranks, (), **kw).collect()
+    return (thr[0]["t0"], thr[0]["t1"]) if thr and thr[0]["t0"] is not None else None
+
+
+def in_sample(df: DataFrame, key: str, thr, seed: int = 42) -> F.Column:
+    """Boolean column: the row's key is inside the sample described by ``thr``."""
+    if thr is None:
+        return F.lit(False)
+    from pyspark.sql import types as T
+    h = hash_int(seed, key).cast("double")
+    tie = (hash_int(f"{seed}~", key) if isinstance(df.schema[key].dataType, (T.StringType, T.BinaryType))
+           else F.col(key)).cast("double")
+    t0, t1 = F.lit(float(thr[0])), F.lit(float(thr[1]))
+    return (h < t0) | ((h == t0) & (tie <= t1))
+
+
 def sample_rows(df: DataFrame, key: str, frac: float | None = None, n: int | None = None,
                 seed: int = 42, **kw) -> DataFrame:
     """exactly ``n`` (or ``int(N * frac)``) rows without replacement — the ones with
     the smallest ``(h(seed:key), key)``."""
-    if n is None:
-        n = int(df.count() * frac)
-    if n <= 0:
-        return df.where(F.lit(False))
-    hashed, tie = _tiebreak(df.withColumn("__h", hash_int(seed, key)), key, seed)
-    spark = df.sparkSession
-    thr = composite_threshold(hashed, ["__h", tie], spark.createDataFrame([(n - 1,)], "k bigint"), (), **kw)
-    j = (hashed.withColumn("__k", F.lit(1))
-         .join(F.broadcast(thr.drop("k").withColumn("__k", F.lit(1))), "__k").drop("__k"))
-    return j.where(at_or_before(j, ["__h", tie])).drop("__h", "__h2", "t0", "t1")
+    thr = sample_threshold(df, key, frac, n, seed, **kw)
+    return df.where(in_sample(df, key, thr, seed))
 
 
 def split_stats(df: DataFrame, target: str, col: str = "split") -> DataFrame:

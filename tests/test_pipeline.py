@@ -106,3 +106,18 @@ def test_no_python_udf_and_no_single_partition_exchange(spark):
             if "Exchange SinglePartition" in line:
                 # only a global aggregate's final step may gather, after map-side partial aggregation
                 assert "partial_" in lines[i + 1] or "partial_" in lines[i + 2], (name, line)
+
+
+def test_streaming_scan_each_batch(spark, tmp_path):
+    from splitsafe.sources.tables import view
+    from splitsafe.streaming import scan_each_batch
+    from tests.conftest import SF001
+    df, roles = view(spark, SF001, "orders_y")
+    src = str(tmp_path / "in")
+    df.write.parquet(src)
+    stream = spark.readStream.schema(df.schema).parquet(src)
+    q = scan_each_batch(stream, roles, str(tmp_path / "out"), str(tmp_path / "ckpt"), trigger_once=True)
+    q.awaitTermination(120)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 5
+    assert sorted(r["risk"] for r in out.collect()) == sorted(["LOW", "CLEAN", "MEDIUM", "HIGH", "CLEAN"])
