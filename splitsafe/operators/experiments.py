@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.tiers import EXPERIMENT_NAMES
 from ..roles import Roles
 from . import encode, inject, model, split
+from .concurrent import run_concurrently
 from .duplicates import drop_duplicates
 from .fit import apply_fit, fit_stats
 from .metrics import roc_auc
@@ -47,6 +48,11 @@ def _materialize(res: DataFrame) -> DataFrame:
     return res.sparkSession.createDataFrame(res.collect(), res.schema)
 
 
+def _arms(honest, leaky):
+    """Run the honest and the leaky arm as concurrent Spark jobs; both come back materialised."""
+    return run_concurrently(lambda: _materialize(honest()), lambda: _materialize(leaky()))
+
+
 def _result(sin: int, honest: DataFrame, leaky: DataFrame) -> DataFrame:
     h = honest.select(F.col("auc").alias("honest_auc")).withColumn("__k", F.lit(1))
     lk = leaky.select(F.col("auc").alias("leaky_auc")).withColumn("__k", F.lit(1))
@@ -133,8 +139,9 @@ def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42
             honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean",
                                           name="CAT_ENCODED")
             feats = features + ["CAT_ENCODED"]
-            return _materialize(_result(1, model.train_and_evaluate(honest, feats, roles.target, label="SIN 1 HONEST"),
-                                        model.train_and_evaluate(leaky, feats, roles.target, label="SIN 1 LEAKY")))
+            h, lk = _arms(lambda: model.train_and_evaluate(honest, feats, roles.target, label="SIN 1 HONEST"),
+                          lambda: model.train_and_evaluate(leaky, feats, roles.target, label="SIN 1 LEAKY"))
+            return _materialize(_result(1, h, lk))
 
 
 def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat: bool = False) -> DataFrame:
@@ -146,10 +153,10 @@ def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat:
         s = split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)
         s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
         with _working_set(s) as s:
-            return _materialize(_result(
-                2, model.train_and_evaluate(s, features, roles.target, label="SIN 2 HONEST"),
-                model.train_and_evaluate(s, features + ["SYNTHETIC_RISK_SCORE"], roles.target,
-                                         label="SIN 2 LEAKY")))
+            h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 2 HONEST"),
+                          lambda: model.train_and_evaluate(s, features + ["SYNTHETIC_RISK_SCORE"], roles.target,
+                                                           label="SIN 2 LEAKY"))
+            return _materialize(_result(2, h, lk))
 
 
 def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float = 0.8,
@@ -160,9 +167,10 @@ def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float =
     with _working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         with _working_set(split.temporal_split(data, order_by, frac)) as s:
-            return _materialize(_result(
-                3, model.train_and_evaluate(s, features, roles.target, label="SIN 3 HONEST"),
-                model.train_and_evaluate(s, features, roles.target, label="SIN 3 LEAKY", fit_on_all=True)))
+            h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 3 HONEST"),
+                          lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 3 LEAKY",
+                                                           fit_on_all=True))
+            return _materialize(_result(3, h, lk))
 
 
 def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed: int = 42, k: int = 5,
@@ -174,11 +182,12 @@ def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed
         data = _impute_global(base, features) if compat else base
         sim = inject.inject_group_overlap(data, roles.group, roles.row_key, features, frac, 0.05, seed)
         with _working_set(sim.withColumn("__rk", copy_key(roles.row_key))) as sim:   # read by 1 + k fits
-            leaky = model.train_and_evaluate(split.stratified_split(sim, roles.target, "__rk", 0.2, seed),
-                                             features, roles.target, label="SIN 4 LEAKY")
-            folds = model.kfold_evaluate(split.group_kfold(sim, roles.group, k, seed), features, roles.target,
-                                         roles.group, k=k)
-            return _materialize(_result(4, folds.agg(F.avg("auc").alias("auc")), leaky))
+            folds, leaky = _arms(
+                lambda: model.kfold_evaluate(split.group_kfold(sim, roles.group, k, seed), features,
+                                             roles.target, roles.group, k=k).agg(F.avg("auc").alias("auc")),
+                lambda: model.train_and_evaluate(split.stratified_split(sim, roles.target, "__rk", 0.2, seed),
+                                                 features, roles.target, label="SIN 4 LEAKY"))
+            return _materialize(_result(4, folds, leaky))
 
 
 def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed: int = 42,
@@ -194,9 +203,9 @@ def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed
             dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target],
                                     row_key="__rk")
             with _working_set(leaky, split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)) as (lk, hn):
-                return _materialize(_result(
-                    5, model.train_and_evaluate(hn, features, roles.target, label="SIN 5 HONEST"),
-                    model.train_and_evaluate(lk, features, roles.target, label="SIN 5 LEAKY")))
+                h, l5 = _arms(lambda: model.train_and_evaluate(hn, features, roles.target, label="SIN 5 HONEST"),
+                              lambda: model.train_and_evaluate(lk, features, roles.target, label="SIN 5 LEAKY"))
+                return _materialize(_result(5, h, l5))
 
 
 def scaling_fit_drift(df: DataFrame, features, order_by, frac: float = 0.8) -> DataFrame:

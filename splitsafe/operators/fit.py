@@ -10,33 +10,48 @@ table has one row per feature, so it is applied as literals inside a single
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import as_double
+from .concurrent import run_concurrently
 from .rank import medians
 
 
 def fit_stats(df: DataFrame, features, where=None, **kw) -> DataFrame:
-    """``feature, n, n_null, median, mean, std_pop`` on the rows matching ``where``."""
+    """``feature, n, n_null, median, mean, std_pop`` on the rows matching ``where``.
+
+    Two independent jobs run concurrently: exact medians (K1) and the moments of
+    the non-null values.  The moments of the *imputed* column (NULLs replaced by
+    the median) then follow exactly from the parallel-variance combination of the
+    non-null group with ``n_null`` copies of the median, so no third pass is needed.
+    """
     features = list(features)
     src = df.where(where) if where is not None else df
     src = src.select(*[as_double(src, c).alias(c) for c in features])
-    med = medians(src, features, **kw).withColumnRenamed("column", "feature")
-    rows = {r["feature"]: r["median"] for r in med.collect()}          # one row per feature
     names = {f"f{i}": c for i, c in enumerate(features)}
     long = src.select(*[F.col(c).alias(s) for s, c in names.items()]).unpivot([], list(names), "__slot", "x")
-    mapping = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
-    med_of = F.create_map(*[F.lit(v) for s, c in names.items() for v in (s, rows.get(c))])
-    imp = F.coalesce(F.col("x"), med_of[F.col("__slot")])
     mom = long.groupBy("__slot").agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("nn"),
-                                     F.avg(imp).alias("mean"), F.stddev_pop(imp).alias("std_pop"))
-    spark = df.sparkSession
-    meds = spark.createDataFrame([(c, rows.get(c)) for c in features], "feature string, median double")
-    return (mom.select(mapping[F.col("__slot")].alias("feature"), "n", (F.col("n") - F.col("nn")).alias("n_null"),
-                       "mean", "std_pop")
-            .join(meds, "feature", "inner")
-            .select("feature", "n", "n_null", "median", "mean", "std_pop"))
+                                     F.avg("x").alias("mean"), F.var_pop("x").alias("var"))
+    med_rows, mom_rows = run_concurrently(lambda: medians(src, features, **kw).collect(), mom.collect)
+    med = {r["column"]: r["median"] for r in med_rows}
+    rows = []
+    for r in mom_rows:
+        c = names[r["__slot"]]
+        n, nn, m = r["n"], r["nn"], med.get(c)
+        if nn == 0 or m is None:
+            rows.append((c, n, n - nn, None, None, None))
+            continue
+        nb = n - nn                                   # imputed cells, all equal to the median
+        delta = m - r["mean"]
+        mean = r["mean"] + delta * nb / n
+        m2 = r["var"] * nn + delta * delta * nn * nb / n
+        rows.append((c, n, nb, m, mean, math.sqrt(max(m2, 0.0) / n)))
+    schema = "feature string, n bigint, n_null bigint, median double, mean double, std_pop double"
+    order = {c: i for i, c in enumerate(features)}
+    return df.sparkSession.createDataFrame(sorted(rows, key=lambda r: order[r[0]]), schema)
 
 
 def apply_fit(df: DataFrame, fit: DataFrame | list, features=None, keep=()) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 N_BUCKETS = 4096
-MAX_EXACT = 1_000_000
+MAX_EXACT = 20_000
 MAX_ITER = 12
 
 

@@ -328,9 +328,11 @@ ALL_LEAKS_SQL = (W("orders_y") + _leak1_sql() + "," + _leak2_sql() + "," + _leak
 
 
 def _all_leaks(spark, sf_dir) -> DataFrame:
-    parts = [f(spark, sf_dir) for f in (_leak1, _leak2, _leak4, _leak5)]
-    rows = [r for p in parts for r in p.collect()]          # four one-row results
-    return spark.createDataFrame(rows, parts[0].schema)
+    """The four model-free experiments as concurrent jobs; four one-row results."""
+    from ..operators.concurrent import run_concurrently
+    parts = run_concurrently(*[(lambda f=f: f(spark, sf_dir).collect()) for f in (_leak1, _leak2, _leak4, _leak5)])
+    schema = "sin int, name string, honest_auc double, leaky_auc double, inflation double"
+    return spark.createDataFrame([r for p in parts for r in p], schema)
 
 
 @register("experiment_table", ALL_LEAKS_SQL + f"""
