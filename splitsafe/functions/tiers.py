@@ -55,6 +55,8 @@ LEVEL_ADVICE = {
     "HIGH": "High risk. Fix issues before training.",
     "CRITICAL": "STOP. Fix all critical issues before proceeding.",
 }
+# Expected-shortfall sentence of an experiment comparison (%s = inflation in percent, 1 decimal).
+MSG_SHORTFALL = "In production, this model would UNDERPERFORM expectations by %s%%"
 # Experiment names, by experiment number 1..5.
 EXPERIMENT_NAMES = {1: "Target Encoding", 2: "Feature From Target", 3: "Timestamp Scaling",
                     4: "Group Overlap", 5: "Duplicate ID"}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tiers
-from ..functions.numeric import as_double
+from ..functions.numeric import as_double, round_half_even
 
 
 def histogram(df: DataFrame, features, by: str | None, bins: int = 50, density: bool = True) -> DataFrame:
@@ -58,11 +58,14 @@ def experiment_table(results: DataFrame) -> DataFrame:
     ``results`` has ``sin, name, honest_auc, leaky_auc``.
     """
     r = results.withColumn("inflation", F.col("leaky_auc") - F.col("honest_auc"))
+    pct = F.regexp_replace(F.format_number(round_half_even(F.col("inflation") * 100, 1), 1), ",", "")
     return r.select("sin", "name", "honest_auc", "leaky_auc", "inflation",
                     tiers.inflation_severity("inflation").alias("severity"),
                     tiers.gauge_severity("inflation").alias("gauge_severity"),
                     tiers.auc_interpretation("leaky_auc").alias("leaky_reading"),
-                    tiers.auc_interpretation("honest_auc").alias("honest_reading"))
+                    tiers.auc_interpretation("honest_auc").alias("honest_reading"),
+                    tiers.auc_guide("leaky_auc").alias("leaky_guide"),
+                    F.format_string(tiers.MSG_SHORTFALL, pct).alias("shortfall"))
 
 
 def worst_experiment(results: DataFrame) -> DataFrame:

@@ -206,3 +206,30 @@ def fold_overlap(df: DataFrame, group: str, target: str, col: str = "fold") -> D
           .agg(F.countDistinct(group).alias("n_shared")))
     return rows.join(sh, col, "left").select(col, "n", "n_pos", "n_groups",
                                              F.coalesce("n_shared", F.lit(0)).cast("bigint").alias("overlap"))
+
+
+def compare_splits(df: DataFrame, target: str, key: str, group: str, test_size: float = 0.2, k: int = 5,
+                   seed: int = 42) -> DataFrame:
+    """the leaky row split and the honest group split side by side.
+
+    One row per scheme: test rows, test share, train/test target rates and the
+    number of groups seen on both sides (fold 0 is the held-out part of the group
+    split; every fold of it has zero overlap by construction).
+    """
+    rows = stratified_split(df, target, key, test_size, seed).withColumn("scheme", F.lit("random_stratified"))
+    grp = (group_kfold(df, group, k, seed).withColumn("split", F.when(F.col("fold") == 0, "test")
+                                                      .otherwise("train"))
+           .drop("fold").withColumn("scheme", F.lit("group_kfold")))
+    both = rows.select("scheme", group, target, "split").unionByName(grp.select("scheme", group, target, "split"))
+    y = F.col(target).cast("double")
+    stats = both.groupBy("scheme").agg(
+        F.count(F.when(F.col("split") == "test", 1)).alias("n_test"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg(F.when(F.col("split") == "train", y)).alias("train_rate"),
+        F.avg(F.when(F.col("split") == "test", y)).alias("test_rate"))
+    per_group = both.where(F.col(group).isNotNull()).groupBy("scheme", group).agg(
+        F.max((F.col("split") == "train").cast("int")).alias("tr"),
+        F.max((F.col("split") == "test").cast("int")).alias("te"))
+    ov = per_group.groupBy("scheme").agg(F.sum(F.col("tr") * F.col("te")).cast("bigint").alias("n_both"))
+    return stats.join(ov, "scheme").select(
+        "scheme", "n_test", (F.col("n_test") / F.col("n")).alias("test_share"), "train_rate", "test_rate", "n_both")

@@ -12,7 +12,7 @@ from ..operators import chartdata, clean, encode, experiments as X, fit, inject,
 from ..roles import Roles
 from ..sources.tables import SQL_VIEWS, table, view
 from .registry import register
-from .sqlgen import (auc_cte, auc_interpretation, gauge_severity, inflation_severity, memorise_cte,
+from .sqlgen import (auc_cte, auc_guide, auc_interpretation, gauge_severity, inflation_severity, memorise_cte,
                      sql_gaussian, sql_hash_int, sql_round6 as r6, strat_ctes)
 
 
@@ -339,7 +339,10 @@ def _all_leaks(spark, sf_dir) -> DataFrame:
 SELECT sin, name, {r6('honest_auc')} AS honest_auc, {r6('leaky_auc')} AS leaky_auc,
        {r6('leaky_auc - honest_auc')} AS inflation, {inflation_severity('leaky_auc - honest_auc')} AS severity,
        {gauge_severity('leaky_auc - honest_auc')} AS gauge_severity,
-       {auc_interpretation('leaky_auc')} AS leaky_reading, {auc_interpretation('honest_auc')} AS honest_reading
+       {auc_interpretation('leaky_auc')} AS leaky_reading, {auc_interpretation('honest_auc')} AS honest_reading,
+       {auc_guide('leaky_auc')} AS leaky_guide,
+       'In production, this model would UNDERPERFORM expectations by '
+         || printf('%.1f', round_even((leaky_auc - honest_auc) * 100, 1)) || '%' AS shortfall
 FROM res""")
 def experiment_table(spark, sf_dir):
     t = chartdata.experiment_table(_all_leaks(spark, sf_dir))

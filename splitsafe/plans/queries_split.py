@@ -122,3 +122,30 @@ SELECT o_orderkey, o_custkey FROM r WHERE rn <= (SELECT k FROM n)""")
 def sample_rows(spark, sf_dir):
     df = table(spark, sf_dir, "orders")
     return S.sample_rows(df, "o_orderkey", frac=0.3, seed=42).select("o_orderkey", "o_custkey")
+
+
+@register("compare_splits", STRAT_CTE + f""",
+g AS (SELECT *, CASE WHEN {H_CUST} % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM y),
+both_ AS (SELECT 'random_stratified' AS scheme, o_custkey, target, split FROM s
+          UNION ALL SELECT 'group_kfold', o_custkey, target, split FROM g),
+st AS (SELECT scheme, count(*) FILTER (WHERE split = 'test') AS n_test, count(*) AS n,
+              avg(CAST(target AS DOUBLE)) FILTER (WHERE split = 'train') AS train_rate,
+              avg(CAST(target AS DOUBLE)) FILTER (WHERE split = 'test') AS test_rate FROM both_ GROUP BY scheme),
+pg AS (SELECT scheme, o_custkey, max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS tr,
+              max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS te FROM both_ WHERE o_custkey IS NOT NULL
+       GROUP BY scheme, o_custkey),
+ov AS (SELECT scheme, CAST(sum(tr * te) AS BIGINT) AS n_both FROM pg GROUP BY scheme)
+SELECT scheme, n_test, {sql_round6('n_test / n::DOUBLE')} AS test_share, {sql_round6('train_rate')} AS train_rate,
+       {sql_round6('test_rate')} AS test_rate, n_both FROM st JOIN ov USING (scheme)""")
+def compare_splits(spark, sf_dir):
+    df, r = view(spark, sf_dir, "orders_y")
+    c = S.compare_splits(df, "target", "o_orderkey", "o_custkey")
+    return c.select("scheme", "n_test", *[round6(x).alias(x) for x in ("test_share", "train_rate", "test_rate")],
+                    "n_both")
+
+
+@register("preview", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
+def preview(spark, sf_dir):
+    """A4: first rows in an explicit order (the limit is the feature)."""
+    from ..sources.csv import preview as pv
+    return pv(table(spark, sf_dir, "orders"), "o_orderkey", 5)
