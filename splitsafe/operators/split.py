@@ -19,6 +19,22 @@ from ..functions.hashing import hash_int
 from .rank import at_or_before, composite_threshold
 
 
+def with_row_key(df: DataFrame, id_col: str | None = None, name: str = "row_key") -> DataFrame:
+    """Attach a unique row key (the audited workflow relied on the in-memory index).
+
+    The id itself when it is unique (one aggregate checks it); otherwise a generated
+    ``monotonically_increasing_id`` that is written to the checkpoint folder first,
+    so recomputation after an executor loss cannot renumber rows.
+    """
+    from ..session import cut_lineage
+    if id_col is not None:
+        dup = (df.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1).count()
+               + df.where(F.col(id_col).isNull()).limit(1).count())
+        if dup == 0:
+            return df.withColumn(name, F.col(id_col))
+    return cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def _tiebreak(df: DataFrame, key: str, seed) -> tuple[DataFrame, str]:
     """Order within equal hashes: the key itself when numeric, else a second hash of it."""
     from pyspark.sql import types as T

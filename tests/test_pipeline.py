@@ -121,3 +121,15 @@ def test_streaming_scan_each_batch(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == 5
     assert sorted(r["risk"] for r in out.collect()) == sorted(["LOW", "CLEAN", "MEDIUM", "HIGH", "CLEAN"])
+
+
+def test_row_key_and_report_sink(spark, loan, tmp_path):
+    from splitsafe.operators.split import with_row_key
+    from splitsafe.operators import detector
+    k1 = with_row_key(loan, "row")
+    assert k1.select("row_key").distinct().count() == loan.count()
+    k2 = with_row_key(loan, "SK_ID_CURR")            # repeated ids → generated key
+    assert k2.select("row_key").distinct().count() == loan.count()
+    rep = detector.scan(loan, Roles("TARGET", id="SK_ID_CURR"))
+    csv.write_report(rep, str(tmp_path / "rep"))
+    assert spark.read.parquet(str(tmp_path / "rep")).count() == 5
