@@ -35,8 +35,8 @@ def histogram(df: DataFrame, features, by: str | None, bins: int = 50, density:
     j = long.join(F.broadcast(rng), g, "inner")
     b = F.least(F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1)).cast("int")
     counts = j.groupBy(*g, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    full = (rng.withColumn("__k", F.lit(1)).join(F.broadcast(grid.withColumn("__k", F.lit(1))), "__k").drop("__k")
+    # every bin of every slice, generated per slice row (no product join)
+    full = (rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
             .join(counts, g + ["bin"], "left"))
     width = (F.col("hi") - F.col("lo")) / bins
     out = full.select(*g, "bin",

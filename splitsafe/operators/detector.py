@@ -135,7 +135,7 @@ def check_duplicates(df: DataFrame, roles: Roles) -> DataFrame:
     d = duplicate_count(df)
     if roles.id and roles.id in df.columns:
         ids = group_sizes(df, roles.id).select(F.col("n_multi_groups").alias("id_dupes"))
-        d = d.withColumn("__k", F.lit(1)).join(ids.withColumn("__k", F.lit(1)), "__k").drop("__k")
+        d = d.withColumn("id_dupes", ids.scalar())
     else:
         d = d.withColumn("id_dupes", F.lit(0).cast("bigint"))
     pct = F.try_divide(F.col("exact_dupes") * 100.0, F.col("n_rows"))

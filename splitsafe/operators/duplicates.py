@@ -54,8 +54,8 @@ def duplicate_count(df: DataFrame, cols=None, wide_columns: int = WIDE_COLUMNS)
 
 
 def _one_row_zip(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side of two single-row aggregates (joined on a constant key, not a cross join)."""
-    return a.withColumn("__k", F.lit(1)).join(b.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    """Side-by-side of two single-row aggregates: ``b``'s columns as scalar subqueries."""
+    return a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])
 
 
 def drop_duplicates(df: DataFrame, cols=None, row_key: str | None = None) -> DataFrame:

@@ -31,8 +31,6 @@ def target_encode(df: DataFrame, cat, target: str, where=None, fallback: str | N
     out = df.join(enc, cats, "left")
     if fallback == "mean":
         src = df.where(where) if where is not None else df
-        mean = src.agg(F.avg(F.col(target).cast("double")).alias("__m"))
-        out = (out.withColumn("__k", F.lit(1))
-               .join(F.broadcast(mean.withColumn("__k", F.lit(1))), "__k")   # one-row constant
-               .withColumn(name, F.coalesce(F.col(name), F.col("__m"))).drop("__k", "__m"))
+        mean = src.agg(F.avg(F.col(target).cast("double")))          # one value: a scalar subquery
+        out = out.withColumn(name, F.coalesce(F.col(name), mean.scalar()))
     return out

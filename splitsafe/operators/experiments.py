@@ -54,11 +54,10 @@ def _arms(honest, leaky):
 
 
 def _result(sin: int, honest: DataFrame, leaky: DataFrame) -> DataFrame:
-    h = honest.select(F.col("auc").alias("honest_auc")).withColumn("__k", F.lit(1))
-    lk = leaky.select(F.col("auc").alias("leaky_auc")).withColumn("__k", F.lit(1))
-    return (h.join(lk, "__k").drop("__k")
-            .select(F.lit(sin).alias("sin"), F.lit(EXPERIMENT_NAMES[sin]).alias("name"),
-                    "honest_auc", "leaky_auc", (F.col("leaky_auc") - F.col("honest_auc")).alias("inflation")))
+    h = honest.select(F.col("auc").alias("honest_auc"))
+    r = h.select(F.lit(sin).alias("sin"), F.lit(EXPERIMENT_NAMES[sin]).alias("name"), "honest_auc",
+                 leaky.select("auc").scalar().alias("leaky_auc"))
+    return r.withColumn("inflation", F.col("leaky_auc") - F.col("honest_auc"))
 
 
 def _auc_on_test(df: DataFrame, score: str, target: str, split_col: str = "split") -> DataFrame:

@@ -82,8 +82,7 @@ def roc_points(df: DataFrame, score: str, label: str, n_points: int = 100, by=()
     if by:
         pts = cc.join(tot, by, "inner")
     else:
-        pts = (cc.withColumn("__k", F.lit(1))
-               .join(F.broadcast(tot.withColumn("__k", F.lit(1))), "__k").drop("__k"))
+        pts = cc.select("*", tot.select("P").scalar().alias("P"), tot.select("N").scalar().alias("N"))
     tp = F.col("pos_above") + F.col("pos")
     fp = F.col("N") - F.col("neg_below")
     pts = pts.select(*by, fp.alias("fp"), F.col("N"),
@@ -91,11 +90,10 @@ def roc_points(df: DataFrame, score: str, label: str, n_points: int = 100, by=()
     # grid cell g holds points with (g-1)/n < fpr <= g/n, in exact integer arithmetic
     grid_cell = F.expr(f"CAST((fp * {int(n_points)} + N - 1) div N AS INT)")
     best = pts.groupBy(*by, grid_cell.alias("g")).agg(F.max("tpr").alias("tpr"))
-    grid = df.sparkSession.range(0, n_points + 1).select(F.col("id").cast("int").alias("g"))
     if by:
-        keys = tot.select(*by)
-        grid = (keys.withColumn("__k", F.lit(1))
-                .join(F.broadcast(grid.withColumn("__k", F.lit(1))), "__k").drop("__k"))
+        grid = tot.select(*by, F.explode(F.sequence(F.lit(0), F.lit(n_points))).alias("g"))
+    else:
+        grid = df.sparkSession.range(0, n_points + 1).select(F.col("id").cast("int").alias("g"))
     w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))).orderBy("g") \
         .rowsBetween(Window.unboundedPreceding, 0)
     out = grid.join(best, by + ["g"], "left").select(

@@ -127,16 +127,10 @@ def distinct_counts(df: DataFrame, columns, exact_below: int = 200,
         names = {f"s{i}": c for i, c in enumerate(small)}
         long = df.select(*vals).unpivot([], list(names), "__slot", "value")
         mapping = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-        exact = (long.where(F.col("value").isNotNull())
-                 .select("__slot", "value").distinct()        # partial distinct map-side
-                 .groupBy("__slot").agg(F.count(F.lit(1)).alias("n_distinct"))
-                 .select(mapping[F.col("__slot")].alias("column"), "n_distinct",
-                         F.lit(True).alias("exact")))
-        # columns that are entirely null have no rows above
-        zero = [(c, 0, True) for c in small]
-        zeros = spark.createDataFrame(zero, schema).join(exact.select("column"), "column", "left_anti")
+        # count_distinct skips NULLs and still yields 0 for an all-NULL column
+        exact = (long.groupBy("__slot").agg(F.count_distinct("value").alias("n_distinct"))
+                 .select(mapping[F.col("__slot")].alias("column"), "n_distinct", F.lit(True).alias("exact")))
         parts.append(exact)
-        parts.append(zeros)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

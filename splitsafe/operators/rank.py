@@ -261,10 +261,11 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
     return out if group_cols else out.drop("__g")
 
 
-def at_or_before(data: DataFrame, order_cols, thr_prefix: str = "t") -> F.Column:
-    """Lexicographic ``(order_cols) <= (t0, t1, ...)`` on a frame joined with a threshold row."""
+def at_or_before(data: DataFrame, order_cols, thr_prefix: str = "t", values: dict | None = None) -> F.Column:
+    """Lexicographic ``(order_cols) <= (t0, t1, ...)``; thresholds are columns of a joined
+    threshold row, or literal ``values``."""
     o = [orderable(data, c).cast("double") for c in order_cols]
-    t = [F.col(f"{thr_prefix}{i}") for i in range(len(order_cols))]
+    t = [values[f"{thr_prefix}{i}"] if values else F.col(f"{thr_prefix}{i}") for i in range(len(order_cols))]
     expr = o[-1] <= t[-1]
     for i in range(len(order_cols) - 2, -1, -1):
         expr = (o[i] < t[i]) | ((o[i] == t[i]) & expr)

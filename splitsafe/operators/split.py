@@ -131,7 +131,7 @@ def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split
     """the first ``int(n * frac)`` rows in ``order_by`` order are train ("past").
 
     The cut is one threshold tuple found by exact selection (its first pass also
-    counts ``n``), applied as a filter against a broadcast one-row table.
+    counts ``n``), applied as literals in a filter expression.
     """
     order_by = list(order_by)
 
@@ -139,12 +139,12 @@ def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split
         m = int(sum(counts.values()) * frac)
         return [{"k": m - 1}] if m > 0 else []
 
-    thr = composite_threshold(df, order_by, ranks, (), **kw)
-    j = (df.withColumn("__k", F.lit(1))
-         .join(F.broadcast(thr.drop("k").withColumn("__k", F.lit(1))), "__k", "left").drop("__k"))
-    past = F.col("t0").isNotNull() & at_or_before(j, order_by)
-    out = j.withColumn(col, F.when(past, "train").otherwise("test"))
-    return out.drop(*[f"t{i}" for i in range(len(order_by))])
+    thr = composite_threshold(df, order_by, ranks, (), **kw).collect()   # at most one row
+    if not thr:
+        return df.withColumn(col, F.lit("test"))
+    lits = {f"t{i}": F.lit(thr[0][f"t{i}"]).cast("double") for i in range(len(order_by))}
+    past = at_or_before(df, order_by, values=lits)
+    return df.withColumn(col, F.when(past, "train").otherwise("test"))
 
 
 def sample_threshold(df: DataFrame, key: str, frac: float | None = None, n: int | None = None,
