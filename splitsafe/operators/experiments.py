@@ -23,7 +23,7 @@ from ..roles import Roles
 from . import encode, inject, model, split
 from .concurrent import run_concurrently
 from .duplicates import drop_duplicates
-from .fit import apply_fit, fit_stats
+from .fit import fit_stats
 from .metrics import roc_auc
 
 
@@ -213,7 +213,3 @@ def scaling_fit_drift(df: DataFrame, features, order_by, frac: float = 0.8) -> D
     s = split.temporal_split(df, order_by, frac)
     return fit_drift(s, features, F.col("split") == "train")
 
-
-__all__ = ["leak1_target_encoding", "leak2_injected_feature", "leak4_group_overlap", "leak5_duplicates",
-           "experiment_1", "experiment_2", "experiment_3", "experiment_4", "experiment_5",
-           "scaling_fit_drift", "apply_fit"]

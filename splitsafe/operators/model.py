@@ -67,8 +67,9 @@ def train_and_evaluate(df: DataFrame, features, target: str, split_col: str = "s
                              F.count(F.when(F.col(split_col) == "test", 1)).alias("n_test"),
                              F.avg(F.when(F.col(split_col) == "test", F.col(target).cast("double")))
                              .alias("default_rate"))
+    sz = sizes.select(F.struct("n_train", "n_test", "default_rate")).scalar()   # one subquery
     return auc.select(F.lit(label).alias("label"), "auc",
-                      *[sizes.select(c).scalar().alias(c) for c in ("n_train", "n_test", "default_rate")])
+                      *[sz[c].alias(c) for c in ("n_train", "n_test", "default_rate")])
 
 
 def kfold_evaluate(df: DataFrame, features, target: str, group: str, fold_col: str = "fold",

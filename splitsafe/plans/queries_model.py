@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round6
 from ..operators import chartdata, clean, encode, experiments as X, fit, inject, metrics, split
-from ..roles import Roles
 from ..sources.tables import SQL_VIEWS, table, view
 from .registry import register
 from .sqlgen import (auc_cte, auc_guide, auc_interpretation, gauge_severity, inflation_severity, memorise_cte,
@@ -437,5 +434,3 @@ def model_experiment_5(spark, sf_dir):
     df, r = _feat(spark, sf_dir)
     return _round_result(X.experiment_5(df, r, FEAT_COLS))
 
-
-__all__ = ["reduce", "Roles", "inject", "metrics"]
