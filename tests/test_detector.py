@@ -133,3 +133,20 @@ def test_percent_formatting_half_even(spark):
     r = D.check_groups(df, Roles("y", group="g")).collect()[0]
     assert r["message"] == "1 of 16 groups (6.2%) have multiple rows."
     assert math.isclose(1 / 16 * 100, 6.25)
+
+
+def test_missing_tiers_after_half_even_rounding(spark):
+    from splitsafe.functions.numeric import round_half_even
+    vals = [10.0, 10.05, 10.06, 40.04, 40.05, 40.06]
+    df = spark.createDataFrame([(v,) for v in vals], "p double")
+    got = [r[0] for r in df.select(tiers.missing_tier(round_half_even("p", 1))).collect()]
+    # 10.05 → 10.0 (mild), 10.06 → 10.1 (moderate), 40.05 → 40.0 (moderate), 40.06 → 40.1 (severe)
+    assert got == ["mild", "mild", "moderate", "moderate", "moderate", "severe"]
+
+
+def test_all_null_and_missing_categoricals(spark):
+    df = spark.createDataFrame([(0, None), (1, None)], "y int, s string")
+    r = D.check_categorical(df, Roles("y")).collect()[0]
+    assert r["n_flagged"] == 1            # nunique 0 < 100, as a pandas frame would count it
+    none = spark.createDataFrame([(0, 1.0), (1, 2.0)], "y int, x double")
+    assert D.check_categorical(none, Roles("y")).collect()[0]["risk"] == "CLEAN"
