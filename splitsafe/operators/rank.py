@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 N_BUCKETS = 4096
 MAX_EXACT = 20_000
 MAX_ITER = 12
+MAX_GROUPS = 100_000        # selection state lives on the driver: one row per (group, rank)
 
 
 def orderable(df: DataFrame, c: str) -> F.Column:
@@ -76,8 +77,13 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
     if persist:
         x = x.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        init = {gk(r): r for r in x.groupBy(*gcols).agg(
-            F.min("__x").alias("lo"), F.max("__x").alias("hi"), F.count(F.lit(1)).alias("cnt")).collect()}
+        init_rows = x.groupBy(*gcols).agg(
+            F.min("__x").alias("lo"), F.max("__x").alias("hi"), F.count(F.lit(1)).alias("cnt")
+        ).limit(MAX_GROUPS + 1).collect()
+        if len(init_rows) > MAX_GROUPS:
+            raise ValueError(f"select_kth is meant for few groups (classes, features); got more than "
+                             f"{MAX_GROUPS}. Group by a coarser key.")
+        init = {gk(r): r for r in init_rows}
         if callable(targets):
             trows = targets({(k if group_cols else ()): v["cnt"] for k, v in init.items()})
         elif isinstance(targets, list):
