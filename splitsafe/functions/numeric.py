@@ -60,12 +60,14 @@ def guarded_corr(x: Column, y: Column) -> Column:
     xm = F.when(both, x)
     ym = F.when(both, y)
     denom = F.stddev_pop(xm) * F.stddev_pop(ym)
-    return F.try_divide(F.covar_pop(xm, ym), F.when(denom > 0, denom))
+    r = F.try_divide(F.covar_pop(xm, ym), F.when(denom > 0, denom))
+    return F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))        # rounding can step past ±1
 
 
 def sql_guarded_corr(x: str, y: str) -> str:
     both = f"({x}) IS NOT NULL AND ({y}) IS NOT NULL"
     xm = f"CASE WHEN {both} THEN ({x}) END"
     ym = f"CASE WHEN {both} THEN ({y}) END"
-    return (f"covar_pop({xm}, {ym}) / NULLIF(CASE WHEN stddev_pop({xm}) * stddev_pop({ym}) > 0 "
-            f"THEN stddev_pop({xm}) * stddev_pop({ym}) END, 0)")
+    r = (f"covar_pop({xm}, {ym}) / NULLIF(CASE WHEN stddev_pop({xm}) * stddev_pop({ym}) > 0 "
+         f"THEN stddev_pop({xm}) * stddev_pop({ym}) END, 0)")
+    return f"least(greatest({r}, -1.0), 1.0)"

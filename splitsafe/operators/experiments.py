@@ -128,9 +128,16 @@ def _impute_global(df: DataFrame, features) -> DataFrame:
                        else F.col(c) for c in df.columns])
 
 
-def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42) -> DataFrame:
-    """Target encoding fitted on all rows (leaky) vs on train rows (honest)."""
+def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42,
+                 clean_first: bool = False) -> DataFrame:
+    """Target encoding fitted on all rows (leaky) vs on train rows (honest).
+
+    The audited experiment runs on uncleaned data (Q6); ``clean_first=True`` applies
+    the sentinel/abs quirk fixes first (the category column is kept)."""
     features = list(features)
+    if clean_first:
+        from .clean import fix_quirks
+        df = fix_quirks(df)[0]
     cols = list(dict.fromkeys([roles.row_key, roles.target, cat] + features))
     with _working_set(df.where(F.col(cat).isNotNull()).select(*cols)) as data:
         with _working_set(split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)) as s:

@@ -74,16 +74,10 @@ def null_profile(df: DataFrame, columns=None) -> DataFrame:
 def class_counts(df: DataFrame, target: str) -> DataFrame:
     """One row per class with count and percent of all rows."""
     counts = df.groupBy(F.col(target).alias("target")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(_whole())
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counts.select("target", "n", (F.col("n") * 100.0 / total).alias("pct"))
 
 
-def _whole():
-    from pyspark.sql import Window
-    # Window over an already-aggregated table with one row per class (bounded).
-    return Window.partitionBy(F.lit(1))
-
-
 def target_summary(df: DataFrame, target: str) -> DataFrame:
     """E2 in one row: rows, positives, negatives, default rate, majority-baseline accuracy."""
     y = F.col(target)

@@ -189,13 +189,15 @@ def sample_rows(df: DataFrame, key: str, frac: float | None = None, n: int | Non
 def split_stats(df: DataFrame, target: str, col: str = "split") -> DataFrame:
     """Rows, share and class rate per side, and the balance verdict
     (train vs test rate differ by less than 0.5 percentage points)."""
-    per = df.where(F.col(col).isNotNull()).groupBy(col).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.col(target).cast("double")).alias("target_rate"))
-    w = Window.partitionBy(F.lit(1))          # over <= 2 aggregated rows
-    rate = lambda side: F.max(F.when(F.col(col) == side, F.col("target_rate"))).over(w)
-    return per.select(
-        col, "n", (F.col("n") / F.sum("n").over(w)).alias("share"), "target_rate",
-        (F.abs(rate("train") - rate("test")) * 100 < 0.5).alias("balanced"))
+    side = df.where(F.col(col).isNotNull())
+    y = F.col(target).cast("double")
+    per = side.groupBy(col).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("target_rate"))
+    tot = side.agg(F.count(F.lit(1)).alias("n"),
+                   F.avg(F.when(F.col(col) == "train", y)).alias("tr"),
+                   F.avg(F.when(F.col(col) == "test", y)).alias("te"))
+    t = tot.select(F.struct("n", "tr", "te")).scalar()            # one scalar subquery
+    return per.select(col, "n", (F.col("n") / t["n"]).alias("share"), "target_rate",
+                      (F.abs(t["tr"] - t["te"]) * 100 < 0.5).alias("balanced"))
 
 
 def group_overlap(df: DataFrame, group: str, col: str = "split") -> DataFrame:
