@@ -61,7 +61,8 @@ def guarded_corr(x: Column, y: Column) -> Column:
     ym = F.when(both, y)
     denom = F.stddev_pop(xm) * F.stddev_pop(ym)
     r = F.try_divide(F.covar_pop(xm, ym), F.when(denom > 0, denom))
-    return F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0))        # rounding can step past ±1
+    # rounding can step past ±1; greatest/least skip NULLs, so keep NULL (constant column) NULL
+    return F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
 
 
 def sql_guarded_corr(x: str, y: str) -> str:
@@ -70,4 +71,4 @@ def sql_guarded_corr(x: str, y: str) -> str:
     ym = f"CASE WHEN {both} THEN ({y}) END"
     r = (f"covar_pop({xm}, {ym}) / NULLIF(CASE WHEN stddev_pop({xm}) * stddev_pop({ym}) > 0 "
          f"THEN stddev_pop({xm}) * stddev_pop({ym}) END, 0)")
-    return f"least(greatest({r}, -1.0), 1.0)"
+    return f"CASE WHEN ({r}) IS NOT NULL THEN least(greatest({r}, -1.0), 1.0) END"
