@@ -40,7 +40,8 @@ def fit_predict(train: DataFrame, test: DataFrame, features, target: str, fit_on
     tr = asm.transform(apply_fit(train, fit, used, keep=[target])).select(
         F.col(target).cast("double").alias("label"), "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_train = tr.count()
+        # the fit table counted the training rows already unless it was fitted elsewhere
+        n_train = fit[0]["n"] if (fit_on is None and fit) else tr.count()
         lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
                                 regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0,
                                 standardization=False, fitIntercept=True, tol=1e-6)
