@@ -164,7 +164,9 @@ def score(report: DataFrame) -> DataFrame:
 
 
 def scan_with_score(df: DataFrame, roles: Roles) -> tuple[DataFrame, DataFrame]:
+    """Report and summary from ONE execution of the checks (the 5 report rows are materialised)."""
     rep = scan(df, roles)
+    rep = df.sparkSession.createDataFrame(rep.collect(), rep.schema)
     return rep, score(rep)
 
 

@@ -150,3 +150,11 @@ def test_all_null_and_missing_categoricals(spark):
     assert r["n_flagged"] == 1            # nunique 0 < 100, as a pandas frame would count it
     none = spark.createDataFrame([(0, 1.0), (1, 2.0)], "y int, x double")
     assert D.check_categorical(none, Roles("y")).collect()[0]["risk"] == "CLEAN"
+
+
+def test_scan_with_score_single_execution(spark):
+    df, roles = view(spark, SF01, "orders_y")
+    rep, summ = D.scan_with_score(df, roles)
+    s = summ.collect()[0]
+    assert rep.count() == 5 and (s["score"], s["level"]) == (26, "HIGH")
+    assert s["advice"] == tiers.LEVEL_ADVICE["HIGH"]
