@@ -15,9 +15,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from functools import reduce
+
 from ..functions.numeric import NUMERIC_TYPES, as_double, guarded_corr
 from ..roles import Roles
 
+STACK_CHUNK = 48
+
+
+def stack_columns(df: DataFrame, values: dict, keep=(), chunk: int = STACK_CHUNK,
+                  slot: str = "__slot", value: str = "x") -> DataFrame:
+    """Long form ``keep..., slot (int), value`` of ``values`` = {name: Column}.
+
+    ``unpivot`` becomes an ``Expand``; when a projection carries more than
+    ``spark.sql.codegen.maxFields`` (100) fields Spark drops whole-stage codegen for
+    the stage, so wide inputs are stacked in chunks of ``chunk`` columns (each
+    chunk's scan is pruned to its own columns) and the chunks are unioned.  Slot
+    ids are integers; callers map them to names after aggregating (a few rows).
+    """
+    items = list(values.items())
+    keep = list(keep)
+    parts = []
+    for start in range(0, len(items), chunk):
+        part = items[start:start + chunk]
+        w = df.select(*keep, *[c.alias(f"__c{start + j}") for j, (_, c) in enumerate(part)])
+        long = w.unpivot(keep, [f"__c{start + j}" for j in range(len(part))], slot, value)
+        parts.append(long.withColumn(slot, F.substring(F.col(slot), 4, 10).cast("int")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def slot_names(values: dict, slot: str = "__slot") -> F.Column:
+    """Column name of an integer slot of :func:`stack_columns` (apply after aggregation)."""
+    names = list(values)
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(slot) + 1)
+
 
 def long_profile(df: DataFrame, roles: Roles | None = None, columns=None,
                  with_target: bool = True) -> DataFrame:
@@ -32,20 +63,16 @@ def long_profile(df: DataFrame, roles: Roles | None = None, columns=None,
     numeric = [c for c in columns if isinstance(fields[c], NUMERIC_TYPES)]
     target = roles.target if (roles is not None and with_target) else None
 
-    vals = []
-    for i, c in enumerate(columns):
+    vals = {}
+    for c in columns:
         if c in numeric:
-            vals.append(as_double(df, c).alias(f"v{i}"))
+            vals[c] = as_double(df, c)
         else:  # presence only: 0.0 when present, NULL when missing
-            vals.append(F.when(F.col(c).isNotNull(), F.lit(0.0)).alias(f"v{i}"))
+            vals[c] = F.when(F.col(c).isNotNull(), F.lit(0.0))
     y = (F.col(target).cast("double") if target else F.lit(None).cast("double")).alias("__y")
-    wide = df.select(y, *vals)
-    names = {f"v{i}": c for i, c in enumerate(columns)}
-    long = wide.unpivot(["__y"], list(names), "__slot", "x")
-    mapping = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-    long = long.withColumn("column", mapping[F.col("__slot")]).drop("__slot")
+    long = stack_columns(df.select("*", y), vals, keep=["__y"])
 
-    prof = long.groupBy("column").agg(
+    prof = long.groupBy("__slot").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("x").alias("non_null"),
         F.avg("x").alias("mean"),
@@ -53,7 +80,7 @@ def long_profile(df: DataFrame, roles: Roles | None = None, columns=None,
         F.min("x").alias("min"),
         F.max("x").alias("max"),
         guarded_corr(F.col("x"), F.col("__y")).alias("corr_target"),
-    )
+    ).withColumn("column", slot_names(vals)).drop("__slot")
     is_num = F.col("column").isin(numeric) if numeric else F.lit(False)
     return prof.select(
         "column",
@@ -109,21 +136,21 @@ def distinct_counts(df: DataFrame, columns, exact_below: int = 200,
     spark = df.sparkSession
     if not columns:
         return spark.createDataFrame([], schema)
-    est = df.agg(*[F.approx_count_distinct(c, rsd).alias(f"a{i}")
-                   for i, c in enumerate(columns)]).collect()[0]
-    small = [c for i, c in enumerate(columns) if est[f"a{i}"] < exact_below]
-    big = [(c, int(est[f"a{i}"]), False) for i, c in enumerate(columns) if c not in small]
+    vals = {c: F.col(c).cast("string") for c in columns}
+    est_rows = (stack_columns(df, vals, value="value").groupBy("__slot")
+                .agg(F.approx_count_distinct("value", rsd).alias("a")).collect())   # one row per column
+    est = {columns[r["__slot"]]: r["a"] for r in est_rows}
+    small = [c for c in columns if est.get(c, 0) < exact_below]
+    big = [(c, int(est[c]), False) for c in columns if c not in small]
     parts = []
     if big:
         parts.append(spark.createDataFrame(big, schema))
     if small:
-        vals = [F.col(c).cast("string").alias(f"s{i}") for i, c in enumerate(small)]
-        names = {f"s{i}": c for i, c in enumerate(small)}
-        long = df.select(*vals).unpivot([], list(names), "__slot", "value")
-        mapping = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+        svals = {c: F.col(c).cast("string") for c in small}
+        long = stack_columns(df, svals, value="value")
         # count_distinct skips NULLs and still yields 0 for an all-NULL column
         exact = (long.groupBy("__slot").agg(F.count_distinct("value").alias("n_distinct"))
-                 .select(mapping[F.col("__slot")].alias("column"), "n_distinct", F.lit(True).alias("exact")))
+                 .select(slot_names(svals).alias("column"), "n_distinct", F.lit(True).alias("exact")))
         parts.append(exact)
     out = parts[0]
     for p in parts[1:]:

@@ -93,10 +93,41 @@ def orders_feat(spark, sf_dir):
                      row_key="o_orderkey")
 
 
+WIDE_DERIVED = 108          # 11 lineitem columns + target + 108 derived = 120 columns
+
+
+def _wide_exprs(spark_cols: bool = True):
+    """(name, spark column, sql text) of the derived numeric columns: integer-literal arithmetic on
+    lineitem values, so Spark and DuckDB compute bit-identical results."""
+    out = []
+    for k in range(WIDE_DERIVED):
+        a, b = k % 7 + 1, k % 5 + 2
+        name = f"w{k:03d}"
+        if k % 3 == 0:
+            col = (lambda a=a, b=b: F.col("l_extendedprice") * a + F.col("l_tax") * b)
+            sql = f"l_extendedprice * {a} + l_tax * {b}"
+        elif k % 3 == 1:
+            col = (lambda a=a, b=b: F.col("l_quantity") * b - F.col("l_discount") * a)
+            sql = f"l_quantity * {b} - l_discount * {a}"
+        else:
+            col = (lambda m=k + 2: (F.col("l_partkey") % m).cast("bigint"))
+            sql = f"CAST(l_partkey % {k + 2} AS BIGINT)"
+        out.append((name, col() if spark_cols else None, sql))
+    return out
+
+
+def line_wide(spark, sf_dir):
+    """A 120-column table derived from lineitem (width stress for profiling and duplicates)."""
+    li = table(spark, sf_dir, "lineitem")
+    df = li.select("*", *[c.alias(n) for n, c, _ in _wide_exprs()],
+                   _flag(F.col("l_returnflag") == "R").alias("target"))
+    return df, Roles(target="target", id="l_orderkey", group="l_orderkey", time="l_shipdate")
+
+
 VIEWS = {
     "orders_y": orders_y, "orders_post": orders_post, "events_y": events_y,
     "events_hi": events_hi, "doc_labels": doc_labels, "line_narrow": line_narrow,
-    "line_nulls": line_nulls, "orders_feat": orders_feat,
+    "line_nulls": line_nulls, "orders_feat": orders_feat, "line_wide": line_wide,
 }
 
 
@@ -124,6 +155,10 @@ SQL_VIEWS = {
 }
 
 
+SQL_VIEWS["line_wide"] = ("SELECT *, " + ", ".join(f"{sql} AS {n}" for n, _, sql in _wide_exprs(False))
+                          + ", CAST(l_returnflag = 'R' AS INTEGER) AS target FROM lineitem")
+
+
 def sql_with(*names: str) -> str:
     """``WITH name AS (...), ...`` prefix for oracle SQL."""
     return "WITH " + ", ".join(f"{n} AS ({SQL_VIEWS[n]})" for n in names) + " "
