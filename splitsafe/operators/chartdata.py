@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tiers
 from ..functions.numeric import as_double, round_half_even
+from .profile import slot_names, stack_columns
 
 
 def histogram(df: DataFrame, features, by: str | None, bins: int = 50, density: bool = True) -> DataFrame:
@@ -21,13 +22,10 @@ def histogram(df: DataFrame, features, by: str | None, bins: int = 50, density:
     with one row per slice.
     """
     features = list(features)
-    names = {f"h{i}": c for i, c in enumerate(features)}
     keys = [by] if by else []
-    wide = df.select(*keys, *[as_double(df, c).alias(s) for s, c in names.items()])
-    long = wide.unpivot(keys or [], list(names), "__slot", "x").where(F.col("x").isNotNull())
-    mapping = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
-    long = long.withColumn("feature", mapping[F.col("__slot")]).drop("__slot")
-    g = ["feature"] + keys
+    vals = {c: as_double(df, c) for c in features}
+    long = stack_columns(df, vals, keep=keys).where(F.col("x").isNotNull())
+    g = ["__slot"] + keys
     rng = long.groupBy(*g).agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"), F.count(F.lit(1)).alias("n"))
     rng = rng.select(*g, "n",
                      F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
@@ -39,7 +37,7 @@ def histogram(df: DataFrame, features, by: str | None, bins: int = 50, density:
     full = (rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
             .join(counts, g + ["bin"], "left"))
     width = (F.col("hi") - F.col("lo")) / bins
-    out = full.select(*g, "bin",
+    out = full.select(slot_names(vals).alias("feature"), *keys, "bin",
                       (F.col("lo") + F.col("bin") * width).alias("edge_lo"),
                       (F.col("lo") + (F.col("bin") + 1) * width).alias("edge_hi"),
                       F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),

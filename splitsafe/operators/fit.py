@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import as_double
 from .concurrent import run_concurrently
+from .profile import stack_columns
 from .rank import medians
 
 
@@ -31,15 +32,14 @@ def fit_stats(df: DataFrame, features, where=None, **kw) -> DataFrame:
     features = list(features)
     src = df.where(where) if where is not None else df
     src = src.select(*[as_double(src, c).alias(c) for c in features])
-    names = {f"f{i}": c for i, c in enumerate(features)}
-    long = src.select(*[F.col(c).alias(s) for s, c in names.items()]).unpivot([], list(names), "__slot", "x")
+    long = stack_columns(src, {c: F.col(c) for c in features})
     mom = long.groupBy("__slot").agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("nn"),
                                      F.avg("x").alias("mean"), F.var_pop("x").alias("var"))
     med_rows, mom_rows = run_concurrently(lambda: medians(src, features, **kw).collect(), mom.collect)
     med = {r["column"]: r["median"] for r in med_rows}
     rows = []
     for r in mom_rows:
-        c = names[r["__slot"]]
+        c = features[r["__slot"]]
         n, nn, m = r["n"], r["nn"], med.get(c)
         if nn == 0 or m is None:
             rows.append((c, n, n - nn, None, None, None))

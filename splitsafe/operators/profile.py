@@ -127,7 +127,8 @@ def distinct_counts(df: DataFrame, columns, exact_below: int = 200,
     most a few hundred keys per task).  With the default 5 % relative error an
     estimate of 200 or more cannot come from a column with fewer than 100 values
     (that would be a 20-sigma error), and the coarse sketch is ~10x cheaper than a
-    1 % one.  One action collects the estimates, a schema-sized row.
+    1 % one.  Both passes stack the columns (codegen-sized chunks) and collect one
+    row per column; the result is a small materialised DataFrame.
     """
     columns = list(columns)
     schema = T.StructType([T.StructField("column", T.StringType()),
@@ -142,20 +143,16 @@ def distinct_counts(df: DataFrame, columns, exact_below: int = 200,
     est = {columns[r["__slot"]]: r["a"] for r in est_rows}
     small = [c for c in columns if est.get(c, 0) < exact_below]
     big = [(c, int(est[c]), False) for c in columns if c not in small]
-    parts = []
-    if big:
-        parts.append(spark.createDataFrame(big, schema))
+    rows = list(big)
     if small:
         svals = {c: F.col(c).cast("string") for c in small}
         long = stack_columns(df, svals, value="value")
-        # count_distinct skips NULLs and still yields 0 for an all-NULL column
-        exact = (long.groupBy("__slot").agg(F.count_distinct("value").alias("n_distinct"))
-                 .select(slot_names(svals).alias("column"), "n_distinct", F.lit(True).alias("exact")))
-        parts.append(exact)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        # count_distinct skips NULLs; a column with no rows at all is filled with 0 below
+        exact = {small[r["__slot"]]: r["n"] for r in
+                 long.groupBy("__slot").agg(F.count_distinct("value").alias("n")).collect()}
+        rows += [(c, int(exact.get(c, 0)), True) for c in small]
+    order = {c: i for i, c in enumerate(columns)}
+    return spark.createDataFrame(sorted(rows, key=lambda r: order[r[0]]), schema)
 
 
 def group_sizes(df: DataFrame, key: str) -> DataFrame:

@@ -174,15 +174,14 @@ def medians(data: DataFrame, value_cols, group_cols=(), **kw) -> DataFrame:
     same selection passes.  Returns a small materialised DataFrame
     ``group_cols + ['column', 'median']``.
     """
+    from .profile import stack_columns
     value_cols = list(value_cols)
     spark = data.sparkSession
-    names = {f"m{i}": c for i, c in enumerate(value_cols)}
-    wide = data.select(*group_cols, *[F.col(c).cast("double").alias(s) for s, c in names.items()])
-    long = wide.unpivot(list(group_cols), list(names), "__slot", "__v")
-    mapping = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
-    long = long.withColumn("column", mapping[F.col("__slot")]).drop("__slot")
+    long = stack_columns(data, {c: F.col(c).cast("double") for c in value_cols}, keep=list(group_cols),
+                         value="__v")
     long = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    g = list(group_cols) + ["column"]
+    g = list(group_cols) + ["__slot"]
+
     def middle(counts):                      # ranks of the one or two middle values
         ks = []
         for key, n in counts.items():
@@ -196,8 +195,9 @@ def medians(data: DataFrame, value_cols, group_cols=(), **kw) -> DataFrame:
     vals = {}
     for r in sel:
         vals.setdefault(tuple(r[c] for c in g), []).append(r["value"])
-    rows = [key + (sum(v) / len(v),) for key, v in vals.items()]
-    schema = T.StructType([long.schema[c] for c in g] + [T.StructField("median", T.DoubleType())])
+    rows = [key[:-1] + (value_cols[key[-1]], sum(v) / len(v)) for key, v in vals.items()]
+    schema = T.StructType([long.schema[c] for c in group_cols] + [T.StructField("column", T.StringType()),
+                                                                  T.StructField("median", T.DoubleType())])
     return spark.createDataFrame(rows, schema)
 
 
