@@ -129,11 +129,13 @@ def _impute_global(df: DataFrame, features) -> DataFrame:
 
 
 def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42,
-                 clean_first: bool = False) -> DataFrame:
+                 clean_first: bool = False, oof_folds: int | None = None) -> DataFrame:
     """Target encoding fitted on all rows (leaky) vs on train rows (honest).
 
     The audited experiment runs on uncleaned data (Q6); ``clean_first=True`` applies
-    the sentinel/abs quirk fixes first (the category column is kept)."""
+    the sentinel/abs quirk fixes first (the category column is kept).  In the
+    audited honest arm each training row's encoding still contains its own label
+    (Q16); ``oof_folds=k`` encodes training rows out-of-fold instead."""
     features = list(features)
     if clean_first:
         from .clean import fix_quirks
@@ -142,8 +144,12 @@ def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42
     with _working_set(df.where(F.col(cat).isNotNull()).select(*cols)) as data:
         with _working_set(split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)) as s:
             leaky = encode.target_encode(s, cat, roles.target, None, fallback=None, name="CAT_ENCODED")
-            honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean",
-                                          name="CAT_ENCODED")
+            if oof_folds:
+                honest = encode.target_encode_oof(s, cat, roles.target, roles.row_key, k=oof_folds, seed=seed,
+                                                  name="CAT_ENCODED")
+            else:
+                honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean",
+                                              name="CAT_ENCODED")
             feats = features + ["CAT_ENCODED"]
             h, lk = _arms(lambda: model.train_and_evaluate(honest, feats, roles.target, label="SIN 1 HONEST"),
                           lambda: model.train_and_evaluate(leaky, feats, roles.target, label="SIN 1 LEAKY"))

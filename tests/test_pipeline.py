@@ -138,3 +138,22 @@ def test_row_key_and_report_sink(spark, loan, tmp_path):
     rep = detector.scan(loan, Roles("TARGET", id="SK_ID_CURR"))
     csv.write_report(rep, str(tmp_path / "rep"))
     assert spark.read.parquet(str(tmp_path / "rep")).count() == 5
+
+
+def test_out_of_fold_encoding_matches_pandas(spark, loan):
+    from splitsafe.functions.hashing import hash_int
+    from splitsafe.operators.encode import target_encode_oof
+    df = loan.withColumn("split", F.when(F.col("row") % 5 == 0, "test").otherwise("train"))
+    got = {r["row"]: r["encoded"] for r in target_encode_oof(df, "NAME_EDUCATION_TYPE", "TARGET", "row", k=5)
+           .select("row", "encoded").collect()}
+    pdf = df.withColumn("fold", F.pmod(hash_int(42, "row"), F.lit(5))).select(
+        "row", "NAME_EDUCATION_TYPE", "TARGET", "split", "fold").toPandas()
+    tr = pdf[pdf.split == "train"]
+    mean = tr.TARGET.mean()
+    for _, r in pdf.sample(300, random_state=1).iterrows():
+        if r.split == "train":
+            pool = tr[(tr.NAME_EDUCATION_TYPE == r.NAME_EDUCATION_TYPE) & (tr.fold != r.fold)]
+        else:
+            pool = tr[tr.NAME_EDUCATION_TYPE == r.NAME_EDUCATION_TYPE]
+        want = pool.TARGET.mean() if (r.NAME_EDUCATION_TYPE is not None and len(pool)) else mean
+        assert got[r.row] == pytest.approx(want, rel=1e-12), r.row
