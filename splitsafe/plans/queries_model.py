@@ -45,6 +45,28 @@ def target_encode_honest(spark, sf_dir):
     return _r6(out.select("o_orderkey", "split", "encoded"), "encoded")
 
 
+_OOF_ENC = ("coalesce(CASE WHEN split = 'train' "
+            "THEN (s - coalesce(sf, 0.0)) / NULLIF(CAST(n - coalesce(nf, 0) AS DOUBLE), 0) "
+            "ELSE s / CAST(n AS DOUBLE) END, (SELECT m FROM m))")
+
+
+@register("target_encode_oof", W("orders_y") + strat_ctes("orders_y", "o_orderkey", "st") + f""",
+f AS (SELECT *, CASE WHEN split = 'train' THEN {sql_hash_int(42, 'o_orderkey')} % 5 END AS fold FROM st_s),
+pc AS (SELECT o_custkey, sum(CAST(target AS DOUBLE)) AS s, count(target) AS n FROM f
+       WHERE split = 'train' AND o_custkey IS NOT NULL GROUP BY o_custkey),
+pf AS (SELECT o_custkey, fold, sum(CAST(target AS DOUBLE)) AS sf, count(target) AS nf FROM f
+       WHERE split = 'train' AND o_custkey IS NOT NULL GROUP BY o_custkey, fold),
+m AS (SELECT avg(CAST(target AS DOUBLE)) AS m FROM f WHERE split = 'train')
+SELECT o_orderkey, split, {r6(_OOF_ENC)} AS encoded
+FROM f LEFT JOIN pc USING (o_custkey) LEFT JOIN pf USING (o_custkey, fold)""")
+def target_encode_oof(spark, sf_dir):
+    """Out-of-fold encoding: no training row's own label enters its feature (Q16)."""
+    df, r = view(spark, sf_dir, "orders_y")
+    s = split.stratified_split(df, r.target, r.row_key, 0.2, 42)
+    out = encode.target_encode_oof(s, "o_custkey", r.target, r.row_key, k=5, seed=42)
+    return _r6(out.select("o_orderkey", "split", "encoded"), "encoded")
+
+
 # ------------------------------------------------------------------ fit tables
 
 FIT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
