@@ -45,3 +45,19 @@ def inject_target_feature(df: DataFrame, target: str, key: str, name: str = "SYN
     v = F.when(y == 1, gaussian(seed, pos[0], pos[1], F.col(key))) \
          .otherwise(gaussian(seed, neg[0], neg[1], F.col(key)))
     return df.withColumn(name, F.greatest(F.lit(0.0), F.least(F.lit(1.0), v)))
+
+
+def dedup_effect(injected: DataFrame, features, target: str, copy_col: str = "copy_no") -> DataFrame:
+    """Q4: what de-duplicating on features + target removes after an injection — the
+    injected copies and any genuine look-alike rows.  One row:
+    ``n_rows, n_injected, n_after_dedup, n_removed, n_removed_original``."""
+    cols = list(features) + [target]
+    per = injected.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"),
+                                      F.sum(F.col(copy_col)).alias("__inj"))
+    # a group keeps one row; removed originals = rows removed beyond the injected copies
+    return per.agg(
+        F.sum("__n").cast("bigint").alias("n_rows"),
+        F.sum("__inj").cast("bigint").alias("n_injected"),
+        F.count(F.lit(1)).alias("n_after_dedup"),
+        F.sum(F.col("__n") - 1).cast("bigint").alias("n_removed"),
+        F.sum(F.greatest(F.col("__n") - 1 - F.col("__inj"), F.lit(0))).cast("bigint").alias("n_removed_original"))

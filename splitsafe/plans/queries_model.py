@@ -213,6 +213,18 @@ def inject_feature(spark, sf_dir):
     return _r6(out.select("o_orderkey", "target", "SYNTHETIC_RISK_SCORE"), "SYNTHETIC_RISK_SCORE")
 
 
+@register("dedup_effect", W("orders_y") + SAMPLE8 + """,
+g AS (SELECT count(*) AS c, sum(copy_no) AS inj FROM inj GROUP BY o_custkey, o_totalprice, o_orderpriority, target)
+SELECT CAST(sum(c) AS BIGINT) AS n_rows, CAST(sum(inj) AS BIGINT) AS n_injected, count(*) AS n_after_dedup,
+       CAST(sum(c - 1) AS BIGINT) AS n_removed, CAST(sum(greatest(c - 1 - inj, 0)) AS BIGINT) AS n_removed_original
+FROM g""")
+def dedup_effect(spark, sf_dir):
+    """Q4: injected copies vs rows removed by de-duplicating on features + target."""
+    df, r = view(spark, sf_dir, "orders_y")
+    inj = inject.inject_duplicates(df, r.row_key, 0.08, 42)
+    return inject.dedup_effect(inj, ["o_custkey", "o_totalprice", "o_orderpriority"], r.target)
+
+
 # ------------------------------------------------------------------ model-free experiments
 
 def _leak1_sql():
