@@ -81,15 +81,16 @@ def leak1_target_encoding(df: DataFrame, roles: Roles, cat: str, seed: int = 42,
     s = _row_split(df, roles, seed, mode)
     leaky = encode.target_encode(s, cat, roles.target, None, fallback=None, name="score")
     honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean", name="score")
-    return _result(1, _auc_on_test(honest, "score", roles.target), _auc_on_test(leaky, "score", roles.target))
+    return _result(1, *_arms(lambda: _auc_on_test(honest, "score", roles.target),
+                             lambda: _auc_on_test(leaky, "score", roles.target)))
 
 
 def leak2_injected_feature(df: DataFrame, roles: Roles, honest_feature: str, seed: int = 42) -> DataFrame:
     """Leaky score = a post-outcome feature; honest score = a legitimate feature."""
     s = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed)
     s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
-    return _result(2, _auc_on_test(s, honest_feature, roles.target),
-                   _auc_on_test(s, "SYNTHETIC_RISK_SCORE", roles.target))
+    return _result(2, *_arms(lambda: _auc_on_test(s, honest_feature, roles.target),
+                             lambda: _auc_on_test(s, "SYNTHETIC_RISK_SCORE", roles.target)))
 
 
 def _memorised(s: DataFrame, keys, target: str, split_col: str = "split") -> DataFrame:
@@ -102,8 +103,9 @@ def leak4_group_overlap(df: DataFrame, roles: Roles, seed: int = 42, k: int = 5)
     rows = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed)
     grp = split.group_kfold(df, roles.group, k, seed).withColumn(
         "split", F.when(F.col("fold") == 0, "test").otherwise("train"))
-    return _result(4, _auc_on_test(_memorised(grp, roles.group, roles.target), "score", roles.target),
-                   _auc_on_test(_memorised(rows, roles.group, roles.target), "score", roles.target))
+    return _result(4, *_arms(lambda: _auc_on_test(_memorised(grp, roles.group, roles.target), "score", roles.target),
+                             lambda: _auc_on_test(_memorised(rows, roles.group, roles.target), "score",
+                                                  roles.target)))
 
 
 def leak5_duplicates(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed: int = 42) -> DataFrame:
@@ -114,8 +116,9 @@ def leak5_duplicates(df: DataFrame, roles: Roles, features, frac: float = 0.08,
     leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
     dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target], row_key="__rk")
     honest = split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)
-    return _result(5, _auc_on_test(_memorised(honest, features, roles.target), "score", roles.target),
-                   _auc_on_test(_memorised(leaky, features, roles.target), "score", roles.target))
+    return _result(5, *_arms(lambda: _auc_on_test(_memorised(honest, features, roles.target), "score",
+                                                  roles.target),
+                             lambda: _auc_on_test(_memorised(leaky, features, roles.target), "score", roles.target)))
 
 
 # ----------------------------------------------------------------- model experiments

@@ -55,10 +55,14 @@ SCAN_VIEWS = ["orders_y", "orders_post", "events_y", "events_hi"]
 @register("scan_score", " UNION ALL ".join(
     f"SELECT * FROM ({_scan_sql(v, sqlgen.scan_score_select(v))})" for v in SCAN_VIEWS))
 def scan_score(spark, sf_dir) -> DataFrame:
-    parts = []
-    for v in SCAN_VIEWS:
+    from ..operators.concurrent import run_concurrently
+
+    def one(v):
         df, roles = view(spark, sf_dir, v)
-        parts.append(detector.score(detector.scan(df, roles)).select(F.lit(v).alias("view"), "*"))
+        return detector.score(detector.scan(df, roles)).select(F.lit(v).alias("view"), "*")
+
+    # each scan's cardinality pre-pass runs at construction: build the four concurrently
+    parts = run_concurrently(*[(lambda v=v: one(v)) for v in SCAN_VIEWS])
     return reduce(DataFrame.unionByName, parts)
 
 
