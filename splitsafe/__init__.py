@@ -3,8 +3,8 @@
 Typical use::
 
     from splitsafe import Roles, read_table, scan_with_score, stratified_split, experiment_2
-    df = read_table(spark, "s3://bucket/applications.csv")          # or spark.read.parquet(...)
-    report, summary = scan_with_score(df, Roles("TARGET", id="SK_ID_CURR"))
+    df = read_table(spark, "/data/applications.csv")               # or spark.read.parquet(...)
+    report, summary = scan_with_score(df, Roles("label", id="customer_id"))
 """
 
 from .roles import Roles  # noqa: F401
