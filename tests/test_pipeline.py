@@ -157,3 +157,32 @@ def test_out_of_fold_encoding_matches_pandas(spark, loan):
             pool = tr[tr.NAME_EDUCATION_TYPE == r.NAME_EDUCATION_TYPE]
         want = pool.TARGET.mean() if (r.NAME_EDUCATION_TYPE is not None and len(pool)) else mean
         assert got[r.row] == pytest.approx(want, rel=1e-12), r.row
+
+
+def test_user_journey_from_csv(spark, loan, tmp_path):
+    """CSV with missing tokens → inferred types → detector → clean → split → experiments."""
+    from splitsafe import (scan_with_score, stratified_split, split_stats)
+    path = str(tmp_path / "apps.csv")
+    (loan.drop("app_date")
+     .select(*[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(c) for c in loan.drop("app_date").columns])
+     .coalesce(1).write.option("header", True).csv(path))
+    df = csv.read_table(spark, path)
+    types = dict(df.dtypes)
+    assert types["TARGET"] == "bigint" and types["EXT_SOURCE_3"] == "double" and types["CAT100"] == "string"
+    assert df.where(F.col("EXT_SOURCE_3").isNull()).count() == loan.where(F.col("EXT_SOURCE_3").isNull()).count()
+    roles = Roles("TARGET", id="SK_ID_CURR", group="SK_ID_CURR", row_key="row")
+    rep, summ = scan_with_score(df, roles)
+    rows = {r["check"]: r for r in rep.collect()}
+    risks = {k: r["risk"] for k, r in rows.items()}
+    # NAME_EDUCATION_TYPE and CAT99 are at risk; CAT100 has exactly 100 values → not (< 100)
+    assert risks[1] == "LOW" and rows[1]["columns"] == ["CAT99", "NAME_EDUCATION_TYPE"]
+    assert risks[3] == "MEDIUM"          # DAYS_BIRTH, DAYS_EMPLOYED are time-named
+    assert risks[5] == "CLEAN"           # the 40 copies differ in "row", so no exact duplicates
+    cleaned, _ = clean.clean(df.drop("row"), protect=("TARGET", "SK_ID_CURR"))
+    assert "AGE_YEARS" in cleaned.columns
+    s = stratified_split(df, "TARGET", "row")
+    st = {r["split"]: r for r in split_stats(s, "TARGET").collect()}
+    assert st["test"]["n"] == -(-df.count() * 2 // 10) and st["train"]["balanced"]
+    res, folds = X.experiment_4(df, roles, ["EXT_SOURCE_2", "AMT_CREDIT"], with_folds=True)
+    assert folds.count() == 5 and all(r["overlap"] == 0 for r in folds.collect())
+    assert res.collect()[0]["sin"] == 4
