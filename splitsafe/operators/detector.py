@@ -19,7 +19,7 @@ from ..functions import tiers
 from ..functions.numeric import round_half_even
 from ..roles import Roles
 from .duplicates import duplicate_count
-from .profile import distinct_counts, group_sizes, long_profile
+from .profile import correlation_profile, distinct_counts, group_sizes
 
 FLAGGED_T = T.ArrayType(T.StructType([T.StructField("feature", T.StringType()),
                                       T.StructField("corr", T.DoubleType())]))
@@ -78,7 +78,7 @@ def check_categorical(df: DataFrame, roles: Roles, max_unique: int = 100) -> Dat
 def correlation_table(df: DataFrame, roles: Roles) -> DataFrame:
     """|corr| of every numeric feature (minus target and id, group kept) with the target."""
     feats = roles.numeric(df, keep_group=True)
-    p = long_profile(df, roles, feats)
+    p = correlation_profile(df, roles.target, feats)
     return p.select(F.col("column").alias("feature"), F.abs("corr_target").alias("abs_corr"))
 
 
