@@ -79,10 +79,10 @@ def scan_report_events(spark, sf_dir) -> DataFrame:
 
 
 @register("severity_chart", _scan_sql("events_hi", (
-    "SELECT \"check\", name, risk, " + sqlgen.case(
+    "SELECT \"check\", name, risk, CAST(" + sqlgen.case(
         [(f"risk = '{k}'", v) for k, v in
          {"CRITICAL": 5.0, "HIGH": 4.0, "MEDIUM": 3.0, "LOW": 2.0, "CLEAN": 1.0, "UNKNOWN": 1.5}.items()],
-        1.0) + " AS severity FROM rep")))
+        1.0) + " AS DOUBLE) AS severity FROM rep")))
 def severity_chart(spark, sf_dir) -> DataFrame:
     df, roles = view(spark, sf_dir, "events_hi")
     return detector.severity_chart(detector.scan(df, roles))

@@ -35,3 +35,14 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 5
     assert df.columns[:3] == ["check", "name", "risk"]
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_types_match_oracle(spark, con, name):
+    sp = {c: SPARK_TO_DUCK.get(t, t) for c, t in QUERIES[name](spark, SF001).dtypes}
+    dk = {d[0]: str(d[1]) for d in con.execute(SQL[name]).description}
+    assert sp == dk
