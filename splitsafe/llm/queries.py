@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, packing, token_files, tokens
+from . import common, jaccard_join, packing, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,25 @@ def pieces_digest(pieces: DataFrame) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_digest(packing.pack(common.table(spark, sf_dir, "documents"), tokens.default_tokenizer()))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(common.table(spark, sf_dir, "pages"), common.new_folder(spark, "warc"))
+    return warc.read(files).select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                                   "record_type", warc.page_of("refers_to").alias("refers_to"))
+
+
+ORACLES["op7_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, payload_bytes, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.top > p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.top > p.page_id THEN f.top END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest, payload_bytes)"""
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
