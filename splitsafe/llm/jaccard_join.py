@@ -1,8 +1,9 @@
 """Self-join of documents on the Jaccard similarity of their word shingles, by grouped prefixes.
 
 A document's set holds its distinct 5-word shingles (A-Z lower-cased). Two sets link when
-``100 * |x & y| >= 75 * |x | y|``. With any total order of shingles, two linked sets of at least two
-shingles share at least two of their first ``floor(n / 4) + 2`` shingles (the prefix).
+``100 * |x & y| >= 75 * |x | y|``. Let ``l(n) = max(2, n / 16)``, rounded down. With any total order of
+shingles, two linked sets of at least two shingles share at least l(smaller size) of their first
+``floor(n / 4) + l(n)`` shingles (the prefix).
 
 1. *Order.* Shingles that repeat inside chunks of the corpus are counted over all documents; the most
    frequent ones (a bounded list) go to the end of the order, by count, the others stand in hash order.
@@ -10,10 +11,10 @@ shingles share at least two of their first ``floor(n / 4) + 2`` shingles (the pr
 2. *Groups.* Equal sets are one node; nodes with the same prefix and size are one group, and only groups
    are posted under their prefix shingles. Shingles of a single group fall away in the first shuffle.
 3. *Stars.* Under each shingle every group is paired with the first one only, so that the pairs grow with
-   the postings, not with their square. Groups expand to their members, sets are compared exactly, and
+   the postings, not with their square; each group takes the one it meets most often. Groups expand to their members, sets are compared exactly, and
    links give components.
 4. *Rest.* Under shingles whose members still lie in different components all pairs across components
-   (of fitting size, with two shingles in common) are compared exactly too. Pairs inside one component
+   (of fitting size, with l shingles in common) are compared exactly too. Pairs inside one component
    need no comparison: the result asks for components.
 
 A text without words (or null) has an empty set and links with nothing. Rows with a null id
@@ -43,6 +44,14 @@ def required(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+def shared(n: int) -> int:
+    """How many shingles of their prefixes two linked sets share at least, ``n`` the smaller size."""
+    return max(2, n // 16)
+
+
+SHARED = "greatest(2, {n} div 16)"
+
+
 def _sets(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, np.ndarray]]:
     for i, raw in enumerate(common.texts_of(batch.column(name))):
         yield i, common.shingle_set(common.words_of(raw)[0], SHINGLE) if raw is not None else np.zeros(0, np.uint64)
@@ -88,7 +97,7 @@ def _poster(frequent: np.ndarray):
     sorted_ = frequent[by_hash]
 
     def prefix(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        k = min(len(s), len(s) - required(len(s)) + 2)
+        k = min(len(s), len(s) - required(len(s)) + shared(len(s)))
         if not len(sorted_):
             return s[:k], np.zeros(k, bool)
         at = np.minimum(np.searchsorted(sorted_, s), len(sorted_) - 1)
@@ -229,8 +238,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     posted = job.postings()
 
     # stars: of all first groups a group meets, those with most shingles in common first
-    stars = (posted.where("grp <> pivot").where(_fits("n", "pivot_n")).groupBy("grp", "pivot")
-             .agg(F.count(F.lit(1)).alias("c")))
+    stars = (posted.where("grp <> pivot").where(_fits("n", "pivot_n")).groupBy("grp", "pivot").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("n", "pivot_n")).alias("low"))
+             .where("c >= " + SHARED.format(n="low")).select("grp", "pivot", "c"))
     # a frequent shingle's list is split by salt: its first groups meet as well
     firsts = posted.where("salt > 0").select("token", "pivot", "pivot_n").distinct()
     least = firsts.groupBy("token").agg(F.min(F.struct("pivot_n", "pivot")).alias("z"))
@@ -255,8 +264,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     rows = common.written(rows.join(open_, "token", "left_semi"), "open")
     l, r = rows.alias("l"), rows.alias("r")
     more = (l.join(r, F.expr("l.token = r.token and l.node > r.node and l.label <> r.label") & _fits("l.n", "r.n"))
-            .groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-            .where("c >= 2").select("a", "b"))
+            .groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+            .agg(F.count(F.lit(1)).alias("c"), F.min(F.least("l.n", "r.n")).alias("low"))
+            .where("c >= " + SHARED.format(n="low")).select("a", "b"))
     second = job.verified(more.join(first, ["a", "b"], "left_anti"))
     return job.base, first.union(second)
 

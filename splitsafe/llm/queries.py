@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, jaccard_join, packing, token_files, tokens, warc
+from . import common, jaccard_join, langid, packing, quality, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,15 @@ FROM p LEFT JOIN f USING (payload_digest, payload_bytes)"""
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.join(common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, common.table(spark, sf_dir, "labels")))
+
+
+@query
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
