@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, jaccard_join, langid, packing, quality, token_files, tokens, warc
+from . import common, html_extract, jaccard_join, langid, packing, quality, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
+
+
+@query
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(common.table(spark, sf_dir, "pages"), html_extract.train())
