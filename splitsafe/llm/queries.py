@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, html_extract, jaccard_join, langid, packing, quality, token_files, tokens, warc
+from . import common, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,11 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(common.table(spark, sf_dir, "pages"), html_extract.train())
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with repeated passages: how many words they hold, and each with a document that has it before."""
+    cuts = suffix_dedup.spans(suffix_dedup.repeats(common.table(spark, sf_dir, "documents")))
+    return cuts.select("doc_id", F.aggregate("cuts", F.lit(0), lambda n, c: n + c["to"] - c["from"]).cast("long").alias("repeated_words"),
+                       F.expr("transform(cuts, c -> struct(c.`from` as first_word, c.`to` - c.`from` as n_words, c.other as other_doc_id))").alias("passages"))
