@@ -111,27 +111,40 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_MARKS = _SPACE.copy()
+_MARKS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
 _P_BYTE = _Powers(0x9E3779B97F4A7C15)
 _P_GRAM = (_Powers(0xD6E8FEB86659FD93), _Powers(0xA0761D6478BD642F))
 
 
-def _segment_words(data: np.ndarray, lower: bool):
-    space = _SPACE[data]
+def _plain(data: np.ndarray) -> np.ndarray:
+    """Small letters for A-Z and the Latin-1 capitals (0xC3 0x80-0x9E but the multiplication sign)."""
+    out = _LOWER[data]
+    second = np.r_[False, data[:-1] == 0xC3] & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+    out[second] += 0x20
+    return out
+
+
+def _segment_words(data: np.ndarray, lower: bool, plain: bool = False):
+    space = (_MARKS if plain else _SPACE)[data]
     edge = np.diff(space.astype(np.int8), prepend=np.int8(1), append=np.int8(1))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(start):
         return np.zeros(0, np.uint64), start, end
     up, down = _P_BYTE.get(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[data] if lower else data] * up[:-1], out=total[1:])
+    np.cumsum(_BYTE[_plain(data) if plain else _LOWER[data] if lower else data] * up[:-1], out=total[1:])
     h = (total[end] - total[start]) * down[start]
     return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)), start, end
 
 
-def words_of(data: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first byte and end byte of every word of a UTF-8 text, in segments cut at white space."""
+def words_of(data: np.ndarray, lower: bool = True, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end byte of every word of a UTF-8 text, in segments cut at white space.
+
+    ``plain``: ASCII punctuation separates words too, and Latin-1 capitals count as small letters.
+    """
     if len(data) <= SEGMENT_BYTES:
-        return _segment_words(data, lower)
+        return _segment_words(data, lower, plain)
     parts, at = [], 0
     while at < len(data):
         stop = min(len(data), at + SEGMENT_BYTES)
@@ -141,7 +154,7 @@ def words_of(data: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarr
                 stop += int(gap[0])
                 break
             stop = min(len(data), stop + SEGMENT_BYTES)
-        h, s, e = _segment_words(data[at:stop], lower)
+        h, s, e = _segment_words(data[at:stop], lower, plain)
         parts.append((h, s + at, e + at))
         at = stop
     return tuple(np.concatenate(x) for x in zip(*parts))

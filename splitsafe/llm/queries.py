@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
+from . import common, decontam, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cuts = suffix_dedup.spans(suffix_dedup.repeats(common.table(spark, sf_dir, "documents")))
     return cuts.select("doc_id", F.aggregate("cuts", F.lit(0), lambda n, c: n + c["to"] - c["from"]).cast("long").alias("repeated_words"),
                        F.expr("transform(cuts, c -> struct(c.`from` as first_word, c.`to` - c.`from` as n_words, c.other as other_doc_id))").alias("passages"))
+
+
+@query
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
