@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import common, decontam, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
+from . import ann, common, decontam, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(common.table(spark, sf_dir, "embeddings"))
