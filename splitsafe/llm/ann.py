@@ -9,7 +9,7 @@ rounds; each keeps its ``degree`` best. *NN-descent.* In each round every node's
 that have it) are joined to it with their vectors, are compared with each other, and whoever finds a better
 neighbour keeps it; pairs compared before are skipped; it ends after ``rounds`` or when few lists change.
 *Search.* A query starts from its own node (if it is one) and from fixed seeds, expands the best nodes of its
-beam that aren't yet expanded, joins their neighbours' vectors, and keeps the ``beam`` best. The last beam is
+beam that aren't yet expanded, joins the vectors of their neighbours and of those that have them, and keeps the ``beam`` best. The last beam is
 scored anew in double precision on the original vectors and expanded to ids.
 
 Ties go to the smaller id. A table with fewer candidates gives fewer ranks; an empty one gives no rows. Rows
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from . import common
 
-DEGREE, ROUNDS, BEAM, EXPAND, STEPS, SEEDS = 24, 5, 128, 24, 12, 16
+DEGREE, ROUNDS, BEAM, EXPAND, STEPS, SEEDS = 24, 5, 256, 64, 12, 16
 CELL, TREES, SALTS = 96, 8, 64
 QUERY_BLOCK = 20_000
 
@@ -78,6 +78,19 @@ def _best(rows: DataFrame, degree: int) -> DataFrame:
     return one.groupBy("node").agg(top.alias("near"))
 
 
+def both_ways(graph: DataFrame, degree: int) -> DataFrame:
+    """The graph that is searched: each node's neighbours and those that have it, the ``degree`` best.
+
+    In two steps, so that a node that very many have isn't gathered whole in one task.
+    """
+    edges = graph.select("node", F.explode("near").alias("x")).select("node", "x.s", "x.b", F.lit(False).alias("fresh"))
+    back = edges.select(F.col("b").alias("node"), "s", F.col("node").alias("b"), "fresh")
+    top = lambda xs: F.slice(F.sort_array(xs, asc=False), 1, degree)
+    few = (edges.unionByName(back).distinct().groupBy("node", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))
+           .agg(top(F.collect_list(F.struct("s", "b", "fresh"))).alias("xs")))
+    return common.written(few.groupBy("node").agg(top(F.flatten(F.collect_list("xs"))).alias("near")), "graph")
+
+
 def _pairs(nodes: list, codes: np.ndarray, kth: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Whoever of a list gains a better neighbour in it: (node, neighbour, similarity)."""
     s = codes @ codes.T
@@ -231,7 +244,7 @@ def nearest(table: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id
     if not nodes.dim:
         return empty
     codes = nodes.codes()
-    graph = build(codes, nodes.dim)
+    graph = both_ways(build(codes, nodes.dim), 2 * DEGREE)
     asked = nodes.rows.where(F.pmod("id", F.lit(every)) == 0).join(nodes.vectors, "v").select(F.col("id").alias("q"), F.col("node").alias("start"), "v").distinct()
     asked = common.written(asked, "queries")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import common
 
@@ -272,7 +272,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable by links), node."""
+    """One row a row of ``docs``: doc_id, n_shingles, component_id (the smallest id
+    reachable by links), component_node (that of the component) and node (that of the set)."""
     base, edges = links(docs, id_col, text_col)
     label = common.components(edges)
     nodes = (base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low")).join(label, "node", "left")
@@ -282,4 +283,33 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return (base.join(nodes, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.when(F.col("n") > 0, F.col("label")).alias("component_node")))
+                    F.when(F.col("n") > 0, F.col("label")).alias("component_node"), "node"))
+
+
+def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id. Texts without words and rows with a null id stay.
+
+    The dropped ids are broadcast only below ``BROADCAST_ROWS``, else joined. Where ids repeat, rows are told apart
+    by their sets, and of equal rows one stays.
+    """
+    found = common.written(join(docs, id_col, text_col).where("doc_id is not null and n_shingles > 0"), "components")
+    stay = found.groupBy("component_node").agg(F.min(F.struct("doc_id", "node")).alias("keep")).select("component_node", "keep.*")
+    once = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count() == 0
+    key = docs[id_col].cast("long")
+    if once:
+        kept = stay.select("component_node", F.col("doc_id").alias("keep"))
+        dropped = common.written(found.join(kept, "component_node").where("doc_id <> keep").select(F.col("doc_id").alias("__gone")), "dropped")
+        out = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
+        return docs.join(out, key == out["__gone"], "left_anti")
+    at, names = docs.columns.index(text_col), docs.columns
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = [_node(s) for _, s in _sets(batch, batch.schema.names[at])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, pa.int64())], [*names, "__node"])
+
+    rows = docs.mapInArrow(named, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+    other = F.col(id_col).isNull() | (F.col("__node") == _node(np.zeros(0, np.uint64)))
+    ours = stay.select(F.col("doc_id").alias("__id"), F.col("node").alias("__n")).distinct()
+    kept = rows.where(~other).join(ours, (F.col(id_col).cast("long") == F.col("__id")) & (F.col("__node") == F.col("__n")), "left_semi")
+    return kept.dropDuplicates([id_col, "__node"]).unionByName(rows.where(other)).drop("__node")

@@ -226,3 +226,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
     return (rows.mapInArrow(task, "doc_id long, held_out boolean, score double")
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, all columns as they are."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, chunks = shared.value, Chunks()
+        for batch in batches:
+            keep = [m.score(np.stack([pooled(t, chunks, m.vectors) for t in texts])) >= threshold for _, texts in text_chunks(batch.column(at))]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+
+    return docs.mapInArrow(task, docs.schema)
