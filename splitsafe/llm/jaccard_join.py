@@ -12,7 +12,8 @@ shingles, two linked sets of at least two shingles share at least l(smaller size
    are posted under their prefix shingles. Shingles of a single group fall away in the first shuffle.
 3. *Stars.* Under each shingle every group is paired with the first one only, so that the pairs grow with
    the postings, not with their square; each group takes the one it meets most often. Groups expand to their members, sets are compared exactly, and
-   links give components.
+   links give components. Under shingles that then hold several components, a few more rounds of stars follow
+   with other centres, so that a large group of copies becomes one component by a few comparisons each.
 4. *Rest.* Under shingles whose members still lie in different components all pairs across components
    (of fitting size, with l shingles in common) are compared exactly too. Pairs inside one component
    need no comparison: the result asks for components.
@@ -33,7 +34,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from . import common
 
 SHINGLE, PERCENT = 5, 75
-CHUNK_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 6_000_000
+STAR_ROUNDS = 2
 FREQUENT = 1_000_000        # at most so many shingles are moved to the end of the order
 SALTS = 64
 BROADCAST_ROWS = 2_000_000  # of (long, long); above, a shuffled join
@@ -69,16 +71,20 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def counted():
         token, n = np.unique(np.concatenate(chunk), return_counts=True)
-        token, n = token[n >= 3], n[n >= 3]
+        token, n = token[n >= 2], n[n >= 2]
         none = pa.nulls(len(token), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, none, pa.array(common.signed(token)), pa.array(n.astype(np.int64))],
                                           ["doc_id", "n", "node", "token", "count"])
 
+    seen: set[int] = set()
     for batch in batches:
         n, node = [], []
         for _, s in _sets(batch, "text"):
             n.append(len(s))
             node.append(_node(s))
+            if node[-1] in seen:  # equal sets count once in a task
+                continue
+            seen.add(node[-1])
             chunk.append(s)
             size += len(s)
             if size >= CHUNK_SHINGLES:
@@ -232,6 +238,17 @@ def _fits(n: str, m: str):
     return F.expr(f"100 * least({n}, {m}) >= {PERCENT} * greatest({n}, {m})")
 
 
+def _needed(n: str, m: str) -> str:
+    """How many prefix shingles sets of sizes n and m must share to link.
+
+    Let x be the one whose prefix ends earlier in the order. Shingles in common up to there lie in both prefixes;
+    beyond, there are at most ``n - prefix`` in x. Together they must reach the least intersection.
+    """
+    rest = lambda k: f"({k} - least({k}, {k} - ({PERCENT} * {k} + 99) div 100 + {SHARED.format(n=k)}))"
+    return (f"greatest({SHARED.format(n=f'least({n}, {m})')}, ({PERCENT} * ({n} + {m}) + {99 + PERCENT}) div {100 + PERCENT}"
+            f" - greatest({rest(n)}, {rest(m)}))")
+
+
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents with n and node, links between nodes that make the components of the similarity graph)."""
     job = _Join(docs, id_col, text_col)
@@ -255,20 +272,42 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
     first = job.verified(inside.union(outside).where("a <> b").select(*pair).distinct())
 
-    # the rest: pairs across components, under shingles that hold more than one
-    label = common.components(first)
-    rows = (posted.select("token", "node", "n").distinct().join(label, "node", "left")
-            .withColumn("label", F.coalesce("label", "node")))
-    rows = common.written(rows, "labelled")
-    open_ = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
-    rows = common.written(rows.join(open_, "token", "left_semi"), "open")
+    # more stars under shingles that still hold more than one component. The first centre is the node that
+    # shares the largest part of its shingles (an original among its copies), then some by hash
+    rows = posted.select("token", "node", "n").distinct()
+    share = rows.groupBy("node").agg((F.count(F.lit(1)) / F.first("n")).alias("share"))
+    rows = common.written(rows.join(share, "node"), "rows")
+    edges, n = first, 0
+    while True:
+        label = common.components(edges)
+        own = (rows.select("token", "node", "n", "share").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        own = common.written(own.select("token", "node", "n", "share", "label"), "labelled")
+        open_ = own.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
+        rows = common.written(own.join(open_, "token", "left_semi"), "open")
+        if n == STAR_ROUNDS:
+            break
+        n += 1
+        first_by = F.col("share") if n == 1 else F.xxhash64("node", F.lit(n)).cast("double")
+        centre = rows.groupBy("token").agg(F.max(F.struct(first_by.alias("h"), "node", "n", "label")).alias("z"))
+        met = (rows.join(centre, "token").where(F.expr("label <> z.label") & _fits("n", "z.n"))
+               .groupBy("node", F.col("z.node").alias("centre")).agg(F.count(F.lit(1)).alias("c"), F.min(F.least("n", "z.n")).alias("low"))
+               .where("2 * c >= " + SHARED.format(n="low")))
+        stars = met.groupBy("node").agg(F.max(F.struct("c", "centre")).alias("z")).select(F.col("node").alias("a"), F.col("z.centre").alias("b"))
+        found = job.verified(stars.select(*pair).distinct())
+        if not found.limit(1).count():
+            break
+        edges = edges.unionAll(found)
+
+    # the rest: all pairs across components that share enough; a node with too few shingles left can't
+    count = rows.groupBy("node").agg(F.count(F.lit(1)).alias("k"))
+    rows = common.written(rows.join(count, "node").where(f"k >= {SHARED.format(n='n')}").select("token", "node", "n", "label", "k"), "rest")
     l, r = rows.alias("l"), rows.alias("r")
-    more = (l.join(r, F.expr("l.token = r.token and l.node > r.node and l.label <> r.label") & _fits("l.n", "r.n"))
+    more = (l.join(r, F.expr("l.token = r.token and l.node > r.node and l.label <> r.label") & _fits("l.n", "r.n")
+                   & F.expr("least(l.k, r.k) >= " + _needed("l.n", "r.n")))
             .groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-            .agg(F.count(F.lit(1)).alias("c"), F.min(F.least("l.n", "r.n")).alias("low"))
-            .where("c >= " + SHARED.format(n="low")).select("a", "b"))
-    second = job.verified(more.join(first, ["a", "b"], "left_anti"))
-    return job.base, first.union(second)
+            .agg(F.count(F.lit(1)).alias("c"), F.first("l.n").alias("n"), F.first("r.n").alias("m"))
+            .where("c >= " + _needed("n", "m")).select("a", "b"))
+    return job.base, edges.unionAll(job.verified(more))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
