@@ -36,7 +36,7 @@ from . import common
 SHINGLE, PERCENT = 5, 75
 CHUNK_SHINGLES = 6_000_000
 STAR_ROUNDS = 2
-FREQUENT = 1_000_000        # at most so many shingles are moved to the end of the order
+FREQUENT = 500_000          # at most so many shingles are moved to the end of the order
 SALTS = 64
 BROADCAST_ROWS = 2_000_000  # of (long, long); above, a shuffled join
 
@@ -208,10 +208,19 @@ class _Join:
         self.spark = docs.sparkSession
         survey = common.written(self.docs.mapInArrow(_survey, "doc_id long, n long, node long, token long, count long"), "survey")
         self.base = survey.where("n is not null").select("doc_id", "n", "node")
-        top = (survey.where("token is not null").groupBy("token").agg(F.sum("count").alias("count"))
-               .orderBy(F.desc("count"), "token").limit(FREQUENT).toPandas())  # bounded by FREQUENT
-        order = np.lexsort((top["token"], top["count"])) if len(top) else []
-        self.frequent = top["token"].to_numpy(np.int64)[order].view(np.uint64) if len(top) else np.zeros(0, np.uint64)
+        counts = common.written(survey.where("token is not null").groupBy("token").agg(F.sum("count").alias("count")), "counts")
+        # the least count that at most FREQUENT shingles reach; counts from 1024 on are told apart by bit length only
+        size = F.when(F.col("count") < 1024, F.col("count")).otherwise(1000 + F.length(F.bin("count")))
+        steps = counts.groupBy(size.alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
+        least, total = 1 << 30, 0
+        for r in steps:
+            total += r["n"]
+            if total > FREQUENT:
+                break
+            least = r["c"]
+        top = counts.where(size >= least).toArrow()  # at most FREQUENT rows
+        token, count = (top.column(k).to_numpy() for k in ("token", "count"))
+        self.frequent = token.astype(np.int64)[np.lexsort((token, count))].view(np.uint64)
 
     def postings(self) -> DataFrame:
         n = common.partitions_for(self.spark)

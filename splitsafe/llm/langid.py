@@ -142,7 +142,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, per_language / n)])
     uniform = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     rows = (known.withColumn("u", uniform).where(F.col("u") < F.element_at(share, F.col("lang")))
-            .orderBy("u", "doc_id", "text").limit(2 * per_language * len(sizes)).toPandas())
+            .orderBy("u", "doc_id", "text").limit(2 * per_language * len(sizes)).toArrow().to_pandas())
     rows = rows[rows["text"].str.len().cumsum() <= FIT_CHARS]
     vectors = [vector(frequencies(normal(t)), idf) for t in rows["text"]]
     y = rows["lang"].map({k: i for i, k in enumerate(model.names)}).to_numpy(int)

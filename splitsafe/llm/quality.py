@@ -34,7 +34,7 @@ from .token_files import text_chunks
 
 DIM, NONZERO, BUCKETS, WINDOW = 64, 6, 1 << 14, 2
 HIDDEN, EPOCHS, RATE, DECAY = 32, 60, 3e-3, 1e-4
-FIT_ROWS, FIT_CHARS = 6000, 24_000_000
+FIT_ROWS, FIT_CHARS = 4000, 16_000_000
 THRESHOLD = 0.3
 SEGMENT, KNOWN_CHUNKS = 1 << 20, 300_000
 TOKEN = re.compile(r"[^\W\d_]+|\d+|([^\w\s]|_)\1*")
@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
              .select("doc_id", "y", F.xxhash64("doc_id").alias("h")))
     chosen = known.orderBy("h", "doc_id").limit(fit_rows)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = own.join(F.broadcast(chosen), "doc_id").orderBy("h", "doc_id", "text").limit(fit_rows).toPandas()
+    rows = own.join(F.broadcast(chosen), "doc_id").orderBy("h", "doc_id", "text").limit(fit_rows).toArrow().to_pandas()
     keep = rows["text"].str.len().cumsum() <= FIT_CHARS
     rows = rows[keep]
     texts, y = rows["text"].tolist(), rows["y"].to_numpy(int)

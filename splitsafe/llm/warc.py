@@ -4,7 +4,7 @@ Writer: one archive per task, each record a gzip member of its own. Of records w
 least ``min_bytes`` bytes, the one with the largest id is the response and the others revisit it; smaller
 payloads are all responses. Reader: walks members (or, in an uncompressed archive, records), checks the
 gzip checksum, the record's framing and its payload digest; where a check fails it searches for the next
-member (or version line) that parses, goes on there, and reports the bytes between as a quarantined gap.
+member (or version line, wherever a cut record may have left it) that parses and passes its checks, goes on there, and reports the bytes between as a quarantined gap.
 
 Null html is an empty payload. Null ids are written as ``x-page:null`` and read back as null; among equal
 payloads they never become the response of others (nulls are smallest). Repeated rows are written each:
@@ -190,8 +190,6 @@ def salvage(data, name: str = "") -> Iterator[tuple[str, dict]]:
             if bad is None:
                 bad, why = at, str(e)
             at = data.find(mark, at + 1)
-            while not packed and at > 0 and data[at - 1:at] != b"\n":  # a version line begins a line
-                at = data.find(mark, at + 1)
             if at < 0:
                 at = len(data)
             continue
