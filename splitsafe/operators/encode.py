@@ -8,6 +8,9 @@ table whose size grows with the data into every executor.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +22,22 @@ def encoding_table(df: DataFrame, cat, target: str, where=None, name: str = "enc
 
 
 def target_encode(df: DataFrame, cat, target: str, where=None, fallback: str | None = "mean",
-                  name: str = "encoded") -> DataFrame:
+                  name: str = "encoded", null_safe: bool = False) -> DataFrame:
     """Add the mean target of the row's category, fitted on the rows matching ``where``
     (all rows when None — the leaky arm).  Unseen or NULL categories get the fit
-    rows' mean target when ``fallback='mean'`` (the honest arm), else NULL."""
+    rows' mean target when ``fallback='mean'`` (the honest arm), else NULL.  ``null_safe=True``
+    treats NULL as a category of its own, as row identity does."""
     cats = [cat] if isinstance(cat, str) else list(cat)
     enc = encoding_table(df, cats, target, where, name)
-    # NULL keys never match, like a dictionary lookup
-    for c in cats:
-        enc = enc.where(F.col(c).isNotNull())
-    out = df.join(enc, cats, "left")
+    if null_safe:
+        right = enc.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(cats)], name)
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(cats)])
+        out = df.join(right, same, "left").drop(*[f"__k{i}" for i in range(len(cats))])
+    else:
+        # NULL keys never match, like a dictionary lookup
+        for c in cats:
+            enc = enc.where(F.col(c).isNotNull())
+        out = df.join(enc, cats, "left")
     if fallback == "mean":
         src = df.where(where) if where is not None else df
         mean = src.agg(F.avg(F.col(target).cast("double")))          # one value: a scalar subquery

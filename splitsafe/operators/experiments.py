@@ -93,9 +93,9 @@ def leak2_injected_feature(df: DataFrame, roles: Roles, honest_feature: str, see
                              lambda: _auc_on_test(s, "SYNTHETIC_RISK_SCORE", roles.target)))
 
 
-def _memorised(s: DataFrame, keys, target: str, split_col: str = "split") -> DataFrame:
+def _memorised(s: DataFrame, keys, target: str, split_col: str = "split", null_safe: bool = False) -> DataFrame:
     """Score = mean training label of rows sharing ``keys`` (unseen → training mean)."""
-    return encode.target_encode(s, keys, target, F.col(split_col) == "train", fallback="mean", name="score")
+    return encode.target_encode(s, keys, target, F.col(split_col) == "train", fallback="mean", name="score", null_safe=null_safe)
 
 
 def leak4_group_overlap(df: DataFrame, roles: Roles, seed: int = 42, k: int = 5) -> DataFrame:
@@ -116,9 +116,10 @@ def leak5_duplicates(df: DataFrame, roles: Roles, features, frac: float = 0.08,
     leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
     dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target], row_key="__rk")
     honest = split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)
-    return _result(5, *_arms(lambda: _auc_on_test(_memorised(honest, features, roles.target), "score",
+    return _result(5, *_arms(lambda: _auc_on_test(_memorised(honest, features, roles.target, null_safe=True), "score",
                                                   roles.target),
-                             lambda: _auc_on_test(_memorised(leaky, features, roles.target), "score", roles.target)))
+                             lambda: _auc_on_test(_memorised(leaky, features, roles.target, null_safe=True), "score",
+                                                  roles.target)))
 
 
 # ----------------------------------------------------------------- model experiments

@@ -50,15 +50,16 @@ def cumulative_counts(df: DataFrame, score: str, label: str, by=(), n_buckets: i
                      F.coalesce(F.sum("bneg").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                 F.lit(0)).alias("neg_before"),
                      F.coalesce(F.sum("bpos").over(wb.rowsBetween(1, Window.unboundedFollowing)),
-                                F.lit(0)).alias("pos_after"))
+                                F.lit(0)).alias("pos_after"), "bpos")
     j = ranged.join(F.broadcast(tot), by + ["bucket"], "inner")
     w = Window.partitionBy(*by, "bucket").orderBy("score")
     return j.select(
         *by, "score", "pos", "neg",
         (F.col("neg_before") + F.coalesce(F.sum("neg").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                           F.lit(0))).alias("neg_below"),
-        (F.col("pos_after") + F.coalesce(F.sum("pos").over(w.rowsBetween(1, Window.unboundedFollowing)),
-                                         F.lit(0))).alias("pos_above"))
+        # a running sum: a frame that ends at the last row would be summed anew for each row
+        (F.col("pos_after") + F.col("bpos")
+         - F.sum("pos").over(w.rowsBetween(Window.unboundedPreceding, 0))).alias("pos_above"))
 
 
 def roc_auc(df: DataFrame, score: str, label: str, by=(), **kw) -> DataFrame:

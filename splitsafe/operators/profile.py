@@ -126,19 +126,13 @@ def target_summary(df: DataFrame, target: str) -> DataFrame:
     ).withColumn("baseline_accuracy", F.try_divide(F.col("n_neg") * 1.0, F.col("n_rows")))
 
 
-def distinct_counts(df: DataFrame, columns, exact_below: int = 200,
-                    rsd: float = 0.05) -> DataFrame:
-    """Non-null distinct count per column, exact wherever it can matter.
-
-    ``approx_count_distinct`` is one cheap pass for all columns, but it returns 99
-    for a column with exactly 100 values, which flips the ``< 100`` verdict.  So
-    every column whose estimate is below ``exact_below`` is recounted exactly (a
-    bounded job: such columns have few values, so partial aggregation keeps at
-    most a few hundred keys per task).  With the default 5 % relative error an
-    estimate of 200 or more cannot come from a column with fewer than 100 values
-    (that would be a 20-sigma error), and the coarse sketch is ~10x cheaper than a
-    1 % one.  Both passes stack the columns (codegen-sized chunks) and collect one
-    row per column; the result is a small materialised DataFrame.
+def distinct_counts(df: DataFrame, columns, approx: bool = False, rsd: float = 0.05) -> DataFrame:
+    """Non-null distinct count per column, exact at any size.
+
+    The columns are stacked (codegen-sized chunks); distinct (column, value) pairs are made
+    by a partially aggregated shuffle and then counted, so no task holds a column's values.
+    ``approx=True`` asks for the one-pass sketch instead, and says so in ``exact``.  One row
+    per column is collected; a column without values is filled with 0.
     """
     columns = list(columns)
     schema = T.StructType([T.StructField("column", T.StringType()),
@@ -147,20 +141,13 @@ def distinct_counts(df: DataFrame, columns, exact_below: int = 200,
     spark = df.sparkSession
     if not columns:
         return spark.createDataFrame([], schema)
-    vals = {c: F.col(c).cast("string") for c in columns}
-    est_rows = (stack_columns(df, vals, value="value").groupBy("__slot")
-                .agg(F.approx_count_distinct("value", rsd).alias("a")).collect())   # one row per column
-    est = {columns[r["__slot"]]: r["a"] for r in est_rows}
-    small = [c for c in columns if est.get(c, 0) < exact_below]
-    big = [(c, int(est[c]), False) for c in columns if c not in small]
-    rows = list(big)
-    if small:
-        svals = {c: F.col(c).cast("string") for c in small}
-        long = stack_columns(df, svals, value="value")
-        # count_distinct skips NULLs; a column with no rows at all is filled with 0 below
-        exact = {small[r["__slot"]]: r["n"] for r in
-                 long.groupBy("__slot").agg(F.count_distinct("value").alias("n")).collect()}
-        rows += [(c, int(exact.get(c, 0)), True) for c in small]
+    long = stack_columns(df, {c: F.col(c).cast("string") for c in columns}, value="value").where(F.col("value").isNotNull())
+    if approx:
+        found = long.groupBy("__slot").agg(F.approx_count_distinct("value", rsd).alias("n"))
+    else:
+        found = long.select("__slot", "value").distinct().groupBy("__slot").agg(F.count(F.lit(1)).alias("n"))
+    n = {columns[r["__slot"]]: r["n"] for r in found.collect()}
+    rows = [(c, int(n.get(c, 0)), not approx) for c in columns]
     order = {c: i for i, c in enumerate(columns)}
     return spark.createDataFrame(sorted(rows, key=lambda r: order[r[0]]), schema)
 

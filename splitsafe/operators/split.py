@@ -10,6 +10,9 @@ copies of a duplicate to the same side and hide leaks 4 and 5.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import math
 
 from pyspark.sql import DataFrame, Window
@@ -105,13 +108,15 @@ def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
 
 
 def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced: bool = False,
-                n_buckets: int | None = None, col: str = "fold", groups_per_bucket: int = 1_000_000) -> DataFrame:
+                n_buckets: int = 64, col: str = "fold") -> DataFrame:
     """every row of a group lands in one fold.
 
     Default: ``fold = h(seed:group) mod k`` — one narrow pass.  ``balanced=True``
     deals groups round-robin inside classes of equal group size (and a hash bucket
     of the group, so no class is one huge partition): one aggregate over groups,
     a window partitioned by (size, bucket) and a join back on the group key.
+    ``n_buckets`` is a parameter, never derived from the data, so the folds of existing
+    groups don't move when the table grows; raise it for tables of very many groups.
     NULL groups form no group and get a NULL fold.
     """
     h = hash_int(seed, group)
@@ -119,8 +124,6 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced:
         return df.withColumn(col, F.when(F.col(group).isNotNull(), F.pmod(h, F.lit(k)).cast("int")))
     groups = (df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
               .withColumn("__h", h))
-    if n_buckets is None:          # keep every (size, bucket) window partition bounded
-        n_buckets = max(64, -(-groups.count() // groups_per_bucket))
     w = Window.partitionBy("__size", F.pmod(F.col("__h"), F.lit(n_buckets))).orderBy("__h", group)
     start = F.pmod(hash_int(seed, F.col("__size"), F.pmod(F.col("__h"), F.lit(n_buckets))), F.lit(k))
     folds = groups.select(group, F.pmod(F.row_number().over(w) - 1 + start, F.lit(k)).cast("int").alias(col))
@@ -131,7 +134,8 @@ def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split
     """the first ``int(n * frac)`` rows in ``order_by`` order are train ("past").
 
     The cut is one threshold tuple found by exact selection (its first pass also
-    counts ``n``), applied as literals in a filter expression.
+    counts ``n``), applied as literals in a filter expression.  Rows with a NULL order
+    value are neither past nor future: they get a NULL split and don't count.
     """
     order_by = list(order_by)
 
@@ -140,11 +144,12 @@ def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split
         return [{"k": m - 1}] if m > 0 else []
 
     thr = composite_threshold(df, order_by, ranks, (), **kw).collect()   # at most one row
+    known = reduce(and_, [F.col(c).isNotNull() for c in order_by])
     if not thr:
-        return df.withColumn(col, F.lit("test"))
+        return df.withColumn(col, F.when(known, "test"))
     lits = {f"t{i}": F.lit(thr[0][f"t{i}"]).cast("double") for i in range(len(order_by))}
     past = at_or_before(df, order_by, values=lits)
-    return df.withColumn(col, F.when(past, "train").otherwise("test"))
+    return df.withColumn(col, F.when(known & past, "train").when(known, "test"))
 
 
 def sample_threshold(df: DataFrame, key: str, frac: float | None = None, n: int | None = None,

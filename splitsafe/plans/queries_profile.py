@@ -95,6 +95,16 @@ def cardinality(spark, sf_dir):
     return d.select("column", "n_distinct", (F.col("n_distinct") < 100).alias("at_risk"))
 
 
+@register("cardinality_high", """
+SELECT 'text' AS "column", count(DISTINCT text) AS n_distinct FROM documents UNION ALL
+SELECT 'url', count(DISTINCT url) FROM pages UNION ALL SELECT 'props', count(DISTINCT props) FROM events""")
+def cardinality_high(spark, sf_dir):
+    """Distinct counts far above any threshold stay exact."""
+    own = {"documents": "text", "pages": "url", "events": "props"}
+    parts = [profile.distinct_counts(table(spark, sf_dir, t), [c]).select("column", "n_distinct") for t, c in own.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 @register("group_sizes", f"""
 WITH g AS (SELECT l_orderkey, count(*) AS size FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey)
 SELECT count(*) AS n_groups, CAST(sum(CASE WHEN size > 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_multi_groups,

@@ -26,11 +26,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests) pick one."""
+    """The checkpoint folder in use, else ``spark.checkpoint.dir``; a folder already set is never replaced.
+
+    Where neither is set, a local session gets a folder of its machine; on a cluster that is an error,
+    since executors could not see such a folder.
+    """
+    known = spark.sparkContext.getCheckpointDir()
+    if known:
+        return known
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="splitsafe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 

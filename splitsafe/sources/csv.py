@@ -9,8 +9,6 @@ and boolean; a single ``select`` of ``try_cast`` then applies the types.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +23,28 @@ FALSE_TOKENS = ["False", "FALSE", "false"]
 # ---------------------------------------------------------------------------
 
 
-def read_table(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
-    """A1: CSV with a header; a missing path fails first with Spark's PATH_NOT_FOUND."""
-    if not path.startswith(("s3", "gs:", "abfs", "hdfs:", "dbfs:")) and not os.path.exists(path):
-        raise FileNotFoundError(f"File not found at: {path}")
-    raw = spark.read.option("header", True).option("inferSchema", False) \
-        .option("nullValue", None).option("emptyValue", "").csv(path)
+def read_table(spark: SparkSession, path: str, infer: bool = True, multi_line: bool = False) -> DataFrame:
+    """A1: CSV with a header, quoted as pandas reads it (a doubled quote is a quote).
+
+    ``path`` may be anything Spark reads (URIs, globs, several files); a missing one fails with Spark's
+    PATH_NOT_FOUND.  ``multi_line=True`` lets quoted fields hold line feeds; such a file can't be split
+    among tasks, so it is an option.
+    """
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
+           .option("multiLine", multi_line).option("nullValue", None).option("emptyValue", "").csv(path))
     return infer_types(raw) if infer else raw
 
 
 def _missing(c) -> F.Column:
-    return F.when(~F.trim(F.col(c)).isin(NA_TOKENS) & F.col(c).isNotNull(), F.col(c))
+    return F.when(~F.col(f"`{c}`").isin(NA_TOKENS) & F.col(f"`{c}`").isNotNull(), F.col(f"`{c}`"))
+
+
+# a number as text: no type suffix, so that a code such as 12D stays text
+NUMBER = r"^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$|^[+-]?(inf|Inf|INF|infinity|Infinity)$"
+
+
+def _double(c: str) -> str:
+    return f"case when trim(`{c}`) rlike '{NUMBER}' then try_cast(trim(`{c}`) as double) end"
 
 
 def infer_types(df: DataFrame) -> DataFrame:
@@ -47,7 +56,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         v = F.trim(F.col(c))
         stats += [F.count(v).alias(f"n{i}"),
                   F.count(F.expr(f"try_cast(trim(`{c}`) AS BIGINT)")).alias(f"i{i}"),
-                  F.count(F.expr(f"try_cast(trim(`{c}`) AS DOUBLE)")).alias(f"d{i}"),
+                  F.count(F.expr(_double(c))).alias(f"d{i}"),
                   F.count(F.when(v.isin(TRUE_TOKENS + FALSE_TOKENS), 1)).alias(f"b{i}")]
     row = clean.agg(*stats).collect()[0]                     # 4 counts per column: schema-sized
     out = []
@@ -59,7 +68,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         elif row[f"i{i}"] == n:
             out.append(F.expr(f"try_cast(trim(`{c}`) AS BIGINT)").alias(c))
         elif row[f"d{i}"] == n:
-            out.append(F.expr(f"try_cast(trim(`{c}`) AS DOUBLE)").alias(c))
+            out.append(F.expr(_double(c)).alias(c))
         elif row[f"b{i}"] == n:
             out.append(F.when(v.isin(TRUE_TOKENS), True).when(v.isin(FALSE_TOKENS), False).alias(c))
         else:

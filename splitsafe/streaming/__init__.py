@@ -4,8 +4,9 @@ The audited workflow has no streaming operators (no windows, watermarks or
 state).  The only streaming need is to run the same detector on data as it
 lands: :func:`scan_each_batch` applies :func:`splitsafe.operators.detector.scan`
 to every micro-batch through ``foreachBatch`` and appends the five report rows,
-tagged with the batch id, to a sink table.  Progress and exactly-once replay
-come from the query's checkpoint location.
+tagged with the batch id, to a sink table.  Progress is kept in the
+query's checkpoint location; a batch replayed after a failure appends its rows again
+(at least once), so readers keep one set of rows per batch id.
 """
 
 from __future__ import annotations
@@ -22,9 +23,13 @@ def scan_each_batch(stream: DataFrame, roles: Roles, sink_path: str, checkpoint:
     """Start a streaming query that writes ``batch_id + report`` per micro-batch."""
 
     def audit(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()                                   # the detector reads it several times
         rep = detector.scan(batch, roles).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                                                  *detector.REPORT_COLUMNS)
-        rep.write.mode("append").format(fmt).save(sink_path)
+        try:
+            rep.write.mode("append").format(fmt).save(sink_path)
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(audit).option("checkpointLocation", checkpoint)
     if trigger_once:

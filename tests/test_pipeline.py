@@ -35,7 +35,7 @@ def test_csv_inference(spark, tmp_path):
     rows = df.orderBy("b").collect()
     assert [r["a"] for r in df.collect()].count(None) == 1
     assert rows is not None
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         csv.read_table(spark, str(tmp_path / "missing.csv"))
 
 
