@@ -15,8 +15,9 @@ shingles, two linked sets of at least two shingles share at least l(smaller size
    links give components. Under shingles that then hold several components, a few more rounds of stars follow
    with other centres, so that a large group of copies becomes one component by a few comparisons each.
 4. *Rest.* Under shingles whose members still lie in different components all pairs across components
-   (of fitting size, with l shingles in common) are compared exactly too. Pairs inside one component
-   need no comparison: the result asks for components.
+   (of fitting size, with l shingles in common) are compared exactly too; they are found by a second, shorter
+   prefix over the shingles still in question. Pairs inside one component need no comparison: the result asks
+   for components.
 
 A text without words (or null) has an empty set and links with nothing. Rows with a null id
 link with equal sets only, and null is a component's id only if all its rows have null ids; repeated rows are equal sets and stay separate rows; an empty table gives
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from . import common
 
@@ -307,15 +308,24 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
             break
         edges = edges.unionAll(found)
 
-    # the rest: all pairs across components that share enough; a node with too few shingles left can't
+    # the rest: all pairs across components that share enough; a node with too few shingles left can't.
+    # With a node's k open shingles in one order (rare ones first), the first one that a pair shares is followed
+    # by all the others it shares: it is among the first k - needed + 1 of both, so only those are joined
     count = rows.groupBy("node").agg(F.count(F.lit(1)).alias("k"))
-    rows = common.written(rows.join(count, "node").where(f"k >= {SHARED.format(n='n')}").select("token", "node", "n", "label", "k"), "rest")
-    l, r = rows.alias("l"), rows.alias("r")
-    more = (l.join(r, F.expr("l.token = r.token and l.node > r.node and l.label <> r.label") & _fits("l.n", "r.n")
-                   & F.expr("least(l.k, r.k) >= " + _needed("l.n", "r.n")))
-            .groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-            .agg(F.count(F.lit(1)).alias("c"), F.first("l.n").alias("n"), F.first("r.n").alias("m"))
-            .where("c >= " + _needed("n", "m")).select("a", "b"))
+    size = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+    rows = rows.join(count, "node").where(f"k >= {SHARED.format(n='n')}").join(size, "token")
+    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("node").orderBy("size", "token")))
+    rows = common.written(rows.select("token", "node", "n", "label", "k", "pos"), "rest")
+    early = rows.where(f"pos <= k - {SHARED.format(n='(75 * n div 100)')} + 1")
+    l, r = early.alias("l"), early.alias("r")
+    needed = _needed("l.n", "r.n")
+    met = (l.join(r, F.expr("l.token = r.token and l.node > r.node and l.label <> r.label") & _fits("l.n", "r.n")
+                  & F.expr(f"l.pos <= l.k - {needed} + 1 and r.pos <= r.k - {needed} + 1"))
+           .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.col("l.n").alias("n"), F.col("r.n").alias("m")).distinct())
+    own = rows.groupBy("node").agg(F.collect_list("token").alias("tokens"))
+    more = (met.join(own.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+            .join(own.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
+            .where("size(array_intersect(x, y)) >= " + _needed("n", "m")).select("a", "b"))
     return job.base, edges.unionAll(job.verified(more))
 
 
