@@ -10,14 +10,19 @@ hashes of a sample, medians — is a *selection* problem: find the value of rank
 aggregation; output is ``groups x buckets`` rows), a small window over that
 histogram finds the bucket holding rank ``k``, and the next pass looks only at
 that bucket's value range.  Values that are all equal end the search at once
-(hot keys cost nothing).  When the remaining candidate range holds at most
-``max_exact`` rows per group, a window *partitioned by group* over just those
-rows finishes exactly.  Each pass collects one schema-sized state table (one
+(hot keys cost nothing).  Where equal widths cut little (values over many decades,
+an infinite end), the next pass cuts that range at approximate quantiles, with a bucket
+of its own for each cut value, so every range shrinks to a small share per pass and the
+search always ends.  When the remaining candidate range holds at most
+``max_exact`` rows per (group, rank), a window *partitioned by group and rank* over just
+those rows finishes exactly.  Each pass collects one schema-sized state table (one
 row per group and rank), never data rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +30,7 @@ from pyspark.sql import types as T
 
 N_BUCKETS = 4096
 MAX_EXACT = 20_000
-MAX_ITER = 12
+N_CUTS = 64                 # quantiles of a range that equal widths don't narrow
 MAX_GROUPS = 100_000        # selection state lives on the driver: one row per (group, rank)
 
 
@@ -44,13 +49,22 @@ def orderable(df: DataFrame, c: str) -> F.Column:
     return F.col(c)
 
 
+def order_parts(df: DataFrame, c: str) -> list[F.Column]:
+    """DOUBLE columns whose lexicographic order is exactly that of ``c``. 64-bit integers and
+    timestamps become their upper and lower 32 bits, since a double holds 53 bits only."""
+    x = orderable(df, c)
+    if isinstance(df.schema[c].dataType, (T.LongType, T.TimestampType, T.TimestampNTZType)):
+        return [F.shiftright(x, 32).cast("double"), x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double")]
+    return [x.cast("double")]
+
+
 def _gkey(group_cols):
     return list(group_cols) if group_cols else ["__g"]
 
 
 def select_kth(data: DataFrame, value: str, targets, group_cols=(),
                n_buckets: int = N_BUCKETS, max_exact: int = MAX_EXACT,
-               max_iter: int = MAX_ITER, persist: bool = True) -> DataFrame:
+               persist: bool = True) -> DataFrame:
     """Value of 0-based rank ``k`` in ascending order of ``value`` (NULLs ignored).
 
     ``targets`` (a DataFrame, a list of row dicts, or a function from the
@@ -97,10 +111,11 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
             g = init.get(gk(t))
             if g is not None and 0 <= t["k"] < g["cnt"]:
                 state.append({**{c: t[c] for c in gcols}, "k": int(t["k"]), "lo": g["lo"], "hi": g["hi"],
-                              "cnt": g["cnt"], "below": 0})
+                              "cnt": g["cnt"], "below": 0, "cuts": None})
         st_schema = T.StructType(gschema + [T.StructField("k", T.LongType()), T.StructField("lo", T.DoubleType()),
                                             T.StructField("hi", T.DoubleType()), T.StructField("cnt", T.LongType()),
-                                            T.StructField("below", T.LongType())])
+                                            T.StructField("below", T.LongType()),
+                                            T.StructField("cuts", T.ArrayType(T.DoubleType()))])
         fields = [f.name for f in st_schema.fields]
 
         def as_df(rows):
@@ -109,14 +124,28 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
         def open_(r):
             return r["lo"] != r["hi"] and r["cnt"] > max_exact
 
-        for _ in range(max_iter):
-            active = [r for r in state if open_(r)]
-            if not active:
-                break
-            j = x.join(F.broadcast(as_df(active)), gcols, "inner").where(
+        def inside(rows):
+            """The values in the ranges of ``rows``, once per (group, rank)."""
+            st = as_df(rows).withColumnsRenamed({g: f"__s{i}" for i, g in enumerate(gcols)})
+            same = [F.col(g).eqNullSafe(F.col(f"__s{i}")) for i, g in enumerate(gcols)]
+            return x.join(F.broadcast(st), same, "inner").where(
                 (F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
-            b = F.least(F.floor((F.col("__x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_buckets),
-                        F.lit(n_buckets - 1))
+
+        slow = set()                             # (group, rank) that the last pass narrowed too little
+        while active := [r for r in state if open_(r)]:
+            uneven = [r for r in active if gk(r) + (r["k"],) in slow or not math.isfinite(r["hi"] - r["lo"])]
+            if uneven:
+                steps = F.array(*[F.lit(i / N_CUTS) for i in range(N_CUTS + 1)])
+                found = {gk(r) + (r["k"],): sorted(set(r["cuts"])) for r in inside(uneven).groupBy(*gcols, "k").agg(
+                    F.percentile_approx("__x", steps, 10_000).alias("cuts")).collect()}
+                for r in uneven:
+                    r["cuts"] = found[gk(r) + (r["k"],)]
+            j = inside(active)
+            width = F.least(F.floor((F.col("__x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_buckets),
+                            F.lit(n_buckets - 1))
+            # an even bucket between two cuts, an odd one for values equal to a cut
+            cut = F.expr("2 * size(filter(cuts, c -> c < __x)) + if(array_contains(cuts, __x), 1, 0)")
+            b = F.when(F.col("cuts").isNull(), width).otherwise(cut.cast("long"))
             hist = j.groupBy(*gcols, "k", "below", b.alias("b")).agg(
                 F.count(F.lit(1)).alias("c"), F.min("__x").alias("blo"), F.max("__x").alias("bhi"))
             # the histogram has at most n_buckets rows per (group, k): a bounded window
@@ -125,38 +154,22 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
             pick = hist.where((F.col("below") + F.col("before") <= F.col("k"))
                               & (F.col("k") < F.col("below") + F.col("before") + F.col("c")))
             upd = {gk(r) + (r["k"],): {**{c: r[c] for c in gcols}, "k": r["k"], "lo": r["blo"], "hi": r["bhi"],
-                                       "cnt": r["c"], "below": r["below"] + r["before"]}
+                                       "cnt": r["c"], "below": r["below"] + r["before"], "cuts": None}
                    for r in pick.collect()}
+            slow = {gk(r) + (r["k"],) for r in active if 4 * upd[gk(r) + (r["k"],)]["cnt"] > r["cnt"]}
             state = [upd.get(gk(r) + (r["k"],), r) if open_(r) else r for r in state]
 
         result = [gk(r) + (r["k"], float(r["lo"]), r["below"], r["cnt"]) for r in state if r["lo"] == r["hi"]]
         todo = [r for r in state if r["lo"] != r["hi"]]
         if todo:
-            # one merged candidate range per group; below counts values under its low end
-            merged = {}
-            for r in todo:
-                m = merged.get(gk(r))
-                if m is None or r["lo"] < m["lo"]:
-                    merged[gk(r)] = {**{c: r[c] for c in gcols}, "lo": r["lo"], "below": r["below"],
-                                     "hi": max(r["hi"], m["hi"]) if m else r["hi"]}
-                else:
-                    m["hi"] = max(m["hi"], r["hi"])
-            rng_schema = T.StructType(gschema + [T.StructField("lo", T.DoubleType()),
-                                                 T.StructField("hi", T.DoubleType()),
-                                                 T.StructField("below", T.LongType())])
-            rng = spark.createDataFrame([tuple(m[f.name] for f in rng_schema.fields) for m in merged.values()],
-                                        rng_schema)
-            want = spark.createDataFrame([gk(r) + (r["k"],) for r in todo],
-                                         T.StructType(gschema + [T.StructField("k", T.LongType())]))
-            j = x.join(F.broadcast(rng), gcols, "inner").where(
-                (F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
-            w = Window.partitionBy(*gcols).orderBy("__x")     # bounded: <= max_exact rows per group
-            ties = Window.partitionBy(*gcols, "__x")
-            ranked = j.select(*gcols, "__x",
-                              (F.col("below") + F.row_number().over(w) - 1).alias("k"),
+            j = inside(todo)
+            w = Window.partitionBy(*gcols, "k").orderBy("__x")     # at most max_exact rows per group and rank
+            ties = Window.partitionBy(*gcols, "k", "__x")
+            ranked = j.select(*gcols, "k", "__x",
+                              (F.col("below") + F.row_number().over(w) - 1).alias("at"),
                               (F.col("below") + F.rank().over(w) - 1).alias("n_less"),
                               F.count(F.lit(1)).over(ties).alias("n_eq"))
-            hit = ranked.join(F.broadcast(want), gcols + ["k"], "inner")
+            hit = ranked.where("at = k")
             result += [gk(r) + (r["k"], r["__x"], r["n_less"], r["n_eq"]) for r in hit.collect()]
     finally:
         if persist:
@@ -206,7 +219,8 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
 
     Selects on the first column, then among the rows tied on it selects on the
     next, and so on.  Returns a small materialised DataFrame
-    ``group_cols + ['k', 't0', 't1', ...]`` (numeric forms, see :func:`orderable`):
+    ``group_cols + ['k', 't0', 't1', ...]`` (numeric forms, see :func:`order_parts`; a 64-bit
+    integer or timestamp takes two of them):
     a row is at or before the threshold iff its tuple is lexicographically
     ``<=`` it.  The narrow projection of group and order columns is persisted
     once for all passes.
@@ -214,11 +228,11 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
     spark = data.sparkSession
     gcols = list(group_cols) or ["__g"]
     base = data if group_cols else data.withColumn("__g", F.lit(1))
-    cur = base.select(*gcols, *[orderable(data, c).cast("double").alias(f"__o{i}")
-                                for i, c in enumerate(order_cols)])
+    parts = [p for c in order_cols for p in order_parts(data, c)]
+    cur = base.select(*gcols, *[p.alias(f"__o{i}") for i, p in enumerate(parts)])
     cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
     gschema = [cur.schema[g] for g in gcols]
-    n = len(order_cols)
+    n = len(parts)
     extra = {} if group_cols else {"__g": 1}
     if callable(targets):
         def first(counts):
@@ -270,9 +284,9 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
 def at_or_before(data: DataFrame, order_cols, thr_prefix: str = "t", values: dict | None = None) -> F.Column:
     """Lexicographic ``(order_cols) <= (t0, t1, ...)``; thresholds are columns of a joined
     threshold row, or literal ``values``."""
-    o = [orderable(data, c).cast("double") for c in order_cols]
-    t = [values[f"{thr_prefix}{i}"] if values else F.col(f"{thr_prefix}{i}") for i in range(len(order_cols))]
+    o = [p for c in order_cols for p in order_parts(data, c)]
+    t = [values[f"{thr_prefix}{i}"] if values else F.col(f"{thr_prefix}{i}") for i in range(len(o))]
     expr = o[-1] <= t[-1]
-    for i in range(len(order_cols) - 2, -1, -1):
+    for i in range(len(o) - 2, -1, -1):
         expr = (o[i] < t[i]) | ((o[i] == t[i]) & expr)
     return expr

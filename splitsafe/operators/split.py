@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_int
-from .rank import at_or_before, composite_threshold
+from .rank import at_or_before, composite_threshold, order_parts
 
 
 def with_row_key(df: DataFrame, id_col: str | None = None, name: str = "row_key") -> DataFrame:
@@ -42,7 +42,7 @@ def _tiebreak(df: DataFrame, key: str, seed) -> tuple[DataFrame, str]:
     """Order within equal hashes: the key itself when numeric, else a second hash of it."""
     from pyspark.sql import types as T
     if isinstance(df.schema[key].dataType, (T.StringType, T.BinaryType)):
-        return df.withColumn("__h2", hash_int(f"{seed}~", key)), "__h2"
+        return df.withColumn("__h2", hash_int(f"{seed}~", key).cast("double")), "__h2"
     return df, key
 
 
@@ -77,7 +77,7 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
     ``exact=False``: one pass, ``h / 2**32 < test_size`` (counts are then binomial).
     Rows with a NULL target get a NULL split.
     """
-    h = hash_int(seed, key)
+    h = hash_int(seed, key)          # 32 bits: exact as a double
     if not exact:
         return df.withColumn(col, F.when(F.col(target).isNotNull(),
                                          F.when(h < F.lit(test_size * 4294967296.0), "test")
@@ -86,14 +86,14 @@ def stratified_split(df: DataFrame, target: str, key: str, test_size: float = 0.
         alloc = allocate_stratified({k[0]: n for k, n in counts.items()}, test_size)
         return [{target: c, "k": int(t) - 1} for c, t in alloc.items() if t > 0]
 
-    hashed, tie = _tiebreak(df.where(F.col(target).isNotNull()).withColumn("__h", h), key, seed)
+    hashed, tie = _tiebreak(df.where(F.col(target).isNotNull()).withColumn("__h", h.cast("double")), key, seed)
     thr = composite_threshold(hashed, ["__h", tie], ranks, [target], **kw)
-    hashed, _ = _tiebreak(df.withColumn("__h", h), key, seed)
+    hashed, _ = _tiebreak(df.withColumn("__h", h.cast("double")), key, seed)
     out = hashed.join(F.broadcast(thr.drop("k")), target, "left")
     is_test = F.col("t0").isNotNull() & at_or_before(out, ["__h", tie])
     out = out.withColumn(col, F.when(F.col(target).isNotNull(),
                                      F.when(is_test, "test").otherwise("train")))
-    return out.drop("__h", "__h2", "t0", "t1")
+    return out.drop("__h", "__h2", *[c for c in thr.columns if c not in (target, "k")])
 
 
 random_split = stratified_split
@@ -147,20 +147,20 @@ def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split
     known = reduce(and_, [F.col(c).isNotNull() for c in order_by])
     if not thr:
         return df.withColumn(col, F.when(known, "test"))
-    lits = {f"t{i}": F.lit(thr[0][f"t{i}"]).cast("double") for i in range(len(order_by))}
+    lits = {c: F.lit(v).cast("double") for c, v in thr[0].asDict().items() if c != "k"}
     past = at_or_before(df, order_by, values=lits)
     return df.withColumn(col, F.when(known & past, "train").when(known, "test"))
 
 
 def sample_threshold(df: DataFrame, key: str, frac: float | None = None, n: int | None = None,
                      seed: int = 42, **kw):
-    """Threshold ``(t0, t1)`` of an exact sample: a row is sampled iff
-    ``(h(seed:key), tiebreak) <= (t0, t1)``.  Returns ``None`` for an empty sample.
+    """Threshold ``(t0, t1, ...)`` of an exact sample: a row is sampled iff
+    ``(h(seed:key), tiebreak) <= (t0, t1, ...)``.  Returns ``None`` for an empty sample.
 
     The threshold is one row, so applying it is a filter against a broadcast
     constant — no join with the (data-sized) set of sampled keys.
     """
-    hashed, tie = _tiebreak(df.withColumn("__h", hash_int(seed, key)), key, seed)
+    hashed, tie = _tiebreak(df.withColumn("__h", hash_int(seed, key).cast("double")), key, seed)
 
     def ranks(counts):
         total = sum(counts.values())
@@ -168,7 +168,7 @@ def sample_threshold(df: DataFrame, key: str, frac: float | None = None, n: int
         return [{"k": m - 1}] if m > 0 else []
 
     thr = composite_threshold(hashed, ["__h", tie], ranks, (), **kw).collect()
-    return (thr[0]["t0"], thr[0]["t1"]) if thr and thr[0]["t0"] is not None else None
+    return tuple(thr[0][1:]) if thr and thr[0]["t0"] is not None else None
 
 
 def in_sample(df: DataFrame, key: str, thr, seed: int = 42) -> F.Column:
@@ -176,11 +176,13 @@ def in_sample(df: DataFrame, key: str, thr, seed: int = 42) -> F.Column:
     if thr is None:
         return F.lit(False)
     from pyspark.sql import types as T
-    h = hash_int(seed, key).cast("double")
-    tie = (hash_int(f"{seed}~", key) if isinstance(df.schema[key].dataType, (T.StringType, T.BinaryType))
-           else F.col(key)).cast("double")
-    t0, t1 = F.lit(float(thr[0])), F.lit(float(thr[1]))
-    return (h < t0) | ((h == t0) & (tie <= t1))
+    tie = ([hash_int(f"{seed}~", key).cast("double")]
+           if isinstance(df.schema[key].dataType, (T.StringType, T.BinaryType)) else order_parts(df, key))
+    expr = tie[-1] <= F.lit(float(thr[-1]))
+    for x, t in zip([hash_int(seed, key).cast("double"), *tie][-2::-1], thr[-2::-1]):
+        t = F.lit(float(t))
+        expr = (x < t) | ((x == t) & expr)
+    return expr
 
 
 def sample_rows(df: DataFrame, key: str, frac: float | None = None, n: int | None = None,

@@ -1,5 +1,7 @@
 """Faults of round 1: exact counts, NULL order values, quoted CSV, null-safe identity, checkpoint folder."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from splitsafe.operators import encode, metrics, profile, split
@@ -46,3 +48,23 @@ def test_checkpoint_folder_is_kept(spark, tmp_path):
     before = spark.sparkContext.getCheckpointDir()
     cut_lineage(spark.range(3))
     assert spark.sparkContext.getCheckpointDir() == before and before
+
+
+def test_selection_of_heavy_tails_and_distant_ranks(spark):
+    from splitsafe.operators import rank
+    vals = sorted([math.copysign(10.0 ** (i % 601 - 300), i % 7 - 3) * (1 + i / 9000) for i in range(9000)]
+                  + [math.inf, -math.inf] + [5.0] * 3000)
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    ks = [0, 1, 700, 6000, 11_000, len(vals) - 1]
+    got = {r["k"]: (r["value"], r["n_less"]) for r in
+           rank.select_kth(df, "x", [{"k": k} for k in ks], max_exact=50, n_buckets=16).collect()}
+    assert got == {k: (vals[k], vals.index(vals[k])) for k in ks}
+
+
+def test_order_of_64_bit_keys(spark):
+    df = spark.range(1000).select(((F.col("id") - 500) + (1 << 60)).alias("k"), F.col("id"))
+    out = split.temporal_split(df, ["k"], frac=0.8).collect()
+    assert all((r["split"] == "train") == (r["id"] < 800) for r in out)
+    assert split.sample_rows(df, "k", n=123).count() == 123
+    low = spark.range(100).select((F.col("id") - 50).alias("k"))
+    assert sorted(r["k"] for r in split.temporal_split(low, ["k"], frac=0.3).where("split = 'train'").collect()) == list(range(-50, -20))
