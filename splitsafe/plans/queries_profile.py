@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round6
-from ..operators import chartdata, duplicates, eda, profile
+from ..operators import chartdata, duplicates, eda, profile, rank
 from ..sources.tables import SQL_VIEWS, table, view
 from .registry import register
 from .sqlgen import correlation_tier, missing_tier, sql_guarded_corr, sql_round6 as r6
@@ -131,6 +131,20 @@ def median_by_class(spark, sf_dir):
     return _r6(eda.median_by_class(df, r, ["o_totalprice", "o_custkey"]), "median")
 
 
+HEAVY = """CASE WHEN l_orderkey % 1000 = 0 THEN CAST('Infinity' AS DOUBLE) WHEN l_linenumber = 1 THEN l_extendedprice * 1e-300
+ WHEN l_linenumber = 2 THEN l_extendedprice * 1e-30 WHEN l_linenumber = 3 THEN l_extendedprice
+ WHEN l_linenumber = 4 THEN l_extendedprice * 1e30 ELSE l_extendedprice * 1e300 END"""
+
+
+@register("median_heavy_tail", f"""
+SELECT l_linestatus, l_returnflag, round(log10(median({HEAVY})), 6) AS log_median FROM lineitem GROUP BY ALL""")
+def median_heavy_tail(spark, sf_dir):
+    """Medians of values over 600 decades, some of them infinite."""
+    df = table(spark, sf_dir, "lineitem").withColumn("v", F.expr(HEAVY))
+    return rank.medians(df, ["v"], ["l_linestatus", "l_returnflag"]).select(
+        "l_linestatus", "l_returnflag", F.round(F.log10("median"), 6).alias("log_median"))
+
+
 def _corr_rows(view_name, feats):
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, {sql_guarded_corr(f'CAST({c} AS DOUBLE)', 'CAST(target AS DOUBLE)')} AS corr "

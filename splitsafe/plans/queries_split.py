@@ -115,6 +115,26 @@ def temporal_split(spark, sf_dir):
     return S.temporal_split(df, ["o_orderdate", "o_orderkey"], 0.8).select("o_orderkey", "split")
 
 
+@register("temporal_split_bigkey", """
+WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders)
+SELECT o_orderkey, CASE WHEN rn <= CAST(floor(n * 0.8::DOUBLE) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM r""")
+def temporal_split_bigkey(spark, sf_dir):
+    """Ordered by a 64-bit key that a double can't hold."""
+    df = table(spark, sf_dir, "orders").withColumn("big", F.col("o_orderkey").cast("long") + (1 << 60))
+    return S.temporal_split(df, ["big"], 0.8).select("o_orderkey", "split")
+
+
+@register("temporal_split_nulls", """
+WITH k AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate END AS d FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY d NULLS LAST, o_orderkey) AS rn, count(d) OVER () AS n FROM k)
+SELECT o_orderkey, CASE WHEN d IS NOT NULL THEN CASE WHEN rn <= CAST(floor(n * 0.8::DOUBLE) AS BIGINT) THEN 'train' ELSE 'test' END END AS split
+FROM r""")
+def temporal_split_nulls(spark, sf_dir):
+    """A third of the orders have no order value: they get no split."""
+    df = table(spark, sf_dir, "orders").withColumn("d", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate")))
+    return S.temporal_split(df, ["d", "o_orderkey"], 0.8).select("o_orderkey", "split")
+
+
 @register("sample_rows", f"""
 WITH n AS (SELECT CAST(floor(count(*) * 0.3::DOUBLE) AS BIGINT) AS k FROM orders),
 r AS (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY {H_ORDER}, o_orderkey) AS rn FROM orders)
