@@ -75,10 +75,13 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with repeated passages: how many words they hold, and each with a document that has it before."""
+    """Every document with repeated passages: how many words they hold, and each with a document that has it before.
+
+    Passages shared with different documents may overlap; ``repeated_words`` counts each word once.
+    """
     cuts = suffix_dedup.spans(suffix_dedup.repeats(common.table(spark, sf_dir, "documents")))
     return cuts.select("doc_id", F.aggregate("cuts", F.lit(0), lambda n, c: n + c["to"] - c["from"]).cast("long").alias("repeated_words"),
-                       F.expr("transform(cuts, c -> struct(c.`from` as first_word, c.`to` - c.`from` as n_words, c.other as other_doc_id))").alias("passages"))
+                       F.expr("transform(passages, c -> struct(c.`from` as first_word, c.`to` - c.`from` as n_words, c.other as other_doc_id))").alias("passages"))
 
 
 @query

@@ -11,7 +11,8 @@ the same one. Its first occurrence (smallest document id, then position) stays,
    range partitioning spreads over tasks; rows at the edges of tasks are compared in a second small step.
 3. *Extending.* Around each suffix left, the match is extended left and right to ``min_words``: every window
    of that length whose minimiser it is, is hashed to 128 bits, and sorted and compared in the same way.
-   A window equal to an earlier one is a repeat; adjacent windows join to passages of any length.
+   A window equal to an earlier one is a repeat; adjacent windows join to passages of any length, each
+   reported with the document of the nearest earlier occurrence, those of different partners apart.
 
 A window that repeats one which it overlaps (a periodic text) is cut only where it goes beyond it, so that
 one full window stays. Words are runs of bytes other than ASCII white space, compared exactly. Texts with
@@ -31,6 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 from . import common
 
 MIN_WORDS, GRAM = 50, 6
+RANGES = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
+PASSAGES = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("other", pa.int64())]))
 
 
 def anchor_words(min_words: int) -> int:
@@ -213,28 +216,44 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
             .where(~same))
 
 
+def _joined(found: list[dict]) -> list[dict]:
+    """Ranges (from, to) in order, those that overlap or touch joined."""
+    out: list[dict] = []
+    for c in sorted(found, key=lambda c: (c["from"], c["to"])):
+        if out and c["from"] <= out[-1]["to"]:
+            out[-1]["to"] = max(out[-1]["to"], c["to"])
+        else:
+            out.append(dict(c))
+    return out
+
+
 def spans(found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row a document version: doc_id, row and cuts (from, to, other): words to cut, and where an equal passage stands."""
+    """One row a document version: doc_id, row, cuts (from, to): the words to cut, and passages (from, to, other).
+
+    A passage's words stand, as one run, in ``other`` too: windows join only where they repeat the same version
+    at the same distance. Passages of several partners may overlap; cuts do not.
+    """
     inside = F.expr(f"prev_doc = doc_id and prev_row = row and at - prev_at < {min_words}")
     cut = found.select("doc_id", "row", F.when(inside, F.col("prev_at") + min_words).otherwise(F.col("at")).alias("from"),
-                       (F.col("at") + min_words).alias("to"), F.col("prev_doc").alias("other"))
+                       (F.col("at") + min_words).alias("to"), F.col("prev_doc").alias("other"), F.col("prev_row").alias("other_row"),
+                       (F.col("at") - F.col("prev_at")).alias("shift"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            merged = []
-            for cuts in batch.column("cuts").to_pylist():
-                out: list[dict] = []
-                for c in sorted(cuts, key=lambda c: (c["from"], c["to"])):
-                    if out and c["from"] <= out[-1]["to"]:
-                        out[-1]["to"] = max(out[-1]["to"], c["to"])
-                    else:
-                        out.append(dict(c))
-                merged.append(out)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(merged, batch.column("cuts").type)],
-                                             ["doc_id", "row", "cuts"])
-
-    kind = "doc_id long, row long, cuts array<struct<`from`: int, `to`: int, other: long>>"
-    return (cut.groupBy("doc_id", "row").agg(F.collect_list(F.struct("from", "to", "other")).alias("cuts"))
+            cuts, passages = [], []
+            for windows in batch.column("windows").to_pylist():
+                by_partner: dict[tuple, list[dict]] = {}
+                for c in windows:
+                    by_partner.setdefault((c["other"], c.pop("other_row"), c.pop("shift")), []).append(c)
+                own = [c for some in by_partner.values() for c in _joined(some)]
+                passages.append(sorted(own, key=lambda c: (c["from"], c["to"], c["other"])))
+                cuts.append([{"from": c["from"], "to": c["to"]} for c in _joined(own)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(cuts, RANGES), pa.array(passages, PASSAGES)],
+                                             ["doc_id", "row", "cuts", "passages"])
+
+    kind = ("doc_id long, row long, cuts array<struct<`from`: int, `to`: int>>, "
+            "passages array<struct<`from`: int, `to`: int, other: long>>")
+    return (cut.groupBy("doc_id", "row").agg(F.collect_list(F.struct("from", "to", "other", "other_row", "shift")).alias("windows"))
             .mapInArrow(merge, kind))
 
 
@@ -252,7 +271,7 @@ def cut_text(raw: bytes, cuts: list[dict]) -> str:
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
           drop_emptied: bool = True) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text_col``; a row that loses all its words goes."""
-    cuts = common.written(spans(repeats(docs, id_col, text_col, min_words), min_words), "cuts")
+    cuts = common.written(spans(repeats(docs, id_col, text_col, min_words), min_words).drop("passages"), "cuts")
     names = docs.columns
     flat = cuts.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("cuts").alias("__cuts"))
     key = F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0))
