@@ -4,8 +4,10 @@ Texts are lower-cased; every run of other characters than letters is one space.
 to ``N_MAX`` are hashed into ``BUCKETS``; a feature is (1 + log tf) * idf, the vector scaled to unit
 length. Document frequencies are counted over all documents that may be learned from. Weights are
 trained by follow-the-regularised-leader with elastic-net penalties (L1 leaves most weights at zero)
-on a bounded sample: about ``PER_LANGUAGE`` documents of each language, those with the smallest hash of
-their id; one temperature, fitted on a fifth of the sample, calibrates the probabilities.
+on a sample: the ``PER_LANGUAGE`` documents of each language with the smallest hash of their id (all of a
+language with fewer), the one bound there is. Whole texts are counted in Spark tasks; the driver gets their
+n-gram counts, at most ``BUCKETS`` a text. One temperature, fitted on a fifth of each language's sample,
+calibrates the probabilities.
 
 Learned from: text and non-null lang of documents whose crc32(id as text) modulo 5 is not 0 (a null id
 is held out). Null text, or one without letters, is ``und`` with score 0. Without any label every text
@@ -20,13 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import re
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import common
 from .token_files import text_chunks
 
 N_MAX, BUCKETS = 3, 1 << 14
-PER_LANGUAGE, FIT_CHARS = 800, 12_000_000
+PER_LANGUAGE, HASH_BITS = 800, 30
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.05, 1e-3, 4
 SEGMENT = 1 << 20
 OTHER = re.compile(r"[\W\d_]+")
@@ -69,13 +71,14 @@ class Model:
         self.names, self.idf, self.temperature = names, idf, 1.0
         self.weights = np.zeros((BUCKETS + 1, len(names)))
 
-    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, check: np.ndarray) -> "Model":
+    def fit(self, rows: "Sample", y: np.ndarray, check: np.ndarray) -> "Model":
         """FTRL-proximal, one document at a time, with L1 and L2 penalties; the last row is the intercept."""
         z, n = np.zeros_like(self.weights), np.zeros_like(self.weights)
         rng, learn = np.random.default_rng(11), np.flatnonzero(~check)
         for _ in range(EPOCHS):
             for i in rng.permutation(learn):
-                at, v = np.r_[rows[i][0], BUCKETS], np.r_[rows[i][1], 1.0]
+                at, v = rows[i]
+                at, v = np.r_[at, BUCKETS], np.r_[v, 1.0]
                 w = self._solve(z[at], n[at])
                 p = _softmax(v @ w)
                 p[y[i]] -= 1
@@ -129,24 +132,72 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return df[:-1], int(df[-1])
 
 
+def packed_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """The buckets that a text has, and their counts in the least width that holds them."""
+    at = np.flatnonzero(counts)
+    n = counts[at]
+    return at.astype("<u2").tobytes(), n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
+
+
+class Sample:
+    """The vectors of packed counts, made when asked for."""
+
+    def __init__(self, at: list[bytes], counts: list[bytes], idf: np.ndarray):
+        self.at, self.counts, self.idf = at, counts, idf
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        counts, at = np.zeros(BUCKETS, np.int64), np.frombuffer(self.at[i], "<u2")
+        if len(at):
+            counts[at] = np.frombuffer(self.counts[i], f"<u{len(self.counts[i]) // len(at)}")
+        return vector(counts, self.idf)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at, texts in text_chunks(batch.column("text")):
+            found = [packed_counts(frequencies(normal(t))) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(k).slice(at, len(texts)) for k in ("lang", "u", "doc_id")] + [
+                pa.array([x[j] for x in found], pa.binary()) for j in (0, 1)], ["lang", "u", "doc_id", "buckets", "counts"])
+
+
+def sample(known: DataFrame, levels: dict[str, dict[int, int]], per_language: int) -> DataFrame:
+    """lang, rank, u, buckets and counts of the ``per_language`` rows of each language with the least (u, doc_id).
+
+    ``levels``: rows of each language by the bit length of u. All rows up to the first length that has enough are
+    counted in tasks, for unique ids about twice as many as wanted at most; then they are ranked.
+    """
+    upto = {}
+    for lang, by_level in levels.items():
+        total = 0
+        for k in sorted(by_level):
+            upto[lang], total = k, total + by_level[k]
+            if total >= per_language:
+                break
+    last = F.create_map(*[F.lit(x) for pair in upto.items() for x in pair])
+    rows = known.where(F.col("level") <= F.element_at(last, F.col("lang"))).select("lang", "u", "doc_id", "text")
+    counted = rows.mapInArrow(_count, "lang string, u long, doc_id long, buckets binary, counts binary")
+    order = Window.partitionBy("lang").orderBy("u", "doc_id", "buckets", "counts")
+    return (counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+            .select("lang", "rank", "u", "buckets", "counts"))
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    uniform = F.pmod(F.xxhash64("doc_id"), F.lit(1 << HASH_BITS))
     known = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          F.col("lang").cast("string").alias("lang"))
-             .where("lang is not null and text is not null").where(~common.held_out(F.col("doc_id"))))
+             .where("lang is not null and text is not null").where(~common.held_out(F.col("doc_id")))
+             .withColumn("u", uniform).withColumn("level", F.length(F.bin("u"))))
     df, total = document_frequencies(known)
     idf = np.log((1 + total) / (1 + df)) + 1
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
-    model = Model(sorted(sizes), idf)
-    if not sizes:
+    levels: dict[str, dict[int, int]] = {}
+    for r in known.groupBy("lang", "level").agg(F.count(F.lit(1)).alias("n")).collect():  # at most HASH_BITS rows a language
+        levels.setdefault(r["lang"], {})[r["level"]] = r["n"]
+    model = Model(sorted(levels), idf)
+    if not levels:
         return model
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, per_language / n)])
-    uniform = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = (known.withColumn("u", uniform).where(F.col("u") < F.element_at(share, F.col("lang")))
-            .orderBy("u", "doc_id", "text").limit(2 * per_language * len(sizes)).toArrow().to_pandas())
-    rows = rows[rows["text"].str.len().cumsum() <= FIT_CHARS]
-    vectors = [vector(frequencies(normal(t)), idf) for t in rows["text"]]
+    rows = sample(known, levels, per_language).toArrow().to_pandas().sort_values(["u", "lang", "rank"])
     y = rows["lang"].map({k: i for i, k in enumerate(model.names)}).to_numpy(int)
-    return model.fit(vectors, y, np.arange(len(y)) % 5 == 4)
+    return model.fit(Sample(rows["buckets"].tolist(), rows["counts"].tolist(), idf), y, rows["rank"].to_numpy() % 5 == 0)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
