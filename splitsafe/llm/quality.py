@@ -3,13 +3,14 @@
 Tokens are runs of letters (lower-cased), runs of digits, and runs of one punctuation mark; each run of
 letters also gives a token for its shape (upper, title, lower, mixed), marks and digits one for theirs. A token's *index vector* is
 sparse, with entries +1 and -1 chosen by its hash. Its *word vector* is its index vector plus, scaled,
-the sum of the index vectors of its neighbours over the fit sample (random indexing); tokens share
+the sum of the index vectors of its neighbours in the fit sample's texts (random indexing); tokens share
 ``BUCKETS`` hash buckets. A document is pooled into the mean of its tokens' word vectors, weighted by
 1 + log(count), next to a few rates (shapes, length, distinct words, words that repeat the one before). A two-layer numpy network
 gives a logit, and one temperature, fitted on a fifth of the sample, calibrates its probability.
 
 The fit takes a bounded sample of the labelled rows: ``FIT_ROWS`` of those not held out with the
-smallest hash of their id (documented bound; scoring covers every whole text). Held out: crc32 of the
+smallest hash of their id (the one bound, documented; fit and scoring cover every whole text: the sample is
+read in Spark tasks, and the driver gets sums of fixed size and one vector a row). Held out: crc32 of the
 id as text, modulo 5, is 0; a null id is held out. Null text scores as empty. Labels that are null or
 contradict each other for an id are not learned. Repeated rows are scored each. With fewer than two
 classes to learn from, the score is the share of label 1 (0.5 without labels). Extra columns have no
@@ -34,7 +35,7 @@ from .token_files import text_chunks
 
 DIM, NONZERO, BUCKETS, WINDOW = 64, 6, 1 << 14, 2
 HIDDEN, EPOCHS, RATE, DECAY = 32, 60, 3e-3, 1e-4
-FIT_ROWS, FIT_CHARS = 4000, 16_000_000
+FIT_ROWS, FLUSH = 4000, 1 << 20
 THRESHOLD = 0.3
 SEGMENT, KNOWN_CHUNKS = 1 << 20, 300_000
 TOKEN = re.compile(r"[^\W\d_]+|\d+|([^\w\s]|_)\1*")
@@ -166,30 +167,98 @@ class Model:
         return 1 / (1 + np.exp(-(self.logits(x) / self.temperature).clip(-30, 30)))
 
 
-def word_vectors(texts: list[str]) -> np.ndarray:
-    """Random indexing over the sample: each bucket's index vector plus its neighbours' (both scaled)."""
-    chunks, (pos, sign) = Chunks(), _hashed()
-    context = np.zeros(BUCKETS * DIM)
-
-    def add(near: np.ndarray, far: np.ndarray) -> None:
+class Contexts:
+    """For every bucket, the sum of the index vectors of its neighbours: whole numbers, the same in any order."""
+
+    def __init__(self):
+        self.chunks, (self.pos, self.sign) = Chunks(), _hashed()
+        self.total = np.zeros(BUCKETS * DIM)
+        self.ids: list[np.ndarray] = []
+        self.held, self.tail = 0, np.zeros(0, np.int64)
+
+    def add(self, text: str) -> None:
+        for words in _segments(text):
+            ids = np.fromiter(chain.from_iterable(map(self.chunks.__getitem__, words)), np.int64)
+            self._put(ids[ids >= SHAPES])
+        self._put(np.full(WINDOW, -1))  # no neighbours across texts
+
+    def _put(self, ids: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.held += len(ids)
+        if self.held > FLUSH:
+            self._flush()
+
+    def _flush(self) -> None:
+        flat, done = np.concatenate([self.tail, *self.ids]), len(self.tail)
+        for k in range(1, WINDOW + 1):
+            at = max(done, k)  # pairs whose later one is new
+            a, b = flat[at - k:len(flat) - k], flat[at:]
+            both = (a >= 0) & (b >= 0)
+            self._pairs(a[both], b[both])
+            self._pairs(b[both], a[both])
+        self.ids, self.held, self.tail = [], 0, flat[-WINDOW:]
+
+    def _pairs(self, near: np.ndarray, far: np.ndarray) -> None:
         for j in range(NONZERO):
-            np.add(context, np.bincount(near * DIM + pos[far, j], sign[far, j], BUCKETS * DIM), out=context)
-
-    ids: list[np.ndarray] = []
-    for t in [*texts, ""]:
-        for words in _segments(t):
-            ids.append(np.fromiter(chain.from_iterable(map(chunks.__getitem__, words)), np.int64))
-        if sum(map(len, ids)) > 1 << 20 or not t and ids:
-            flat, ids = np.concatenate(ids), []
-            flat = flat[flat >= SHAPES]
-            for k in range(1, WINDOW + 1):
-                add(flat[:-k], flat[k:])
-                add(flat[k:], flat[:-k])
-    context = context.reshape(BUCKETS, DIM).astype(np.float32)
+            np.add(self.total, np.bincount(near * DIM + self.pos[far, j], self.sign[far, j], BUCKETS * DIM), out=self.total)
+
+    def sums(self) -> np.ndarray:
+        self._flush()
+        return self.total.reshape(BUCKETS, DIM)
+
+
+def _sums(rows: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(rows.any(1))
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([r.tobytes() for r in rows[at]], pa.binary())], ["bucket", "sums"])
+
+
+def contexts(sample: DataFrame) -> np.ndarray:
+    """``Contexts`` of all texts of a table: BUCKETS x DIM numbers, whatever their length."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Contexts()
+        for batch in batches:
+            for _, texts in text_chunks(batch.column("text")):
+                for t in texts:
+                    own.add(t)
+        yield _sums(own.sums())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((BUCKETS, DIM))
+        for batch in batches:
+            for k, sums in zip(batch.column("bucket").to_pylist(), batch.column("sums").to_pylist()):
+                total[k] += np.frombuffer(sums)
+        yield _sums(total)
+
+    kind, out = "bucket int, sums binary", np.zeros((BUCKETS, DIM))
+    got = sample.select("text").mapInArrow(count, kind).repartition("bucket").mapInArrow(add, kind).toArrow()
+    for k, sums in zip(got.column("bucket").to_pylist(), got.column("sums").to_pylist()):
+        out[k] = np.frombuffer(sums)
+    return out
+
+
+def word_vectors(context: np.ndarray) -> np.ndarray:
+    """Random indexing over the sample: each bucket's index vector plus its neighbours' (both scaled)."""
+    context = context.astype(np.float32)
     length = np.linalg.norm(context, axis=1, keepdims=True)
     return index_vectors() / NONZERO ** 0.5 + context / np.maximum(length, 1e-6)
 
 
+def _pooled_rows(sample: DataFrame, vectors: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+    """The pooled vector of each (doc_id, t) of the sample."""
+    shared = sample.sparkSession.sparkContext.broadcast(vectors)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = Chunks()
+        for batch in batches:
+            for at, texts in text_chunks(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), batch.column("t").slice(at, len(texts)),
+                                                  pa.array([pooled(t, chunks, shared.value).tobytes() for t in texts], pa.binary())], ["doc_id", "t", "x"])
+
+    got = sample.select("doc_id", "t", "text").mapInArrow(task, "doc_id long, t long, x binary").toArrow().to_pydict()
+    return {(i, t): np.frombuffer(x, np.float32) for i, t, x in zip(got["doc_id"], got["t"], got["x"])}
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on at most ``fit_rows`` labelled rows that aren't held out."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
@@ -198,12 +267,19 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
              .select("doc_id", "y", F.xxhash64("doc_id").alias("h")))
     chosen = known.orderBy("h", "doc_id").limit(fit_rows)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = own.join(F.broadcast(chosen), "doc_id").orderBy("h", "doc_id", "text").limit(fit_rows).toArrow().to_pandas()
-    keep = rows["text"].str.len().cumsum() <= FIT_CHARS
-    rows = rows[keep]
-    texts, y = rows["text"].tolist(), rows["y"].to_numpy(int)
-    vectors, chunks = word_vectors(texts), Chunks()
-    x = np.stack([pooled(t, chunks, vectors) for t in texts]) if len(texts) else np.zeros((0, DIM + RATES), np.float32)
+    own = own.join(F.broadcast(chosen), "doc_id").withColumn("t", F.xxhash64("text"))
+    # equal rows are read once and counted as often as they are there; a text stays in its task until it is chosen
+    keys = own.groupBy("h", "doc_id", "t", "y").agg(F.count(F.lit(1)).alias("n")).orderBy("h", "doc_id", "t").limit(fit_rows).collect()
+    spark = docs.sparkSession
+    wanted = spark.createDataFrame([(r["doc_id"], r["t"]) for r in keys], "doc_id long, t long")
+    sample = common.written(own.select("doc_id", "t", "text").join(F.broadcast(wanted), ["doc_id", "t"], "left_semi")
+                            .groupBy("doc_id", "t").agg(F.min("text").alias("text")), "quality")
+    vectors = word_vectors(contexts(sample))
+    found = _pooled_rows(sample, vectors)
+    times = np.array([r["n"] for r in keys], np.int64)
+    times = np.diff(np.minimum(np.cumsum(times), fit_rows), prepend=0)
+    x = np.stack([found[r["doc_id"], r["t"]] for r in keys]) if keys else np.zeros((0, DIM + RATES), np.float32)
+    x, y = np.repeat(x, times, 0), np.repeat(np.array([r["y"] for r in keys], int), times)
     check = np.arange(len(y)) % 5 == 4
     return Model(vectors).fit(x, y, check)
 

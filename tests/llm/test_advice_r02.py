@@ -3,7 +3,9 @@
 import re
 import zlib
 
-from splitsafe.llm import common, langid, suffix_dedup
+import numpy as np
+
+from splitsafe.llm import common, langid, quality, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +71,33 @@ def test_long_texts_do_not_end_the_language_sample(spark):
     assert [y.count(k) for k in range(3)] == [40, sizes[1], sizes[2]]
     assert [sum(c for c, k in zip(check, y) if k == j) for j in range(3)] == [8, sizes[1] // 5, sizes[2] // 5]
     assert model.predict("tres cuatro uno")[0] == "bb" and model.predict("zz zz zz dwa trzy")[0] == "cc"
+
+
+def test_a_long_text_does_not_end_the_quality_sample(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, "A fine sentence, with care." if i % 2 else "buy buy now !!! $$$") for i in ids]
+    first = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h").first()["doc_id"]
+    rows = [(i, t + " x" * 8_100_000 if i == first else t) for i, t in rows]  # above 16 million characters, and first by hash
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    model = quality.fit(df, labels)
+    assert model.prior is None
+    assert sum(r["predicted"] == r["doc_id"] % 2 for r in quality.score(df, model).collect()) >= len(ids) - 1
+
+
+def test_contexts_are_those_of_each_text(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FLUSH", 7)
+    texts = ["a b c d e f g h i", "", "x", "b a, b! c 12", "q w e r t y u i o p a s d f"]
+    pos, sign = quality._hashed()
+    want = np.zeros((quality.BUCKETS, quality.DIM))
+    for t in texts:
+        ids = [k for w in t.split() for k in quality.Chunks()[w] if k >= quality.SHAPES]
+        for i, a in enumerate(ids):
+            for b in ids[max(0, i - quality.WINDOW):i] + ids[i + 1:i + 1 + quality.WINDOW]:
+                np.add.at(want[a], pos[b], sign[b])
+    own = quality.Contexts()
+    for t in texts:
+        own.add(t)
+    assert (own.sums() == want).all()
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    assert (quality.contexts(df) == want).all()
