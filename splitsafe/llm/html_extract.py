@@ -57,6 +57,9 @@ def _names(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(words)]) if words else tag
 
 
+IN_HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+
+
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in order."""
     out: list[Block] = []
@@ -85,6 +88,8 @@ def blocks(page: str | None) -> list[Block]:
     while at < len(page):
         m = MARKUP.search(page, at)
         stop = m.start() if m else len(page)
+        if stop > at and stack and stack[-1][0] == "head" and not page[at:stop].isspace():  # text ends an open head
+            pop_to(len(stack) - 1)
         if stop > at and not hidden:
             parts.append(page[at:stop])
             if in_link:
@@ -108,6 +113,8 @@ def blocks(page: str | None) -> list[Block]:
                 if tag in INLINE and stack[k][0] not in INLINE:
                     break
             continue
+        if tag not in IN_HEAD and stack and stack[-1][0] == "head":
+            pop_to(len(stack) - 1)
         if tag == "br" or tag == "img":
             parts.append(" ") if not hidden else None
         if tag not in INLINE:

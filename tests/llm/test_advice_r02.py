@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 
-from splitsafe.llm import common, langid, quality, suffix_dedup
+from splitsafe.llm import common, html_extract, langid, quality, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -101,3 +101,10 @@ def test_contexts_are_those_of_each_text(spark, monkeypatch):
     assert (own.sums() == want).all()
     df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
     assert (quality.contexts(df) == want).all()
+
+
+def test_an_open_head_ends_at_the_first_tag_or_text_of_the_body():
+    for rest in ("<h1>News</h1><p>Some words.", "<p>News<p>Some words.", "News<p>Some words.", "<b>News</b><p>Some words."):
+        page = "<html><head> <title>T</title>\n<meta charset=utf-8><style>p {}</style><script>var t</script>" + rest
+        assert [b.text for b in html_extract.blocks(page)] == ["News", "Some words."]
+    assert [b.text for b in html_extract.blocks("<head><title>T</title></head><body><p>x")] == ["x"]
