@@ -23,7 +23,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import tokens
-from .token_files import text_chunks
 
 BIN_TOKENS = 4_000_000
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -84,14 +83,13 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, l
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer)
-        end = np.array([end_id], enc.dtype).tobytes()
-        width, first = enc.dtype.itemsize, TaskContext.get().partitionId() << 32
-        rows: list[tuple[int | None, bytes]] = []
+        first = TaskContext.get().partitionId() << 32
+        rows: list[tuple[int | None, np.ndarray]] = []
         held = 0
 
         def flush():
             nonlocal first, rows, held
-            sizes = np.array([len(x) // width for _, x in rows], np.int64)
+            sizes = np.array([len(x) for _, x in rows], np.int64)
             pieces = assign(sizes, length, linear, quadratic)
             for at in range(0, len(pieces), 2000):
                 part = pieces[at:at + 2000]
@@ -99,17 +97,19 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, l
                     pa.array([rows[p[0]][0] for p in part], pa.int64()), pa.array([p[1] for p in part], pa.int64()),
                     pa.array([p[2] for p in part], pa.int64()), pa.array([int(sizes[p[0]]) for p in part], pa.int64()),
                     pa.array([first + p[3] for p in part], pa.int64()), pa.array([p[4] for p in part], pa.int64()),
-                    pa.array([np.frombuffer(rows[p[0]][1], enc.dtype, p[2], p[1] * width).astype("<u4").tobytes() for p in part], pa.binary())],
+                    pa.array([rows[p[0]][1][p[1]:p[1] + p[2]].astype("<u4").tobytes() for p in part], pa.binary())],
                     ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
             first += 1 + max((p[3] for p in pieces), default=-1)
             rows, held = [], 0
 
         for batch in batches:
-            ids = batch.column("id")
-            for at, texts in text_chunks(batch.column("text")):
-                for i, x in enumerate(enc.ids(texts)):
-                    rows.append((ids[at + i].as_py(), x + end))
-                    held += len(x) // width + 1
+            at = 0
+            for texts in tokens.row_chunks(batch.column("text")):
+                ids, ends = enc.encode(texts)
+                ids = np.insert(ids, ends, end_id)
+                ends = ends + np.arange(1, len(ends) + 1)
+                rows += zip(batch.column("id")[at:at + len(texts)].to_pylist(), np.split(ids, ends[:-1]))
+                at, held = at + len(texts), held + len(ids)
                 if held >= bin_tokens:
                     yield from flush()
         if rows:

@@ -1,7 +1,7 @@
 """Token-id output: flat unsigned integer files with 64-bit document offsets, memory-mapped on reading.
 
 Format, one shard per range of document ids (shards in ascending id order, documents in ascending id
-order inside a shard; repeated ids stand next to each other in no fixed order):
+order inside a shard, rows of one id in the order of a 64-bit hash of their texts, so that only equal texts tie):
 
 * ``<shard>.ids``  token ids of all documents, end id after each; uint16 if the vocabulary fits, else uint32
 * ``<shard>.off``  n + 1 little-endian uint64: where each document begins in the shard, and the shard's length
@@ -11,7 +11,8 @@ order inside a shard; repeated ids stand next to each other in no fixed order):
 ``base`` is a prefix sum over the manifest, so a document's place in the whole corpus is base + offset.
 Each task writes under a name of its own and renames at the end: a repeated or speculative attempt
 cannot leave a half-written shard. A null text is an empty one; an empty table has an empty manifest.
-Only the id and text columns are read; extra columns have no effect.
+Only the id and text columns are read; extra columns have no effect. A very long text is encoded alone,
+in memory of a small multiple of its size.
 """
 
 from __future__ import annotations
@@ -56,30 +57,29 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, id_col:
     spark = docs.sparkSession
     n = shards or common.partitions_for(spark)
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-               .repartitionByRange(n, "id").sortWithinPartitions("id"))
+               .withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "id").sortWithinPartitions("id", "tie").drop("tie"))
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, store, base = tokens.encoder(tokenizer), *_open(folder)
-        end = np.array([end_id], enc.dtype).tobytes()
-        width, total, offsets, docs_ = enc.dtype.itemsize, 0, [0], []
+        width, total, offsets, docs_ = enc.dtype.itemsize, 0, [np.zeros(1, np.int64)], []
         name, own = f"{base}/{TaskContext.get().partitionId():08d}", uuid.uuid4().hex
         out = None
         for batch in batches:
             if out is None and batch.num_rows:
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{name}.ids.{own}")
-            ids = batch.column("id")
-            for at, texts in text_chunks(batch.column("text")):
-                for x in enc.ids(texts):
-                    out.write(x)
-                    out.write(end)
-                    total += len(x) // width + 1
-                    offsets.append(total)
-                docs_.append(np.array([NULL_ID if i is None else i for i in ids[at:at + len(texts)].to_pylist()], "<i8"))
+            docs_.append(batch.column("id").fill_null(NULL_ID).to_numpy().astype("<i8"))
+            for texts in tokens.row_chunks(batch.column("text")):
+                ids, ends = enc.encode(texts)
+                out.write(np.insert(ids, ends, end_id).tobytes())
+                ends = total + ends + np.arange(1, len(ends) + 1)
+                offsets.append(ends)
+                total = int(ends[-1])
         if out is None:
             return
         out.close()
-        for suffix, data in (("off", np.array(offsets, "<u8")), ("doc", np.concatenate(docs_))):
+        offsets = np.concatenate(offsets).astype("<u8")
+        for suffix, data in (("off", offsets), ("doc", np.concatenate(docs_))):
             with store.open_output_stream(f"{name}.{suffix}.{own}") as f:
                 f.write(data.tobytes())
         for suffix in ("ids", "off", "doc"):

@@ -1,10 +1,12 @@
 """The training-data operators against brute force, exact round trips and held-out accuracy, and on odd rows."""
 
+import random
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from splitsafe.llm import ann, common, decontam, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
@@ -32,11 +34,22 @@ def none(spark):
     return spark.createDataFrame([], DOCS)
 
 
-def test_ids_are_the_librarys():
-    enc = tokens.encoder(tokens.default_tokenizer())
-    texts = ["a  b", " x", "y ", "a\n\nb", "a \nb", "a\n b", "<|endoftext|> hi", "it's we'll\nI'm", "x y", "", None, "\n", "a\tb", "word,. b", "é,è! ù?", "a b\nc d"]
-    for t, x in zip(texts, enc.ids(texts)):
-        assert np.frombuffer(x, enc.dtype).tolist() == (enc.tokenizer.encode(t, add_special_tokens=False).ids if t else [])
+@pytest.mark.parametrize("path", [tokens.default_tokenizer(), tokens.word_tokenizer()])
+def test_ids_are_the_librarys(path):
+    enc = tokens.Encoder(path)
+    texts = ["a  b", " x", "y ", "a\n\nb", "a \nb", "a\n b", "<|endoftext|> hi", "it's we'll\nI'm", "x\u00a0y", "", None, "\n", "a\tb", "word,. b", "\u00e9,\u00e8! \u00f9?", "a b\nc d"]
+    rng = random.Random(3)
+    parts = [*"ab cS'\n\t\r\x0b\x1c1.,\u00a0\u00e9\u0301\u3000\u00c9\u03a3\u0130\ud55c\ufb01", "<|endoftext|>", "'s", "  ", "the "]
+    texts += ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(5000)]
+    column = pa.array(texts)
+    for chunk in (column, column.slice(7, 100), column.cast(pa.large_string())):
+        ids, ends = enc.encode(chunk)
+        found = np.split(ids, ends[:-1])
+        assert len(ids) == ends[-1]
+        for t, x in zip(chunk.to_pylist(), found):
+            assert x.tolist() == (enc.tokenizer.encode(t, add_special_tokens=False).ids if t else [])
+    assert enc.encode(pa.array([None, ""], pa.string()))[1].tolist() == [0, 0]
+    assert [len(c) for c in tokens.row_chunks(column, 200)] and sum(len(c) for c in tokens.row_chunks(column, 200)) == len(texts)
 
 
 def test_token_files_round_trip(spark, docs, odd, none):
