@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, common, decontam, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
+from . import ann, bestfit, common, decontam, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,9 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(common.table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bestfit.pack(common.table(spark, sf_dir, "documents"), tokens.word_tokenizer())
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
