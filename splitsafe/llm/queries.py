@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bestfit, common, decontam, html_extract, jaccard_join, langid, packing, quality, suffix_dedup, token_files, tokens, warc
+from . import ann, bestfit, common, decontam, html_extract, jaccard_join, langid, packing, quality, search, suffix_dedup, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,27 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = bestfit.pack(common.table(spark, sf_dir, "documents"), tokens.word_tokenizer())
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"), k=20)
+
+
+def _terms_sql(text: str) -> str:
+    lower = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"unnest(regexp_extract_all({lower}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'))"
+
+
+ORACLES["op12_lexical_search"] = f"""
+WITH t AS (SELECT doc_id, {_terms_sql("text")} AS term FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * c.docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, c GROUP BY term, c.docs),
+p AS (SELECT tf.doc_id, tf.term, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * n.n * c.docs) // c.terms))) AS impact
+      FROM tf JOIN n USING (doc_id) JOIN w USING (term), c),
+q AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, {_terms_sql("text")} AS term FROM benchmark) GROUP BY item_id, term),
+s AS (SELECT q.item_id, p.doc_id, CAST(sum(q.repeats * p.impact) AS BIGINT) AS score FROM q JOIN p USING (term) GROUP BY q.item_id, p.doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20"""
