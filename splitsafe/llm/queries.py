@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bestfit, common, decontam, html_extract, jaccard_join, langid, packing, quality, search, suffix_dedup, token_files, tokens, warc
+from . import ann, bestfit, common, decontam, html_extract, jaccard_join, langid, packing, periodic, quality, search, suffix_dedup, token_files, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,33 @@ q AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, {_terms_sq
 s AS (SELECT q.item_id, p.doc_id, CAST(sum(q.repeats * p.impact) AS BIGINT) AS score FROM q JOIN p USING (term) GROUP BY q.item_id, p.doc_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20"""
+
+
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where of a tenth of the documents (h % 10 = 0, h = crc32 of the id) the words from a = g % n on
+    repeat the first p = 1 + (n - a) div (3 + g % 8) of them, g = h div 10, n words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), h.alias("h"))
+    words = F.when(F.col("h") % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).alias("ws")
+    rows = rows.select("doc_id", "text", F.expr("h div 10").alias("g"), words).withColumn("n", F.size("ws"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    text = F.expr("""array_join(concat(slice(ws, 1, a),
+                     slice(flatten(array_repeat(slice(ws, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')""")
+    return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_digest(docs: DataFrame) -> DataFrame:
+    found = periodic.find(with_planted_repeats(docs))
+    top = F.expr("""aggregate(slice(runs, 2, greatest(size(runs) - 1, 0)), runs[0],
+                              (best, r) -> if(r.length * best.period > best.length * r.period, r, best))""")
+    lines = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\\n'), '')")
+    found = found.withColumn("top", F.when(F.size("runs") > 0, top))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+                        F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_digest(common.table(spark, sf_dir, "documents"))
