@@ -15,8 +15,13 @@ an infinite end), the next pass cuts that range at approximate quantiles, with a
 of its own for each cut value, so every range shrinks to a small share per pass and the
 search always ends.  When the remaining candidate range holds at most
 ``max_exact`` rows per (group, rank), a window *partitioned by group and rank* over just
-those rows finishes exactly.  Each pass collects one schema-sized state table (one
-row per group and rank), never data rows.
+those rows finishes exactly.
+
+The state is one row per group and rank: its range, and the ranks below it.  For up to
+``DRIVER_STATE`` groups (classes, features) a pass collects these rows, never data rows.
+Beyond that the state is a table: each pass joins it with the histogram and writes it to
+the checkpoint folder, groups of at most ``max_exact`` rows go straight to the last window,
+and only two counts reach the driver, however many groups there are.
 """
 
 from __future__ import annotations
@@ -28,10 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 N_BUCKETS = 4096
 MAX_EXACT = 20_000
 N_CUTS = 64                 # quantiles of a range that equal widths don't narrow
-MAX_GROUPS = 100_000        # selection state lives on the driver: one row per (group, rank)
+DRIVER_STATE = 1_000        # groups whose selection state fits the driver easily; a table beyond
+BROADCAST_STATE = 200_000   # state rows that are broadcast, after a count; joined beyond
+MIDDLE = "array_distinct(array((cnt - 1) div 2, cnt div 2))"   # ranks of the one or two middle values of cnt
 
 
 def orderable(df: DataFrame, c: str) -> F.Column:
@@ -69,10 +78,12 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
 
     ``targets`` (a DataFrame, a list of row dicts, or a function from the
     per-group counts ``{group key tuple: n}`` to such a list) has
-    ``group_cols + ['k']``; several ``k`` per group are allowed.  Returns a small, already materialised
-    DataFrame ``group_cols + ['k', 'value', 'n_less']`` where ``n_less`` counts the
-    values strictly below the selected one; ``value`` is NULL when the group has
-    fewer than ``k + 1`` values.  The narrow ``(group, value)`` projection is
+    ``group_cols + ['k']``; several ``k`` per group are allowed.  As a SQL expression of an array of
+    ranks over ``cnt`` (a group's number of values, see ``MIDDLE``) it serves any number of groups;
+    the other forms name their groups on the driver.  Returns an already materialised
+    DataFrame ``group_cols + ['k', 'value', 'n_less', 'n_eq']`` where ``n_less`` counts the
+    values strictly below the selected one and ``n_eq`` those equal to it; ``value`` is NULL when the
+    group has fewer than ``k + 1`` values.  The narrow ``(group, value)`` projection is
     persisted for the passes and released before returning.
     """
     spark = data.sparkSession
@@ -91,14 +102,23 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
     if persist:
         x = x.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        init_rows = x.groupBy(*gcols).agg(
-            F.min("__x").alias("lo"), F.max("__x").alias("hi"), F.count(F.lit(1)).alias("cnt")
-        ).limit(MAX_GROUPS + 1).collect()
-        if len(init_rows) > MAX_GROUPS:
-            raise ValueError(f"select_kth is meant for few groups (classes, features); got more than "
-                             f"{MAX_GROUPS}. Group by a coarser key.")
+        sizes = x.groupBy(*gcols).agg(F.min("__x").alias("lo"), F.max("__x").alias("hi"), F.count(F.lit(1)).alias("cnt"))
+        init_rows = sizes.limit(DRIVER_STATE + 1).collect()
+        if len(init_rows) > DRIVER_STATE:
+            if not isinstance(targets, str):
+                sizes = cut_lineage(sizes)
+                if callable(targets):       # one rank a class: the caller holds its classes on the driver anyway
+                    targets = targets({gk(r)[:len(group_cols)]: r["cnt"] for r in sizes.toLocalIterator()})
+                if isinstance(targets, list):
+                    targets = spark.createDataFrame([tuple(t[g] for g in gcols) + (int(t["k"]),) for t in targets],
+                                                    T.StructType(gschema + [T.StructField("k", T.LongType())]))
+            out = _select_in_tables(x, sizes, targets, gcols, n_buckets, max_exact, out_schema)
+            return out if group_cols else out.drop("__g")
         init = {gk(r): r for r in init_rows}
-        if callable(targets):
+        if isinstance(targets, str):
+            ranks = spark.createDataFrame(init_rows, sizes.schema).select(*gcols, F.explode(F.expr(targets)).alias("k"))
+            trows = [r.asDict() for r in ranks.collect()] if init_rows else []
+        elif callable(targets):
             trows = targets({(k if group_cols else ()): v["cnt"] for k, v in init.items()})
         elif isinstance(targets, list):
             trows = targets
@@ -180,38 +200,98 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
     return out if group_cols else out.drop("__g")
 
 
+def _select_in_tables(x: DataFrame, sizes: DataFrame, targets, gcols, n_buckets: int, max_exact: int,
+                      out_schema: T.StructType) -> DataFrame:
+    """The search of :func:`select_kth` with its state (a row per group and rank) as a table."""
+    if isinstance(targets, str):
+        start = sizes.withColumn("k", F.explode(F.expr(targets)))
+        asked = None
+    else:
+        asked = targets.select(*gcols, F.col("k").cast("long").alias("k"))
+        start = _null_safe_join(sizes, asked, gcols)
+    start = start.where((F.col("k") >= 0) & (F.col("k") < F.col("cnt")))
+    state = cut_lineage(start.select(*gcols, "k", "lo", "hi", "cnt", F.lit(0).cast("long").alias("below"),
+                                     F.col("cnt").alias("n"), F.lit(False).alias("slow")))
+    open_ = (F.col("lo") != F.col("hi")) & (F.col("cnt") > max_exact)
+    # widths that overflow, or a range that the last pass hardly narrowed, are cut at quantiles
+    uneven = F.col("slow") | (F.abs(F.col("hi") - F.col("lo")) == float("inf"))
+
+    def inside(st, n):
+        j = _null_safe_join(x, F.broadcast(st) if n <= BROADCAST_STATE else st, gcols)
+        return j.where((F.col("__x") >= F.col("lo")) & (F.col("__x") <= F.col("hi")))
+
+    while True:
+        n_open, n_uneven = state.where(open_).agg(F.count(F.lit(1)), F.count(F.when(uneven, 1))).first()
+        if not n_open:
+            break
+        act = state.where(open_).withColumn("cuts", F.lit(None).cast("array<double>"))
+        if n_uneven:
+            steps = F.array(*[F.lit(i / N_CUTS) for i in range(N_CUTS + 1)])
+            found = inside(state.where(open_ & uneven), n_uneven).groupBy(*gcols, "k").agg(
+                F.array_sort(F.array_distinct(F.percentile_approx("__x", steps, 10_000))).alias("__cuts"))
+            act = (_null_safe_join(act, found, gcols + ["k"], "left")
+                   .withColumn("cuts", F.col("__cuts")).drop("__cuts"))
+        width = F.least(F.floor((F.col("__x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_buckets),
+                        F.lit(n_buckets - 1))
+        cut = F.expr("2 * size(filter(cuts, c -> c < __x)) + if(array_contains(cuts, __x), 1, 0)")
+        b = F.when(F.col("cuts").isNull(), width).otherwise(cut.cast("long"))
+        hist = inside(act, n_open).groupBy(*gcols, "k", "below", "n", F.col("cnt").alias("was"), b.alias("b")).agg(
+            F.count(F.lit(1)).alias("cnt"), F.min("__x").alias("lo"), F.max("__x").alias("hi"))
+        w = Window.partitionBy(*gcols, "k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("at", F.col("below") + F.coalesce(F.sum("cnt").over(w), F.lit(0)))
+        pick = hist.where((F.col("at") <= F.col("k")) & (F.col("k") < F.col("at") + F.col("cnt")))
+        state = cut_lineage(state.where(~open_).unionByName(pick.select(
+            *gcols, "k", "lo", "hi", "cnt", F.col("at").alias("below"), "n", (4 * F.col("cnt") > F.col("was")).alias("slow"))))
+
+    keys = gcols + ["k"]
+    found = state.where("lo = hi").select(*keys, F.col("lo").alias("value"), F.col("below").alias("n_less"),
+                                          F.col("cnt").alias("n_eq"))
+    w, ties = Window.partitionBy(*keys).orderBy("__x"), Window.partitionBy(*keys, "__x")
+
+    def ranked(j):                      # at most max_exact rows per group and rank
+        return j.select(*keys, F.col("__x").alias("value"), (F.col("below") + F.row_number().over(w) - 1).alias("at"),
+                        (F.col("below") + F.rank().over(w) - 1).alias("n_less"),
+                        F.count(F.lit(1)).over(ties).alias("n_eq")).where("at = k").select(*keys, "value", "n_less", "n_eq")
+
+    # rows of groups that were narrowed are picked out by their ranges; the other groups are small as they are
+    large = state.where((F.col("n") > max_exact) & (F.col("lo") != F.col("hi")))
+    hot = state.where(F.col("n") > max_exact).select(*gcols).distinct()
+    n_large, n_hot = large.count(), hot.count()
+    if n_large:
+        found = found.unionByName(ranked(inside(large, n_large)))
+    small = x
+    if n_hot:
+        small = _null_safe_join(x, F.broadcast(hot) if n_hot <= BROADCAST_STATE else hot, gcols, "left_anti")
+    rest = state.where((F.col("n") <= max_exact) & (F.col("lo") != F.col("hi")))
+    found = found.unionByName(ranked(_null_safe_join(small, rest, gcols)))
+    if asked is not None:               # ranks beyond a group's values: NULL
+        found = _null_safe_join(asked, found, keys, "left")
+    return cut_lineage(found.select(*[f.name for f in out_schema.fields]))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, cols, how: str = "inner") -> DataFrame:
+    """Join on ``cols`` with NULL equal to NULL; the columns of ``left`` stand for both."""
+    r = right.withColumnsRenamed({c: f"__r{i}" for i, c in enumerate(cols)})
+    same = [F.col(c).eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(cols)]
+    return left.join(r, same, how).drop(*[f"__r{i}" for i in range(len(cols))])
+
+
 def medians(data: DataFrame, value_cols, group_cols=(), **kw) -> DataFrame:
     """Exact median per (group, column), pandas midpoint for even counts, NULLs skipped.
 
     The columns are unpivoted into ``(column, x)`` so that all medians share the
-    same selection passes.  Returns a small materialised DataFrame
-    ``group_cols + ['column', 'median']``.
+    same selection passes.  Returns an already materialised DataFrame
+    ``group_cols + ['column', 'median']``, for any number of groups.
     """
     from .profile import stack_columns
     value_cols = list(value_cols)
-    spark = data.sparkSession
     long = stack_columns(data, {c: F.col(c).cast("double") for c in value_cols}, keep=list(group_cols),
                          value="__v")
     long = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     g = list(group_cols) + ["__slot"]
-
-    def middle(counts):                      # ranks of the one or two middle values
-        ks = []
-        for key, n in counts.items():
-            base = dict(zip(g, key))
-            ks.append({**base, "k": (n - 1) // 2})
-            if n // 2 != (n - 1) // 2:
-                ks.append({**base, "k": n // 2})
-        return ks
-
-    sel = select_kth(long, "__v", middle, g, **kw).collect()
-    vals = {}
-    for r in sel:
-        vals.setdefault(tuple(r[c] for c in g), []).append(r["value"])
-    rows = [key[:-1] + (value_cols[key[-1]], sum(v) / len(v)) for key, v in vals.items()]
-    schema = T.StructType([long.schema[c] for c in group_cols] + [T.StructField("column", T.StringType()),
-                                                                  T.StructField("median", T.DoubleType())])
-    return spark.createDataFrame(rows, schema)
+    names = F.array(*[F.lit(c) for c in value_cols])
+    return (select_kth(long, "__v", MIDDLE, g, **kw).groupBy(*g).agg(F.avg("value").alias("median"))
+            .select(*group_cols, F.element_at(names, F.col("__slot") + 1).alias("column"), "median"))
 
 
 def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **kw) -> DataFrame:

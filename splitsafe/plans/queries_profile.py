@@ -278,3 +278,13 @@ def histogram(spark, sf_dir):
     df, r = view(spark, sf_dir, "events_y")
     h = chartdata.histogram(df, ["value"], "target", 50)
     return _r6(h, "edge_lo", "edge_hi", "density")
+
+
+@register("median_by_customer", f"""
+WITH v AS (SELECT o_custkey, o_totalprice, CAST(o_orderkey AS DOUBLE) AS o_orderkey FROM orders)
+SELECT o_custkey, 'o_totalprice' AS "column", {r6('median(o_totalprice)')} AS median FROM v GROUP BY o_custkey
+UNION ALL
+SELECT o_custkey, 'o_orderkey', {r6('median(o_orderkey)')} FROM v GROUP BY o_custkey""")
+def median_by_customer(spark, sf_dir):
+    """Medians of as many groups as there are customers: selection with its state in tables."""
+    return _r6(rank.medians(table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], ["o_custkey"]), "median")
