@@ -86,6 +86,15 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
     group has fewer than ``k + 1`` values.  The narrow ``(group, value)`` projection is
     persisted for the passes and released before returning.
     """
+    out = _select(data, value, targets, group_cols, n_buckets, max_exact, persist)
+    if not isinstance(out, DataFrame):
+        out = data.sparkSession.createDataFrame(*out)
+    return out if group_cols else out.drop("__g")
+
+
+def _select(data: DataFrame, value: str, targets, group_cols=(), n_buckets: int = N_BUCKETS,
+            max_exact: int = MAX_EXACT, persist: bool = True):
+    """:func:`select_kth`: a DataFrame, or for few groups the rows and their schema."""
     spark = data.sparkSession
     gcols = _gkey(group_cols)
     x = data.select(*[F.col(g) for g in group_cols], F.col(value).cast("double").alias("__x"))
@@ -103,7 +112,8 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
         x = x.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes = x.groupBy(*gcols).agg(F.min("__x").alias("lo"), F.max("__x").alias("hi"), F.count(F.lit(1)).alias("cnt"))
-        init_rows = sizes.limit(DRIVER_STATE + 1).collect()
+        ranks = F.expr(targets) if isinstance(targets, str) else F.lit(None)
+        init_rows = sizes.withColumn("ks", ranks).limit(DRIVER_STATE + 1).collect()
         if len(init_rows) > DRIVER_STATE:
             if not isinstance(targets, str):
                 sizes = cut_lineage(sizes)
@@ -112,19 +122,17 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
                 if isinstance(targets, list):
                     targets = spark.createDataFrame([tuple(t[g] for g in gcols) + (int(t["k"]),) for t in targets],
                                                     T.StructType(gschema + [T.StructField("k", T.LongType())]))
-            out = _select_in_tables(x, sizes, targets, gcols, n_buckets, max_exact, out_schema)
-            return out if group_cols else out.drop("__g")
+            return _select_in_tables(x, sizes, targets, gcols, n_buckets, max_exact, out_schema)
         init = {gk(r): r for r in init_rows}
         if isinstance(targets, str):
-            ranks = spark.createDataFrame(init_rows, sizes.schema).select(*gcols, F.explode(F.expr(targets)).alias("k"))
-            trows = [r.asDict() for r in ranks.collect()] if init_rows else []
+            trows = [{**{g: r[g] for g in gcols}, "k": k} for r in init_rows for k in r["ks"]]
         elif callable(targets):
             trows = targets({(k if group_cols else ()): v["cnt"] for k, v in init.items()})
         elif isinstance(targets, list):
             trows = targets
         else:
             trows = [r.asDict() for r in targets.collect()]
-        if not group_cols:
+        if not group_cols and not isinstance(targets, str):
             trows = [dict(r, __g=1) for r in trows]
         state = []
         for t in trows:
@@ -196,8 +204,7 @@ def select_kth(data: DataFrame, value: str, targets, group_cols=(),
             x.unpersist()
     found = {row[:len(gcols) + 1]: row for row in result}
     rows = [found.get(gk(t) + (int(t["k"]),), gk(t) + (int(t["k"]), None, None, None)) for t in trows]
-    out = spark.createDataFrame(rows, out_schema)
-    return out if group_cols else out.drop("__g")
+    return rows, out_schema
 
 
 def _select_in_tables(x: DataFrame, sizes: DataFrame, targets, gcols, n_buckets: int, max_exact: int,
@@ -289,8 +296,16 @@ def medians(data: DataFrame, value_cols, group_cols=(), **kw) -> DataFrame:
                          value="__v")
     long = long.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     g = list(group_cols) + ["__slot"]
+    found = _select(long, "__v", MIDDLE, g, **kw)
+    if not isinstance(found, DataFrame):
+        middle = {}
+        for r in found[0]:
+            middle.setdefault(r[:len(g)], []).append(r[len(g) + 1])
+        rows = [key[:-1] + (value_cols[key[-1]], sum(v) / len(v)) for key, v in middle.items()]
+        return data.sparkSession.createDataFrame(rows, T.StructType(
+            [long.schema[c] for c in group_cols] + [T.StructField("column", T.StringType()), T.StructField("median", T.DoubleType())]))
     names = F.array(*[F.lit(c) for c in value_cols])
-    return (select_kth(long, "__v", MIDDLE, g, **kw).groupBy(*g).agg(F.avg("value").alias("median"))
+    return (found.groupBy(*g).agg(F.avg("value").alias("median"))
             .select(*group_cols, F.element_at(names, F.col("__slot") + 1).alias("column"), "median"))
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round6
-from ..operators import chartdata, clean, encode, experiments as X, fit, inject, metrics, split
+from ..operators import chartdata, clean, encode, experiments as X, fit, inject, metrics, model, split
 from ..sources.tables import SQL_VIEWS, table, view
 from .registry import register
+from .sqlmodel import logit_auc, logit_ctes
 from .sqlgen import (auc_cte, auc_guide, auc_interpretation, gauge_severity, inflation_severity, memorise_cte,
                      sql_gaussian, sql_hash_int, sql_round6 as r6, strat_ctes)
 
@@ -426,7 +427,7 @@ def clean_log(spark, sf_dir):
     return _r6(log, "value")
 
 
-# ------------------------------------------------------------------ model experiments (J14-J18), rows-only
+# ------------------------------------------------------------------ model experiments
 
 FEAT_COLS = ["o_totalprice", "c_acctbal", "li_qty", "li_price", "li_disc", "li_lines"]
 
@@ -435,36 +436,128 @@ def _feat(spark, sf_dir):
     return view(spark, sf_dir, "orders_feat")
 
 
+def _model_with(*ctes):
+    """Newton rounds are recursive CTEs."""
+    return "WITH RECURSIVE " + f"orders_feat AS ({SQL_VIEWS['orders_feat']}), " + ",".join(ctes)
+
+
+def _model_select(sin, name, honest, leaky):
+    h, lk = f"({honest})", f"({leaky})"
+    return (f" SELECT {sin} AS sin, '{name}' AS name, {r6(h)} AS honest_auc, {r6(lk)} AS leaky_auc, "
+            f"{r6(f'{lk} - {h}')} AS inflation")
+
+
+def _auc_of(p):
+    return f"SELECT auc FROM {p}_auc"
+
+
+def _experiment_1_sql():
+    enc = ("e_all AS (SELECT c_mktsegment AS c, avg(CAST(target AS DOUBLE)) AS e FROM s_s GROUP BY 1),"
+           "e_tr AS (SELECT c_mktsegment AS c, avg(CAST(target AS DOUBLE)) AS e FROM s_s WHERE split = 'train' GROUP BY 1),"
+           "xl AS (SELECT s_s.*, e AS enc FROM s_s LEFT JOIN e_all ON c_mktsegment = c),"
+           "xh AS (SELECT s_s.*, coalesce(e, (SELECT avg(CAST(target AS DOUBLE)) FROM s_s WHERE split = 'train')) AS enc "
+           "FROM s_s LEFT JOIN e_tr ON c_mktsegment = c)")
+    return (_model_with("src AS (SELECT * FROM orders_feat WHERE c_mktsegment IS NOT NULL)",
+                        strat_ctes("src", "o_orderkey", "s"), enc,
+                        logit_auc("lh", "xh", FEAT_COLS + ["enc"]), logit_auc("ll", "xl", FEAT_COLS + ["enc"]))
+            + _model_select(1, "Target Encoding", _auc_of("lh"), _auc_of("ll")))
+
+
+def _experiment_2_sql():
+    return (_model_with(strat_ctes("orders_feat", "o_orderkey", "s"), f"x AS (SELECT *, {INJ_FEATURE} AS inj FROM s_s)",
+                        logit_auc("lh", "x", FEAT_COLS), logit_auc("ll", "x", FEAT_COLS + ["inj"]))
+            + _model_select(2, "Feature From Target", _auc_of("lh"), _auc_of("ll")))
+
+
+def _experiment_3_sql():
+    return (_model_with("tn AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS n_train FROM orders_feat)",
+                        "ts AS (SELECT o.*, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey) <= "
+                        "(SELECT n_train FROM tn) THEN 'train' ELSE 'test' END AS split FROM orders_feat o)",
+                        logit_auc("lh", "ts", FEAT_COLS), logit_auc("ll", "ts", FEAT_COLS, fit_where="TRUE"))
+            + _model_select(3, "Timestamp Scaling", _auc_of("lh"), _auc_of("ll")))
+
+
+def _experiment_4_sql():
+    noisy = ", ".join(f"{c} + {sql_gaussian(42, 0.0, 0.05, 'o_orderkey', repr(c))} AS {c}" for c in FEAT_COLS)
+    cols = ", ".join(FEAT_COLS)
+    folds = [logit_auc(f"f{k}", "sim", FEAT_COLS, fit_where=f"fold <> {k}", train_where=f"fold <> {k}",
+                       test_where=f"fold = {k}") for k in range(5)]
+    mean = "SELECT avg(auc) FROM (" + " UNION ALL ".join(f"SELECT auc FROM f{k}_auc" for k in range(5)) + ")"
+    return (_model_with("g AS (SELECT DISTINCT o_custkey FROM orders_feat WHERE o_custkey IS NOT NULL)",
+                        "ng AS (SELECT CAST(floor(count(*) * 0.3::DOUBLE) AS BIGINT) AS k FROM g)",
+                        "cg AS (SELECT o_custkey FROM (SELECT o_custkey, row_number() OVER (ORDER BY "
+                        f"{sql_hash_int(42, 'o_custkey')}, o_custkey) AS rn FROM g) WHERE rn <= (SELECT k FROM ng))",
+                        f"sim AS (SELECT *, {sql_hash_int(42, 'o_custkey')} % 5 AS fold FROM ("
+                        f"SELECT o_custkey, target, {cols}, CAST(o_orderkey AS BIGINT) * 2 AS rk FROM orders_feat UNION ALL "
+                        f"SELECT o_custkey, target, {noisy}, CAST(o_orderkey AS BIGINT) * 2 + 1 FROM orders_feat "
+                        "WHERE o_custkey IN (SELECT o_custkey FROM cg)))",
+                        strat_ctes("sim", "rk", "s"), logit_auc("ll", "s_s", FEAT_COLS), *folds)
+            + _model_select(4, "Group Overlap", mean, _auc_of("ll")))
+
+
+def _experiment_5_sql():
+    feats = ", ".join(FEAT_COLS)
+    return (_model_with("n8 AS (SELECT CAST(floor(count(*) * 0.08::DOUBLE) AS BIGINT) AS k FROM orders_feat)",
+                        f"pick AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {sql_hash_int(42, 'o_orderkey')}, "
+                        "o_orderkey) AS rn FROM orders_feat) WHERE rn <= (SELECT k FROM n8))",
+                        f"inj AS (SELECT {feats}, target, CAST(o_orderkey AS BIGINT) * 2 AS rk FROM orders_feat "
+                        f"UNION ALL SELECT {feats}, target, CAST(o_orderkey AS BIGINT) * 2 + 1 FROM pick)",
+                        strat_ctes("inj", "rk", "k"), f"dd AS (SELECT {feats}, target, min(rk) AS rk FROM inj GROUP BY {feats}, target)",
+                        strat_ctes("dd", "rk", "h"), logit_auc("lh", "h_s", FEAT_COLS), logit_auc("ll", "k_s", FEAT_COLS))
+            + _model_select(5, "Duplicate ID", _auc_of("lh"), _auc_of("ll")))
+
+
 def _round_result(res):
     return _r6(res, "honest_auc", "leaky_auc", "inflation")
 
 
-@register("model_experiment_1")
+@register("model_experiment_1", _experiment_1_sql())
 def model_experiment_1(spark, sf_dir):
     df, r = _feat(spark, sf_dir)
     return _round_result(X.experiment_1(df, r, "c_mktsegment", FEAT_COLS))
 
 
-@register("model_experiment_2")
+@register("model_experiment_2", _experiment_2_sql())
 def model_experiment_2(spark, sf_dir):
     df, r = _feat(spark, sf_dir)
     return _round_result(X.experiment_2(df, r, FEAT_COLS))
 
 
-@register("model_experiment_3")
+@register("model_experiment_3", _experiment_3_sql())
 def model_experiment_3(spark, sf_dir):
     df, r = _feat(spark, sf_dir)
     return _round_result(X.experiment_3(df, r, FEAT_COLS, ["o_orderdate", "o_orderkey"]))
 
 
-@register("model_experiment_4")
+@register("model_experiment_4", _experiment_4_sql())
 def model_experiment_4(spark, sf_dir):
     df, r = _feat(spark, sf_dir)
     return _round_result(X.experiment_4(df, r, FEAT_COLS))
 
 
-@register("model_experiment_5")
+@register("model_experiment_5", _experiment_5_sql())
 def model_experiment_5(spark, sf_dir):
     df, r = _feat(spark, sf_dir)
     return _round_result(X.experiment_5(df, r, FEAT_COLS))
 
+
+
+@register("model_baseline", _model_with(strat_ctes("orders_feat", "o_orderkey", "s"), logit_auc("m", "s_s", FEAT_COLS)) + f"""
+SELECT 'baseline' AS label, {r6("(SELECT auc FROM m_auc)")} AS auc, count(*) FILTER (WHERE split = 'train') AS n_train,
+       count(*) FILTER (WHERE split = 'test') AS n_test,
+       {r6("avg(CAST(target AS DOUBLE)) FILTER (WHERE split = 'test')")} AS default_rate FROM s_s""")
+def model_baseline(spark, sf_dir):
+    """J11 alone: sizes, AUC and test rate of the honest pipeline."""
+    df, r = _feat(spark, sf_dir)
+    s = split.stratified_split(df, r.target, r.row_key, 0.2, 42)
+    return _r6(model.train_and_evaluate(s, FEAT_COLS, r.target, label="baseline"), "auc", "default_rate")
+
+
+@register("logreg_gradient", _model_with(strat_ctes("orders_feat", "o_orderkey", "s"), logit_ctes("m", "s_s", FEAT_COLS))
+          + " UNION ALL ".join(f" SELECT '{c}' AS parameter, {r6(f'w{i}')} AS weight, CAST(0 AS DOUBLE) AS gradient FROM m_w"
+                               for i, c in enumerate(["intercept", *FEAT_COLS])))
+def logreg_gradient(spark, sf_dir):
+    """The fitted weights, and the objective's gradient a training row at them."""
+    df, r = _feat(spark, sf_dir)
+    s = split.stratified_split(df, r.target, r.row_key, 0.2, 42)
+    return _r6(model.fit_report(s.where("split = 'train'"), FEAT_COLS, r.target), "weight", "gradient")
