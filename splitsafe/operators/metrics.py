@@ -4,20 +4,25 @@ AUC = Σ_s pos(s) · (neg_below(s) + neg(s)/2) / (P · N) over distinct scores s
 the Mann-Whitney statistic with ties counted half, identical to the rank formula.
 
 Plan: (1) ``groupBy(by, score)`` with map-side partial counts, so a score value
-shared by a third of all rows becomes one row; (2) range-partition the distinct
-scores (sampling-balanced buckets, one bucket per partition) and write them to
-the checkpoint folder so the bucket ids are fixed; (3) negatives per bucket →
-a prefix over ≤ n_buckets rows; (4) a window partitioned by ``(by, bucket)``
-finishes the prefix inside each bucket.  No task ever sees more than one
-bucket's distinct scores.
+shared by a third of all rows becomes one row; (2) a quantile sketch of each group's
+distinct scores gives cut points, as many as the number of scores asks for, and a score's
+bucket is a pure function of them: whichever task computes it, and however often, it gets
+the same bucket, so nothing is written; (3) negatives per bucket → a prefix over the
+buckets; (4) a window partitioned by ``(by, bucket)`` finishes the prefix inside each
+bucket.  No task sees more than about one bucket's distinct scores; groups of up to
+``BUCKET_SCORES`` scores have one bucket and need no sketch.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+BUCKET_SCORES = 200_000     # distinct scores a bucket
+MAX_CUTS = 5_000            # cut points of a group; larger buckets beyond a billion distinct scores
 
 
 def _score_counts(df: DataFrame, score: str, label: str, by) -> DataFrame:
@@ -28,30 +33,56 @@ def _score_counts(df: DataFrame, score: str, label: str, by) -> DataFrame:
                  F.sum(F.when(y == 1, 0).otherwise(1)).cast("bigint").alias("neg")))
 
 
-def cumulative_counts(df: DataFrame, score: str, label: str, by=(), n_buckets: int | None = None,
-                      checkpoint: bool = True) -> DataFrame:
+def _bucketed(sc: DataFrame, by, bucket_scores: int) -> DataFrame:
+    """``sc`` with the ``bucket`` of each score: how many of its group's cut points lie below it."""
+    sizes = sc.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    most = sizes.agg(F.max("__n")).first()[0] or 0
+    if most <= bucket_scores:
+        return sc.withColumn("bucket", F.lit(0))
+    n = min(-(-most // bucket_scores), MAX_CUTS)
+    steps = F.array(*[F.lit(i / n) for i in range(1, n)])
+    cuts = sc.groupBy(*by).agg(F.array_sort(F.array_distinct(F.percentile_approx("score", steps, 20 * n))).alias("__cuts"))
+    if not by:
+        held = cuts.first()["__cuts"]                # one row of at most MAX_CUTS numbers
+        return sc.withColumn("bucket", _below(F.lit(held)))
+    same = [F.col(b).eqNullSafe(F.col(f"__b{i}")) for i, b in enumerate(by)]
+    j = sc.join(cuts.withColumnsRenamed({b: f"__b{i}" for i, b in enumerate(by)}), reduce(and_, same), "left")
+    return j.withColumn("bucket", _below(F.col("__cuts"))).drop("__cuts", *[f"__b{i}" for i in range(len(by))])
+
+
+def _below(cuts: F.Column) -> F.Column:
+    """Number of ``cuts`` (ascending) below the score, by bisection."""
+    lo_hi = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        right = (s["lo"] < s["hi"]) & (F.get(cuts, mid) < F.col("score"))
+        return F.struct(F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when((s["lo"] < s["hi"]) & ~right, mid).otherwise(s["hi"]).alias("hi"))
+
+    rounds = F.array(*[F.lit(i) for i in range(MAX_CUTS.bit_length())])
+    return F.aggregate(rounds, lo_hi, halve, lambda s: s["lo"])
+
+
+def cumulative_counts(df: DataFrame, score: str, label: str, by=(), bucket_scores: int = BUCKET_SCORES) -> DataFrame:
     """Per distinct score: ``by..., score, pos, neg, neg_below, pos_above``.
 
     ``neg_below`` = negatives with a strictly smaller score, ``pos_above`` =
     positives with a strictly larger score (both exact).
     """
     by = list(by)
-    spark = df.sparkSession
-    n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sc = _score_counts(df, score, label, by)
-    ranged = sc.repartitionByRange(n_buckets, *[F.col(b) for b in by], F.col("score")) \
-               .withColumn("bucket", F.spark_partition_id())
-    if checkpoint:
-        ranged = cut_lineage(ranged)          # bucket ids must not change between uses
+    ranged = _bucketed(_score_counts(df, score, label, by), by, bucket_scores)
     tot = ranged.groupBy(*by, "bucket").agg(F.sum("neg").alias("bneg"), F.sum("pos").alias("bpos"))
     wb = Window.partitionBy(*by).orderBy("bucket") if by else Window.orderBy("bucket")
-    # ``tot`` has at most n_buckets rows per group: a window over it is bounded
+    # ``tot`` has at most MAX_CUTS + 1 rows per group: a window over it is bounded
     tot = tot.select(*by, "bucket",
                      F.coalesce(F.sum("bneg").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                 F.lit(0)).alias("neg_before"),
                      F.coalesce(F.sum("bpos").over(wb.rowsBetween(1, Window.unboundedFollowing)),
                                 F.lit(0)).alias("pos_after"), "bpos")
-    j = ranged.join(F.broadcast(tot), by + ["bucket"], "inner")
+    keys = by + ["bucket"]
+    tot = tot.withColumnsRenamed({k: f"__t{i}" for i, k in enumerate(keys)})
+    j = ranged.join(tot, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__t{i}")) for i, k in enumerate(keys)]), "inner")
     w = Window.partitionBy(*by, "bucket").orderBy("score")
     return j.select(
         *by, "score", "pos", "neg",

@@ -54,7 +54,7 @@ def test_select_kth_random(spark, vals, max_exact, buckets):
 def test_auc_random(spark, pairs):
     labels = [y for _, y in pairs]
     df = spark.createDataFrame([(float(s), y) for s, y in pairs], "s double, y int")
-    got = metrics.roc_auc(df, "s", "y", n_buckets=3).collect()[0]["auc"]
+    got = metrics.roc_auc(df, "s", "y", bucket_scores=3).collect()[0]["auc"]
     if len(set(labels)) < 2:
         assert got is None
         return

@@ -98,7 +98,7 @@ def test_auc_ties_symmetry_and_one_class(spark):
     s = rng.integers(0, 20, 400).astype(float)
     y = (rng.random(400) < 0.3).astype(int)
     df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "s double, y int")
-    auc = metrics.roc_auc(df, "s", "y", n_buckets=5).collect()[0]["auc"]
+    auc = metrics.roc_auc(df, "s", "y", bucket_scores=5).collect()[0]["auc"]
     assert auc == pytest.approx(brute_auc(s, y), abs=1e-12)
     neg = metrics.roc_auc(df.withColumn("s", -F.col("s")), "s", "y").collect()[0]["auc"]
     assert neg == pytest.approx(1 - auc, abs=1e-12)
@@ -111,3 +111,23 @@ def test_roc_points_monotone(spark):
     pts = metrics.roc_points(df, "o_totalprice", "target", 10).orderBy("fpr").collect()
     tprs = [p["tpr"] for p in pts]
     assert len(pts) == 11 and tprs == sorted(tprs) and tprs[-1] == 1.0
+
+
+def test_auc_of_skewed_groups_in_many_buckets(spark):
+    """Cut points of each group's own scores; a score that a third of all rows have; a NULL group; nothing written."""
+    rng = np.random.default_rng(4)
+    rows = [("wide", float(s)) for s in rng.normal(0, 1e6, 800)] + [("tiny", float(s)) for s in rng.random(500)]
+    rows += [("hot", 0.5)] * 900 + [("hot", float(s)) for s in rng.random(300)] + [(None, float(i % 7)) for i in range(90)]
+    rows = [(g, s, int(rng.random() < 0.4)) for g, s in rows]
+    df = spark.createDataFrame(rows, "g string, s double, y int").repartition(5)
+    got = {r["g"]: r["auc"] for r in metrics.roc_auc(df, "s", "y", by=["g"], bucket_scores=20).collect()}
+    for g in ("wide", "tiny", "hot", None):
+        own = [(s, y) for h, s, y in rows if h == g]
+        assert got[g] == pytest.approx(brute_auc(np.array([s for s, _ in own]), np.array([y for _, y in own])), abs=1e-12)
+    whole = metrics.roc_auc(df, "s", "y", bucket_scores=50)
+    assert whole.collect()[0]["auc"] == pytest.approx(
+        brute_auc(np.array([s for _, s, _ in rows]), np.array([y for *_, y in rows])), abs=1e-12)
+    buckets = metrics._bucketed(metrics._score_counts(df, "s", "y", []), [], 50).groupBy("bucket").count().collect()
+    assert len(buckets) > 10 and max(r["count"] for r in buckets) < 150
+    import inspect
+    assert "cut_lineage" not in inspect.getsource(metrics) and "checkpoint" not in inspect.getsource(metrics).split('"""')[2]
