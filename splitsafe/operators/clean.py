@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import NUMERIC_TYPES
+from .duplicates import drop_duplicates
 from .profile import null_profile
 
 # ---------------------------------------------------------------------------
@@ -66,7 +67,7 @@ def clean(df: DataFrame, protect=(), threshold: float = MISSING_THRESHOLD, senti
     out = df.drop(*[c for c, _ in dropped])
     log = [("drop_missing", c, float(f)) for c, f in dropped]
     if dedup:
-        out = out.dropDuplicates()
+        out = drop_duplicates(out)
     out, _ = fix_quirks(out, sentinels, abs_cols, age)
     numeric = [f.name for f in out.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
     removed = [c for c in out.columns if c not in numeric]
