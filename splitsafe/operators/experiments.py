@@ -17,6 +17,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tiers import EXPERIMENT_NAMES
 from ..roles import Roles
@@ -27,9 +28,17 @@ from .fit import fit_stats
 from .metrics import roc_auc
 
 
-def copy_key(key: str, copy_col: str = "copy_no"):
-    """Unique numeric key of an original or appended row: ``2 * key + copy_no``."""
-    return F.col(key).cast("bigint") * 2 + F.col(copy_col)
+def copy_key(df: DataFrame, key: str, copy_col: str = "copy_no") -> F.Column:
+    """Unique key of an original or appended row of ``df``: ``2 * key + copy_no`` for whole numbers (as a decimal where
+    64 bits don't hold it), else the key as text with the copy number behind it."""
+    dt = df.schema[key].dataType
+    if isinstance(dt, T.LongType):
+        most = df.agg(F.max(F.col(key)), F.min(F.col(key))).first()
+        small = all(m is None or -(1 << 62) < m < (1 << 62) for m in most)
+        return F.col(key).cast("bigint" if small else "decimal(20,0)") * F.lit(2) + F.col(copy_col)
+    if isinstance(dt, T.IntegralType):
+        return F.col(key).cast("bigint") * 2 + F.col(copy_col)
+    return F.concat(F.col(key).cast("string"), F.lit("#"), F.col(copy_col).cast("string"))
 
 
 @contextmanager
@@ -112,7 +121,7 @@ def leak5_duplicates(df: DataFrame, roles: Roles, features, frac: float = 0.08,
     """Memorise identical rows: 8 % injected copies split apart vs de-duplicated first."""
     features = list(features)
     inj = inject.inject_duplicates(df, roles.row_key, frac, seed)
-    inj = inj.withColumn("__rk", copy_key(roles.row_key))
+    inj = inj.withColumn("__rk", copy_key(inj, roles.row_key))
     leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
     dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target], row_key="__rk")
     honest = split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)
@@ -201,7 +210,7 @@ def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed
     with _working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         sim = inject.inject_group_overlap(data, roles.group, roles.row_key, features, frac, 0.05, seed)
-        with _working_set(sim.withColumn("__rk", copy_key(roles.row_key))) as sim:   # read by 1 + k fits
+        with _working_set(sim.withColumn("__rk", copy_key(sim, roles.row_key))) as sim:   # read by 1 + k fits
             per_fold, leaky = _arms(
                 lambda: model.kfold_evaluate(split.group_kfold(sim, roles.group, k, seed), features,
                                              roles.target, roles.group, k=k),
@@ -218,7 +227,8 @@ def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed
     cols = list(dict.fromkeys([roles.row_key, roles.target] + features))
     with _working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
-        inj = inject.inject_duplicates(data, roles.row_key, frac, seed).withColumn("__rk", copy_key(roles.row_key))
+        inj = inject.inject_duplicates(data, roles.row_key, frac, seed)
+        inj = inj.withColumn("__rk", copy_key(inj, roles.row_key))
         with _working_set(inj) as inj:
             leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
             dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target],

@@ -59,14 +59,88 @@ def orderable(df: DataFrame, c: str) -> F.Column:
 
 
 def order_parts(df: DataFrame, c: str) -> list[F.Column]:
-    """DOUBLE columns whose lexicographic order is exactly that of ``c``. 64-bit integers and
-    timestamps become their upper and lower 32 bits, since a double holds 53 bits only."""
+    """Columns whose lexicographic order is exactly that of ``c``: DOUBLE, or STRING where no double serves.
+    64-bit integers and timestamps become their upper and lower 32 bits, since a double holds 53 bits only;
+    a decimal of more than 15 digits becomes its sign and all its digits as text."""
+    dt = df.schema[c].dataType
+    if isinstance(dt, T.StringType):
+        return [F.col(c)]
+    if isinstance(dt, T.BinaryType):
+        return [F.hex(c)]
+    if isinstance(dt, T.DecimalType) and dt.precision > 15:
+        whole = dt.precision - dt.scale
+        digits = "0" * max(whole, 1) + ("." + "0" * dt.scale if dt.scale else "")
+        text = f"to_char(`{c}`, 'S{digits}')"          # its sign, then every digit (abs() would round)
+        # the smaller a negative number, the greater its digits
+        return [F.expr(f"if(`{c}` < 0, '0' || translate(substring({text}, 2), '0123456789', '9876543210'), "
+                       f"'1' || substring({text}, 2))")]
     x = orderable(df, c)
-    if isinstance(df.schema[c].dataType, (T.LongType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dt, (T.LongType, T.TimestampType, T.TimestampNTZType)):
         return [F.shiftright(x, 32).cast("double"), x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double")]
     return [x.cast("double")]
 
 
+PIECE_BYTES = 6             # with their number, 51 bits of a double
+
+
+def _piece(x: F.Column, skip: F.Column) -> F.Column:
+    """The next bytes of a text behind the first ``skip``, as a number of the same order."""
+    own = F.substring(x.cast("binary"), skip + 1, F.lit(PIECE_BYTES))
+    return F.conv(F.rpad(F.hex(own), 2 * PIECE_BYTES, "0"), 16, 10).cast("double") * 8 + F.octet_length(own)
+
+
+def _select_text(data: DataFrame, value: str, targets, gcols, **kw) -> list[dict]:
+    """:func:`select_kth` for text in byte order, one rank a group: piece by piece until one value is left.
+
+    The texts still in question lie between ``lo`` and ``hi``, so they share the bytes that these two share; the
+    next piece begins behind them, which tells at least ``lo`` from ``hi``. State: a row a group, on the driver.
+    """
+    spark = data.sparkSession
+    x = data.where(F.col(value).isNotNull())
+
+    def ends(rows):
+        return rows.groupBy(*gcols).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(F.lit(1)).alias("cnt"))
+
+    init = {tuple(r[g] for g in gcols): r.asDict() for r in ends(x).collect()}
+    if callable(targets):
+        targets = targets({k: r["cnt"] for k, r in init.items()})
+    state, out = {}, []
+    for t in targets:
+        key = tuple(t[g] for g in gcols)
+        if key in init and 0 <= t["k"] < init[key]["cnt"]:
+            state[key] = {**init[key], "k0": int(t["k"]), "k": int(t["k"])}
+        else:
+            out.append({**dict(zip(gcols, key)), "k": int(t["k"]), "value": None, "n_less": None, "n_eq": None})
+    schema = T.StructType([x.schema[g] for g in gcols] + [
+        T.StructField("__lo", T.StringType()), T.StructField("__hi", T.StringType()),
+        T.StructField("__skip", T.IntegerType()), T.StructField("__v", T.DoubleType())])
+    while live := {key: r for key, r in state.items() if r["lo"] != r["hi"]}:
+        def rows(v=None):
+            st = spark.createDataFrame([key + (r["lo"], r["hi"], _shared(r["lo"], r["hi"]), v[key] if v else None)
+                                        for key, r in live.items()], schema)
+            j = _null_safe_join(x, F.broadcast(st), gcols)
+            return (j.where((F.col(value) >= F.col("__lo")) & (F.col(value) <= F.col("__hi")))
+                    .withColumn("__piece", _piece(F.col(value), F.col("__skip"))))
+
+        ks = [{**dict(zip(gcols, key)), "k": r["k"]} for key, r in live.items()]
+        picked = {}
+        for r in select_kth(rows().select(*gcols, "__piece"), "__piece", ks, gcols, **kw).collect():
+            key = tuple(r[g] for g in gcols)
+            picked[key] = r["value"]
+            live[key]["k"] -= r["n_less"]
+        for r in ends(rows(picked).where("__piece = __v")).collect():
+            live[tuple(r[g] for g in gcols)].update(lo=r["lo"], hi=r["hi"], cnt=r["cnt"])
+    out += [{**dict(zip(gcols, key)), "k": r["k0"], "value": r["lo"], "n_less": r["k0"] - r["k"], "n_eq": r["cnt"]}
+            for key, r in state.items()]
+    return out
+
+
+def _shared(a: str, b: str) -> int:
+    """Bytes that two texts have in common at their beginning."""
+    x, y = a.encode(), b.encode()
+    return next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+
 def _gkey(group_cols):
     return list(group_cols) if group_cols else ["__g"]
 
@@ -314,8 +388,8 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
 
     Selects on the first column, then among the rows tied on it selects on the
     next, and so on.  Returns a small materialised DataFrame
-    ``group_cols + ['k', 't0', 't1', ...]`` (numeric forms, see :func:`order_parts`; a 64-bit
-    integer or timestamp takes two of them):
+    ``group_cols + ['k', 't0', 't1', ...]`` (ordered forms, see :func:`order_parts`; a 64-bit
+    integer or timestamp takes two of them, text is text):
     a row is at or before the threshold iff its tuple is lexicographically
     ``<=`` it.  The narrow projection of group and order columns is persisted
     once for all passes.
@@ -328,6 +402,8 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
     cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
     gschema = [cur.schema[g] for g in gcols]
     n = len(parts)
+    texts = [isinstance(cur.schema[f"__o{i}"].dataType, T.StringType) for i in range(n)]
+    kinds = [T.StringType() if t else T.DoubleType() for t in texts]
     extra = {} if group_cols else {"__g": 1}
     if callable(targets):
         def first(counts):
@@ -343,7 +419,11 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
                                          for key, v in thr.items() if v["state"] == "open"]
             if not live:
                 break
-            for r in select_kth(sub, f"__o{i}", live, gcols, persist=(i > 0), **kw).collect():
+            if texts[i]:
+                found = _select_text(sub, f"__o{i}", live, gcols, **kw)
+            else:
+                found = select_kth(sub, f"__o{i}", live, gcols, persist=(i > 0), **kw).collect()
+            for r in found:
                 key = tuple(r[g] for g in gcols)
                 v = thr.setdefault(key, {"k0": int(r["k"]), "k": int(r["k"]), "t": [], "state": "open"})
                 if r["value"] is None:
@@ -359,7 +439,7 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
                 if not pref:
                     break
                 ks = spark.createDataFrame(pref, T.StructType(gschema + [
-                    T.StructField(f"__t{j}", T.DoubleType()) for j in range(i + 1)]))
+                    T.StructField(f"__t{j}", kinds[j]) for j in range(i + 1)]))
                 sub = cur.join(F.broadcast(ks), gcols, "inner")
                 for j in range(i + 1):
                     sub = sub.where(F.col(f"__o{j}") == F.col(f"__t{j}"))
@@ -368,11 +448,12 @@ def composite_threshold(data: DataFrame, order_cols, targets, group_cols=(), **k
         cur.unpersist()
     rows = []
     for key, v in thr.items():
-        pad = None if v["state"] == "empty" else float("inf")
-        t = [None] * n if v["state"] == "empty" else (v["t"] + [pad] * n)[:n]
+        # behind a unique value nothing is compared: an end that every row reaches (None for text)
+        pad = [None if t else float("inf") for t in texts]
+        t = [None] * n if v["state"] == "empty" else v["t"] + pad[len(v["t"]):]
         rows.append(key + (v["k0"],) + tuple(t))
     out = spark.createDataFrame(rows, T.StructType(gschema + [T.StructField("k", T.LongType())] + [
-        T.StructField(f"t{i}", T.DoubleType()) for i in range(n)]))
+        T.StructField(f"t{i}", kinds[i]) for i in range(n)]))
     return out if group_cols else out.drop("__g")
 
 
@@ -381,7 +462,9 @@ def at_or_before(data: DataFrame, order_cols, thr_prefix: str = "t", values: dic
     threshold row, or literal ``values``."""
     o = [p for c in order_cols for p in order_parts(data, c)]
     t = [values[f"{thr_prefix}{i}"] if values else F.col(f"{thr_prefix}{i}") for i in range(len(o))]
-    expr = o[-1] <= t[-1]
+    # a text threshold that isn't there, behind a unique value, is reached by all
+    expr = F.coalesce(o[-1] <= t[-1], F.lit(True)) if len(o) > 1 else o[-1] <= t[-1]
     for i in range(len(o) - 2, -1, -1):
-        expr = (o[i] < t[i]) | ((o[i] == t[i]) & expr)
+        later = (o[i] < t[i]) | ((o[i] == t[i]) & expr)
+        expr = later if i == 0 else F.coalesce(later, F.lit(True))
     return expr

@@ -22,20 +22,37 @@ from ..functions.hashing import hash_int
 from .rank import at_or_before, composite_threshold, order_parts
 
 
+COPIES_AT_ONCE = 100_000
+
+
 def with_row_key(df: DataFrame, id_col: str | None = None, name: str = "row_key") -> DataFrame:
     """Attach a unique row key (the audited workflow relied on the in-memory index).
 
-    The id itself when it is unique (one aggregate checks it); otherwise a generated
-    ``monotonically_increasing_id`` that is written to the checkpoint folder first,
-    so recomputation after an executor loss cannot renumber rows.
+    The id itself when it is unique (one aggregate checks it); otherwise text made of the row's 128-bit content key
+    and the number of the copy among rows equal in every column.  Only rows whose content key repeats are exchanged;
+    equal rows collapse to one in the partial aggregate and are numbered as they are written out again, so that a row
+    that a third of the table holds is no burden.  The key depends on the rows alone: recomputation, another order or
+    another partitioning gives the same (row, key) pairs, and nothing but repeated content keys is written.
     """
-    from ..session import cut_lineage
+    from .duplicates import _maybe_repeated, _repeated_keys
     if id_col is not None:
         dup = (df.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1).count()
                + df.where(F.col(id_col).isNull()).limit(1).count())
         if dup == 0:
             return df.withColumn(name, F.col(id_col))
-    return cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))
+    cols = list(df.columns)
+    content = F.concat(F.lower(F.hex("__h1")), F.lit(":"), F.lower(F.hex("__h2")), F.lit("#"))
+    keys, n = _repeated_keys(df, cols)
+    flagged = _maybe_repeated(df, cols, keys, n)
+    once = flagged.where("not __maybe").select(*cols, F.concat(content, F.lit("0")).alias(name))
+    if not n:
+        return once
+    groups = flagged.where("__maybe").groupBy(*cols, "__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
+    parts = groups.withColumn("__part", F.explode(F.expr(f"sequence(0L, (__n - 1) div {COPIES_AT_ONCE})")))
+    parts = parts.repartition("__h1", "__h2", "__part")
+    first = f"__part * {COPIES_AT_ONCE}"
+    copies = parts.withColumn("__copy", F.explode(F.expr(f"sequence({first}, least({first} + {COPIES_AT_ONCE}, __n) - 1)")))
+    return once.unionByName(copies.select(*cols, F.concat(content, F.col("__copy").cast("string")).alias(name)))
 
 
 def _tiebreak(df: DataFrame, key: str, seed) -> tuple[DataFrame, str]:
@@ -135,7 +152,8 @@ def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split
 
     The cut is one threshold tuple found by exact selection (its first pass also
     counts ``n``), applied as literals in a filter expression.  Rows with a NULL order
-    value are neither past nor future: they get a NULL split and don't count.
+    value are neither past nor future: they get a NULL split and don't count.  Order columns may be
+    numbers, decimals of any precision, dates, timestamps, booleans or text (byte order).
     """
     order_by = list(order_by)
 
@@ -143,11 +161,11 @@ def temporal_split(df: DataFrame, order_by, frac: float = 0.8, col: str = "split
         m = int(sum(counts.values()) * frac)
         return [{"k": m - 1}] if m > 0 else []
 
-    thr = composite_threshold(df, order_by, ranks, (), **kw).collect()   # at most one row
     known = reduce(and_, [F.col(c).isNotNull() for c in order_by])
+    thr = composite_threshold(df.where(known), order_by, ranks, (), **kw).collect()   # at most one row
     if not thr:
         return df.withColumn(col, F.when(known, "test"))
-    lits = {c: F.lit(v).cast("double") for c, v in thr[0].asDict().items() if c != "k"}
+    lits = {c: F.lit(v) for c, v in thr[0].asDict().items() if c != "k"}
     past = at_or_before(df, order_by, values=lits)
     return df.withColumn(col, F.when(known & past, "train").when(known, "test"))
 
@@ -178,11 +196,11 @@ def in_sample(df: DataFrame, key: str, thr, seed: int = 42) -> F.Column:
     from pyspark.sql import types as T
     tie = ([hash_int(f"{seed}~", key).cast("double")]
            if isinstance(df.schema[key].dataType, (T.StringType, T.BinaryType)) else order_parts(df, key))
-    expr = tie[-1] <= F.lit(float(thr[-1]))
+    expr = F.coalesce(tie[-1] <= F.lit(thr[-1]), F.lit(True))
     for x, t in zip([hash_int(seed, key).cast("double"), *tie][-2::-1], thr[-2::-1]):
-        t = F.lit(float(t))
+        t = F.lit(t)
         expr = (x < t) | ((x == t) & expr)
-    return expr
+    return F.col(key).isNotNull() & expr
 
 
 def sample_rows(df: DataFrame, key: str, frac: float | None = None, n: int | None = None,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -354,6 +356,31 @@ def leak5_auc(spark, sf_dir):
     return _leak_df(_leak5(spark, sf_dir))
 
 
+def _leak5_text_sql():
+    feats = ", ".join(LEAK5_FEATURES)
+    order = f"{sql_hash_int(42, 'tk')}, {sql_hash_int('42~', 'tk')}"
+    return ("n8 AS (SELECT CAST(floor(count(*) * 0.08::DOUBLE) AS BIGINT) AS k FROM orders_y),\n"
+            "tk AS (SELECT *, 'order ' || CAST(o_orderkey AS VARCHAR) AS tk FROM orders_y),\n"
+            f"pick AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM tk) WHERE rn <= (SELECT k FROM n8)),\n"
+            f"l5_inj AS (SELECT {feats}, target, tk || '#0' AS rk FROM tk UNION ALL SELECT {feats}, target, tk || '#1' FROM pick),"
+            + strat_ctes("l5_inj", "rk", "l5k") + ",\n"
+            f"l5_dd AS (SELECT {feats}, target, min(rk) AS rk FROM l5_inj GROUP BY {feats}, target),"
+            + strat_ctes("l5_dd", "rk", "l5h") + ","
+            + memorise_cte("l5_hn", "l5h_s", LEAK5_FEATURES) + ","
+            + memorise_cte("l5_lk", "l5k_s", LEAK5_FEATURES) + ","
+            + auc_cte("l5_auc_h", "l5_hn") + "," + auc_cte("l5_auc_l", "l5_lk") + ",\n"
+            "leak5t AS (SELECT 5 AS sin, 'Duplicate ID' AS name, (SELECT auc FROM l5_auc_h) AS honest_auc, "
+            "(SELECT auc FROM l5_auc_l) AS leaky_auc)")
+
+
+@register("leak5_auc_textkey", W("orders_y") + _leak5_text_sql() + _leak_select("leak5t"))
+def leak5_auc_textkey(spark, sf_dir):
+    """Leak 5 on a table whose row key is text."""
+    df, r = view(spark, sf_dir, "orders_y")
+    df = df.withColumn("tk", F.concat(F.lit("order "), F.col("o_orderkey").cast("string")))
+    return _leak_df(X.leak5_duplicates(df, replace(r, row_key="tk"), LEAK5_FEATURES))
+
+
 ALL_LEAKS_SQL = (W("orders_y") + _leak1_sql() + "," + _leak2_sql() + "," + _leak4_sql() + "," + _leak5_sql()
                  + ",\nres AS (SELECT * FROM leak1 UNION ALL SELECT * FROM leak2 UNION ALL SELECT * FROM leak4 "
                  "UNION ALL SELECT * FROM leak5)")

@@ -169,3 +169,31 @@ def preview(spark, sf_dir):
     """A4: first rows in an explicit order (the limit is the feature)."""
     from ..sources.csv import preview as pv
     return pv(table(spark, sf_dir, "orders"), "o_orderkey", 5)
+
+
+# ------------------------------------------------------------------ order by text and by long decimals
+
+TEXT_TIME = "strftime(o_orderdate, '%Y/%m/%d') || CASE WHEN o_orderkey % 3 = 0 THEN ' é' ELSE '' END"
+BIG_DECIMAL = ("CAST(CAST(o_orderkey % 97 - 48 AS STRING) || '00000000000000000000.0000' || "
+               "lpad(CAST(o_orderkey AS STRING), 6, '0') AS DECIMAL(38,10))")
+
+
+def _first_80(order: str) -> str:
+    return f"""WITH o AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM orders)
+SELECT o_orderkey, CASE WHEN rn <= (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) FROM orders) THEN 'train' ELSE 'test' END AS split FROM o"""
+
+
+@register("temporal_split_text", _first_80(f"{TEXT_TIME}, 'key ' || CAST(o_orderkey AS VARCHAR)"))
+def temporal_split_text(spark, sf_dir):
+    """A date kept as text, ties broken by a text key."""
+    df = table(spark, sf_dir, "orders").withColumn(
+        "t", F.expr(TEXT_TIME.replace("strftime", "date_format").replace("%Y/%m/%d", "yyyy/MM/dd")))
+    df = df.withColumn("k", F.concat(F.lit("key "), F.col("o_orderkey").cast("string")))
+    return S.temporal_split(df, ["t", "k"], 0.8).select("o_orderkey", "split")
+
+
+@register("temporal_split_decimal", _first_80(BIG_DECIMAL.replace("STRING", "VARCHAR")))
+def temporal_split_decimal(spark, sf_dir):
+    """Positive and negative decimals of 32 digits that differ behind the point only."""
+    df = table(spark, sf_dir, "orders").withColumn("d", F.expr(BIG_DECIMAL))
+    return S.temporal_split(df, ["d"], 0.8).select("o_orderkey", "split")
