@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import NUMERIC_TYPES
-from .duplicates import drop_duplicates
+from .duplicates import drop_duplicates, duplicate_count
 from .profile import null_profile
 
 # ---------------------------------------------------------------------------
@@ -59,17 +59,29 @@ def fix_quirks(df: DataFrame, sentinels=None, abs_cols=None, age=DEFAULT_AGE):
     return out, counts
 
 
+def drop_null_rows(df: DataFrame, subset) -> DataFrame:
+    """Rows without a NULL (or NaN) in any of the ``subset`` columns that exist."""
+    return df.dropna(subset=[c for c in subset if c in df.columns])
+
+
 def clean(df: DataFrame, protect=(), threshold: float = MISSING_THRESHOLD, sentinels=None,
-          abs_cols=None, age=DEFAULT_AGE, dedup: bool = True):
-    """Returns ``(clean_df, log_df)``; log rows are ``step, column, value``."""
+          abs_cols=None, age=DEFAULT_AGE, dedup: bool = True, keep=()):
+    """Returns ``(clean_df, log_df)``; log rows are ``step, column, value``: the columns dropped as mostly missing
+    (share), the number of duplicate rows and of sentinels per column (where there are any), the columns dropped as
+    not numeric.  ``keep`` columns stay whatever their type and share of NULLs."""
     spark = df.sparkSession
-    dropped = high_missing_columns(df, threshold, protect)
+    dropped = high_missing_columns(df, threshold, [*protect, *keep])
     out = df.drop(*[c for c, _ in dropped])
     log = [("drop_missing", c, float(f)) for c, f in dropped]
     if dedup:
-        out = drop_duplicates(out)
-    out, _ = fix_quirks(out, sentinels, abs_cols, age)
-    numeric = [f.name for f in out.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
+        n = duplicate_count(out).first()["exact_dupes"]
+        if n:
+            log.append(("drop_duplicates", None, float(n)))
+            out = drop_duplicates(out)
+    out, counts = fix_quirks(out, sentinels, abs_cols, age)
+    if counts is not None:
+        log += [("sentinel", c, float(n)) for c, n in sorted(counts.first().asDict().items()) if n]
+    numeric = [f.name for f in out.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) or f.name in keep]
     removed = [c for c in out.columns if c not in numeric]
     log += [("drop_non_numeric", c, None) for c in removed]
     out = out.select(*numeric)

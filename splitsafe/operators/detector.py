@@ -171,5 +171,13 @@ def scan_with_score(df: DataFrame, roles: Roles) -> tuple[DataFrame, DataFrame]:
 
 
 def severity_chart(report: DataFrame) -> DataFrame:
-    """Per-check severity value for the risk chart, plus the score bar."""
+    """Per-check severity value for the risk chart."""
     return report.select("check", "name", "risk", tiers.risk_severity("risk").alias("severity"))
+
+
+def score_bar(summary: DataFrame) -> DataFrame:
+    """The two pieces of the 0-100 score bar, ``part, left, width``: the score, and the rest behind it."""
+    top = F.lit(tiers.SCORE_CAP)
+    pieces = F.array(F.struct(F.lit("score").alias("part"), F.lit(0).alias("left"), F.col("score").alias("width")),
+                     F.struct(F.lit("rest").alias("part"), F.col("score").alias("left"), (top - F.col("score")).alias("width")))
+    return summary.select("level", F.inline(pieces))

@@ -17,7 +17,7 @@ from ..functions import tiers
 from ..functions.numeric import round_half_even
 from ..roles import Roles
 from .duplicates import duplicate_count
-from .profile import class_counts, group_sizes, long_profile, null_profile, target_correlations
+from .profile import class_counts, distinct_counts, group_sizes, long_profile, null_profile, target_correlations
 from .rank import medians
 
 
@@ -68,6 +68,12 @@ def role_breakdown(df: DataFrame, roles: Roles) -> DataFrame:
     return spark.createDataFrame(rows, "role string, n int")
 
 
+def categorical_counts(df: DataFrame, roles: Roles) -> DataFrame:
+    """Distinct non-null values of every categorical column, most first: ``column, n_distinct``."""
+    return (distinct_counts(df, roles.categorical(df)).select("column", "n_distinct")
+            .orderBy(F.desc("n_distinct"), F.asc("column")))
+
+
 def missing_tiers(df: DataFrame) -> DataFrame:
     """E5/L2: columns with any missing value, percent rounded half-even to 1 decimal, tier."""
     p = null_profile(df).where(F.col("n_null") > 0)
@@ -98,6 +104,7 @@ def eda(df: DataFrame, roles: Roles, key_features=()) -> dict:
     return {
         "classes": class_counts(df, roles.target),
         "roles": role_breakdown(df, roles),
+        "categoricals": categorical_counts(df, roles),
         "missing": missing_tiers(df),
         "correlations": correlation_hunt(df, roles),
         "medians": median_by_class(df, roles, key_features) if key_features else None,

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.tiers import EXPERIMENT_NAMES
 from ..roles import Roles
-from . import encode, inject, model, split
+from . import clean, encode, inject, model, split
 from .concurrent import run_concurrently
 from .duplicates import drop_duplicates
 from .fit import fit_stats
@@ -141,6 +141,13 @@ def _impute_global(df: DataFrame, features) -> DataFrame:
                        else F.col(c) for c in df.columns])
 
 
+def _cleaned(df: DataFrame, features, keep) -> tuple[DataFrame, list[str]]:
+    """The cleaning that the audited experiments 2-5 begin with: mostly missing columns, duplicate rows, quirks.
+    ``keep`` columns (keys, target, order) stay; features that cleaning drops are left out."""
+    out, _ = clean.clean(df.select(*dict.fromkeys([*keep, *features])), keep=tuple(keep))
+    return out, [f for f in features if f in out.columns]
+
+
 def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42,
                  clean_first: bool = False, oof_folds: int | None = None) -> DataFrame:
     """Target encoding fitted on all rows (leaky) vs on train rows (honest).
@@ -151,8 +158,7 @@ def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42
     (Q16); ``oof_folds=k`` encodes training rows out-of-fold instead."""
     features = list(features)
     if clean_first:
-        from .clean import fix_quirks
-        df = fix_quirks(df)[0]
+        df = clean.fix_quirks(df)[0]
     cols = list(dict.fromkeys([roles.row_key, roles.target, cat] + features))
     with _working_set(df.where(F.col(cat).isNotNull()).select(*cols)) as data:
         with _working_set(split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)) as s:
@@ -169,9 +175,12 @@ def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42
             return _materialize(_result(1, h, lk))
 
 
-def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat: bool = False) -> DataFrame:
-    """A post-outcome feature added (leaky) vs not (honest)."""
+def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat: bool = False,
+                 clean_first: bool = False) -> DataFrame:
+    """A post-outcome feature added (leaky) vs not (honest).  ``clean_first``: see :func:`_cleaned`."""
     features = list(features)
+    if clean_first:
+        df, features = _cleaned(df, features, [roles.row_key, roles.target])
     cols = list(dict.fromkeys([roles.row_key, roles.target] + features))
     with _working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
@@ -185,9 +194,12 @@ def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat:
 
 
 def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float = 0.8,
-                 compat: bool = False) -> DataFrame:
-    """past/future split; imputer+scaler fitted on all rows (leaky) vs past only (honest)."""
+                 compat: bool = False, clean_first: bool = False) -> DataFrame:
+    """past/future split; imputer+scaler fitted on all rows (leaky) vs past only (honest).
+    ``clean_first``: see :func:`_cleaned`."""
     features = list(features)
+    if clean_first:
+        df, features = _cleaned(df, features, [*order_by, roles.target])
     cols = list(dict.fromkeys(list(order_by) + [roles.target] + features))
     with _working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
@@ -199,13 +211,15 @@ def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float =
 
 
 def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed: int = 42, k: int = 5,
-                 compat: bool = False, with_folds: bool = False):
+                 compat: bool = False, with_folds: bool = False, clean_first: bool = False):
     """30 % of groups duplicated with noise; row split (leaky) vs group k-fold mean (honest).
 
     The audited comparison sets one 20 % split against a 5-fold mean (Q5);
     ``with_folds=True`` also returns the per-fold table (AUC and overlap of each
-    held-out fold) as ``(result, folds)``."""
+    held-out fold) as ``(result, folds)``.  ``clean_first``: see :func:`_cleaned`."""
     features = list(features)
+    if clean_first:
+        df, features = _cleaned(df, features, [roles.row_key, roles.group, roles.target])
     cols = list(dict.fromkeys([roles.row_key, roles.group, roles.target] + features))
     with _working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
@@ -221,9 +235,12 @@ def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed
 
 
 def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed: int = 42,
-                 compat: bool = False) -> DataFrame:
-    """8 % exact duplicates injected; split as is (leaky) vs de-duplicate first (honest)."""
+                 compat: bool = False, clean_first: bool = False) -> DataFrame:
+    """8 % exact duplicates injected; split as is (leaky) vs de-duplicate first (honest).
+    ``clean_first``: see :func:`_cleaned`."""
     features = list(features)
+    if clean_first:
+        df, features = _cleaned(df, features, [roles.row_key, roles.target])
     cols = list(dict.fromkeys([roles.row_key, roles.target] + features))
     with _working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import detector
+from ..session import new_folder
+from ..sources.csv import write_report
 from ..sources.tables import SQL_VIEWS, _wide_exprs, view
 from . import sqlgen
 from .registry import register
@@ -93,3 +95,32 @@ def wide_scan(spark, sf_dir) -> DataFrame:
     """The detector on a 120-column table: one long-profile pass, hashed duplicate check."""
     df, roles = view(spark, sf_dir, "line_wide")
     return detector.scan(df, roles).select(*REPORT_FLAT)
+
+
+@register("score_bar", f"""WITH s AS ({_scan_sql("orders_y", sqlgen.scan_score_select("orders_y"))})
+SELECT level, 'score' AS part, 0 AS "left", score AS width FROM s UNION ALL SELECT level, 'rest', score, 100 - score FROM s""")
+def score_bar(spark, sf_dir) -> DataFrame:
+    df, roles = view(spark, sf_dir, "orders_y")
+    return detector.score_bar(detector.score(detector.scan(df, roles)))
+
+
+@register("scan_flagged", f"""WITH orders_post AS ({SQL_VIEWS["orders_post"]}),
+c AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, abs({sqlgen.sql_guarded_corr(f'CAST({c} AS DOUBLE)', 'CAST(target AS DOUBLE)')}) AS a FROM orders_post"
+    for c in VIEW_SCHEMAS["orders_post"]["nums"]) + """),
+r AS (SELECT *, CAST(row_number() OVER (ORDER BY a DESC, feature) AS INTEGER) AS place FROM c WHERE a > 0.5)
+SELECT place, feature, round_even(a, 4) AS corr FROM r WHERE place <= 5""")
+def scan_flagged(spark, sf_dir) -> DataFrame:
+    """The features that check 2 names, with their correlations."""
+    df, roles = view(spark, sf_dir, "orders_post")
+    rep = detector.check_correlation(df, roles)
+    return rep.select(F.posexplode("flagged").alias("at", "f")).select((F.col("at") + 1).alias("place"), "f.feature", "f.corr")
+
+
+@register("report_sink", _scan_sql("orders_y", 'SELECT "check", name, risk, message FROM rep'))
+def report_sink(spark, sf_dir) -> DataFrame:
+    """A5: the report written to the shared folder and read back."""
+    df, roles = view(spark, sf_dir, "orders_y")
+    path = new_folder(spark, "report")
+    write_report(detector.scan(df, roles).select("check", "name", "risk", "message"), path)
+    return spark.read.parquet(path)

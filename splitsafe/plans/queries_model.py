@@ -454,6 +454,38 @@ def clean_log(spark, sf_dir):
     return _r6(log, "value")
 
 
+_QUIRK_DEDUP = W("orders_quirks") + """d AS (SELECT DISTINCT id, DAYS_BIRTH, DAYS_EMPLOYED, prio, target FROM orders_quirks) """
+
+
+@register("clean_quirks", _QUIRK_DEDUP + f"""
+SELECT CAST(id AS BIGINT) AS id, abs(CAST(DAYS_BIRTH AS BIGINT)) AS DAYS_BIRTH,
+       abs(CASE WHEN DAYS_EMPLOYED <> 365243 THEN CAST(DAYS_EMPLOYED AS BIGINT) END) AS DAYS_EMPLOYED,
+       target, {r6('round(abs(DAYS_BIRTH) / 365.25::DOUBLE, 1)')} AS AGE_YEARS FROM d""")
+def clean_quirks(spark, sf_dir):
+    """Repeated rows, sentinel, day counts and derived age."""
+    df, _ = view(spark, sf_dir, "orders_quirks")
+    out, _log = clean.clean(df, protect=("id", "target"))
+    return _r6(out.select(*[F.col(c).cast("bigint").alias(c) if c in ("id", "DAYS_BIRTH", "DAYS_EMPLOYED") else c
+                            for c in out.columns]), "AGE_YEARS")
+
+
+@register("clean_quirks_log", _QUIRK_DEDUP + f"""
+SELECT 'drop_missing' AS step, 'sparse' AS "column", {r6('(count(*) - count(sparse)) / count(*)::DOUBLE')} AS value FROM orders_quirks
+UNION ALL SELECT 'drop_duplicates', NULL, CAST((SELECT count(*) FROM orders_quirks) - count(*) AS DOUBLE) FROM d
+UNION ALL SELECT 'sentinel', 'DAYS_EMPLOYED', CAST(count(*) AS DOUBLE) FROM d WHERE DAYS_EMPLOYED = 365243
+UNION ALL SELECT 'drop_non_numeric', 'prio', NULL""")
+def clean_quirks_log(spark, sf_dir):
+    df, _ = view(spark, sf_dir, "orders_quirks")
+    return _r6(clean.clean(df, protect=("id", "target"))[1], "value")
+
+
+@register("drop_null_rows", W("line_nulls") + """x AS (SELECT 1)
+SELECT l_orderkey, l_linenumber, l_discount FROM line_nulls WHERE l_discount IS NOT NULL AND l_tax IS NOT NULL""")
+def drop_null_rows(spark, sf_dir):
+    df, _ = view(spark, sf_dir, "line_nulls")
+    return clean.drop_null_rows(df, ["l_discount", "l_tax", "absent"]).select("l_orderkey", "l_linenumber", "l_discount")
+
+
 # ------------------------------------------------------------------ model experiments
 
 FEAT_COLS = ["o_totalprice", "c_acctbal", "li_qty", "li_price", "li_disc", "li_lines"]

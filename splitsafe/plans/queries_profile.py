@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round6
 from ..operators import chartdata, duplicates, eda, profile, rank
+from ..session import new_folder
+from ..sources.csv import read_table
 from ..sources.tables import SQL_VIEWS, table, view
 from .registry import register
 from .sqlgen import correlation_tier, missing_tier, sql_guarded_corr, sql_round6 as r6
@@ -288,3 +290,49 @@ SELECT o_custkey, 'o_orderkey', {r6('median(o_orderkey)')} FROM v GROUP BY o_cus
 def median_by_customer(spark, sf_dir):
     """Medians of as many groups as there are customers: selection with its state in tables."""
     return _r6(rank.medians(table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], ["o_custkey"]), "median")
+
+
+@register("eda_categoricals", W("doc_labels") + """SELECT 'text' AS "column", count(DISTINCT text) AS n_distinct FROM doc_labels
+UNION ALL SELECT 'lang', count(DISTINCT lang) FROM doc_labels UNION ALL SELECT 'source', count(DISTINCT source) FROM doc_labels""")
+def eda_categoricals(spark, sf_dir):
+    df, r = view(spark, sf_dir, "doc_labels")
+    return eda.eda(df, r)["categoricals"]
+
+
+# ------------------------------------------------------------------ CSV (A1, A2)
+
+CSV_TEXTS = {
+    "whole": "CASE WHEN o_orderkey % 10 = 0 THEN 'NA' ELSE CAST(o_custkey AS {text}) END",
+    "real": "CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS {text}) ELSE CAST(o_custkey AS {text}) || '.5' END",
+    "flag": "CASE WHEN o_orderkey % 4 = 0 THEN 'null' WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'false' END",
+    "code": "CASE WHEN o_orderkey % 500 = 0 THEN '12D' ELSE CAST(o_custkey AS {text}) END",
+    "note": "'say \"' || o_orderpriority || '\", ' || CAST(o_orderkey % 3 AS {text})",
+    "void": "'N/A'",
+}
+_CSV_SQL = "WITH t AS (SELECT o_orderkey, " + ", ".join(f'{e.format(text="VARCHAR")} AS "{c}"' for c, e in CSV_TEXTS.items()) + " FROM orders)"
+_MISSING = "('', 'NA', 'null', 'N/A')"
+
+
+def _orders_csv(spark, sf_dir):
+    path = new_folder(spark, "csv")
+    (table(spark, sf_dir, "orders").selectExpr("o_orderkey", *[f"{e.format(text='STRING')} AS `{c}`" for c, e in CSV_TEXTS.items()])
+     .write.option("header", True).option("escape", '"').csv(path))
+    return read_table(spark, path)
+
+
+@register("csv_round_trip", _CSV_SQL + f"""
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(NULLIF(whole, 'NA') AS BIGINT) AS whole, CAST(NULLIF("real", '') AS DOUBLE) AS "real",
+       CASE flag WHEN 'True' THEN TRUE WHEN 'false' THEN FALSE END AS flag, code, note, CAST(NULL AS DOUBLE) AS void FROM t""")
+def csv_round_trip(spark, sf_dir):
+    """Quotes, commas, missing tokens and mixed columns of a CSV written by Spark, read with inferred types."""
+    return _orders_csv(spark, sf_dir)
+
+
+@register("infer_types_orders", _CSV_SQL + " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CASE WHEN count(v) = 0 THEN 'double'
+  WHEN count(v) = count(CASE WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 1 END) THEN 'bigint'
+  WHEN count(v) = count(CASE WHEN regexp_full_match(v, '[+-]?[0-9.]+') THEN 1 END) THEN 'double'
+  WHEN count(v) = count(CASE WHEN lower(v) IN ('true', 'false') THEN 1 END) THEN 'boolean' ELSE 'string' END AS type
+FROM (SELECT CASE WHEN CAST("{c}" AS VARCHAR) NOT IN {_MISSING} THEN CAST("{c}" AS VARCHAR) END AS v FROM t)""" for c in ["o_orderkey", *CSV_TEXTS]))
+def infer_types_orders(spark, sf_dir):
+    return spark.createDataFrame(_orders_csv(spark, sf_dir).dtypes, "column string, type string")

@@ -3,8 +3,8 @@
 Spark's ``inferSchema`` is not used: one ``NA`` cell makes it type a numeric
 column as STRING, and it turns date text into DATE where a pandas reader keeps
 text.  Instead every column is read as text, missing tokens become NULL, and
-one aggregate pass counts, per column, how many values parse as integer, double
-and boolean; a single ``select`` of ``try_cast`` then applies the types.
+each cell then gives a bit mask of the types it fits, one ``bit_and`` a column meets
+them, and a single ``select`` of ``try_cast`` applies the narrowest type left.
 """
 
 from __future__ import annotations
@@ -47,29 +47,37 @@ def _double(c: str) -> str:
     return f"case when trim(`{c}`) rlike '{NUMBER}' then try_cast(trim(`{c}`) as double) end"
 
 
+# bits of the types a cell fits, narrowest first; any cell is text
+FITS_LONG, FITS_DOUBLE, FITS_BOOLEAN, FITS_TEXT = 1, 2, 4, 8
+
+
+def _fits(c: str) -> F.Column:
+    """Bit mask of the types that the text of a cell fits; NULL for a missing one, which fits all."""
+    v = F.trim(F.col(c))
+    return F.when(v.isNotNull(), F.lit(FITS_TEXT)
+                  + F.when(F.expr(f"try_cast(trim(`{c}`) AS BIGINT)").isNotNull(), FITS_LONG).otherwise(0)
+                  + F.when(F.expr(_double(c)).isNotNull(), FITS_DOUBLE).otherwise(0)
+                  + F.when(v.isin(TRUE_TOKENS + FALSE_TOKENS), FITS_BOOLEAN).otherwise(0))
+
+
 def infer_types(df: DataFrame) -> DataFrame:
-    """A2: NA tokens → NULL, then BIGINT / DOUBLE / BOOLEAN / STRING per column (one pass)."""
+    """A2: NA tokens → NULL, then BIGINT / DOUBLE / BOOLEAN / STRING per column: one aggregate a column, one pass.
+
+    A column without a value becomes DOUBLE."""
     cols = df.columns
     clean = df.select(*[_missing(c).alias(c) for c in cols])
-    stats = []
-    for i, c in enumerate(cols):
-        v = F.trim(F.col(c))
-        stats += [F.count(v).alias(f"n{i}"),
-                  F.count(F.expr(f"try_cast(trim(`{c}`) AS BIGINT)")).alias(f"i{i}"),
-                  F.count(F.expr(_double(c))).alias(f"d{i}"),
-                  F.count(F.when(v.isin(TRUE_TOKENS + FALSE_TOKENS), 1)).alias(f"b{i}")]
-    row = clean.agg(*stats).collect()[0]                     # 4 counts per column: schema-sized
+    row = clean.agg(*[F.bit_and(_fits(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()   # a number a column
     out = []
     for i, c in enumerate(cols):
-        n = row[f"n{i}"]
+        mask = row[f"m{i}"]
         v = F.trim(F.col(c))
-        if n == 0:
-            out.append(F.col(c).cast("double").alias(c))    # all missing: float NaN column
-        elif row[f"i{i}"] == n:
+        if mask is None:
+            out.append(F.col(c).cast("double").alias(c))
+        elif mask & FITS_LONG:
             out.append(F.expr(f"try_cast(trim(`{c}`) AS BIGINT)").alias(c))
-        elif row[f"d{i}"] == n:
+        elif mask & FITS_DOUBLE:
             out.append(F.expr(_double(c)).alias(c))
-        elif row[f"b{i}"] == n:
+        elif mask & FITS_BOOLEAN:
             out.append(F.when(v.isin(TRUE_TOKENS), True).when(v.isin(FALSE_TOKENS), False).alias(c))
         else:
             out.append(F.col(c))

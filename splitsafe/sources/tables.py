@@ -124,7 +124,20 @@ def line_wide(spark, sf_dir):
     return df, Roles(target="target", id="l_orderkey", group="l_orderkey", time="l_shipdate")
 
 
+QUIRKS = {"id": "o_custkey % 400", "DAYS_BIRTH": "-((o_custkey % 400) * 37 + 7000)",
+          "DAYS_EMPLOYED": "CASE WHEN o_custkey % 5 = 0 THEN 365243 ELSE -(o_custkey % 400) END",
+          "sparse": "CASE WHEN o_custkey % 4 = 0 THEN 1.5E0 END", "prio": "o_orderpriority",
+          "target": "CAST(o_custkey % 400 % 3 = 0 AS INTEGER)"}
+
+
+def orders_quirks(spark, sf_dir):
+    """What cleaning looks for: repeated rows, a sentinel, signed day counts, a mostly missing and a text column."""
+    df = table(spark, sf_dir, "orders").selectExpr(*[f"{sql.replace('INTEGER', 'INT')} AS `{c}`" for c, sql in QUIRKS.items()])
+    return df, Roles(target="target", id="id", row_key="id")
+
+
 VIEWS = {
+    "orders_quirks": orders_quirks,
     "orders_y": orders_y, "orders_post": orders_post, "events_y": events_y,
     "events_hi": events_hi, "doc_labels": doc_labels, "line_narrow": line_narrow,
     "line_nulls": line_nulls, "orders_feat": orders_feat, "line_wide": line_wide,
@@ -159,6 +172,9 @@ SQL_VIEWS["line_wide"] = ("SELECT *, " + ", ".join(f"{sql} AS {n}" for n, _, sql
                           + ", CAST(l_returnflag = 'R' AS INTEGER) AS target FROM lineitem")
 
 
+SQL_VIEWS["orders_quirks"] = "SELECT " + ", ".join(f'{sql} AS "{c}"' for c, sql in QUIRKS.items()) + " FROM orders"
+
+
 def sql_with(*names: str) -> str:
     """``WITH name AS (...), ...`` prefix for oracle SQL."""
     return "WITH " + ", ".join(f"{n} AS ({SQL_VIEWS[n]})" for n in names) + " "
