@@ -31,7 +31,6 @@ VERSION = b"WARC/1.1"
 GZIP_MAGIC = b"\x1f\x8b\x08"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MAX_HEADER = 1 << 16
 RECORD = "file string, at long, bytes long, record_id string, record_type string, uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 GAP = "file string, at long, bytes long, reason string"
 
@@ -117,7 +116,7 @@ def parse_record(data, at: int = 0) -> tuple[dict, int, int, int]:
     """Headers, first byte of the block, its length, and the end of the record that begins at ``at``."""
     if bytes(data[at:at + 7]) != b"WARC/1.":
         raise Damage("no version line")
-    head_end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
+    head_end = data.find(b"\r\n\r\n", at)   # of any length; a line without a colon shows a header that isn't one
     if head_end < 0:
         raise Damage("header not ended")
     head = {}
