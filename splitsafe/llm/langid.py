@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import re
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import common
@@ -31,7 +31,7 @@ N_MAX, BUCKETS = 3, 1 << 14
 PER_LANGUAGE, HASH_BITS = 800, 30
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.05, 1e-3, 4
 SEGMENT = 1 << 20
-OTHER = re.compile(r"[\W\d_]+")
+OTHER = regex.compile(r"\P{L}+")   # everything but letters: marks, digits, fractions, number forms
 
 
 def normal(text: str) -> str:
