@@ -29,14 +29,15 @@ from .token_files import text_chunks
 
 TRAIN_PAGES, EPOCHS, RATE, DECAY = 500, 12, 0.15, 1e-3
 MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|[\s/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+")
 # fixed values: element kinds of the HTML standard
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+MATH = frozenset("annotation annotation-xml math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark object q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style head title noscript template svg math iframe object canvas audio video".split())
+HIDDEN = frozenset("script style head title noscript template svg iframe canvas audio video annotation annotation-xml".split())
 RAW = frozenset("script style title textarea iframe noscript template svg".split())
 SAME_ENDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"),
              "option": ("select",), "optgroup": ("select",), "tbody": ("table",), "thead": ("table",)}
@@ -133,10 +134,11 @@ def blocks(page: str | None) -> list[Block]:
                         break
                     if stack[k][0] in SAME_ENDS[tag]:
                         break
-        if tag in VOID or attributes.endswith("/"):
+        # a slash closes only elements that aren't HTML; elsewhere it may end an unquoted attribute
+        if tag in VOID or (attributes.endswith("/") and (tag == "svg" or tag in MATH)):
             continue
         if tag in RAW and tag != "textarea":  # its content is no markup
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         stack.append((tag, _names(tag, attributes)))
