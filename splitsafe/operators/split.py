@@ -124,7 +124,53 @@ def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
                          .otherwise("train"))
 
 
-def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced: bool = False,
+def deal_largest_first(counts: dict[int, int], k: int) -> dict[int, list[int]]:
+    """How many of the ``counts[size]`` groups of each size every one of ``k`` folds gets when groups, largest first,
+    go one by one to the fold with the fewest rows (ties: the lower fold).
+
+    Groups of one size are dealt at once: the fold with ``load`` takes them at loads ``load, load + size, ...``, and
+    the greedy rule serves the least of all these values first."""
+    loads, out = [0] * k, {}
+    for size in sorted(counts, reverse=True):
+        n = counts[size]
+
+        def taken(top):     # groups that go to each fold at loads below ``top``
+            return [max(0, -(-(top - x) // size)) for x in loads]
+
+        lo, hi = min(loads), max(loads) + size * (n // k + 2)
+        while hi - lo > 1:  # the greatest ``lo`` below which no more than n are taken
+            mid = (lo + hi) // 2
+            lo, hi = (mid, hi) if sum(taken(mid)) <= n else (lo, mid)
+        own = taken(lo)
+        left = n - sum(own)
+        for f in range(k):  # the rest goes to folds whose next group would begin at ``lo`` exactly
+            if left and loads[f] + own[f] * size == lo:
+                own[f] += 1
+                left -= 1
+        out[size] = own
+        loads = [x + m * size for x, m in zip(loads, own)]
+    return out
+
+
+def _largest_first_folds(groups: DataFrame, group: str, k: int, n_buckets: int, col: str) -> DataFrame:
+    """group → fold of :func:`deal_largest_first`. The driver holds a row a distinct size: at most sqrt(2 n) for n rows.
+    In the order of their hashes, the groups of a size fill one fold's share after the other; the rank is a prefix sum
+    over hash ranges plus the place inside one, so that no task holds a whole class."""
+    part = (F.col("__h") * F.lit(n_buckets) / F.lit(4294967296.0)).cast("int")
+    groups = groups.withColumn("__part", part)
+    sizes = groups.groupBy("__size", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    deal = deal_largest_first({r["__size"]: r["n"] for r in sizes.groupBy("__size").agg(F.sum("__n").alias("n")).collect()}, k)
+    spark = groups.sparkSession
+    shares = spark.createDataFrame([(s, [sum(m[:f + 1]) for f in range(k)]) for s, m in deal.items()],
+                                   "__size bigint, __ends array<bigint>")
+    before = Window.partitionBy("__size").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n").join(shares, "__size")
+    inside = Window.partitionBy("__size", "__part").orderBy("__h", group)
+    ranked = groups.withColumn("__rn", F.row_number().over(inside)).join(base, ["__size", "__part"])
+    return ranked.select(group, F.expr("cast(size(filter(__ends, e -> e < __base + __rn)) as int)").alias(col))
+
+
+def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced: bool | str = False,
                 n_buckets: int = 64, col: str = "fold") -> DataFrame:
     """every row of a group lands in one fold.
 
@@ -132,6 +178,8 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced:
     deals groups round-robin inside classes of equal group size (and a hash bucket
     of the group, so no class is one huge partition): one aggregate over groups,
     a window partitioned by (size, bucket) and a join back on the group key.
+    ``balanced="largest_first"`` gives folds of exactly the sizes that dealing the groups one by one, the
+    largest first, each to the smallest fold, gives (see :func:`deal_largest_first`).
     ``n_buckets`` is a parameter, never derived from the data, so the folds of existing
     groups don't move when the table grows; raise it for tables of very many groups.
     NULL groups form no group and get a NULL fold.
@@ -141,6 +189,8 @@ def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int = 42, balanced:
         return df.withColumn(col, F.when(F.col(group).isNotNull(), F.pmod(h, F.lit(k)).cast("int")))
     groups = (df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
               .withColumn("__h", h))
+    if balanced == "largest_first":
+        return df.join(_largest_first_folds(groups, group, k, n_buckets, col), group, "left")
     w = Window.partitionBy("__size", F.pmod(F.col("__h"), F.lit(n_buckets))).orderBy("__h", group)
     start = F.pmod(hash_int(seed, F.col("__size"), F.pmod(F.col("__h"), F.lit(n_buckets))), F.lit(k))
     folds = groups.select(group, F.pmod(F.row_number().over(w) - 1 + start, F.lit(k)).cast("int").alias(col))

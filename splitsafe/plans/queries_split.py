@@ -197,3 +197,23 @@ def temporal_split_decimal(spark, sf_dir):
     """Positive and negative decimals of 32 digits that differ behind the point only."""
     df = table(spark, sf_dir, "orders").withColumn("d", F.expr(BIG_DECIMAL))
     return S.temporal_split(df, ["d"], 0.8).select("o_orderkey", "split")
+
+
+# ------------------------------------------------------------------ largest-first folds
+
+_LOADS = [f"l{i}" for i in range(5)]
+_LEAST = f"least({', '.join(_LOADS)})"
+
+
+@register("balanced_folds_greedy", """WITH RECURSIVE g AS (SELECT size, row_number() OVER (ORDER BY size DESC, user_id) AS step
+  FROM (SELECT user_id, count(*) AS size FROM events WHERE user_id IS NOT NULL GROUP BY user_id)),
+s AS (SELECT CAST(0 AS BIGINT) AS step, """ + ", ".join(f"CAST(0 AS BIGINT) AS {x}" for x in _LOADS) + """
+  UNION ALL SELECT g.step, """ + ", ".join(
+    f"{x} + CASE WHEN {x} = {_LEAST}" + "".join(f" AND {y} > {_LEAST}" for y in _LOADS[:i]) + " THEN g.size ELSE 0 END"
+    for i, x in enumerate(_LOADS)) + """ FROM s JOIN g ON g.step = s.step + 1),
+e AS (SELECT * FROM s ORDER BY step DESC LIMIT 1) """ + " UNION ALL ".join(
+    f"SELECT {i} AS fold, {x} AS n FROM e" for i, x in enumerate(_LOADS)))
+def balanced_folds_greedy(spark, sf_dir):
+    """Rows of each fold; the oracle deals the groups one by one."""
+    df = table(spark, sf_dir, "events").where(F.col("user_id").isNotNull())
+    return S.group_kfold(df, "user_id", 5, balanced="largest_first").groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
