@@ -2,8 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir), works on everything its predecessor kept, and returns the columns of
 ``documents``; the last returns one row a packed piece. ``run`` writes each stage's rows to the shared folder and
-hands the table read again to the next. No SQL expresses the stages, so ``ORACLE_SQL`` is None; tests compare
-them with brute force.
+hands the table read again to the next. No SQL expresses the stages, so ``ORACLE_SQL`` is None; a test compares
+the rows of ``run`` over a small table with the stages worked out one document at a time.
+
+Rows with null or empty text have a score like others, form no near-duplicate group, hold no passage or item, and pack
+as their end id. A null id is carried along (and never learned from). Rows that share an id are documents of their
+own; of equal texts the smallest id stays. Ties follow the id. An empty table passes every stage and gives no pieces.
+Very long texts are read whole, in memory of a small multiple of their size. Extra columns go through all stages but
+the last, whatever their names.
 """
 
 from __future__ import annotations
