@@ -33,12 +33,13 @@ def _score_counts(df: DataFrame, score: str, label: str, by) -> DataFrame:
                  F.sum(F.when(y == 1, 0).otherwise(1)).cast("bigint").alias("neg")))
 
 
-def _bucketed(sc: DataFrame, by, bucket_scores: int) -> DataFrame:
-    """``sc`` with the ``bucket`` of each score: how many of its group's cut points lie below it."""
+def _bucketed(sc: DataFrame, by, bucket_scores: int) -> DataFrame | None:
+    """``sc`` with the ``bucket`` of each score: how many of its group's cut points lie below it.
+    None where no group has more scores than a bucket holds."""
     sizes = sc.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     most = sizes.agg(F.max("__n")).first()[0] or 0
     if most <= bucket_scores:
-        return sc.withColumn("bucket", F.lit(0))
+        return None
     n = min(-(-most // bucket_scores), MAX_CUTS)
     steps = F.array(*[F.lit(i / n) for i in range(1, n)])
     cuts = sc.groupBy(*by).agg(F.array_sort(F.array_distinct(F.percentile_approx("score", steps, 20 * n))).alias("__cuts"))
@@ -71,7 +72,13 @@ def cumulative_counts(df: DataFrame, score: str, label: str, by=(), bucket_score
     positives with a strictly larger score (both exact).
     """
     by = list(by)
-    ranged = _bucketed(_score_counts(df, score, label, by), by, bucket_scores)
+    sc = _score_counts(df, score, label, by)
+    ranged = _bucketed(sc, by, bucket_scores)
+    if ranged is None:
+        whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+        w = whole.orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+        return sc.select(*by, "score", "pos", "neg", (F.sum("neg").over(w) - F.col("neg")).alias("neg_below"),
+                         (F.sum("pos").over(whole) - F.sum("pos").over(w)).alias("pos_above"))
     tot = ranged.groupBy(*by, "bucket").agg(F.sum("neg").alias("bneg"), F.sum("pos").alias("bpos"))
     wb = Window.partitionBy(*by).orderBy("bucket") if by else Window.orderBy("bucket")
     # ``tot`` has at most MAX_CUTS + 1 rows per group: a window over it is bounded
