@@ -1,23 +1,25 @@
-"""Benchmark decontamination: SimHash windows sized by the items, multi-index Hamming search, exact check.
+"""Benchmark decontamination: SimHash windows of each item's size, multi-index Hamming search, exact check.
 
 Words are runs of other bytes than ASCII white space and punctuation, capitals count as small letters. A
-document holds an item if some window of the item's number of words has a weighted-shingle similarity of
-at least 0.75 with it: 5-word shingles weighted by how often they occur, sum of the lesser weights over
-sum of the greater ones (a shorter item is one shingle of all its words).
-
-*Windows.* A copy with similarity 0.75 keeps a run of the item's words unchanged whose least length
-follows from the item's (an inner change costs ten shingles of the symmetric difference). Each item belongs
-to the largest window size of a fixed ladder that fits into that run at any phase of the size's stride;
-SimHash fingerprints (64 bits, over 3-word features) are made of every such window of the item, and of the
-document's windows of those sizes at each multiple of the stride. So an unchanged run always gives equal
-fingerprints. *Search.* Four blocks of 16 bits index the item fingerprints: any fingerprint within radius
-3 agrees in at least one block, so none within the radius is missed. *Check.* The document window where
-the item would lie, and its shifts by up to two words, are compared exactly.
+document holds an item if some window of the item's number of words (fewer where the document begins or ends
+inside it) has a weighted-shingle similarity of at least 0.75 with it: 5-word shingles weighted by how often
+they occur, sum of the lesser weights over sum of the greater ones (a shorter item is one shingle of all its words).
+
+*Windows.* A window with m shingles and similarity 0.75 to an item of n shares at least 3(m + n)/7 shingles with
+it. So one pass marks the document's shingles that stand in any item, and running sums of the marks give every
+position, for every item size, at which a window can hold an item: none that could is left out, at any phase
+and under any kind of edit. These windows get SimHash fingerprints (128 bits over the weighted shingles,
+from running sums). *Search.* The items' fingerprints of that size are indexed by eight blocks of 16 bits.
+Fingerprints within radius 47 agree in at least one block up to 5 bits (eight blocks of 6 would make 48), so
+none within the radius is missed. At similarity 0.75 the shingle vectors have a cosine of at least 6/7, which
+gives 22 unequal bits of 128 on average, with a deviation of 4.3; the radius lies 5.9 deviations above, that of
+unrelated fingerprints is 64. *Check.* The windows found are compared exactly.
 
 The benchmark is the stated query set: its ids and texts go to every task, in slices of ``SLICE`` items, each
 a pass over the documents; more items mean more passes, never a larger broadcast. Items without words or
 with a null id are left out; null and empty documents hold nothing; repeated rows give a row each; ties
-of similarity go to the first window. Empty tables give no rows; extra columns have no effect.
+of similarity go to the first window. Long documents are searched in spans of ``CHUNK_WORDS`` window starts.
+Empty tables give no rows; extra columns have no effect.
 """
 
 from __future__ import annotations
@@ -32,40 +34,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import common
 
-SHINGLE, THRESHOLD, FEATURE, RADIUS, BLOCKS = 5, 0.75, 3, 3, 4
+SHINGLE, THRESHOLD, RADIUS, BLOCKS = 5, 0.75, 47, 8
+NEAR = RADIUS // BLOCKS     # some block of two fingerprints within the radius differs by no more bits
 SLICE = 20_000
 CHUNK_WORDS = 1 << 15
-LADDER = [1, 2, 3, 4, 5, 6, 8, 10, 13, 16, 20, 25, 32, 40, 50, 64, 80, 100, 128, 160, 200, 256, 512, 1024, 2048, 4096, 8192, 16384]
+CELLS = 1 << 20             # windows times items compared at a time
 
 
-def stride(size: int) -> int:
-    return max(1, size // 6)
-
-
-def window_size(length: int) -> int:
-    """The ladder's largest size that lies, whatever the stride's phase, in the run that a copy must keep."""
-    n = max(1, length - SHINGLE + 1)
-    changes = n // 35
-    run = (length - changes) // (changes + 1) if changes else length - n // 7
-    return max((w for w in LADDER if w + stride(w) - 1 <= run), default=1)
-
-
-def simhashes(words: np.ndarray, starts: np.ndarray, size: int, sums: np.ndarray | None = None) -> np.ndarray:
-    """The fingerprint of the ``size`` words from each start."""
-    k = min(FEATURE, size)
-    if sums is None:
-        sums = bit_sums(words, k)
-    ones = sums[starts + size - k + 1] - sums[starts]
-    return np.packbits(2 * ones > size - k + 1, axis=1).view(np.uint64).ravel()
-
-
-def bit_sums(words: np.ndarray, k: int) -> np.ndarray:
-    """Running sums of the 64 bits of each k-word feature (16 bits wide: only differences are used)."""
-    g = common.grams(words, k)
-    bits = np.unpackbits(g.view(np.uint8).reshape(-1, 8), axis=1)
-    out = np.zeros((len(g) + 1, 64), np.int16)
-    np.cumsum(bits, axis=0, dtype=np.int16, out=out[1:])
-    return out
+def simhashes(words: np.ndarray, k: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The fingerprint, two 64-bit words, of the k-word shingles of each stretch of ``words``."""
+    g = np.stack([common.grams(words, k, which) for which in (0, 1)], axis=1)
+    bits = np.unpackbits(g.view(np.uint8).reshape(len(g), 16), axis=1)
+    sums = np.zeros((len(g) + 1, 128), np.int32)
+    np.cumsum(bits, axis=0, out=sums[1:])
+    ones = sums[ends - k + 1] - sums[starts]
+    return np.packbits(2 * ones > (ends - starts - k + 1)[:, None], axis=1).view(np.uint64)
 
 
 def weighted_similarity(a: Counter, b: Counter) -> float:
@@ -77,87 +60,119 @@ def weights(words: np.ndarray) -> Counter:
     return Counter((common.grams(words, SHINGLE) if len(words) >= SHINGLE else common.grams(words, len(words))).tolist())
 
 
+class Marks:
+    """Membership in a set of shingles, by a table of their low bits and then the sorted set."""
+
+    def __init__(self, shingles: np.ndarray):
+        self.sorted = np.unique(shingles)
+        self.mask = np.uint64((1 << min(24, max(10, (16 * len(self.sorted)).bit_length()))) - 1)
+        self.low = np.zeros(int(self.mask) + 1, bool)
+        self.low[self.sorted & self.mask] = True
+
+    def of(self, g: np.ndarray) -> np.ndarray:
+        out = self.low[g & self.mask]
+        at = np.flatnonzero(out)
+        place = np.minimum(np.searchsorted(self.sorted, g[at]), len(self.sorted) - 1)
+        out[at] = self.sorted[place] == g[at]
+        return out
+
+
 class Index:
-    """Fingerprints of the items' windows by size, with a table for each 16-bit block."""
+    """The items by number of words: fingerprints, and their values in each 16-bit block; and their shingles."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items: list[tuple[int, np.ndarray, Counter]] = []
-        own: dict[int, list[tuple[int, int, int]]] = {}
+        self.items: list[tuple[int, int, Counter]] = []
+        prints: dict[int, list[np.ndarray]] = {}
+        members: dict[int, list[int]] = {}
+        shingles: dict[int, list[np.ndarray]] = {}
         for item_id, text in items:
             w = common.words_of(np.frombuffer(text.encode(), np.uint8), plain=True)[0]
-            if not len(w):
+            n = len(w)
+            if not n:
                 continue
-            size = window_size(len(w))
-            starts = np.arange(len(w) - size + 1)
-            own.setdefault(size, []).extend((int(f), len(self.items), int(o)) for o, f in zip(starts, simhashes(w, starts, size)))
-            self.items.append((item_id, len(w), weights(w)))
-        self.sizes = {}
-        for size, rows in own.items():
-            prints = np.array([r[0] for r in rows], np.uint64)
+            k = min(n, SHINGLE)
+            prints.setdefault(n, []).append(simhashes(w, k, np.array([0]), np.array([n]))[0])
+            members.setdefault(n, []).append(len(self.items))
+            shingles.setdefault(k, []).append(common.grams(w, k))
+            self.items.append((item_id, n, weights(w)))
+        self.marks = {k: Marks(np.concatenate(g)) for k, g in shingles.items()}
+        self.sizes = {}     # shingle size -> item size -> (item numbers, fingerprints, block -> (values, first of each value, order))
+        for n in sorted(prints):
+            p = np.array(prints[n])
             blocks = []
             for k in range(BLOCKS):
-                value = (prints >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.int64)
-                order = np.argsort(value, kind="stable")
-                first = np.searchsorted(value[order], np.arange((1 << 16) + 1)).astype(np.int32)
-                blocks.append((first, order.astype(np.int32)))
-            self.sizes[size] = (prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), blocks)
-
-    def candidates(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item window) of every pair within the radius."""
-        known, _, _, blocks = self.sizes[size]
-        win, hit = [], []
-        for k, (first, order) in enumerate(blocks):
-            value = (prints >> np.uint64(16 * k) & np.uint64(0xFFFF)).astype(np.int64)
-            n = first[value + 1] - first[value]
-            at = np.flatnonzero(n)
-            if not len(at):
-                continue
-            n = n[at]
-            w = np.repeat(at, n)
-            inner = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
-            h = order[first[value[w]] + inner]
-            near = np.bitwise_count(prints[w] ^ known[h]) <= RADIUS
-            win.append(w[near])
-            hit.append(h[near])
-        if not win:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.concatenate(win), np.concatenate(hit)]), axis=1)
-        return pairs[0], pairs[1]
+                value, of = np.unique(p.view(np.uint16)[:, k], return_inverse=True)
+                order = np.argsort(of, kind="stable")
+                blocks.append((value, np.searchsorted(of[order], np.arange(len(value) + 1)), order))
+            self.sizes.setdefault(min(n, SHINGLE), {})[n] = (np.array(members[n]), p, blocks)
+
+    @staticmethod
+    def near(known: np.ndarray, blocks: list, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, place among the items) of every pair of fingerprints within the radius."""
+        step = max(1, CELLS // len(known))
+        for at in range(0, len(prints), step):
+            part = prints[at:at + step]
+            seen = np.zeros((len(part), len(known)), bool)
+            for k, (value, first, order) in enumerate(blocks):
+                win, v = np.nonzero(np.bitwise_count(part.view(np.uint16)[:, k][:, None] ^ value) <= NEAR)
+                n = first[v + 1] - first[v]
+                inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                seen[np.repeat(win, n), order[np.repeat(first[v], n) + inner]] = True
+            win, item = np.nonzero(seen)
+            close = np.bitwise_count(part[win] ^ known[item]).sum(axis=1) <= RADIUS
+            yield at + win[close], item[close]
 
     def search(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
         """(document, item, first word, similarity): each item found in each document, at its best window."""
         lengths = np.array([len(d) for d in docs], np.int64)
         words = np.concatenate(docs) if docs else np.zeros(0, np.uint64)
         begin = np.cumsum(lengths) - lengths
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        tried: set[tuple[int, int, int]] = set()
-        sums = {}
-        owner = np.repeat(np.arange(len(docs)), lengths)
-        place = np.arange(len(words)) - begin[owner] if len(words) else np.zeros(0, np.int64)
-        left = lengths[owner] - place
-        for size, (_, item_of, offset_of, _) in self.sizes.items():
-            starts = np.flatnonzero((place % stride(size) == 0) & (left >= size))
-            if not len(starts):
+        for k, sizes in self.sizes.items():
+            total = np.zeros(max(1, len(words) - k + 2), np.int64)
+            np.cumsum(self.marks[k].of(common.grams(words, k)), out=total[1:])
+            last = np.maximum(begin, begin + lengths - k + 1)
+            least = min(sizes) - k + 1
+            held = total[np.minimum(last, len(total) - 1)] - total[np.minimum(begin, len(total) - 1)]
+            for d in np.flatnonzero((lengths >= k) & (4 * held >= 3 * least)).tolist():
+                yield from self._search_one(d, docs[d], k, sizes, total[begin[d]:last[d] + 1] - total[begin[d]])
+
+    def _search_one(self, d: int, doc: np.ndarray, k: int, sizes: dict, total: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """``total``: running sums of the marked shingles of ``doc``."""
+        best: dict[int, tuple[float, int]] = {}
+        longest = max(sizes)
+        for low in range(-longest, len(doc), CHUNK_WORDS):
+            high = min(len(doc), low + CHUNK_WORDS)
+            left, right = max(0, low), min(len(doc), high + longest)
+            marked = total[max(0, right - k + 1)] - total[left] if right - left >= k else 0
+            found = []      # (item size, starts)
+            for size in sizes:
+                n = size - k + 1
+                if 4 * marked < 3 * n:
+                    continue
+                s = np.arange(max(low, -(n // 4)), min(high, len(doc) - size + n // 4 + 1))
+                a, b = np.maximum(s, 0), np.minimum(s + size, len(doc))
+                s = s[b - a >= k]
+                a, b = np.maximum(s, 0), np.minimum(s + size, len(doc))
+                s = s[7 * (total[b - k + 1] - total[a]) >= 3 * (b - a - k + 1 + n)]
+                if len(s):
+                    found.append((size, s))
+            if not found:
                 continue
-            k = min(FEATURE, size)
-            if k not in sums:
-                sums[k] = bit_sums(words, k)
-            win, hit = self.candidates(size, simhashes(words, starts, size, sums[k]))
-            for p, h in zip(starts[win].tolist(), hit.tolist()):
-                d, item, o = int(owner[p]), int(item_of[h]), int(offset_of[h])
-                for shift in (0, -1, 1, -2, 2):
-                    s = int(place[p]) - o + shift
-                    if (d, item, s) in tried:
-                        continue
-                    tried.add((d, item, s))
-                    _, length, want = self.items[item]
-                    own = docs[d][max(0, s):max(0, s + length)]
-                    if len(own):
-                        x = weighted_similarity(want, weights(own))
-                        if x >= THRESHOLD and (-x, s) < best.get((d, item), (0.0, 0)):
-                            best[d, item] = (-x, s)
-        for (d, item), (x, s) in sorted(best.items()):
-            yield d, item, max(0, s), -x
+            left = max(0, min(int(s[0]) for _, s in found))
+            right = min(len(doc), max(int(s[-1]) + size for size, s in found))
+            a = np.concatenate([np.maximum(s, 0) for _, s in found]) - left
+            b = np.concatenate([np.minimum(s + size, len(doc)) for size, s in found]) - left
+            prints, at = simhashes(doc[left:right], k, a, b), 0
+            for size, s in found:
+                members, known, blocks = sizes[size]
+                for win, hit in self.near(known, blocks, prints[at:at + len(s)]):
+                    for start, item in zip(s[win].tolist(), members[hit].tolist()):
+                        x = weighted_similarity(self.items[item][2], weights(doc[max(0, start):start + size]))
+                        if x >= THRESHOLD and (-x, start) < best.get(item, (0.0, 0)):
+                            best[item] = (-x, start)
+                at += len(s)
+        for item, (x, start) in sorted(best.items()):
+            yield d, item, max(0, start), -x
 
 
 def _slices(benchmark: DataFrame, id_col: str, text_col: str, size: int = SLICE) -> Iterator[list[tuple[int, str]]]:
