@@ -35,10 +35,11 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from . import common
 
 SHINGLE, PERCENT = 5, 75
-CHUNK_SHINGLES = 6_000_000
+CHUNK_SHINGLES = 2_000_000
 STAR_ROUNDS = 2
 FREQUENT = 500_000          # at most so many shingles are moved to the end of the order
 SALTS = 64
+HOT = 1000
 BROADCAST_ROWS = 2_000_000  # of (long, long); above, a shuffled join
 
 
@@ -284,14 +285,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 
     # more stars under shingles that still hold more than one component. The first centre is the node that
     # shares the largest part of its shingles (an original among its copies), then some by hash
-    rows = posted.select("token", "node", "n").distinct()
-    share = rows.groupBy("node").agg((F.count(F.lit(1)) / F.first("n")).alias("share"))
-    rows = common.written(rows.join(share, "node"), "rows")
+    share = F.count(F.lit(1)).over(Window.partitionBy("node")) / F.col("n")
+    rows = posted.select("token", "node", "n")      # a shingle and its salt lie in one task, where repeats went
     edges, n = first, 0
     while True:
         label = common.components(edges)
-        own = (rows.select("token", "node", "n", "share").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        own = common.written(own.select("token", "node", "n", "share", "label"), "labelled")
+        own = rows.drop("label").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = common.written(own.select("token", "node", "n", (share if not n else F.col("share")).alias("share"), "label"), "labelled")
         open_ = own.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
         rows = common.written(own.join(open_, "token", "left_semi"), "open")
         if n == STAR_ROUNDS:
@@ -334,14 +334,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     reachable by links), component_node (that of the component) and node (that of the set)."""
     base, edges = links(docs, id_col, text_col)
     label = common.components(edges)
-    nodes = (base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low")).join(label, "node", "left")
+    nodes = (base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("size")).join(label, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     least = nodes.groupBy("label").agg(F.min("low").alias("component_id"))
-    nodes = nodes.join(least, "label").select("node", "label", "component_id")
-    return (base.join(nodes, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.when(F.col("n") > 0, F.col("label")).alias("component_node"), "node"))
+    nodes = common.written(nodes.join(least, "label").select("node", "label", "component_id", "size"), "nodes")
+    # sets that one in ``HOT`` rows has, at most so many, reach their rows by broadcast; empty sets need no join
+    large = nodes.where(F.col("size") * HOT >= base.count()).drop("size")
+    own = base.where("n > 0").join(F.broadcast(large), "node", "left")
+    cold = own.where("label is null").drop("label", "component_id").join(nodes.drop("size"), "node", "left")
+    none = base.where("n = 0").withColumns({"label": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    rows = own.where("label is not null").unionByName(cold).unionByName(none)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("label").alias("component_node"), "node")
 
 
 def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -355,8 +358,8 @@ def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     once = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count() == 0
     key = docs[id_col].cast("long")
     if once:
-        kept = stay.select("component_node", F.col("doc_id").alias("keep"))
-        dropped = common.written(found.join(kept, "component_node").where("doc_id <> keep").select(F.col("doc_id").alias("__gone")), "dropped")
+        # ids are unique, so the row that stays is that of the component's id: no join
+        dropped = common.written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")), "dropped")
         out = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
         return docs.join(out, key == out["__gone"], "left_anti")
     at, names = docs.columns.index(text_col), docs.columns
