@@ -73,10 +73,14 @@ def apply_fit(df: DataFrame, fit: DataFrame | list, features=None, keep=()) -> D
     return df.select(*[F.col(c) for c in keep], *cols)
 
 
-def fit_drift(df: DataFrame, features, train_where, **kw) -> DataFrame:
-    """Train-only vs all-row statistics per feature: the quantity behind leak 3."""
-    tr = fit_stats(df, features, train_where, **kw)
-    al = fit_stats(df, features, None, **kw)
+def fit_drift(df: DataFrame, features, train_where) -> DataFrame:
+    """Train-only vs all-row statistics per feature, in one pass: the quantity behind leak 3."""
+    from .complement import fold_fit_stats
+    held = F.when(train_where, F.lit(0)).otherwise(F.lit(1)).alias("__held")
+    both = fold_fit_stats(df.select(*features, held), features, "__held", whole=True)     # the train rows are those outside fold 1
+    tr, al = both.where("fold = 1"), both.where("fold is null")
+    if not tr.limit(1).count():         # no row is held out
+        tr = al
     t = tr.select("feature", *[F.col(c).alias(f"{c}_train") for c in ("median", "mean", "std_pop")])
     a = al.select("feature", *[F.col(c).alias(f"{c}_all") for c in ("median", "mean", "std_pop")])
     j = t.join(a, "feature")

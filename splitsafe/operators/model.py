@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .concurrent import run_concurrently
+from .complement import fold_fit_stats
 from .fit import apply_fit, fit_stats
 from .metrics import roc_auc
 
@@ -115,11 +116,13 @@ def fit_logistic(train: DataFrame, features, target: str, n_train: int | None =
 
 
 def fit_predict(train: DataFrame, test: DataFrame, features, target: str, fit_on: DataFrame | None = None,
-                keep=(), c: float = C, max_iter: int = MAX_ITER) -> DataFrame:
-    """Fit impute+scale on ``fit_on`` (default: ``train``), train LR on ``train`` and
+                keep=(), c: float = C, max_iter: int = MAX_ITER, fit: list | None = None) -> DataFrame:
+    """Fit impute+scale on ``fit_on`` (default: ``train``; ``fit``: rows of that fit, if known), train LR on ``train`` and
     return ``test`` rows as ``keep..., target, score`` (probability of class 1)."""
     features = list(features)
-    fit = fit_stats(fit_on if fit_on is not None else train, features).collect()
+    known = fit is not None
+    if not known:
+        fit = fit_stats(fit_on if fit_on is not None else train, features).collect()
     used = [r["feature"] for r in fit if r["median"] is not None]
     tr = apply_fit(train, fit, used, keep=[target]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -169,13 +172,17 @@ def train_and_evaluate(df: DataFrame, features, target: str, split_col: str = "s
 def kfold_evaluate(df: DataFrame, features, target: str, group: str, fold_col: str = "fold",
                    k: int = 5) -> DataFrame:
     """Per-fold AUC with the fold as test and the rest as train, plus per-fold
-    group overlap (0 by construction); the caller averages (E14)."""
-    spark = df.sparkSession
+    group overlap (0 by construction); the caller averages (E14). The fit tables of all folds come
+    from one pass, and two folds are trained at a time, so that two training copies are held at most."""
+    spark, features = df.sparkSession, list(features)
+    fits = {}
+    for r in fold_fit_stats(df.where(F.col(fold_col).isNotNull()), features, fold_col).collect():
+        fits.setdefault(r["fold"], []).append(r)
 
     def one(f):
         tr = df.where(F.col(fold_col) != f)
         te = df.where(F.col(fold_col) == f)
-        pred = fit_predict(tr, te, features, target)
+        pred = fit_predict(tr, te, features, target, fit=fits.get(f))      # a fold without rows has no fit here
         auc = roc_auc(pred, "score", target).collect()[0]["auc"]
         return f, auc
 
@@ -185,7 +192,7 @@ def kfold_evaluate(df: DataFrame, features, target: str, group: str, fold_col: s
              .agg(F.min(fold_col).alias("lo"), F.max(fold_col).alias("hi")))
     shared = (df.join(spans.where(F.col("lo") != F.col("hi")).select(group), group, "left_semi")
               .groupBy(fold_col).agg(F.countDistinct(group).alias("ov")))
-    results = run_concurrently(*[(lambda f=f: one(f)) for f in range(k)], max_workers=k)
+    results = run_concurrently(*[(lambda f=f: one(f)) for f in range(k)], max_workers=2)
     ov = {r[fold_col]: r["ov"] for r in shared.collect()}
     rows = [(f, auc, int(ov.get(f, 0))) for f, auc in results]
     return spark.createDataFrame(rows, "fold int, auc double, overlap bigint")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round6
-from ..operators import chartdata, clean, encode, experiments as X, fit, inject, metrics, model, split
+from ..operators import chartdata, clean, complement, encode, experiments as X, fit, inject, metrics, model, split
 from ..sources.tables import SQL_VIEWS, table, view
 from .registry import register
 from .sqlmodel import logit_auc, logit_ctes
@@ -89,6 +89,24 @@ def fit_stats(spark, sf_dir):
     return _r6(fit.fit_stats(df, FIT_FEATURES), "median", "mean", "std_pop")
 
 
+def _fold_fit_sql(c):
+    """The statistics of the rows outside each fold, every fold fitted by itself."""
+    return (f"SELECT CAST(g.fold AS INTEGER) AS fold, '{c}' AS feature, count(*) AS n, count(*) - count({c}) AS n_null, "
+            f"{r6('max(m.md)')} AS median, {r6(f'avg(coalesce({c}, m.md))')} AS mean, {r6(f'stddev_pop(coalesce({c}, m.md))')} AS std_pop "
+            f"FROM range(5) g(fold) JOIN x ON x.fold <> g.fold "
+            f"JOIN (SELECT h.fold, median({c}) AS md FROM range(5) h(fold) JOIN x ON x.fold <> h.fold GROUP BY h.fold) m ON m.fold = g.fold "
+            f"GROUP BY g.fold")
+
+
+@register("fold_fit_stats", W("line_nulls") + f"x AS (SELECT *, {sql_hash_int(42, 'l_orderkey')} % 5 AS fold FROM line_nulls) "
+          + " UNION ALL ".join(_fold_fit_sql(c) for c in FIT_FEATURES))
+def fold_fit_stats(spark, sf_dir):
+    """The fits of all five training complements of a group k-fold, from one pass."""
+    df, _ = view(spark, sf_dir, "line_nulls")
+    folds = split.group_kfold(df, "l_orderkey", 5, 42)
+    return _r6(complement.fold_fit_stats(folds, FIT_FEATURES, "fold"), "median", "mean", "std_pop")
+
+
 TEMP_CTE = """
 tn AS (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS n_train FROM orders),
 ts AS (SELECT o.*, CASE WHEN row_number() OVER (ORDER BY o_orderdate, o_orderkey) <= (SELECT n_train FROM tn)
