@@ -1,9 +1,9 @@
 """Column profiling in a few fused passes.
 
-The central idea is the *long profile*: ``unpivot`` every column into
+The central idea is the *long profile*: stack every column into
 ``(column, x)`` next to the target and run ONE ``groupBy(column)`` that yields
 null counts, mean, population std and the guarded target correlation of every
-column at once.  ``unpivot`` compiles to an ``Expand`` inside whole-stage
+column at once.  The stack is a ``posexplode`` inside whole-stage
 codegen, the partial aggregate collapses each task's rows to one row per column
 before the shuffle, and the plan size does not grow with the number of columns
 (one wide ``agg`` of 3 x 120 expressions is compile-bound).
@@ -27,20 +27,18 @@ def stack_columns(df: DataFrame, values: dict, keep=(), chunk: int = STACK_CHUNK
                   slot: str = "__slot", value: str = "x") -> DataFrame:
     """Long form ``keep..., slot (int), value`` of ``values`` = {name: Column}.
 
-    ``unpivot`` becomes an ``Expand``; when a projection carries more than
-    ``spark.sql.codegen.maxFields`` (100) fields Spark drops whole-stage codegen for
-    the stage, so wide inputs are stacked in chunks of ``chunk`` columns (each
-    chunk's scan is pruned to its own columns) and the chunks are unioned.  Slot
-    ids are integers; callers map them to names after aggregating (a few rows).
+    The values become one array a row, exploded with its positions: a slot is the position, so no name is
+    parsed for each value (``unpivot`` names its columns in text, which took most of a wide scan's time).
+    Wide inputs are stacked in chunks of ``chunk`` columns (each chunk's scan is pruned to its own columns)
+    and the chunks are unioned: an array of very many expressions makes a method too long to be compiled.
+    Slot ids are integers; callers map them to names after aggregating (a few rows).
     """
-    items = list(values.items())
+    items = list(values.values())
     keep = list(keep)
     parts = []
     for start in range(0, len(items), chunk):
-        part = items[start:start + chunk]
-        w = df.select(*keep, *[c.alias(f"__c{start + j}") for j, (_, c) in enumerate(part)])
-        long = w.unpivot(keep, [f"__c{start + j}" for j in range(len(part))], slot, value)
-        parts.append(long.withColumn(slot, F.substring(F.col(slot), 4, 10).cast("int")))
+        long = df.select(*keep, F.posexplode(F.array(*items[start:start + chunk])).alias(slot, value))
+        parts.append(long.withColumn(slot, F.col(slot) + F.lit(start)) if start else long)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -56,7 +54,7 @@ def long_profile(df: DataFrame, roles: Roles | None = None, columns=None,
     min, max, corr_target``.
 
     Numeric columns are cast to DOUBLE (NaN → NULL); for every other type only the
-    null flag is profiled (``kind = 'other'``), so ``unpivot`` sees one value type.
+    null flag is profiled (``kind = 'other'``), so the stack holds one value type.
     """
     columns = list(columns) if columns is not None else list(df.columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
