@@ -2,8 +2,9 @@
 
 Moments are aggregated per (feature, fold) and merged over the other folds, without a subtraction. The medians of
 all complements come from one histogram table with a count per fold: each value lies in one bucket whatever
-fold is left out, so no row is repeated per fold. The table is read twice; the second pass leaves only the values in
-the buckets that hold some complement's median, about one in ``CUTS``, and later passes read these alone.
+fold is left out, so no row is repeated per fold. The first histogram has buckets of equal width, whose number is plain
+arithmetic. The passes behind it read only the values in the buckets that hold some complement's median, cut at
+quantiles; where equal widths leave many of them (heavy tails), those cuts share them out.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql.window import Window
 from ..functions.numeric import as_double
 from .profile import stack_columns
 
+BUCKETS = 1024          # equal widths of the first histogram
 CUTS = 64
 EVERY_ROW = None        # the complement of no fold
 
@@ -50,11 +52,15 @@ def _thinned(values) -> list[float]:
 def _narrow(values: DataFrame, ranges: dict, targets: list[dict]) -> DataFrame:
     """The values in the open ``ranges`` {(slot, range): (lo, hi, cuts)}, with their bucket; moves ``targets`` to their buckets.
 
-    Buckets: an even one between two cuts, an odd one for values equal to a cut. Ranges of a slot are disjoint.
+    Buckets: of equal width without cuts; else an even one between two cuts, an odd one for values equal to a cut.
+    Ranges of a slot are disjoint.
     """
     spark = values.sparkSession
     rows = spark.createDataFrame([(*k, *v) for k, v in ranges.items()], "__slot int, rng int, lo double, hi double, cuts array<double>")
-    bucket = F.expr("2 * size(filter(cuts, c -> c < x)) + if(array_contains(cuts, x), 1, 0)")
+    even = f"least(cast((x - lo) / (hi - lo) * {BUCKETS} as int), {BUCKETS - 1})"
+    cut = "2 * size(filter(cuts, c -> c < x)) + if(array_contains(cuts, x), 1, 0)"
+    widths = {c is None for _, _, c in ranges.values()}
+    bucket = F.expr(even if widths == {True} else cut if widths == {False} else f"if(cuts is null, {even}, {cut})")
     inside = (values.join(F.broadcast(rows), "__slot").where("x >= lo and x <= hi")
               .select("__slot", "rng", "fold", "x", bucket.alias("b")))
     counts = (inside.groupBy("__slot", "rng", "b", "fold").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
@@ -81,7 +87,7 @@ def fold_fit_stats(df: DataFrame, features, fold_col: str, whole: bool = False)
     long = stack_columns(src, {c: F.col(f"f{i}") for i, c in enumerate(features)}, keep=["fold"])
     first = long.groupBy("__slot", "fold").agg(
         F.count(F.lit(1)).alias("n"), F.count("x").alias("nn"), F.avg("x").alias("mean"), F.var_pop("x").alias("var"),
-        F.min("x").alias("lo"), F.max("x").alias("hi"), _cut_points().alias("cuts")).collect()
+        F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
     folds = sorted({r["fold"] for r in first if r["fold"] is not None})
     parts, fits, targets, ranges = {}, [], [], {}
     for r in first:
@@ -90,13 +96,18 @@ def fold_fit_stats(df: DataFrame, features, fold_col: str, whole: bool = False)
         full = [r for r in rows if r["nn"]]
         if full:
             lo, hi = min(r["lo"] for r in full), max(r["hi"] for r in full)
-            ranges[slot, 0] = (lo, hi, _thinned([lo, hi, *[c for r in full for c in r["cuts"]]]))
+            ranges[slot, 0] = (lo, hi, None if 0 < hi - lo < math.inf else [lo, hi])
         for out in [*folds, *([EVERY_ROW] if whole else [])]:
             n, nn, mean, m2 = _merged([r for r in rows if out is EVERY_ROW or r["fold"] != out])
             middle = [{"slot": slot, "rng": 0, "out": out, "k": k, "below": 0} for k in sorted({(nn - 1) // 2, nn // 2})] if nn else []
             targets += middle
             fits.append((slot, out, n, nn, mean, m2, middle))
     values, held = long.where("x is not null"), None
+    endless = [slot for (slot, _), r in ranges.items() if r[0] < r[1] and r[2]]      # an infinite end: no widths
+    if endless:
+        for r in values.where(F.col("__slot").isin(endless)).groupBy("__slot").agg(_cut_points().alias("cuts")).collect():
+            lo, hi, _ = ranges[r["__slot"], 0]
+            ranges[r["__slot"], 0] = (lo, hi, _thinned([lo, hi, *r["cuts"]]))
     try:
         while ranges:
             inside = _narrow(values, ranges, targets)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from splitsafe.operators import profile
+from splitsafe.operators import complement, profile
 
 
 def plan(df):
@@ -15,3 +15,17 @@ def test_stack_names_no_column_per_value(spark):
     assert long.dtypes == [("k", "int"), ("__slot", "int"), ("x", "double")]
     assert sorted(long.collect(), key=lambda r: r[:2]) == [(1, 0, 1.0), (1, 1, None), (1, 2, 3.0), (2, 0, None), (2, 1, 5.0), (2, 2, 6.0)]
     assert "Expand" not in plan(long) and "substring" not in plan(long)
+
+
+def test_first_histogram_of_complements_is_arithmetic(spark, monkeypatch):
+    """Over the whole table no sketch of quantiles is made and no list of cuts searched; the later passes are small."""
+    df = spark.range(40_000).select((F.col("id") % 5).cast("int").alias("fold"), F.pmod(F.hash("id"), F.lit(1_000_003)).cast("double").alias("a"))
+    seen = []
+    narrow, sketch = complement._narrow, complement._cut_points
+    monkeypatch.setattr(complement, "_narrow", lambda v, r, t: seen.append(("rows", v.count(), {x[2] is None for x in r.values()})) or narrow(v, r, t))
+    monkeypatch.setattr(complement, "_cut_points", lambda *a: seen.append(("sketch",)) or sketch(*a))
+    got = {r["fold"]: r["median"] for r in complement.fold_fit_stats(df, ["a"], "fold").collect()}
+    assert seen[0] == ("rows", 40_000, {True})
+    assert all(s[1] < 2_000 for s in seen[1:] if s[0] == "rows") and len(seen) > 2
+    pd = df.toPandas()
+    assert got == {f: pd.a[pd.fold != f].median() for f in range(5)}
