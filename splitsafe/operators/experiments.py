@@ -69,10 +69,6 @@ def _result(sin: int, honest: DataFrame, leaky: DataFrame) -> DataFrame:
     return r.withColumn("inflation", F.col("leaky_auc") - F.col("honest_auc"))
 
 
-def _auc_on_test(df: DataFrame, score: str, target: str, split_col: str = "split") -> DataFrame:
-    return roc_auc(df.where(F.col(split_col) == "test"), score, target)
-
-
 # ----------------------------------------------------------------- model-free
 
 def _row_split(df: DataFrame, roles: Roles, seed: int, mode: str) -> DataFrame:
@@ -87,48 +83,59 @@ def leak1_target_encoding(df: DataFrame, roles: Roles, cat: str, seed: int = 42,
 
     ``mode='hash'`` uses the one-pass ``h mod 10 < 2`` split instead of the exact
     stratified one."""
-    s = _row_split(df, roles, seed, mode)
-    leaky = encode.target_encode(s, cat, roles.target, None, fallback=None, name="score")
-    honest = encode.target_encode(s, cat, roles.target, F.col("split") == "train", fallback="mean", name="score")
-    return _result(1, *_arms(lambda: _auc_on_test(honest, "score", roles.target),
-                             lambda: _auc_on_test(leaky, "score", roles.target)))
+    with _working_set(_row_split(df, roles, seed, mode).select(*dict.fromkeys([cat, roles.target, "split"]))) as s:
+        return _result(1, *_arms(lambda: _memorised_auc(s, cat, roles.target),
+                                 lambda: _memorised_auc(s, cat, roles.target, train_only=False)))
 
 
 def leak2_injected_feature(df: DataFrame, roles: Roles, honest_feature: str, seed: int = 42) -> DataFrame:
     """Leaky score = a post-outcome feature; honest score = a legitimate feature."""
     s = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed)
     s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
-    return _result(2, *_arms(lambda: _auc_on_test(s, honest_feature, roles.target),
-                             lambda: _auc_on_test(s, "SYNTHETIC_RISK_SCORE", roles.target)))
-
-
-def _memorised(s: DataFrame, keys, target: str, split_col: str = "split", null_safe: bool = False) -> DataFrame:
-    """Score = mean training label of rows sharing ``keys`` (unseen → training mean)."""
-    return encode.target_encode(s, keys, target, F.col(split_col) == "train", fallback="mean", name="score", null_safe=null_safe)
+    test = s.where("split = 'test'").select(honest_feature, "SYNTHETIC_RISK_SCORE", F.col(roles.target).alias("__y"))
+    with _working_set(test) as test:
+        return _result(2, *_arms(lambda: roc_auc(test, honest_feature, "__y"),
+                                 lambda: roc_auc(test, "SYNTHETIC_RISK_SCORE", "__y")))
+
+
+def _memorised_auc(s: DataFrame, keys, target: str, null_safe: bool = False, train_only: bool = True) -> DataFrame:
+    """AUC on the test rows of a score that is the mean training label of the rows sharing ``keys`` (unseen → training
+    mean); without ``train_only`` the mean label of all of them, test rows included. ``s`` is read several times."""
+    test = s.where("split = 'test'")
+    if train_only:
+        mean = s.where("split = 'train'").agg(F.avg(F.col(target).cast("double"))).first()[0]
+        table = encode.encoding_table(s, keys, target, F.col("split") == "train", "score")
+        scored = encode.lookup(test, table, keys, null_safe).withColumn("score", F.coalesce("score", F.lit(mean).cast("double")))
+    else:
+        scored = encode.lookup(test, encode.encoding_table(s, keys, target, None, "score"), keys, null_safe)
+    with _working_set(scored.select("score", F.col(target).alias("__y"))) as scored:
+        return _materialize(roc_auc(scored, "score", "__y"))
 
 
 def leak4_group_overlap(df: DataFrame, roles: Roles, seed: int = 42, k: int = 5) -> DataFrame:
     """Memorise the group's label: row split (groups shared) vs group split (fold 0 held out)."""
-    rows = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed)
+    cols = list(dict.fromkeys([roles.group, roles.target, "split"]))
+    rows = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed).select(*cols)
     grp = split.group_kfold(df, roles.group, k, seed).withColumn(
-        "split", F.when(F.col("fold") == 0, "test").otherwise("train"))
-    return _result(4, *_arms(lambda: _auc_on_test(_memorised(grp, roles.group, roles.target), "score", roles.target),
-                             lambda: _auc_on_test(_memorised(rows, roles.group, roles.target), "score",
-                                                  roles.target)))
+        "split", F.when(F.col("fold") == 0, "test").otherwise("train")).select(*cols)
+    with _working_set(grp, rows) as (grp, rows):
+        return _result(4, *_arms(lambda: _memorised_auc(grp, roles.group, roles.target),
+                                 lambda: _memorised_auc(rows, roles.group, roles.target)))
 
 
 def leak5_duplicates(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed: int = 42) -> DataFrame:
     """Memorise identical rows: 8 % injected copies split apart vs de-duplicated first."""
     features = list(features)
-    inj = inject.inject_duplicates(df, roles.row_key, frac, seed)
-    inj = inj.withColumn("__rk", copy_key(inj, roles.row_key))
-    leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
-    dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target], row_key="__rk")
-    honest = split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)
-    return _result(5, *_arms(lambda: _auc_on_test(_memorised(honest, features, roles.target, null_safe=True), "score",
-                                                  roles.target),
-                             lambda: _auc_on_test(_memorised(leaky, features, roles.target, null_safe=True), "score",
-                                                  roles.target)))
+    narrow = df.select(*dict.fromkeys([roles.row_key, roles.target, *features]))
+    inj = inject.inject_duplicates(narrow, roles.row_key, frac, seed)
+    inj = inj.select(*dict.fromkeys([*features, roles.target]), copy_key(inj, roles.row_key).alias("__rk"))
+    with _working_set(inj) as inj:
+        leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed).drop("__rk")
+        with _working_set(drop_duplicates(inj, features + [roles.target], row_key="__rk")) as dedup:
+            honest = split.stratified_split(dedup, roles.target, "__rk", 0.2, seed).drop("__rk")
+            with _working_set(honest, leaky) as (honest, leaky):
+                return _result(5, *_arms(lambda: _memorised_auc(honest, features, roles.target, null_safe=True),
+                                         lambda: _memorised_auc(leaky, features, roles.target, null_safe=True)))
 
 
 # ----------------------------------------------------------------- model experiments

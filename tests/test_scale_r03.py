@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from splitsafe.operators import complement, profile
+from splitsafe.roles import Roles
+from splitsafe.operators import complement, encode, experiments, metrics, profile
 
 
 def plan(df):
@@ -29,3 +30,24 @@ def test_first_histogram_of_complements_is_arithmetic(spark, monkeypatch):
     assert all(s[1] < 2_000 for s in seen[1:] if s[0] == "rows") and len(seen) > 2
     pd = df.toPandas()
     assert got == {f: pd.a[pd.fold != f].median() for f in range(5)}
+
+
+def held(df):
+    return "InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString()
+
+
+def test_leaks_split_the_table_once(spark, monkeypatch):
+    """What the encodings and the AUCs read several times is held, narrow, and released."""
+    df = spark.range(600).select(F.col("id").alias("k"), (F.col("id") % 50).alias("g"), (F.hash("id") % 2 == 0).cast("int").alias("y"),
+                                 (F.col("id") % 7).cast("double").alias("a"), F.lit("wide").alias("other"))
+    seen = []
+    lookup, auc = encode.lookup, metrics.roc_auc
+    monkeypatch.setattr(encode, "lookup", lambda d, *a, **k: seen.append((held(d), "other" in d.columns)) or lookup(d, *a, **k))
+    monkeypatch.setattr(experiments, "roc_auc", lambda d, *a, **k: seen.append((held(d), "other" in d.columns)) or auc(d, *a, **k))
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    roles = Roles(target="y", id="k", group="g", row_key="k")
+    for leak in (lambda: experiments.leak1_target_encoding(df, roles, "g"), lambda: experiments.leak2_injected_feature(df, roles, "a"),
+                 lambda: experiments.leak4_group_overlap(df, roles), lambda: experiments.leak5_duplicates(df, roles, ["a", "g"])):
+        assert leak().count() == 1
+    assert len(seen) == 14 and set(seen) == {(True, False)}
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
