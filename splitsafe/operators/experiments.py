@@ -42,7 +42,7 @@ def copy_key(df: DataFrame, key: str, copy_col: str = "copy_no") -> F.Column:
 
 
 @contextmanager
-def _working_set(*frames):
+def working_set(*frames):
     """Persist frames that several passes read (fits, splits, AUCs) and release them after."""
     held = [f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
     try:
@@ -52,14 +52,14 @@ def _working_set(*frames):
             f.unpersist()
 
 
-def _materialize(res: DataFrame) -> DataFrame:
+def materialize(res: DataFrame) -> DataFrame:
     """One-row result computed now, so that it survives the release of its inputs."""
     return res.sparkSession.createDataFrame(res.collect(), res.schema)
 
 
 def _arms(honest, leaky):
     """Run the honest and the leaky arm as concurrent Spark jobs; both come back materialised."""
-    return run_concurrently(lambda: _materialize(honest()), lambda: _materialize(leaky()))
+    return run_concurrently(lambda: materialize(honest()), lambda: materialize(leaky()))
 
 
 def _result(sin: int, honest: DataFrame, leaky: DataFrame) -> DataFrame:
@@ -69,6 +69,16 @@ def _result(sin: int, honest: DataFrame, leaky: DataFrame) -> DataFrame:
     return r.withColumn("inflation", F.col("leaky_auc") - F.col("honest_auc"))
 
 
+@contextmanager
+def split_rows(df: DataFrame, roles: Roles, features, seed: int = 42):
+    """The features and target of ``df`` with an exact stratified ``split``, held for the passes of fits and AUCs: joins
+    behind ``df`` run once."""
+    cols = list(dict.fromkeys([roles.row_key, roles.target, *features]))
+    with working_set(df.select(*cols)) as base:
+        with working_set(split.stratified_split(base, roles.target, roles.row_key, 0.2, seed)) as s:
+            yield s
+
+
 # ----------------------------------------------------------------- model-free
 
 def _row_split(df: DataFrame, roles: Roles, seed: int, mode: str) -> DataFrame:
@@ -83,7 +93,7 @@ def leak1_target_encoding(df: DataFrame, roles: Roles, cat: str, seed: int = 42,
 
     ``mode='hash'`` uses the one-pass ``h mod 10 < 2`` split instead of the exact
     stratified one."""
-    with _working_set(_row_split(df, roles, seed, mode).select(*dict.fromkeys([cat, roles.target, "split"]))) as s:
+    with working_set(_row_split(df, roles, seed, mode).select(*dict.fromkeys([cat, roles.target, "split"]))) as s:
         return _result(1, *_arms(lambda: _memorised_auc(s, cat, roles.target),
                                  lambda: _memorised_auc(s, cat, roles.target, train_only=False)))
 
@@ -93,7 +103,7 @@ def leak2_injected_feature(df: DataFrame, roles: Roles, honest_feature: str, see
     s = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed)
     s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
     test = s.where("split = 'test'").select(honest_feature, "SYNTHETIC_RISK_SCORE", F.col(roles.target).alias("__y"))
-    with _working_set(test) as test:
+    with working_set(test) as test:
         return _result(2, *_arms(lambda: roc_auc(test, honest_feature, "__y"),
                                  lambda: roc_auc(test, "SYNTHETIC_RISK_SCORE", "__y")))
 
@@ -108,8 +118,8 @@ def _memorised_auc(s: DataFrame, keys, target: str, null_safe: bool = False, tra
         scored = encode.lookup(test, table, keys, null_safe).withColumn("score", F.coalesce("score", F.lit(mean).cast("double")))
     else:
         scored = encode.lookup(test, encode.encoding_table(s, keys, target, None, "score"), keys, null_safe)
-    with _working_set(scored.select("score", F.col(target).alias("__y"))) as scored:
-        return _materialize(roc_auc(scored, "score", "__y"))
+    with working_set(scored.select("score", F.col(target).alias("__y"))) as scored:
+        return materialize(roc_auc(scored, "score", "__y"))
 
 
 def leak4_group_overlap(df: DataFrame, roles: Roles, seed: int = 42, k: int = 5) -> DataFrame:
@@ -118,7 +128,7 @@ def leak4_group_overlap(df: DataFrame, roles: Roles, seed: int = 42, k: int = 5)
     rows = split.stratified_split(df, roles.target, roles.row_key, 0.2, seed).select(*cols)
     grp = split.group_kfold(df, roles.group, k, seed).withColumn(
         "split", F.when(F.col("fold") == 0, "test").otherwise("train")).select(*cols)
-    with _working_set(grp, rows) as (grp, rows):
+    with working_set(grp, rows) as (grp, rows):
         return _result(4, *_arms(lambda: _memorised_auc(grp, roles.group, roles.target),
                                  lambda: _memorised_auc(rows, roles.group, roles.target)))
 
@@ -129,11 +139,11 @@ def leak5_duplicates(df: DataFrame, roles: Roles, features, frac: float = 0.08,
     narrow = df.select(*dict.fromkeys([roles.row_key, roles.target, *features]))
     inj = inject.inject_duplicates(narrow, roles.row_key, frac, seed)
     inj = inj.select(*dict.fromkeys([*features, roles.target]), copy_key(inj, roles.row_key).alias("__rk"))
-    with _working_set(inj) as inj:
+    with working_set(inj) as inj:
         leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed).drop("__rk")
-        with _working_set(drop_duplicates(inj, features + [roles.target], row_key="__rk")) as dedup:
+        with working_set(drop_duplicates(inj, features + [roles.target], row_key="__rk")) as dedup:
             honest = split.stratified_split(dedup, roles.target, "__rk", 0.2, seed).drop("__rk")
-            with _working_set(honest, leaky) as (honest, leaky):
+            with working_set(honest, leaky) as (honest, leaky):
                 return _result(5, *_arms(lambda: _memorised_auc(honest, features, roles.target, null_safe=True),
                                          lambda: _memorised_auc(leaky, features, roles.target, null_safe=True)))
 
@@ -167,8 +177,8 @@ def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42
     if clean_first:
         df = clean.fix_quirks(df)[0]
     cols = list(dict.fromkeys([roles.row_key, roles.target, cat] + features))
-    with _working_set(df.where(F.col(cat).isNotNull()).select(*cols)) as data:
-        with _working_set(split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)) as s:
+    with working_set(df.where(F.col(cat).isNotNull()).select(*cols)) as data:
+        with working_set(split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)) as s:
             leaky = encode.target_encode(s, cat, roles.target, None, fallback=None, name="CAT_ENCODED")
             if oof_folds:
                 honest = encode.target_encode_oof(s, cat, roles.target, roles.row_key, k=oof_folds, seed=seed,
@@ -179,7 +189,7 @@ def experiment_1(df: DataFrame, roles: Roles, cat: str, features, seed: int = 42
             feats = features + ["CAT_ENCODED"]
             h, lk = _arms(lambda: model.train_and_evaluate(honest, feats, roles.target, label="SIN 1 HONEST"),
                           lambda: model.train_and_evaluate(leaky, feats, roles.target, label="SIN 1 LEAKY"))
-            return _materialize(_result(1, h, lk))
+            return materialize(_result(1, h, lk))
 
 
 def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat: bool = False,
@@ -189,15 +199,15 @@ def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat:
     if clean_first:
         df, features = _cleaned(df, features, [roles.row_key, roles.target])
     cols = list(dict.fromkeys([roles.row_key, roles.target] + features))
-    with _working_set(df.select(*cols)) as base:
+    with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         s = split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)
         s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
-        with _working_set(s) as s:
+        with working_set(s) as s:
             h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 2 HONEST"),
                           lambda: model.train_and_evaluate(s, features + ["SYNTHETIC_RISK_SCORE"], roles.target,
                                                            label="SIN 2 LEAKY"))
-            return _materialize(_result(2, h, lk))
+            return materialize(_result(2, h, lk))
 
 
 def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float = 0.8,
@@ -208,13 +218,13 @@ def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float =
     if clean_first:
         df, features = _cleaned(df, features, [*order_by, roles.target])
     cols = list(dict.fromkeys(list(order_by) + [roles.target] + features))
-    with _working_set(df.select(*cols)) as base:
+    with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
-        with _working_set(split.temporal_split(data, order_by, frac)) as s:
+        with working_set(split.temporal_split(data, order_by, frac)) as s:
             h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 3 HONEST"),
                           lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 3 LEAKY",
                                                            fit_on_all=True))
-            return _materialize(_result(3, h, lk))
+            return materialize(_result(3, h, lk))
 
 
 def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed: int = 42, k: int = 5,
@@ -228,16 +238,16 @@ def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed
     if clean_first:
         df, features = _cleaned(df, features, [roles.row_key, roles.group, roles.target])
     cols = list(dict.fromkeys([roles.row_key, roles.group, roles.target] + features))
-    with _working_set(df.select(*cols)) as base:
+    with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         sim = inject.inject_group_overlap(data, roles.group, roles.row_key, features, frac, 0.05, seed)
-        with _working_set(sim.withColumn("__rk", copy_key(sim, roles.row_key))) as sim:   # read by 1 + k fits
+        with working_set(sim.withColumn("__rk", copy_key(sim, roles.row_key))) as sim:   # read by 1 + k fits
             per_fold, leaky = _arms(
                 lambda: model.kfold_evaluate(split.group_kfold(sim, roles.group, k, seed), features,
                                              roles.target, roles.group, k=k),
                 lambda: model.train_and_evaluate(split.stratified_split(sim, roles.target, "__rk", 0.2, seed),
                                                  features, roles.target, label="SIN 4 LEAKY"))
-            res = _materialize(_result(4, per_fold.agg(F.avg("auc").alias("auc")), leaky))
+            res = materialize(_result(4, per_fold.agg(F.avg("auc").alias("auc")), leaky))
             return (res, per_fold) if with_folds else res
 
 
@@ -249,18 +259,18 @@ def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed
     if clean_first:
         df, features = _cleaned(df, features, [roles.row_key, roles.target])
     cols = list(dict.fromkeys([roles.row_key, roles.target] + features))
-    with _working_set(df.select(*cols)) as base:
+    with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         inj = inject.inject_duplicates(data, roles.row_key, frac, seed)
         inj = inj.withColumn("__rk", copy_key(inj, roles.row_key))
-        with _working_set(inj) as inj:
+        with working_set(inj) as inj:
             leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
             dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target],
                                     row_key="__rk")
-            with _working_set(leaky, split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)) as (lk, hn):
+            with working_set(leaky, split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)) as (lk, hn):
                 h, l5 = _arms(lambda: model.train_and_evaluate(hn, features, roles.target, label="SIN 5 HONEST"),
                               lambda: model.train_and_evaluate(lk, features, roles.target, label="SIN 5 LEAKY"))
-                return _materialize(_result(5, h, l5))
+                return materialize(_result(5, h, l5))
 
 
 def scaling_fit_drift(df: DataFrame, features, order_by, frac: float = 0.8) -> DataFrame:

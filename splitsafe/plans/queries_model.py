@@ -626,8 +626,8 @@ SELECT 'baseline' AS label, {r6("(SELECT auc FROM m_auc)")} AS auc, count(*) FIL
 def model_baseline(spark, sf_dir):
     """J11 alone: sizes, AUC and test rate of the honest pipeline."""
     df, r = _feat(spark, sf_dir)
-    s = split.stratified_split(df, r.target, r.row_key, 0.2, 42)
-    return _r6(model.train_and_evaluate(s, FEAT_COLS, r.target, label="baseline"), "auc", "default_rate")
+    with X.split_rows(df, r, FEAT_COLS) as s:
+        return _r6(X.materialize(model.train_and_evaluate(s, FEAT_COLS, r.target, label="baseline")), "auc", "default_rate")
 
 
 @register("logreg_gradient", _model_with(strat_ctes("orders_feat", "o_orderkey", "s"), logit_ctes("m", "s_s", FEAT_COLS))
@@ -636,5 +636,5 @@ def model_baseline(spark, sf_dir):
 def logreg_gradient(spark, sf_dir):
     """The fitted weights, and the objective's gradient a training row at them."""
     df, r = _feat(spark, sf_dir)
-    s = split.stratified_split(df, r.target, r.row_key, 0.2, 42)
-    return _r6(model.fit_report(s.where("split = 'train'"), FEAT_COLS, r.target), "weight", "gradient")
+    with X.split_rows(df, r, FEAT_COLS) as s:
+        return _r6(model.fit_report(s.where("split = 'train'"), FEAT_COLS, r.target), "weight", "gradient")

@@ -51,3 +51,15 @@ def test_leaks_split_the_table_once(spark, monkeypatch):
         assert leak().count() == 1
     assert len(seen) == 14 and set(seen) == {(True, False)}
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+
+
+def test_baseline_reads_its_tables_once(spark, monkeypatch):
+    from splitsafe.operators import model
+    from splitsafe.plans import queries_model
+    seen = []
+    evaluate, report = model.train_and_evaluate, model.fit_report
+    monkeypatch.setattr(model, "train_and_evaluate", lambda d, *a, **k: seen.append(held(d)) or evaluate(d, *a, **k))
+    monkeypatch.setattr(model, "fit_report", lambda d, *a, **k: seen.append(held(d)) or report(d, *a, **k))
+    queries_model.model_baseline(spark, "/root/testdata/sf0.001").collect()
+    queries_model.logreg_gradient(spark, "/root/testdata/sf0.001").collect()
+    assert seen == [True, True]
