@@ -52,6 +52,14 @@ def working_set(*frames):
             f.unpersist()
 
 
+def _settle(frames, *sources):
+    """Compute the held ``frames`` now and release the ``sources`` they were made of before their block ends."""
+    for f in frames:
+        f.count()
+    for f in sources:
+        f.unpersist()
+
+
 def materialize(res: DataFrame) -> DataFrame:
     """One-row result computed now, so that it survives the release of its inputs."""
     return res.sparkSession.createDataFrame(res.collect(), res.schema)
@@ -204,9 +212,9 @@ def experiment_2(df: DataFrame, roles: Roles, features, seed: int = 42, compat:
         s = split.stratified_split(data, roles.target, roles.row_key, 0.2, seed)
         s = inject.inject_target_feature(s, roles.target, roles.row_key, "SYNTHETIC_RISK_SCORE", seed)
         with working_set(s) as s:
-            h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 2 HONEST"),
+            h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 2 HONEST", held=True),
                           lambda: model.train_and_evaluate(s, features + ["SYNTHETIC_RISK_SCORE"], roles.target,
-                                                           label="SIN 2 LEAKY"))
+                                                           label="SIN 2 LEAKY", held=True))
             return materialize(_result(2, h, lk))
 
 
@@ -221,9 +229,9 @@ def experiment_3(df: DataFrame, roles: Roles, features, order_by, frac: float =
     with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         with working_set(split.temporal_split(data, order_by, frac)) as s:
-            h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 3 HONEST"),
+            h, lk = _arms(lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 3 HONEST", held=True),
                           lambda: model.train_and_evaluate(s, features, roles.target, label="SIN 3 LEAKY",
-                                                           fit_on_all=True))
+                                                           fit_on_all=True, held=True))
             return materialize(_result(3, h, lk))
 
 
@@ -241,14 +249,16 @@ def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed
     with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         sim = inject.inject_group_overlap(data, roles.group, roles.row_key, features, frac, 0.05, seed)
-        with working_set(sim.withColumn("__rk", copy_key(sim, roles.row_key))) as sim:   # read by 1 + k fits
-            per_fold, leaky = _arms(
-                lambda: model.kfold_evaluate(split.group_kfold(sim, roles.group, k, seed), features,
-                                             roles.target, roles.group, k=k),
-                lambda: model.train_and_evaluate(split.stratified_split(sim, roles.target, "__rk", 0.2, seed),
-                                                 features, roles.target, label="SIN 4 LEAKY"))
-            res = materialize(_result(4, per_fold.agg(F.avg("auc").alias("auc")), leaky))
-            return (res, per_fold) if with_folds else res
+        sim = sim.withColumn("__rk", copy_key(sim, roles.row_key))
+        with working_set(split.group_kfold(sim, roles.group, k, seed)) as sim:           # read by 1 + k fits
+            _settle([sim], base)
+            rows = split.stratified_split(sim, roles.target, "__rk", 0.2, seed)
+            with working_set(rows.select(*dict.fromkeys([*features, roles.target, "split"]))) as rows:
+                per_fold, leaky = _arms(
+                    lambda: model.kfold_evaluate(sim, features, roles.target, roles.group, k=k, held=True),
+                    lambda: model.train_and_evaluate(rows, features, roles.target, label="SIN 4 LEAKY", held=True))
+                res = materialize(_result(4, per_fold.agg(F.avg("auc").alias("auc")), leaky))
+                return (res, per_fold) if with_folds else res
 
 
 def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed: int = 42,
@@ -262,15 +272,19 @@ def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed
     with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         inj = inject.inject_duplicates(data, roles.row_key, frac, seed)
-        inj = inj.withColumn("__rk", copy_key(inj, roles.row_key))
+        inj = inj.select(*dict.fromkeys([*features, roles.target]), copy_key(inj, roles.row_key).alias("__rk"))
         with working_set(inj) as inj:
-            leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed)
-            dedup = drop_duplicates(inj.select(*features, roles.target, "__rk"), features + [roles.target],
-                                    row_key="__rk")
-            with working_set(leaky, split.stratified_split(dedup, roles.target, "__rk", 0.2, seed)) as (lk, hn):
-                h, l5 = _arms(lambda: model.train_and_evaluate(hn, features, roles.target, label="SIN 5 HONEST"),
-                              lambda: model.train_and_evaluate(lk, features, roles.target, label="SIN 5 LEAKY"))
-                return materialize(_result(5, h, l5))
+            _settle([inj], base)
+            lk = split.stratified_split(inj, roles.target, "__rk", 0.2, seed).drop("__rk")
+            dedup = drop_duplicates(inj, features + [roles.target], row_key="__rk")
+            with working_set(lk, dedup) as (lk, dedup):
+                _settle([lk, dedup], inj)
+                with working_set(split.stratified_split(dedup, roles.target, "__rk", 0.2, seed).drop("__rk")) as hn:
+                    _settle([hn], dedup)
+                    h, l5 = _arms(
+                        lambda: model.train_and_evaluate(hn, features, roles.target, label="SIN 5 HONEST", held=True),
+                        lambda: model.train_and_evaluate(lk, features, roles.target, label="SIN 5 LEAKY", held=True))
+                    return materialize(_result(5, h, l5))
 
 
 def scaling_fit_drift(df: DataFrame, features, order_by, frac: float = 0.8) -> DataFrame:

@@ -116,20 +116,24 @@ def fit_logistic(train: DataFrame, features, target: str, n_train: int | None =
 
 
 def fit_predict(train: DataFrame, test: DataFrame, features, target: str, fit_on: DataFrame | None = None,
-                keep=(), c: float = C, max_iter: int = MAX_ITER, fit: list | None = None) -> DataFrame:
+                keep=(), c: float = C, max_iter: int = MAX_ITER, fit: list | None = None, held: bool = False) -> DataFrame:
     """Fit impute+scale on ``fit_on`` (default: ``train``; ``fit``: rows of that fit, if known), train LR on ``train`` and
-    return ``test`` rows as ``keep..., target, score`` (probability of class 1)."""
+    return ``test`` rows as ``keep..., target, score`` (probability of class 1). ``held``: the rows are of a persisted
+    frame, of which no further copy is made (scaled again in each pass, next to the optimiser's own blocks)."""
     features = list(features)
     known = fit is not None
     if not known:
-        fit = fit_stats(fit_on if fit_on is not None else train, features).collect()
+        fit = fit_stats(fit_on if fit_on is not None else train, features, persist=not held).collect()
     used = [r["feature"] for r in fit if r["median"] is not None]
-    tr = apply_fit(train, fit, used, keep=[target]).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = apply_fit(train, fit, used, keep=[target])
+    if not held:
+        tr.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # the fit table counted the training rows already unless it was fitted elsewhere
         w = fit_logistic(tr, used, target, fit[0]["n"] if (fit_on is None and fit) else None, c, max_iter)
     finally:
-        tr.unpersist()
+        if not held:
+            tr.unpersist()
     te = apply_fit(test, fit, used, keep=list(dict.fromkeys([*keep, target])))
     return te.select(*keep, target, probability(used, w).alias("score"))
 
@@ -150,15 +154,15 @@ def fit_report(train: DataFrame, features, target: str, c: float = C) -> DataFra
 
 
 def train_and_evaluate(df: DataFrame, features, target: str, split_col: str = "split",
-                       label: str = "HONEST BASELINE", fit_on_all: bool = False) -> DataFrame:
+                       label: str = "HONEST BASELINE", fit_on_all: bool = False, held: bool = False) -> DataFrame:
     """One-row result ``label, auc, n_train, n_test, default_rate`` (test rate).
 
     ``fit_on_all=True`` fits the imputer/scaler on every row (the leak of
-    experiment 3); the model itself always trains on the train rows only.
+    experiment 3); the model itself always trains on the train rows only. ``held``: ``df`` is persisted.
     """
     train = df.where(F.col(split_col) == "train")
     test = df.where(F.col(split_col) == "test")
-    pred = fit_predict(train, test, features, target, fit_on=df if fit_on_all else None)
+    pred = fit_predict(train, test, features, target, fit_on=df if fit_on_all else None, held=held)
     auc = roc_auc(pred, "score", target)
     sizes = df.groupBy().agg(F.count(F.when(F.col(split_col) == "train", 1)).alias("n_train"),
                              F.count(F.when(F.col(split_col) == "test", 1)).alias("n_test"),
@@ -170,10 +174,11 @@ def train_and_evaluate(df: DataFrame, features, target: str, split_col: str = "s
 
 
 def kfold_evaluate(df: DataFrame, features, target: str, group: str, fold_col: str = "fold",
-                   k: int = 5) -> DataFrame:
+                   k: int = 5, held: bool = False) -> DataFrame:
     """Per-fold AUC with the fold as test and the rest as train, plus per-fold
     group overlap (0 by construction); the caller averages (E14). The fit tables of all folds come
-    from one pass, and two folds are trained at a time, so that two training copies are held at most."""
+    from one pass, and two folds are trained at a time, so that two training copies are held at most (``held``: ``df``
+    is persisted, and they are the optimiser's blocks)."""
     spark, features = df.sparkSession, list(features)
     fits = {}
     for r in fold_fit_stats(df.where(F.col(fold_col).isNotNull()), features, fold_col).collect():
@@ -182,7 +187,7 @@ def kfold_evaluate(df: DataFrame, features, target: str, group: str, fold_col: s
     def one(f):
         tr = df.where(F.col(fold_col) != f)
         te = df.where(F.col(fold_col) == f)
-        pred = fit_predict(tr, te, features, target, fit=fits.get(f))      # a fold without rows has no fit here
+        pred = fit_predict(tr, te, features, target, fit=fits.get(f), held=held)      # a fold without rows has no fit here
         auc = roc_auc(pred, "score", target).collect()[0]["auc"]
         return f, auc
 

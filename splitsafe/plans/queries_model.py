@@ -627,7 +627,7 @@ def model_baseline(spark, sf_dir):
     """J11 alone: sizes, AUC and test rate of the honest pipeline."""
     df, r = _feat(spark, sf_dir)
     with X.split_rows(df, r, FEAT_COLS) as s:
-        return _r6(X.materialize(model.train_and_evaluate(s, FEAT_COLS, r.target, label="baseline")), "auc", "default_rate")
+        return _r6(X.materialize(model.train_and_evaluate(s, FEAT_COLS, r.target, label="baseline", held=True)), "auc", "default_rate")
 
 
 @register("logreg_gradient", _model_with(strat_ctes("orders_feat", "o_orderkey", "s"), logit_ctes("m", "s_s", FEAT_COLS))

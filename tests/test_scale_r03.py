@@ -63,3 +63,20 @@ def test_baseline_reads_its_tables_once(spark, monkeypatch):
     queries_model.model_baseline(spark, "/root/testdata/sf0.001").collect()
     queries_model.logreg_gradient(spark, "/root/testdata/sf0.001").collect()
     assert seen == [True, True]
+
+
+def test_experiments_hold_no_more_than_they_fit_on(spark, monkeypatch):
+    """While models are fitted, only the two split tables are held: no inputs of theirs, no second copies."""
+    from splitsafe.operators import model
+    cache = spark._jsparkSession.sharedState().cacheManager()
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 50).alias("g"), (F.hash("id") % 2 == 0).cast("int").alias("y"),
+                                 (F.hash("id", "id") % 97).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    before, seen, fit = cache.numCachedEntries(), [], model.fit_logistic
+    monkeypatch.setattr(model, "fit_logistic", lambda t, *a, **k: seen.append((cache.numCachedEntries() - before, t.storageLevel.useMemory)) or fit(t, *a, **k))
+    roles = Roles(target="y", id="k", group="g", row_key="k")
+    experiments.experiment_5(df, roles, ["a", "b"]).collect()
+    assert len(seen) == 2 and all(n <= 2 and not copy for n, copy in seen)
+    seen.clear()
+    experiments.experiment_4(df, roles, ["a", "b"]).collect()
+    assert len(seen) == 6 and not any(copy for _, copy in seen) and min(n for n, _ in seen) == 2
+    assert cache.numCachedEntries() == before
