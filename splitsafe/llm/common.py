@@ -10,12 +10,15 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SEGMENT_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20  # of an Arrow batch on its way to Python
 _M64 = (1 << 64) - 1
 
 
@@ -57,13 +60,43 @@ def local_path(uri: str) -> str | None:
     return None if "://" in uri else uri
 
 
+@contextmanager
+def frugal(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside leave no shuffle files behind and move rows to Python in batches of bounded bytes.
+
+    The session's own settings are put back. A write reads its shuffles only until it ends; another action on the same
+    rows plans them anew, so nothing is made twice.
+    """
+    own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    before = {k: spark.conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def written(df: DataFrame, kind: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, new_folder(df.sparkSession, kind)
-    df.write.parquet(path)
+    with frugal(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Deletes the folders that ``tables``, results of ``written`` or unions of them, read. Nothing may read them later."""
+    for t in tables:
+        spark = t.sparkSession
+        for folder in {unquote(f).rsplit("/", 1)[0] for f in t.inputFiles()}:
+            if not folder.rsplit("/", 1)[1].startswith("llm-"):
+                raise ValueError(f"{folder} is no folder of written()")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5, is 0. A null id counts as held out (never learned from)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
@@ -222,6 +255,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         open_ = leaves.where("n > 1").select("a").unionAll(
             new.select(F.col("b").alias("a")).distinct().join(leaves.select("a"), "a", "left_semi")).limit(1)
         done = open_.count() == 0
+        release(edges)
         edges = new
         if done:
             return (edges.select(F.col("a").alias("node"), F.col("b").alias("label"))

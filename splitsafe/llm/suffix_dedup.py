@@ -101,7 +101,8 @@ def _neighbours(keys: int, flags: str):
     """Over rows sorted by ``keys`` hash columns and the place: is the row before, or after, of the same key?
 
     Adds prev_doc, prev_row, prev_at (of an equal row just before, else null), twin (an equal neighbour on either
-    side) and edge (first or last row of the task, whose other neighbour is not seen here).
+    side) and edge (first or last row of the task, whose other neighbour is not seen here). The hashes are given for
+    edge rows only, which are compared once more.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -109,7 +110,7 @@ def _neighbours(keys: int, flags: str):
 
         def rows(cols, keep, same_prev, same_next, edge):
             prev = [np.r_[c[:1], c[:-1]] for c in cols[keys:keys + 3]]
-            out = [pa.array(c[keep]) for c in cols]
+            out = [pa.array(c[keep], mask=~edge[keep]) for c in cols[:keys]] + [pa.array(c[keep]) for c in cols[keys:]]
             out += [pa.array(p[keep], mask=~same_prev[keep]) for p in prev]
             out += [pa.array((same_prev | same_next)[keep]), pa.array(edge[keep])]
             return pa.RecordBatch.from_arrays(out, names + ["prev_doc", "prev_row", "prev_at", "twin", "edge"])
@@ -199,12 +200,16 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     """(doc_id, row, at, prev_doc, prev_row, prev_at): windows that repeat an earlier one, and where the one before stands."""
     own = _with_rows(docs, id_col, text_col)
     suffixes = common.written(own.mapInArrow(_suffixes(min_words, gram), "h long, doc_id long, row long, at int"), "anchors")
-    twins = common.written(_twins(suffixes).groupBy("doc_id", "row").agg(F.collect_list("at").alias("anchors")), "twins")
+    same = _twins(suffixes)
+    twins = common.written(same.groupBy("doc_id", "row").agg(F.collect_list("at").alias("anchors")), "twins")
+    common.release(suffixes, same)
     windows = common.written(
         own.join(twins, "doc_id").select("doc_id", "row", "anchors", "text")
         .mapInArrow(_extend(min_words, gram), "g long, h long, doc_id long, row long, at int"), "windows")
+    common.release(twins)
     got = common.written(_sorted(windows, ["g", "h"]).mapInArrow(
         _neighbours(2, "prev"), "g long, h long, doc_id long, row long, at int, " + NEXT), "repeats")
+    common.release(windows)
     place = ["doc_id", "row", "at"]
     # a task's first row may repeat rows of tasks before it: the least edge row of its key is earlier
     edges = got.where("edge")
@@ -271,7 +276,9 @@ def cut_text(raw: bytes, cuts: list[dict]) -> str:
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
           drop_emptied: bool = True) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text_col``; a row that loses all its words goes."""
-    cuts = common.written(spans(repeats(docs, id_col, text_col, min_words), min_words).drop("passages"), "cuts")
+    found = repeats(docs, id_col, text_col, min_words)
+    cuts = common.written(spans(found, min_words).drop("passages"), "cuts")
+    common.release(found)
     names = docs.columns
     flat = cuts.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("cuts").alias("__cuts"))
     key = F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0))
