@@ -27,6 +27,7 @@ no rows; extra columns have no effect. Sets are held as 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ CHUNK_SHINGLES = 2_000_000
 STAR_ROUNDS = 2
 FREQUENT = 500_000          # at most so many shingles are moved to the end of the order
 SALTS = 64
+SLICES = 4                  # of the shingles; one slice's postings are shuffled at a time
 HOT = 1000
 BROADCAST_ROWS = 2_000_000  # of (long, long); above, a shuffled join
 
@@ -209,8 +211,10 @@ class _Join:
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         self.spark = docs.sparkSession
         survey = common.written(self.docs.mapInArrow(_survey, "doc_id long, n long, node long, token long, count long"), "survey")
-        self.base = survey.where("n is not null").select("doc_id", "n", "node")
+        self.base = common.written(survey.where("n is not null").select("doc_id", "n", "node"), "base")
+        self.unique = not self.base.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count()
         counts = common.written(survey.where("token is not null").groupBy("token").agg(F.sum("count").alias("count")), "counts")
+        common.release(survey)
         # the least count that at most FREQUENT shingles reach; counts from 1024 on are told apart by bit length only
         size = F.when(F.col("count") < 1024, F.col("count")).otherwise(1000 + F.length(F.bin("count")))
         steps = counts.groupBy(size.alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
@@ -221,15 +225,19 @@ class _Join:
                 break
             least = r["c"]
         top = counts.where(size >= least).toArrow()  # at most FREQUENT rows
+        common.release(counts)
         token, count = (top.column(k).to_numpy() for k in ("token", "count"))
         self.frequent = token.astype(np.int64)[np.lexsort((token, count))].view(np.uint64)
 
     def postings(self) -> DataFrame:
-        n = common.partitions_for(self.spark)
-        rows = self.docs.mapInArrow(_poster(self.frequent), "token long, salt int, grp long, n int, node long")
-        dealt = rows.repartition(n, "token", "salt").sortWithinPartitions("token", "salt", "grp", "node")
-        return common.written(dealt.mapInArrow(_runs, "token long, salt int, grp long, n int, node long, pivot long, pivot_n int"),
-                              "postings")
+        n = max(1, common.partitions_for(self.spark) // SLICES)
+        rows = common.written(self.docs.mapInArrow(_poster(self.frequent), "token long, salt int, grp long, n int, node long"), "prefixes")
+        parts = []
+        for k in range(SLICES):
+            dealt = rows.where(F.pmod("token", F.lit(SLICES)) == k).repartition(n, "token", "salt").sortWithinPartitions("token", "salt", "grp", "node")
+            parts.append(common.written(dealt.mapInArrow(_runs, "token long, salt int, grp long, n int, node long, pivot long, pivot_n int"), "postings"))
+        common.release(rows)
+        return reduce(DataFrame.unionAll, parts)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes that link. Sets are made anew for the nodes in question only."""
@@ -239,10 +247,13 @@ class _Join:
                              .agg(F.min("doc_id").alias("doc_id")).where("doc_id is not null"), "wanted")
         ids = F.broadcast(one) if one.count() <= BROADCAST_ROWS else one
         docs = self.docs.join(ids, "doc_id")
-        sets = common.written(docs.select("node", "text").mapInArrow(_set_rows, "node long, s binary").dropDuplicates(["node"]), "sets")
+        sets = docs.select("node", "text").mapInArrow(_set_rows, "node long, s binary")
+        sets = common.written(sets if self.unique else sets.dropDuplicates(["node"]), "sets")  # a node's rows are those of one id
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-        return common.written(both.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"), "links")
+        links = common.written(both.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"), "links")
+        common.release(pairs, one, sets)
+        return links
 
 
 def _fits(n: str, m: str):
@@ -282,18 +293,21 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
                .select(F.col("node").alias("a"), F.col("head").alias("b")))
     pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
     first = job.verified(inside.union(outside).where("a <> b").select(*pair).distinct())
+    common.release(members)
 
     # more stars under shingles that still hold more than one component. The first centre is the node that
     # shares the largest part of its shingles (an original among its copies), then some by hash
     share = F.count(F.lit(1)).over(Window.partitionBy("node")) / F.col("n")
     rows = posted.select("token", "node", "n")      # a shingle and its salt lie in one task, where repeats went
-    edges, n = first, 0
+    edges, held, n = first, posted, 0
     while True:
         label = common.components(edges)
         own = rows.drop("label").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         own = common.written(own.select("token", "node", "n", (share if not n else F.col("share")).alias("share"), "label"), "labelled")
+        common.release(held, label)
         open_ = own.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("token")
-        rows = common.written(own.join(open_, "token", "left_semi"), "open")
+        rows = held = common.written(own.join(open_, "token", "left_semi"), "open")
+        common.release(own)
         if n == STAR_ROUNDS:
             break
         n += 1
@@ -305,6 +319,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
         stars = met.groupBy("node").agg(F.max(F.struct("c", "centre")).alias("z")).select(F.col("node").alias("a"), F.col("z.centre").alias("b"))
         found = job.verified(stars.select(*pair).distinct())
         if not found.limit(1).count():
+            common.release(found)
             break
         edges = edges.unionAll(found)
 
@@ -316,6 +331,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     rows = rows.join(count, "node").where(f"k >= {SHARED.format(n='n')}").join(size, "token")
     rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("node").orderBy("size", "token")))
     rows = common.written(rows.select("token", "node", "n", "label", "k", "pos"), "rest")
+    common.release(held)
     early = rows.where(f"pos <= k - {SHARED.format(n='(75 * n div 100)')} + 1")
     l, r = early.alias("l"), early.alias("r")
     needed = _needed("l.n", "r.n")
@@ -326,7 +342,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     more = (met.join(own.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
             .join(own.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
             .where("size(array_intersect(x, y)) >= " + _needed("n", "m")).select("a", "b"))
-    return job.base, edges.unionAll(job.verified(more))
+    edges = edges.unionAll(job.verified(more))
+    common.release(rows)
+    return job.base, edges
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -338,6 +356,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
              .withColumn("label", F.coalesce("label", "node")))
     least = nodes.groupBy("label").agg(F.min("low").alias("component_id"))
     nodes = common.written(nodes.join(least, "label").select("node", "label", "component_id", "size"), "nodes")
+    common.release(label, edges)
     # sets that one in ``HOT`` rows has, at most so many, reach their rows by broadcast; empty sets need no join
     large = nodes.where(F.col("size") * HOT >= base.count()).drop("size")
     own = base.where("n > 0").join(F.broadcast(large), "node", "left")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from splitsafe.llm import common, suffix_dedup
+from splitsafe.llm import common, jaccard_join, suffix_dedup
 from tests.conftest import SF01
 
 
@@ -29,6 +29,21 @@ def test_suffix_dedup_keeps_only_what_is_read_later(spark, shared):
     assert shared() == ["cuts", "repeats"]
 
 
+def test_jaccard_join_keeps_only_what_is_read_later(spark, shared):
+    rows = jaccard_join.join(common.table(spark, SF01, "documents"))
+    assert shared() == ["base", "nodes"] and rows.count() == 1000
+
+
+def test_prefixes_are_shuffled_in_slices(spark, shared, monkeypatch):
+    """Any number of slices finds the same components."""
+    docs = common.table(spark, SF01, "documents")
+    rows = lambda: {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join(docs).collect()}
+    found = rows()
+    assert shared().count("postings") == 0
+    monkeypatch.setattr(jaccard_join, "SLICES", 1)
+    assert rows() == found
+
+
 def test_writes_leave_no_shuffle_files(spark):
     def files():
         root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
