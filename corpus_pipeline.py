@@ -63,6 +63,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = common.new_folder(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        rows = stage(spark, docs, sf_dir)
+        with common.frugal(spark):
+            rows.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
