@@ -6,10 +6,11 @@ hashes are computed with numpy over a whole Arrow batch at a time, in segments o
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from urllib.parse import unquote
 
@@ -97,6 +98,29 @@ def release(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``task`` for ``mapInArrow``; when it ends, the memory it freed goes back to the system.
+
+    Spark keeps a Python worker for later tasks. What Arrow and the C library hold for reuse in it would count against
+    the executor while the later stages run in the JVM.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library's
+    if trim is not None:
+        trim(0)
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5, is 0. A null id counts as held out (never learned from)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -225,7 +225,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                             pa.array([s for _, _, s, _ in got], pa.int64()), pa.array([x for *_, x in got], pa.float64())],
                             ["doc_id", "item_id", "first_word", "similarity"])
 
-        return own.mapInArrow(task, schema)
+        return own.mapInArrow(common.lean(task), schema)
 
     found = [one(items) for items in _slices(benchmark, item_id_col, item_text_col)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)
@@ -247,6 +247,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id
                         keep[first + d] = False
                 yield batch.filter(pa.array(keep))
 
-        return rows.mapInArrow(task, docs.schema)
+        return rows.mapInArrow(common.lean(task), docs.schema)
 
     return reduce(without, _slices(benchmark, item_id_col, item_text_col), docs)

@@ -74,8 +74,12 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk, size = [], 0
 
     def counted():
-        token, n = np.unique(np.concatenate(chunk), return_counts=True)
-        token, n = token[n >= 2], n[n >= 2]
+        flat = np.concatenate(chunk)
+        chunk.clear()
+        flat.sort()
+        same = np.r_[False, flat[1:] == flat[:-1], False]
+        start, end = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
+        token, n = flat[start], end - start + 1
         none = pa.nulls(len(token), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, none, pa.array(common.signed(token)), pa.array(n.astype(np.int64))],
                                           ["doc_id", "n", "node", "token", "count"])
@@ -93,7 +97,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(s)
             if size >= CHUNK_SHINGLES:
                 yield counted()
-                chunk, size = [], 0
+                size = 0
         none = pa.nulls(len(n), pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), none, none],
                                          ["doc_id", "n", "node", "token", "count"])
@@ -210,7 +214,7 @@ class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         self.spark = docs.sparkSession
-        survey = common.written(self.docs.mapInArrow(_survey, "doc_id long, n long, node long, token long, count long"), "survey")
+        survey = common.written(self.docs.mapInArrow(common.lean(_survey), "doc_id long, n long, node long, token long, count long"), "survey")
         self.base = common.written(survey.where("n is not null").select("doc_id", "n", "node"), "base")
         self.unique = not self.base.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count()
         counts = common.written(survey.where("token is not null").groupBy("token").agg(F.sum("count").alias("count")), "counts")
@@ -231,11 +235,11 @@ class _Join:
 
     def postings(self) -> DataFrame:
         n = max(1, common.partitions_for(self.spark) // SLICES)
-        rows = common.written(self.docs.mapInArrow(_poster(self.frequent), "token long, salt int, grp long, n int, node long"), "prefixes")
+        rows = common.written(self.docs.mapInArrow(common.lean(_poster(self.frequent)), "token long, salt int, grp long, n int, node long"), "prefixes")
         parts = []
         for k in range(SLICES):
             dealt = rows.where(F.pmod("token", F.lit(SLICES)) == k).repartition(n, "token", "salt").sortWithinPartitions("token", "salt", "grp", "node")
-            parts.append(common.written(dealt.mapInArrow(_runs, "token long, salt int, grp long, n int, node long, pivot long, pivot_n int"), "postings"))
+            parts.append(common.written(dealt.mapInArrow(common.lean(_runs), "token long, salt int, grp long, n int, node long, pivot long, pivot_n int"), "postings"))
         common.release(rows)
         return reduce(DataFrame.unionAll, parts)
 
@@ -247,11 +251,11 @@ class _Join:
                              .agg(F.min("doc_id").alias("doc_id")).where("doc_id is not null"), "wanted")
         ids = F.broadcast(one) if one.count() <= BROADCAST_ROWS else one
         docs = self.docs.join(ids, "doc_id")
-        sets = docs.select("node", "text").mapInArrow(_set_rows, "node long, s binary")
+        sets = docs.select("node", "text").mapInArrow(common.lean(_set_rows), "node long, s binary")
         sets = common.written(sets if self.unique else sets.dropDuplicates(["node"]), "sets")  # a node's rows are those of one id
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-        links = common.written(both.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"), "links")
+        links = common.written(both.select("a", "b", "sa", "sb").mapInArrow(common.lean(_verify), "a long, b long"), "links")
         common.release(pairs, one, sets)
         return links
 
@@ -388,7 +392,7 @@ def distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             node = [_node(s) for _, s in _sets(batch, batch.schema.names[at])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, pa.int64())], [*names, "__node"])
 
-    rows = docs.mapInArrow(named, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+    rows = docs.mapInArrow(common.lean(named), T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
     other = F.col(id_col).isNull() | (F.col("__node") == _node(np.zeros(0, np.uint64)))
     ours = stay.select(F.col("doc_id").alias("__id"), F.col("node").alias("__n")).distinct()
     kept = rows.where(~other).join(ours, (F.col(id_col).cast("long") == F.col("__id")) & (F.col("__node") == F.col("__n")), "left_semi")

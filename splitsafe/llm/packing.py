@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from . import tokens
+from . import common, tokens
 
 BIN_TOKENS = 4_000_000
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -114,6 +114,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, l
                     yield from flush()
         if rows:
             yield from flush()
+        enc.settle()
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(task, SCHEMA))
+            .mapInArrow(common.lean(task), SCHEMA))

@@ -231,7 +231,7 @@ def contexts(sample: DataFrame) -> np.ndarray:
         yield _sums(total)
 
     kind, out = "bucket int, sums binary", np.zeros((BUCKETS, DIM))
-    got = sample.select("text").mapInArrow(count, kind).repartition("bucket").mapInArrow(add, kind).toArrow()
+    got = sample.select("text").mapInArrow(common.lean(count), kind).repartition("bucket").mapInArrow(common.lean(add), kind).toArrow()
     for k, sums in zip(got.column("bucket").to_pylist(), got.column("sums").to_pylist()):
         out[k] = np.frombuffer(sums)
     return out
@@ -255,7 +255,7 @@ def _pooled_rows(sample: DataFrame, vectors: np.ndarray) -> dict[tuple[int, int]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), batch.column("t").slice(at, len(texts)),
                                                   pa.array([pooled(t, chunks, shared.value).tobytes() for t in texts], pa.binary())], ["doc_id", "t", "x"])
 
-    got = sample.select("doc_id", "t", "text").mapInArrow(task, "doc_id long, t long, x binary").toArrow().to_pydict()
+    got = sample.select("doc_id", "t", "text").mapInArrow(common.lean(task), "doc_id long, t long, x binary").toArrow().to_pydict()
     return {(i, t): np.frombuffer(x, np.float32) for i, t, x in zip(got["doc_id"], got["t"], got["x"])}
 
 
@@ -300,7 +300,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.held_out(F.col("doc_id").cast("long")).alias("held_out"),
                        F.col("text").cast("string").alias("text"))
-    return (rows.mapInArrow(task, "doc_id long, held_out boolean, score double")
+    return (rows.mapInArrow(common.lean(task), "doc_id long, held_out boolean, score double")
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 
 
@@ -311,7 +311,8 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, chunks = shared.value, Chunks()
         for batch in batches:
-            keep = [m.score(np.stack([pooled(t, chunks, m.vectors) for t in texts])) >= threshold for _, texts in text_chunks(batch.column(at))]
-            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+            for first, texts in text_chunks(batch.column(at)):  # given out a run at a time: a batch may be large
+                keep = m.score(np.stack([pooled(t, chunks, m.vectors) for t in texts])) >= threshold
+                yield batch.slice(first, len(texts)).filter(pa.array(keep))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(common.lean(task), docs.schema)

@@ -164,7 +164,7 @@ NEXT = "prev_doc long, prev_row long, prev_at int, twin boolean, edge boolean"
 def _twins(suffixes: DataFrame) -> DataFrame:
     """(doc_id, row, at) of the suffixes that equal another."""
     got = common.written(_sorted(suffixes, ["h"]).mapInArrow(
-        _neighbours(1, "twin"), "h long, doc_id long, row long, at int, " + NEXT), "suffixes")
+        common.lean(_neighbours(1, "twin")), "h long, doc_id long, row long, at int, " + NEXT), "suffixes")
     edges = got.where("edge")
     several = edges.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     lone = edges.where("not twin").join(several, "h", "left_semi")
@@ -199,16 +199,16 @@ def _extend(min_words: int, gram: int):
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
     """(doc_id, row, at, prev_doc, prev_row, prev_at): windows that repeat an earlier one, and where the one before stands."""
     own = _with_rows(docs, id_col, text_col)
-    suffixes = common.written(own.mapInArrow(_suffixes(min_words, gram), "h long, doc_id long, row long, at int"), "anchors")
+    suffixes = common.written(own.mapInArrow(common.lean(_suffixes(min_words, gram)), "h long, doc_id long, row long, at int"), "anchors")
     same = _twins(suffixes)
     twins = common.written(same.groupBy("doc_id", "row").agg(F.collect_list("at").alias("anchors")), "twins")
     common.release(suffixes, same)
     windows = common.written(
         own.join(twins, "doc_id").select("doc_id", "row", "anchors", "text")
-        .mapInArrow(_extend(min_words, gram), "g long, h long, doc_id long, row long, at int"), "windows")
+        .mapInArrow(common.lean(_extend(min_words, gram)), "g long, h long, doc_id long, row long, at int"), "windows")
     common.release(twins)
     got = common.written(_sorted(windows, ["g", "h"]).mapInArrow(
-        _neighbours(2, "prev"), "g long, h long, doc_id long, row long, at int, " + NEXT), "repeats")
+        common.lean(_neighbours(2, "prev")), "g long, h long, doc_id long, row long, at int, " + NEXT), "repeats")
     common.release(windows)
     place = ["doc_id", "row", "at"]
     # a task's first row may repeat rows of tasks before it: the least edge row of its key is earlier
@@ -259,7 +259,7 @@ def spans(found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     kind = ("doc_id long, row long, cuts array<struct<`from`: int, `to`: int>>, "
             "passages array<struct<`from`: int, `to`: int, other: long>>")
     return (cut.groupBy("doc_id", "row").agg(F.collect_list(F.struct("from", "to", "other", "other_row", "shift")).alias("windows"))
-            .mapInArrow(merge, kind))
+            .mapInArrow(common.lean(merge), kind))
 
 
 def cut_text(raw: bytes, cuts: list[dict]) -> str:
@@ -292,4 +292,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
             cols = [pa.array(texts, pa.string()) if k == names.index(text_col) else batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(cols, names).filter(keep)
 
-    return with_cuts.select(*[docs[n] for n in names], "__cuts").mapInArrow(task, docs.schema)
+    return with_cuts.select(*[docs[n] for n in names], "__cuts").mapInArrow(common.lean(task), docs.schema)
