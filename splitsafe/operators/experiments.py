@@ -28,12 +28,13 @@ from .fit import fit_stats
 from .metrics import roc_auc
 
 
-def copy_key(df: DataFrame, key: str, copy_col: str = "copy_no") -> F.Column:
+def copy_key(df: DataFrame, key: str, copy_col: str = "copy_no", of: DataFrame | None = None) -> F.Column:
     """Unique key of an original or appended row of ``df``: ``2 * key + copy_no`` for whole numbers (as a decimal where
-    64 bits don't hold it), else the key as text with the copy number behind it."""
+    64 bits don't hold it), else the key as text with the copy number behind it. ``of``: the rows that ``df`` holds with
+    some copies; they have the same keys and need no sampling."""
     dt = df.schema[key].dataType
     if isinstance(dt, T.LongType):
-        most = df.agg(F.max(F.col(key)), F.min(F.col(key))).first()
+        most = (df if of is None else of).agg(F.max(F.col(key)), F.min(F.col(key))).first()
         small = all(m is None or -(1 << 62) < m < (1 << 62) for m in most)
         return F.col(key).cast("bigint" if small else "decimal(20,0)") * F.lit(2) + F.col(copy_col)
     if isinstance(dt, T.IntegralType):
@@ -146,7 +147,7 @@ def leak5_duplicates(df: DataFrame, roles: Roles, features, frac: float = 0.08,
     features = list(features)
     narrow = df.select(*dict.fromkeys([roles.row_key, roles.target, *features]))
     inj = inject.inject_duplicates(narrow, roles.row_key, frac, seed)
-    inj = inj.select(*dict.fromkeys([*features, roles.target]), copy_key(inj, roles.row_key).alias("__rk"))
+    inj = inj.select(*dict.fromkeys([*features, roles.target]), copy_key(inj, roles.row_key, of=narrow).alias("__rk"))
     with working_set(inj) as inj:
         leaky = split.stratified_split(inj, roles.target, "__rk", 0.2, seed).drop("__rk")
         with working_set(drop_duplicates(inj, features + [roles.target], row_key="__rk")) as dedup:
@@ -249,7 +250,7 @@ def experiment_4(df: DataFrame, roles: Roles, features, frac: float = 0.30, seed
     with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         sim = inject.inject_group_overlap(data, roles.group, roles.row_key, features, frac, 0.05, seed)
-        sim = sim.withColumn("__rk", copy_key(sim, roles.row_key))
+        sim = sim.withColumn("__rk", copy_key(sim, roles.row_key, of=base))
         with working_set(split.group_kfold(sim, roles.group, k, seed)) as sim:           # read by 1 + k fits
             _settle([sim], base)
             rows = split.stratified_split(sim, roles.target, "__rk", 0.2, seed)
@@ -272,7 +273,7 @@ def experiment_5(df: DataFrame, roles: Roles, features, frac: float = 0.08, seed
     with working_set(df.select(*cols)) as base:
         data = _impute_global(base, features) if compat else base
         inj = inject.inject_duplicates(data, roles.row_key, frac, seed)
-        inj = inj.select(*dict.fromkeys([*features, roles.target]), copy_key(inj, roles.row_key).alias("__rk"))
+        inj = inj.select(*dict.fromkeys([*features, roles.target]), copy_key(inj, roles.row_key, of=base).alias("__rk"))
         with working_set(inj) as inj:
             _settle([inj], base)
             lk = split.stratified_split(inj, roles.target, "__rk", 0.2, seed).drop("__rk")
