@@ -45,8 +45,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of sequences of at most 2048 tokens."""
-    return pieces_digest(packing.pack(docs, tokens.default_tokenizer()))
+    """The pieces of sequences of at most 2048 tokens, written (seven numbers a piece) while texts go to Python in small batches."""
+    return common.written(pieces_digest(packing.pack(docs, tokens.default_tokenizer())), "pieces")
 
 
 STAGES = [

@@ -99,22 +99,35 @@ def release(*tables: DataFrame) -> None:
 
 
 def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``task`` for ``mapInArrow``; when it ends, the memory it freed goes back to the system.
+    """``task`` for ``mapInArrow``; its rows go out in batches of bounded bytes, and when it ends, the memory it freed goes back to the system.
 
     Spark keeps a Python worker for later tasks. What Arrow and the C library hold for reuse in it would count against
-    the executor while the later stages run in the JVM.
+    the executor while the later stages run in the JVM, and so would the tables of powers. The JVM reads a batch whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from task(batches)
+            for out in task(batches):
+                yield from bounded(out) if isinstance(out, pa.RecordBatch) else [out]
         finally:
             _give_back()
 
     return run
 
 
+def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in slices of ``BATCH_BYTES`` at most (a longer row is a slice of its own)."""
+    if batch.num_rows < 2 or batch.nbytes <= BATCH_BYTES:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from bounded(batch.slice(0, half))
+        yield from bounded(batch.slice(half))
+
+
 def _give_back() -> None:
+    for powers in (_P_BYTE, *_P_GRAM):
+        powers.settle()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library's
     if trim is not None:
@@ -162,6 +175,11 @@ class _Powers:
             self.up, self.down = _powers(self.base, size), _powers(self.inverse, size)
         return self.up[:n], self.down[:n]
 
+    def settle(self) -> None:
+        """At a task's end: drops large tables, which the worker would hold through the later stages."""
+        if len(self.up) > 1 << 16:
+            self.up = self.down = np.ones(1, np.uint64)
+
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from . import common, tokens
 
 BIN_TOKENS = 4_000_000
+CHUNK_BYTES = 1 << 20  # of texts encoded at once
+OUT_PIECES = 250  # in a batch given out, 2 MB of ids at most
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -91,8 +93,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, l
             nonlocal first, rows, held
             sizes = np.array([len(x) for _, x in rows], np.int64)
             pieces = assign(sizes, length, linear, quadratic)
-            for at in range(0, len(pieces), 2000):
-                part = pieces[at:at + 2000]
+            for at in range(0, len(pieces), OUT_PIECES):
+                part = pieces[at:at + OUT_PIECES]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([rows[p[0]][0] for p in part], pa.int64()), pa.array([p[1] for p in part], pa.int64()),
                     pa.array([p[2] for p in part], pa.int64()), pa.array([int(sizes[p[0]]) for p in part], pa.int64()),
@@ -104,17 +106,17 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, l
 
         for batch in batches:
             at = 0
-            for texts in tokens.row_chunks(batch.column("text")):
+            for texts in tokens.row_chunks(batch.column("text"), CHUNK_BYTES):
                 ids, ends = enc.encode(texts)
                 ids = np.insert(ids, ends, end_id)
                 ends = ends + np.arange(1, len(ends) + 1)
                 rows += zip(batch.column("id")[at:at + len(texts)].to_pylist(), np.split(ids, ends[:-1]))
                 at, held = at + len(texts), held + len(ids)
+                enc.settle()
                 if held >= bin_tokens:
                     yield from flush()
         if rows:
             yield from flush()
-        enc.settle()
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(common.lean(task), SCHEMA))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 CACHE_PIECES = 1_000_000   # about 200 bytes each in a worker
-KEPT_PIECES = 250_000      # a task that ends with more leaves none behind in its worker
+KEPT_PIECES = 150_000      # a packing task drops its cache beyond them
 CHUNK_BYTES = 4 << 20
 #: Fixed values of the word tokenizer's file: where its pieces are cut, and the normalizers that act within them.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -93,7 +93,7 @@ class Encoder:
         self.length = np.zeros(1 << 16, np.int64)  # -1: a piece whose text goes through the library whole
 
     def settle(self) -> None:
-        """At a task's end: drops a large cache, which the worker would hold through stages of another kind."""
+        """Drops a large cache, which the worker would hold next to the executor's JVM, also through stages of another kind."""
         if len(self.known) > KEPT_PIECES:
             self._forget()
 
