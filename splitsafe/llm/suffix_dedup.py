@@ -221,45 +221,74 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
             .where(~same))
 
 
-def _joined(found: list[dict]) -> list[dict]:
-    """Ranges (from, to) in order, those that overlap or touch joined."""
-    out: list[dict] = []
-    for c in sorted(found, key=lambda c: (c["from"], c["to"])):
-        if out and c["from"] <= out[-1]["to"]:
-            out[-1]["to"] = max(out[-1]["to"], c["to"])
-        else:
-            out.append(dict(c))
-    return out
+def _runs(rows: list[np.ndarray], keys: int) -> list[np.ndarray]:
+    """Ranges in order of ``keys`` columns, from and to (the last two), those of a key that overlap or touch joined."""
+    *key, start, end = rows
+    new = np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in key[:keys]])]
+    part = np.cumsum(new)
+    last = np.maximum.accumulate((part << 32) + end)  # the furthest end so far: a later key's are beyond those before
+    first = np.flatnonzero(new | np.r_[False, (part[1:] << 32) + start[1:] > last[:-1]])
+    return [*(c[first] for c in key), start[first], (last[np.r_[first[1:] - 1, len(new) - 1]] & 0xFFFFFFFF).astype(np.int32)]
+
+
+def _documents(runs: list[np.ndarray]) -> pa.RecordBatch:
+    """The rows of ``spans`` of all runs of some document versions, in their order."""
+    doc, row, other, _, _, start, end = runs
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]
+    which = np.cumsum(new) - 1
+    order = np.lexsort((other, end, start, which))
+    which, start, end, other = which[order], start[order], end[order], other[order]
+    cut, cut_start, cut_end = _runs([which, start, end], 1)
+
+    def lists(which, kind, *fields):
+        at = np.searchsorted(which, np.arange(new.sum() + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(x) for x in fields], fields=list(kind.value_type)))
+
+    return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(row[new]), lists(cut, RANGES, cut_start, cut_end),
+                                       lists(which, PASSAGES, start, end, other)], ["doc_id", "row", "cuts", "passages"])
+
+
+def _merge(min_words: int):
+    """Rows of ``spans`` from windows sorted by document version, partner, shift and place.
+
+    Windows are joined as they come; of a document that is not over yet, only the runs are held.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []  # runs of the document that is not over
+        last = None                        # and its latest, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc, row, other, other_row, shift, at = (c.to_numpy() for c in batch.columns)
+            inside = (other == doc) & (other_row == row) & (shift < min_words)
+            rows = [doc, row, other, other_row, shift, np.where(inside, at - shift + min_words, at).astype(np.int32), (at + min_words).astype(np.int32)]
+            if last is not None:
+                rows = [np.concatenate(x) for x in zip(last, rows)]
+            runs = _runs(rows, 5)
+            last, over = [c[-1:] for c in runs], [c[:-1] for c in runs]
+            n = len(over[0]) - int(((over[0] == last[0]) & (over[1] == last[1])).sum())
+            if n:
+                yield _documents([np.concatenate(x) for x in zip(*held, [c[:n] for c in over])])
+                held = []
+            held.append([c[n:] for c in over])
+        if last is not None:
+            yield _documents([np.concatenate(x) for x in zip(*held, last)])
+
+    return task
 
 
 def spans(found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row a document version: doc_id, row, cuts (from, to): the words to cut, and passages (from, to, other).
 
     A passage's words stand, as one run, in ``other`` too: windows join only where they repeat the same version
-    at the same distance. Passages of several partners may overlap; cuts do not.
+    at the same distance. Passages of several partners may overlap; cuts do not. Spark sorts the windows, so that
+    no list of a document's windows is built.
     """
-    inside = F.expr(f"prev_doc = doc_id and prev_row = row and at - prev_at < {min_words}")
-    cut = found.select("doc_id", "row", F.when(inside, F.col("prev_at") + min_words).otherwise(F.col("at")).alias("from"),
-                       (F.col("at") + min_words).alias("to"), F.col("prev_doc").alias("other"), F.col("prev_row").alias("other_row"),
-                       (F.col("at") - F.col("prev_at")).alias("shift"))
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cuts, passages = [], []
-            for windows in batch.column("windows").to_pylist():
-                by_partner: dict[tuple, list[dict]] = {}
-                for c in windows:
-                    by_partner.setdefault((c["other"], c.pop("other_row"), c.pop("shift")), []).append(c)
-                own = [c for some in by_partner.values() for c in _joined(some)]
-                passages.append(sorted(own, key=lambda c: (c["from"], c["to"], c["other"])))
-                cuts.append([{"from": c["from"], "to": c["to"]} for c in _joined(own)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(cuts, RANGES), pa.array(passages, PASSAGES)],
-                                             ["doc_id", "row", "cuts", "passages"])
-
+    place = ["doc_id", "row", "other", "other_row", "shift", "at"]
     kind = ("doc_id long, row long, cuts array<struct<`from`: int, `to`: int>>, "
             "passages array<struct<`from`: int, `to`: int, other: long>>")
-    return (cut.groupBy("doc_id", "row").agg(F.collect_list(F.struct("from", "to", "other", "other_row", "shift")).alias("windows"))
-            .mapInArrow(common.lean(merge), kind))
+    return (found.select("doc_id", "row", F.col("prev_doc").alias("other"), F.col("prev_row").alias("other_row"), (F.col("at") - F.col("prev_at")).alias("shift"), "at")
+            .repartition("doc_id", "row").sortWithinPartitions(*place).mapInArrow(common.lean(_merge(min_words)), kind))
 
 
 def cut_text(raw: bytes, cuts: list[dict]) -> str:
